@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.operators import features, latest
+from stratum.operators import chunks, diagnostics, features, lateness, latest, quarantine, training
 from stratum.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,109 @@ def q_silver_events(spark, sf_dir):
 @query("feature_daily_full")
 def q_feature_daily_full(spark, sf_dir):
     return features.feature_daily(silver_events(spark, sf_dir))
+
+
+# --- slice 2: CDC -> Silver tickets, quarantine, Gold training set -----------------
+
+@query("silver_tickets")
+def q_silver_tickets(spark, sf_dir):
+    return silver_tickets(spark, sf_dir)
+
+
+@query("quarantine_tickets")
+def q_quarantine_tickets(spark, sf_dir):
+    return quarantine.quarantine_tickets(td.fx_cdc(spark, sf_dir))
+
+
+@query("split_reconciliation")
+def q_split_reconciliation(spark, sf_dir):
+    return quarantine.split_reconciliation(td.fx_cdc(spark, sf_dir))
+
+
+@query("rank_then_filter_loss")
+def q_rank_then_filter_loss(spark, sf_dir):
+    return latest.rank_then_filter_loss(td.fx_cdc(spark, sf_dir))
+
+
+@query("normalize_priority")
+def q_normalize_priority(spark, sf_dir):
+    return quarantine.normalized_records(td.fx_cdc(spark, sf_dir))
+
+
+@query("reject_reasons")
+def q_reject_reasons(spark, sf_dir):
+    return quarantine.reject_reason_counts(td.fx_cdc(spark, sf_dir))
+
+
+@query("value_distribution")
+def q_value_distribution(spark, sf_dir):
+    return diagnostics.value_distribution(td.fx_cdc(spark, sf_dir), "priority_raw")
+
+
+@query("schema_change_by_day")
+def q_schema_change_by_day(spark, sf_dir):
+    return diagnostics.non_numeric_by_day(td.fx_cdc(spark, sf_dir))
+
+
+@query("cdc_op_counts")
+def q_cdc_op_counts(spark, sf_dir):
+    return diagnostics.op_counts(td.fx_cdc(spark, sf_dir))
+
+
+@query("cdc_union")
+def q_cdc_union(spark, sf_dir):
+    return td.fx_cdc(spark, sf_dir)
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    return diagnostics.duplicate_keys(td.fx_cdc(spark, sf_dir), "ticket_id")
+
+
+@query("rows_vs_distinct")
+def q_rows_vs_distinct(spark, sf_dir):
+    return diagnostics.rows_vs_distinct(td.fx_cdc(spark, sf_dir), "ticket_id")
+
+
+@query("training_set")
+def q_training_set(spark, sf_dir):
+    return training.training_set(silver_tickets(spark, sf_dir))
+
+
+# --- slice 3: transcripts -> chunks ------------------------------------------------
+
+@query("silver_transcripts")
+def q_silver_transcripts(spark, sf_dir):
+    return latest.silver_transcripts(td.fx_transcripts(spark, sf_dir))
+
+
+@query("transcripts_from_turns")
+def q_transcripts_from_turns(spark, sf_dir):
+    return chunks.assemble_turns(td.table(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
+
+
+@query("doc_chunks")
+def q_doc_chunks(spark, sf_dir):
+    return chunks.doc_chunks(latest.silver_transcripts(td.fx_transcripts(spark, sf_dir)))
+
+
+# --- slice 4: lateness and skew -----------------------------------------------------
+
+@query("lateness_profile")
+def q_lateness_profile(spark, sf_dir):
+    return lateness.lateness_profile(td.fx_events(spark, sf_dir))
+
+
+@query("lateness_histogram")
+def q_lateness_histogram(spark, sf_dir):
+    return lateness.lateness_histogram(td.fx_events(spark, sf_dir))
+
+
+@query("recommended_lookback")
+def q_recommended_lookback(spark, sf_dir):
+    return lateness.recommended_lookback(td.fx_events(spark, sf_dir))
+
+
+@query("key_skew_topk")
+def q_key_skew_topk(spark, sf_dir):
+    return diagnostics.key_share_topk(td.fx_events(spark, sf_dir), "customer_id")

@@ -199,3 +199,78 @@ def register(key: str, body: str, *needs: str) -> None:
 
 register("silver_events", "select * from silver_events", "silver_events")
 register("feature_daily_full", "select * from feature_daily", "feature_daily")
+
+# slice 2: CDC
+register("silver_tickets", "select * from silver_tickets", "silver_tickets")
+register("quarantine_tickets", "select * from quarantine_tickets", "quarantine_tickets")
+register("split_reconciliation", """
+select n_all, n_accepted, n_rejected, n_both,
+       (n_accepted + n_rejected = n_all) and n_both = 0 as ok
+from (select count(*) as n_all,
+             count(*) filter (where _priority is not null) as n_accepted,
+             count(*) filter (where _priority is null) as n_rejected,
+             (select count(*) from cdc_norm a
+               where a._priority is not null
+                 and exists (select 1 from cdc_norm b where b._priority is null
+                              and b.ticket_id = a.ticket_id and b.cdc_seq = a.cdc_seq)) as n_both
+      from cdc_norm)
+""", "cdc_norm")
+register("rank_then_filter_loss", """
+select n_filter_then_rank, n_rank_then_filter, n_filter_then_rank - n_rank_then_filter as n_lost
+from (select (select count(*) from silver_tickets) as n_filter_then_rank,
+             (select count(*) from (select * from cdc_norm
+                  qualify row_number() over (partition by ticket_id order by event_time desc, cdc_seq desc) = 1)
+               where _priority is not null and op <> 'd') as n_rank_then_filter)
+""", "silver_tickets", "cdc_norm")
+register("normalize_priority",
+         "select ticket_id, cdc_seq, priority_raw, _priority as priority from cdc_norm", "cdc_norm")
+register("reject_reasons",
+         "select reject_reason, count(*) as n from quarantine_tickets group by reject_reason",
+         "quarantine_tickets")
+register("value_distribution", """
+select priority_raw, count(*) as n from fx_cdc group by priority_raw order by priority_raw nulls last
+""", "fx_cdc")
+register("schema_change_by_day", f"""
+select cast(event_time as date) as day, count(*) filter (where {PRIO_INT} is null) as n_non_numeric,
+       count(*) as n
+from fx_cdc group by 1
+""", "fx_cdc")
+register("cdc_op_counts", "select op, count(*) as n from fx_cdc group by op order by op", "fx_cdc")
+register("cdc_union", "select * from fx_cdc", "fx_cdc")
+register("duplicate_keys", """
+select ticket_id, count(*) as n from fx_cdc group by ticket_id having count(*) > 1
+order by n desc, ticket_id limit 10
+""", "fx_cdc")
+register("rows_vs_distinct",
+         "select count(*) as n_rows, count(distinct ticket_id) as n_keys from fx_cdc", "fx_cdc")
+register("training_set", "select * from training_set", "training_set")
+
+# slice 3: transcripts
+register("silver_transcripts", "select * from silver_transcripts", "silver_transcripts")
+register("transcripts_from_turns", "select conv_id, turns from conv_turns", "conv_turns")
+register("doc_chunks", "select * from doc_chunks", "doc_chunks")
+
+# slice 4: lateness and skew
+_cte("lateness_profile", ("fx_events",), """
+select round(q[1] / 86400.0 * 1e6, 0) / 1e6 as p50_days,
+       round(q[2] / 86400.0 * 1e6, 0) / 1e6 as p95_days,
+       round(q[3] / 86400.0 * 1e6, 0) / 1e6 as p99_days,
+       round(mx / 86400.0 * 1e6, 0) / 1e6 as max_days,
+       round(late * 1e6, 0) / 1e6 as late_ratio
+from (select quantile_cont(d, [0.5, 0.95, 0.99]) as q, max(d) as mx,
+             avg(case when _ingested_at > event_time + interval 1 day then 1.0::double else 0.0::double end) as late
+      from (select *, date_diff('second', event_time, _ingested_at) as d from fx_events))
+""")
+register("lateness_profile", "select * from lateness_profile", "lateness_profile")
+register("lateness_histogram", """
+select date_diff('hour', event_time, _ingested_at) as delay_hours, count(*) as n
+from fx_events group by 1 order by 1
+""", "fx_events")
+register("recommended_lookback", """
+select p99_days, max_days, cast(ceil(p99_days) as integer) as lookback_days from lateness_profile
+""", "lateness_profile")
+register("key_skew_topk", """
+select customer_id, count(*) as n,
+       round(count(*) / (select count(*) from fx_events)::double * 1e6, 0) / 1e6 as share
+from fx_events group by customer_id order by n desc, customer_id limit 10
+""", "fx_events")
