@@ -43,22 +43,33 @@ EVENT_COLUMNS = [
 ]
 
 
-def silver_events(bronze_events: DataFrame) -> DataFrame:
-    """One row per ``event_id``: the first delivery wins; adds the event and
-    arrival days."""
+def event_shape(bronze_events: DataFrame) -> DataFrame:
+    """Silver event columns (no dedup): payload plus event and arrival day."""
     cols = [c for c in EVENT_COLUMNS if c in bronze_events.columns]
-    first = first_arrival(bronze_events.select(*cols), "event_id",
-                          tie_break=[c for c in ("latency_ms",) if c in cols])
-    return first.select(
+    return bronze_events.select(
         *cols,
         F.to_date("event_time").alias("event_date"),
         F.to_date("_ingested_at").alias("ingested_date"),
     )
 
 
+def silver_events(bronze_events: DataFrame) -> DataFrame:
+    """One row per ``event_id``: the first delivery wins; adds the event and
+    arrival days."""
+    shaped = event_shape(bronze_events)
+    return first_arrival(shaped, "event_id",
+                         tie_break=[c for c in ("latency_ms",) if c in shaped.columns])
+
+
+TRANSCRIPT_COLUMNS = ["transcript_id", "ticket_id", "lang", "turns", "event_time", "_ingested_at"]
+
+
+def transcript_shape(bronze_transcripts: DataFrame) -> DataFrame:
+    return bronze_transcripts.select(*TRANSCRIPT_COLUMNS)
+
+
 def silver_transcripts(bronze_transcripts: DataFrame) -> DataFrame:
-    cols = ["transcript_id", "ticket_id", "lang", "turns", "event_time", "_ingested_at"]
-    return first_arrival(bronze_transcripts.select(*cols), "transcript_id")
+    return first_arrival(transcript_shape(bronze_transcripts), "transcript_id")
 
 
 TICKET_COLUMNS = [
@@ -94,6 +105,12 @@ def silver_tickets(bronze_cdc: DataFrame, raw: str = "priority_raw") -> DataFram
     return _silver_projection(latest.where(F.col("op") != "d"))
 
 
+def silver_from_state(state: DataFrame) -> DataFrame:
+    """Live tickets from a latest-valid-record-per-ticket state table (the
+    incremental form of ``silver_tickets``)."""
+    return _silver_projection(state.where(F.col("op") != "d"))
+
+
 def silver_tickets_rank_first(bronze_cdc: DataFrame, raw: str = "priority_raw") -> DataFrame:
     """The wrong order (rank, then filter), kept as a contrast: tickets whose
     newest record is bad disappear."""

@@ -274,3 +274,107 @@ select customer_id, count(*) as n,
        round(count(*) / (select count(*) from fx_events)::double * 1e6, 0) / 1e6 as share
 from fx_events group by customer_id order by n desc, customer_id limit 10
 """, "fx_events")
+
+# slice 5: writers and replays ----------------------------------------------------------
+from stratum.sources.testdata import CDC_RUN_BOUNDS  # noqa: E402
+
+
+def _batch_of(ts: str, bounds: list[str], as_date: bool) -> str:
+    """SQL CASE giving the run (window) of a timestamp: its index, or the
+    window start date as ``_batch_date``."""
+    starts = ["1900-01-01"] + bounds
+    parts = []
+    for i, b in enumerate(bounds):
+        val = f"date '{starts[i]}'" if as_date else str(i)
+        parts.append(f"when {ts} < timestamp '{b} 00:00:00' then {val}")
+    last = f"date '{starts[-1]}'" if as_date else str(len(bounds))
+    return "(case " + " ".join(parts) + f" else {last} end)"
+
+
+register("bronze_day_slice",
+         f"select *, {_batch_of('_ingested_at', CDC_RUN_BOUNDS, True)} as _batch_date from fx_cdc",
+         "fx_cdc")
+register("append_twice_counts", """
+select run, n_rows * run as n_rows, n_keys
+from (select count(*) as n_rows, count(distinct ticket_id) as n_keys from training_set),
+     (select 1 as run union all select 2)
+""", "training_set")
+
+# Merge by key over yearly runs, closed form: a valid record is emitted by the
+# run of its batch when it is the newest valid record of its ticket among all
+# batches so far and not a tombstone; the last emission per ticket stays
+# (a merge never deletes).
+_cte("merge_replay", ("cdc_norm",), f"""
+select * from (
+    select *, max(k) over (partition by ticket_id order by b
+                           range between unbounded preceding and current row) as kmax
+    from (select *, {_batch_of('_ingested_at', CDC_RUN_BOUNDS, False)} as b,
+                 epoch_us(event_time) * 10 + cdc_seq as k
+          from cdc_norm where _priority is not null))
+where k = kmax and op <> 'd'
+qualify row_number() over (partition by ticket_id order by b desc) = 1
+""")
+register("merge_training_set", """
+select ticket_id, customer_id, customer_name, segment, _priority as priority, category, channel,
+       status, csat, first_response_sec, cast(length(subject) + length(body) as integer) as text_len,
+       case when status in ('resolved', 'closed') then 1 else 0 end as label_resolved,
+       event_time as updated_at, _ingested_at
+from merge_replay
+""", "merge_replay")
+register("backfill_equals_full", "select * from silver_tickets", "silver_tickets")
+
+
+def _feature_replay(name: str, lookback_sql: str, deps: tuple[str, ...] = ()) -> None:
+    """Daily runs over the ingest days; each run recomputes whole days from
+    max(event_date of Gold) - lookback. Day D keeps the values of the last
+    run r whose window reached it, i.e. the Silver rows that arrived before
+    the end of r."""
+    _cte(name, ("silver_events", "fx_events") + deps, f"""
+select s.*
+from silver_events s
+join (select d, max(r) as r_d
+      from (select distinct event_date as d from silver_events) days,
+           (select r, (select max(event_date) from silver_events x where x._ingested_at < r) as m,
+                   r = min(r) over () as is_first
+            from (select cast(unnest(generate_series(min(cast(_ingested_at as date)),
+                                                     max(cast(_ingested_at as date)),
+                                                     interval 1 day)) as date) as r
+                  from fx_events)) runs
+      where is_first or d >= m - ({lookback_sql})
+      group by d) last_run
+  on s.event_date = last_run.d
+where s._ingested_at < last_run.r_d + interval 1 day
+""")
+
+
+_cte("lookback_measured", ("lateness_profile",),
+     "select cast(ceil(p99_days) as integer) as lookback_days from lateness_profile")
+_feature_replay("replay_rows_measured", "select lookback_days from lookback_measured", ("lookback_measured",))
+_feature_replay("replay_rows_zero", "select 0")
+_cte("gold_replay_zero", ("replay_rows_zero",), f"""
+select event_date, customer_id, customer_name, segment,{FEATURE_AGGS}
+from replay_rows_zero group by event_date, customer_id, customer_name, segment
+""")
+register("feature_daily_incremental", f"""
+select event_date, customer_id, customer_name, segment,{FEATURE_AGGS}
+from replay_rows_measured group by event_date, customer_id, customer_name, segment
+""", "replay_rows_measured")
+_cte("missing_rows", ("silver_events", "gold_replay_zero"), """
+select s.* from silver_events s
+where not exists (select 1 from gold_replay_zero g
+                  where g.event_date = s.event_date and g.customer_id = s.customer_id)
+""")
+register("missing_pairs_by_day", """
+select event_date, count(distinct customer_id) as n_missing_pairs from missing_rows group by event_date
+""", "missing_rows")
+register("missing_pairs_arrival", """
+select event_date, min(ingested_date) as first_arrival, max(ingested_date) as last_arrival,
+       count(*) as n_events
+from missing_rows group by event_date
+""", "missing_rows")
+register("grain_spine_gaps", """
+select event_date, (select count(distinct customer_id) from silver_events) as n_keys,
+       count(distinct customer_id) as n_present,
+       (select count(distinct customer_id) from silver_events) - count(distinct customer_id) as n_missing
+from feature_daily group by event_date
+""", "feature_daily", "silver_events")
