@@ -11,10 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.operators import chunks, diagnostics, features, lateness, latest, quality, quarantine, training
+from stratum.operators import (chunks, diagnostics, features, joins, lateness, latest, quality, quarantine,
+                               sampling, training)
 from stratum.plans import jobs
 from stratum.plans import writers as W
 from stratum.session import scratch_dir
+from stratum.sources import files
 from stratum.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,3 +257,68 @@ def q_grain_spine_gaps(spark, sf_dir):
     """Per day: customers in the dimension, customers present in Gold, gap."""
     ev = silver_events(spark, sf_dir)
     return quality.grain_gaps(features.feature_daily(ev), ev.select("customer_id"), "event_date", "customer_id")
+
+
+# --- slice 6: joins, sampling, sources -------------------------------------------------
+
+@query("enrich_tickets")
+def q_enrich_tickets(spark, sf_dir):
+    return joins.enrich(silver_tickets(spark, sf_dir), td.table(spark, sf_dir, "customer"),
+                        "customer_id", "c_custkey", ["c_nationkey", "c_acctbal"])
+
+
+@query("computed_key_join")
+def q_computed_key_join(spark, sf_dir):
+    return joins.follow_day(td.table(spark, sf_dir, "orders"))
+
+
+@query("flag_join")
+def q_flag_join(spark, sf_dir):
+    flagged = joins.flag_from(silver_tickets(spark, sf_dir),
+                              quarantine.quarantine_tickets(td.fx_cdc(spark, sf_dir)),
+                              "ticket_id", "has_bad_record")
+    return flagged.select("ticket_id", "priority", "has_bad_record")
+
+
+@query("semi_join_pick")
+def q_semi_join_pick(spark, sf_dir):
+    picked = sampling.hash_sample(silver_tickets(spark, sf_dir), "ticket_id", 500)
+    return joins.restrict_to(td.fx_cdc(spark, sf_dir), picked, "ticket_id")
+
+
+@query("range_expand")
+def q_range_expand(spark, sf_dir):
+    ev = silver_events(spark, sf_dir).select("event_id")
+    return joins.expand_range(ev, F.col("event_id") % 4)
+
+
+@query("hash_sample_n")
+def q_hash_sample_n(spark, sf_dir):
+    orders = td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return sampling.hash_sample(orders, "o_orderkey", 500)
+
+
+@query("disjoint_splits")
+def q_disjoint_splits(spark, sf_dir):
+    orders = td.table(spark, sf_dir, "orders").select("o_orderkey")
+    return sampling.disjoint_splits(orders, "o_orderkey", {"train": 300, "test": 200})
+
+
+@query("surrogate_ids")
+def q_surrogate_ids(spark, sf_dir):
+    return sampling.surrogate_ids(silver_events(spark, sf_dir).select("event_id"), "event_id")
+
+
+@query("json_projection")
+def q_json_projection(spark, sf_dir):
+    ev = td.table(spark, sf_dir, "events").select("event_id", "props")
+    return files.project_json(ev, "props", "k STRING")
+
+
+@query("jsonl_roundtrip")
+def q_jsonl_roundtrip(spark, sf_dir):
+    """JSONL export with formatted timestamps, read back with the declared schema."""
+    path = scratch_dir(spark, "jsonl")
+    ev = td.fx_events(spark, sf_dir)
+    files.export_jsonl(ev, path)
+    return files.read_jsonl(spark, path, ev.schema)

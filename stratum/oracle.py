@@ -378,3 +378,44 @@ select event_date, (select count(distinct customer_id) from silver_events) as n_
        (select count(distinct customer_id) from silver_events) - count(distinct customer_id) as n_missing
 from feature_daily group by event_date
 """, "feature_daily", "silver_events")
+
+# slice 6: joins, sampling, sources
+register("enrich_tickets", """
+select s.*, c_nationkey, c_acctbal from silver_tickets s join customer on c_custkey = s.customer_id
+""", "silver_tickets")
+register("computed_key_join", """
+with days as (select distinct date_diff('day', date '1995-01-01', cast(o_orderdate as date)) as day_idx,
+                     cast(o_orderdate as date) as follow_day from orders)
+select o_orderkey, follow_day
+from orders o join days d
+  on d.day_idx = least(date_diff('day', date '1995-01-01', cast(o.o_orderdate as date)) + 1 + o.o_orderkey % 3,
+                       (select max(day_idx) from days))
+""")
+register("flag_join", """
+select ticket_id, priority,
+       exists (select 1 from quarantine_tickets q where q.ticket_id = s.ticket_id) as has_bad_record
+from silver_tickets s
+""", "silver_tickets", "quarantine_tickets")
+register("semi_join_pick", """
+select * from fx_cdc
+where ticket_id in (select ticket_id from silver_tickets
+                    order by md5(cast(ticket_id as varchar)), ticket_id limit 500)
+""", "fx_cdc", "silver_tickets")
+register("range_expand", """
+select event_id, i from silver_events, unnest(range(event_id % 4)) as r(i)
+""", "silver_events")
+register("hash_sample_n", """
+select o_orderkey, o_custkey, o_totalprice from orders
+order by md5(cast(o_orderkey as varchar)), o_orderkey limit 500
+""")
+register("disjoint_splits", """
+select o_orderkey, rank, case when rank <= 300 then 'train' else 'test' end as split
+from (select o_orderkey, row_number() over (order by md5(cast(o_orderkey as varchar)), o_orderkey) as rank
+      from orders)
+where rank <= 500
+""")
+register("surrogate_ids", """
+select event_id, row_number() over (order by event_id) as surrogate_id from silver_events
+""", "silver_events")
+register("json_projection", "select event_id, props ->> '$.k' as k from events")
+register("jsonl_roundtrip", "select * from fx_events", "fx_events")
