@@ -18,6 +18,7 @@ from stratum.plans import jobs, layout
 from stratum.plans import writers as W
 from stratum.session import scratch_dir
 from stratum.sources import files
+from stratum.streaming import ingest
 from stratum.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -408,3 +409,60 @@ def q_layout_report(spark, sf_dir):
     verdict = layout.accept(before, after)
     rows = [{**r, **verdict} for r in (before, after)]
     return spark.createDataFrame(rows)
+
+
+# --- slice 8: streaming ---------------------------------------------------------------
+
+# --- fixed values: the topic is published as this many files, consumed two per batch ---
+LOG_FILES = 20
+LOG_ORDER = ["_ingested_at", "event_id", "latency_ms"]
+_LOGS: dict[tuple, str] = {}
+
+
+def event_log(spark, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOGS:
+        path = scratch_dir(spark, "topic-events")
+        ingest.publish_log(td.fx_events(spark, sf_dir), path, LOG_FILES, LOG_ORDER)
+        _LOGS[key] = path
+    return _LOGS[key]
+
+
+def _drain(spark, sf_dir: str, keep: str, crash_after: int | None = None):
+    log = event_log(spark, sf_dir)
+    schema = spark.read.parquet(log).schema
+    table = W.SnapshotTable(spark, scratch_dir(spark, f"stream-{keep}"))
+    ckpt = scratch_dir(spark, "stream-ckpt")
+    if crash_after is None:
+        info = {"crashed": False, "batches": ingest.consume(spark, log, schema, table, ckpt, keep=keep)}
+    else:
+        info = ingest.consume_with_restart(spark, log, schema, table, ckpt, crash_after, keep=keep)
+    return table, info
+
+
+@query("stream_upsert_latest")
+def q_stream_upsert_latest(spark, sf_dir):
+    """Topic drained in micro-batches; a re-delivered event replaces the stored one."""
+    return _drain(spark, sf_dir, "last")[0].read()
+
+
+@query("stream_first_wins")
+def q_stream_first_wins(spark, sf_dir):
+    """Same topic; the first delivery of each event is kept."""
+    return _drain(spark, sf_dir, "first")[0].read()
+
+
+@query("stream_restart_parity")
+def q_stream_restart_parity(spark, sf_dir):
+    """Crash after the write of batch 3, restart on the same checkpoint:
+    rows = distinct ids = distinct ids of the topic."""
+    table, info = _drain(spark, sf_dir, "last", crash_after=3)
+    return (table.read().agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids"))
+            .withColumn("restarted", F.lit(info["crashed"])))
+
+
+@query("log_head")
+def q_log_head(spark, sf_dir):
+    """The first 500 messages of the topic in offset (arrival) order."""
+    ev = td.fx_events(spark, sf_dir).select(*ingest.STREAM_COLUMNS)
+    return ev.orderBy(*LOG_ORDER).limit(500)

@@ -446,3 +446,20 @@ from (select count(*) filter (where strftime(event_time, '%Y-%m-%d') = '2024-01-
              count(*) filter (where event_date = date '2024-01-02') as n_partition
       from silver_events)
 """, "silver_events")
+
+# slice 8: streaming
+_STREAM_COLS = "event_id, ticket_id, customer_id, customer_name, event_type, latency_ms, event_time, _ingested_at"
+register("stream_upsert_latest", f"""
+select {_STREAM_COLS} from fx_events
+qualify row_number() over (partition by event_id order by _ingested_at desc, latency_ms desc) = 1
+""", "fx_events")
+register("stream_first_wins", f"""
+select {_STREAM_COLS} from fx_events
+qualify row_number() over (partition by event_id order by _ingested_at, latency_ms) = 1
+""", "fx_events")
+register("stream_restart_parity", """
+select count(distinct event_id) as n_rows, count(distinct event_id) as n_ids, true as restarted from fx_events
+""", "fx_events")
+register("log_head", f"""
+select {_STREAM_COLS} from fx_events order by _ingested_at, event_id, latency_ms limit 500
+""", "fx_events")

@@ -242,16 +242,17 @@ def collapse(batch: DataFrame, keys: str | Sequence[str], order: Sequence[str],
             .select(*batch.columns))
 
 
-def upsert_latest(table: SnapshotTable, batch: DataFrame, key: str, order: Sequence[str],
-                  guarded: bool = True) -> int:
-    """Replay-safe upsert.
-
-    Guarded (default): per key the greatest ``order`` among the target row
-    and the incoming rows wins, so the result does not depend on delivery
-    order and replaying any batch is a no-op. Unguarded: the incoming row
-    always wins (``ON CONFLICT DO UPDATE``).
+def upsert(table: SnapshotTable, batch: DataFrame, key: str, order: Sequence[str],
+           keep: str = "last", guarded: bool = True) -> int:
+    """Replay-safe keyed upsert.
+
+    Guarded (default): per key the greatest (``keep="last"``) or smallest
+    (``keep="first"``) ``order`` among the target row and the incoming rows
+    wins, so the result does not depend on delivery order and replaying any
+    batch is a no-op. Unguarded ``last``: the incoming row always wins
+    (``ON CONFLICT DO UPDATE``).
     """
-    incoming = collapse(batch, key, order, "last")
+    incoming = collapse(batch, key, order, keep)
     target = table.read()
     if target is None:
         return table.commit(incoming, "create")
@@ -261,10 +262,16 @@ def upsert_latest(table: SnapshotTable, batch: DataFrame, key: str, order: Seque
     # Only keys present in the batch are re-decided; the rest carry over.
     touched = target.join(incoming.select(key), key, "left_semi")
     untouched = target.join(incoming.select(key), key, "left_anti")
-    decided = collapse(touched.unionByName(incoming), key, order, "last")
+    decided = collapse(touched.unionByName(incoming), key, order, keep)
     return table.commit(untouched.unionByName(decided).select(*target.columns), "upsert")
 
 
+def upsert_latest(table: SnapshotTable, batch: DataFrame, key: str, order: Sequence[str],
+                  guarded: bool = True) -> int:
+    """``ON CONFLICT DO UPDATE`` made order-safe: the latest ``order`` wins."""
+    return upsert(table, batch, key, order, "last", guarded)
+
+
 def insert_first_wins(table: SnapshotTable, batch: DataFrame, keys: str | Sequence[str],
                       order: Sequence[str]) -> int:
     """``ON CONFLICT DO NOTHING``: only keys not yet in the table are added
