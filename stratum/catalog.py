@@ -466,3 +466,111 @@ def q_log_head(spark, sf_dir):
     """The first 500 messages of the topic in offset (arrival) order."""
     ev = td.fx_events(spark, sf_dir).select(*ingest.STREAM_COLUMNS)
     return ev.orderBy(*LOG_ORDER).limit(500)
+
+
+# --- slice 9: quality, reconciliation, checksums ---------------------------------------
+
+def one_shot_tables(spark, sf_dir: str) -> dict:
+    """Every layer built in one pass from the fixtures (no replay)."""
+    cdc = td.fx_cdc(spark, sf_dir)
+    ev = td.fx_events(spark, sf_dir)
+    tr = td.fx_transcripts(spark, sf_dir)
+    s_tickets = latest.silver_tickets(cdc)
+    s_events = latest.silver_events(ev)
+    s_trans = latest.silver_transcripts(tr)
+    return {
+        "bronze_tickets": cdc, "bronze_events": ev, "bronze_transcripts": tr,
+        "silver_tickets": s_tickets, "quarantine_tickets": quarantine.quarantine_tickets(cdc),
+        "silver_events": s_events, "silver_transcripts": s_trans,
+        "gold_training_set": training.training_set(s_tickets),
+        "gold_feature_daily": features.feature_daily(s_events),
+        "gold_doc_chunks": chunks.doc_chunks(s_trans),
+    }
+
+
+CHECKSUM_TABLES = ["gold_training_set", "gold_feature_daily", "gold_doc_chunks", "quarantine_tickets"]
+COUNT_TABLES = ["bronze_tickets", "silver_tickets", "quarantine_tickets", "gold_training_set",
+                "bronze_events", "silver_events", "gold_feature_daily", "silver_transcripts", "gold_doc_chunks"]
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    t = one_shot_tables(spark, sf_dir)
+    return quality.run_checks(t, quality.DEFAULT_CHECKS)
+
+
+@query("dq_domain_violations")
+def q_dq_domain_violations(spark, sf_dir):
+    return quality.domain_violations(silver_tickets(spark, sf_dir))
+
+
+@query("count_reconciliation")
+def q_count_reconciliation(spark, sf_dir):
+    t = one_shot_tables(spark, sf_dir)
+
+    def n(df):
+        return df.agg(F.count(F.lit(1)))
+
+    accepted = quarantine.accepted(quarantine.tag(t["bronze_tickets"]))
+    split_total = accepted.select(F.lit(1).alias("x")).unionByName(
+        t["quarantine_tickets"].select(F.lit(1).alias("x")))
+    return quality.reconcile(spark, [
+        ("accepted + quarantined = bronze records", n(split_total), n(t["bronze_tickets"])),
+        ("silver_events = distinct bronze event ids", n(t["silver_events"]),
+         t["bronze_events"].agg(F.count_distinct("event_id"))),
+        ("gold_feature_daily = distinct silver (day, customer)", n(t["gold_feature_daily"]),
+         t["silver_events"].agg(F.count_distinct("event_date", "customer_id"))),
+        ("gold_training_set = silver_tickets", n(t["gold_training_set"]), n(t["silver_tickets"])),
+        ("gold_doc_chunks = turns of silver transcripts", n(t["gold_doc_chunks"]),
+         t["silver_transcripts"].agg(F.sum(F.size("turns")))),
+    ])
+
+
+@query("table_checksum")
+def q_table_checksum(spark, sf_dir):
+    t = one_shot_tables(spark, sf_dir)
+    return quality.table_checksums({k: t[k] for k in CHECKSUM_TABLES})
+
+
+@query("row_counts")
+def q_row_counts(spark, sf_dir):
+    t = one_shot_tables(spark, sf_dir)
+    out = None
+    for name in COUNT_TABLES:
+        part = t[name].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def stability_windows(spark, landing: dict) -> list[tuple]:
+    """Yearly runs over the CDC years, then weekly runs over the event and
+    transcript weeks (every run is a whole-pipeline run)."""
+    import datetime as dt
+    last = max(jobs.ingest_day_range(df)[1] for k, df in landing.items() if k != "tickets")
+    start = dt.date(2024, 1, 1)
+    weeks = []
+    while start <= last:
+        weeks.append(start.isoformat())
+        start += dt.timedelta(days=7)
+    return jobs.boundary_windows(CDC_RUN_BOUNDS + weeks)
+
+
+@query("rerun_stability")
+def q_rerun_stability(spark, sf_dir):
+    """The whole replay run three times on one warehouse; Gold checksums after
+    each replay must be equal (and equal to the one-shot build)."""
+    wh = jobs.Warehouse(spark, scratch_dir(spark, "rerun"))
+    wh.landing["tickets"] = td.land(td.fx_cdc(spark, sf_dir), wh.path("landing", "tickets"))
+    wh.landing["events"] = td.land(td.fx_events(spark, sf_dir), wh.path("landing", "events"))
+    wh.landing["transcripts"] = td.land(td.fx_transcripts(spark, sf_dir), wh.path("landing", "transcripts"))
+    windows = stability_windows(spark, wh.landing)
+    lookback = measured_lookback(spark, sf_dir)
+    snaps = None
+    for run in (1, 2, 3):
+        jobs.backfill(wh, windows, lookback_days=lookback)
+        tables = {"gold_training_set": wh.training_set(), "gold_feature_daily": wh.feature_daily(),
+                  "gold_doc_chunks": wh.doc_chunks(), "quarantine_tickets": wh.quarantine()}
+        snap = quality.table_checksums(tables).select(F.lit(run).alias("run"), "*")
+        snap = spark.createDataFrame(snap.collect(), snap.schema)  # freeze this run's numbers
+        snaps = snap if snaps is None else snaps.unionByName(snap)
+    return snaps

@@ -463,3 +463,74 @@ select count(distinct event_id) as n_rows, count(distinct event_id) as n_ids, tr
 register("log_head", f"""
 select {_STREAM_COLS} from fx_events order by _ingested_at, event_id, latency_ms limit 500
 """, "fx_events")
+
+# slice 9: quality, reconciliation, checksums
+from stratum.operators.quality import DEFAULT_CHECKS, GOLD_CHECKSUM_COLUMNS  # noqa: E402
+
+_TABLE_CTE = {"silver_tickets": "silver_tickets", "quarantine_tickets": "quarantine_tickets",
+              "silver_events": "silver_events", "silver_transcripts": "silver_transcripts",
+              "gold_doc_chunks": "doc_chunks", "gold_training_set": "training_set",
+              "gold_feature_daily": "feature_daily", "bronze_tickets": "fx_cdc",
+              "bronze_events": "fx_events", "bronze_transcripts": "fx_transcripts"}
+
+
+def _violation_sql(test: str, col: str, values: tuple) -> str:
+    if test == "not_null":
+        return f"count(*) filter (where {col} is null)"
+    if test == "unique":
+        return f"count({col}) - count(distinct {col})"
+    vals = ", ".join(str(v) for v in values)
+    return f"count(*) filter (where {col} is not null and {col} not in ({vals}))"
+
+
+register("dq_report", "\nunion all\n".join(
+    f"select '{c.name}' as check_name, '{c.table}' as table_name, "
+    f"cast({_violation_sql(c.test, c.column, c.values)} as bigint) as n_failing, "
+    f"{_violation_sql(c.test, c.column, c.values)} = 0 as ok from {_TABLE_CTE[c.table]}"
+    for c in DEFAULT_CHECKS), *sorted({_TABLE_CTE[c.table] for c in DEFAULT_CHECKS}))
+register("dq_domain_violations", """
+select ticket_id, priority from silver_tickets where priority is null or priority not between 1 and 4
+""", "silver_tickets")
+register("count_reconciliation", """
+select check_name, actual, expected, actual = expected as ok from (
+  select 'accepted + quarantined = bronze records' as check_name,
+         (select count(*) from cdc_norm where _priority is not null)
+           + (select count(*) from quarantine_tickets) as actual,
+         (select count(*) from fx_cdc) as expected
+  union all
+  select 'silver_events = distinct bronze event ids', (select count(*) from silver_events),
+         (select count(distinct event_id) from fx_events)
+  union all
+  select 'gold_feature_daily = distinct silver (day, customer)', (select count(*) from feature_daily),
+         (select count(distinct (event_date, customer_id)) from silver_events)
+  union all
+  select 'gold_training_set = silver_tickets', (select count(*) from training_set),
+         (select count(*) from silver_tickets)
+  union all
+  select 'gold_doc_chunks = turns of silver transcripts', (select count(*) from doc_chunks),
+         (select cast(sum(len(turns)) as bigint) from silver_transcripts))
+""", "cdc_norm", "quarantine_tickets", "fx_cdc", "silver_events", "fx_events", "feature_daily",
+         "training_set", "silver_tickets", "doc_chunks", "silver_transcripts")
+
+
+def _checksum_sql(table: str, cols: list[str]) -> str:
+    text = ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in cols)
+    return (f"select '{table}' as table_name, count(*) as n_rows, "
+            f"case when count(*) = 0 then 'empty' else concat_ws('-', cast(count(*) as varchar), "
+            f"cast(sum(('0x' || substr(h, 1, 8))::bigint) as varchar), "
+            f"cast(sum(('0x' || substr(h, 9, 8))::bigint) as varchar)) end as checksum "
+            f"from (select md5(concat_ws('|', {text})) as h from {_TABLE_CTE[table]})")
+
+
+_CHECKSUM_UNION = "\nunion all\n".join(_checksum_sql(t, c) for t, c in GOLD_CHECKSUM_COLUMNS.items())
+_CHECKSUM_NEEDS = tuple(_TABLE_CTE[t] for t in GOLD_CHECKSUM_COLUMNS)
+register("table_checksum", _CHECKSUM_UNION, *_CHECKSUM_NEEDS)
+register("rerun_stability", f"""
+select run, c.* from ({_CHECKSUM_UNION}) c, (select unnest([1, 2, 3]) as run)
+""", *_CHECKSUM_NEEDS)
+register("row_counts", "\nunion all\n".join(
+    f"select '{t}' as table_name, count(*) as n_rows from {_TABLE_CTE[t]}"
+    for t in ["bronze_tickets", "silver_tickets", "quarantine_tickets", "gold_training_set", "bronze_events",
+              "silver_events", "gold_feature_daily", "silver_transcripts", "gold_doc_chunks"]),
+         "fx_cdc", "silver_tickets", "quarantine_tickets", "training_set", "fx_events", "silver_events",
+         "feature_daily", "silver_transcripts", "doc_chunks")

@@ -181,6 +181,8 @@ def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
     for fam in FAMILIES:
         if fam in only:
             out[f"bronze_{fam}"] = load_bronze(wh, fam, start, end)
+            if out[f"bronze_{fam}"] == 0:  # nothing arrived: Silver and Gold are unchanged
+                only.discard(fam)
     if "tickets" in only:
         out.update(_tickets(wh, _batch(wh, "tickets", day), start, end))
     if "events" in only:
