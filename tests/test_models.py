@@ -1,0 +1,91 @@
+"""Silver/Gold models on hand-made edge rows."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from stratum.operators import chunks, latest, quality, quarantine
+
+CDC = ("op string, ticket_id bigint, cdc_seq int, event_time timestamp_ntz, _ingested_at timestamp_ntz, "
+       "customer_id bigint, customer_name string, priority_raw string, status string")
+
+
+def t(h):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+
+
+def cdc(spark, rows):
+    return spark.createDataFrame([(op, tid, seq, t(h), t(h), 1, "A", p, "open") for op, tid, seq, h, p in rows], CDC)
+
+
+def live(spark, rows):
+    return {r["ticket_id"]: r["priority"] for r in latest.silver_tickets(cdc(spark, rows)).collect()}
+
+
+def test_newest_record_bad_keeps_previous_state(spark):
+    rows = [("c", 1, 0, 0, "2"), ("u", 1, 2, 5, "P1")]
+    assert live(spark, rows) == {1: 2}
+    q = quarantine.quarantine_tickets(cdc(spark, rows)).collect()
+    assert [(r["ticket_id"], r["cdc_seq"]) for r in q] == [(1, 2)]
+
+
+def test_all_records_bad(spark):
+    rows = [("c", 1, 0, 0, "P1")]
+    assert live(spark, rows) == {}
+    assert quarantine.quarantine_tickets(cdc(spark, rows)).count() == 1
+
+
+def test_delete_last_and_bad_delete(spark):
+    assert live(spark, [("c", 1, 0, 0, "3"), ("d", 1, 1, 1, "3")]) == {}
+    # a tombstone with a bad priority is quarantined, so the ticket stays live
+    assert live(spark, [("c", 2, 0, 0, "2"), ("d", 2, 1, 1, "P1")]) == {2: 2}
+
+
+def test_same_event_time_higher_seq_wins(spark):
+    assert live(spark, [("c", 1, 1, 0, "1"), ("u", 1, 2, 0, "4")]) == {1: 4}
+
+
+def test_rank_then_filter_loses_ticket(spark):
+    rows = [("c", 1, 0, 0, "2"), ("u", 1, 2, 5, "P1"), ("c", 2, 0, 0, "1")]
+    r = latest.rank_then_filter_loss(cdc(spark, rows)).first()
+    assert (r["n_filter_then_rank"], r["n_rank_then_filter"], r["n_lost"]) == (2, 1, 1)
+
+
+def test_duplicate_event_first_arrival_kept(spark):
+    df = spark.createDataFrame(
+        [(7, 10, t(0), t(1)), (7, 11, t(0), t(50))],
+        "event_id bigint, latency_ms int, event_time timestamp_ntz, _ingested_at timestamp_ntz")
+    out = latest.silver_events(df).collect()
+    assert [(r["event_id"], r["latency_ms"], r["event_date"]) for r in out] == [(7, 10, dt.date(2024, 1, 1))]
+
+
+def test_chunks_of_arrays(spark):
+    df = spark.createDataFrame(
+        [(1, 1, "en", ["a", None], t(0)), (2, 2, "en", [], t(0)), (3, 3, "en", None, t(0))],
+        "transcript_id bigint, ticket_id bigint, lang string, turns array<string>, event_time timestamp_ntz")
+    out = chunks.doc_chunks(df).orderBy("chunk_index").collect()
+    assert [(r["chunk_id"], r["chunk_text"], r["n_chars"]) for r in out] == [("1#0", "a", 1), ("1#1", None, None)]
+
+
+def test_assemble_turns_orders_by_turn(spark):
+    df = spark.createDataFrame([(1, 2, "c"), (1, 0, "a"), (1, 1, "b")], "conv_id bigint, turn bigint, text string")
+    assert chunks.assemble_turns(df, "conv_id", "turn", "text").first()["turns"] == ["a", "b", "c"]
+
+
+def test_checksum_is_order_free_and_empty_is_marked(spark):
+    a = spark.createDataFrame([(1, "x"), (2, None)], "k bigint, v string")
+    b = spark.createDataFrame([(2, None), (1, "x")], "k bigint, v string")
+    ca = quality.checksum(a, ["k", "v"]).first()["checksum"]
+    cb = quality.checksum(b.repartition(3), ["k", "v"]).first()["checksum"]
+    assert ca == cb
+    assert quality.checksum(a.where(F.lit(False)), ["k"]).first()["checksum"] == "empty"
+    c = spark.createDataFrame([(1, "x"), (2, "y")], "k bigint, v string")
+    assert quality.checksum(c, ["k", "v"]).first()["checksum"] != ca
+
+
+def test_dq_checks_find_violations(spark):
+    df = spark.createDataFrame([(1, 1), (1, 7), (None, 2)], "ticket_id bigint, priority int")
+    checks = [quality.Check("t", "unique", "ticket_id"), quality.Check("t", "not_null", "ticket_id"),
+              quality.Check("t", "accepted_values", "priority", (1, 2, 3, 4))]
+    got = {r["check_name"]: r["n_failing"] for r in quality.run_checks({"t": df}, checks).collect()}
+    assert got == {"unique:t.ticket_id": 1, "not_null:t.ticket_id": 1, "accepted_values:t.priority": 1}
