@@ -35,11 +35,11 @@ def query(name: str):
 # --- building blocks ---------------------------------------------------------------
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest.silver_events(td.fx_events(spark, sf_dir))
+    return latest.silver_events(td.landed(spark, sf_dir, "events"))
 
 
 def silver_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest.silver_tickets(td.fx_cdc(spark, sf_dir))
+    return latest.silver_tickets(td.landed(spark, sf_dir, "cdc"))
 
 
 # --- slice 1: events -> features ---------------------------------------------------
@@ -63,57 +63,58 @@ def q_silver_tickets(spark, sf_dir):
 
 @query("quarantine_tickets")
 def q_quarantine_tickets(spark, sf_dir):
-    return quarantine.quarantine_tickets(td.fx_cdc(spark, sf_dir))
+    return quarantine.quarantine_tickets(td.landed(spark, sf_dir, "cdc"))
 
 
 @query("split_reconciliation")
 def q_split_reconciliation(spark, sf_dir):
-    return quarantine.split_reconciliation(td.fx_cdc(spark, sf_dir))
+    return quarantine.split_reconciliation(td.landed(spark, sf_dir, "cdc"))
 
 
 @query("rank_then_filter_loss")
 def q_rank_then_filter_loss(spark, sf_dir):
-    return latest.rank_then_filter_loss(td.fx_cdc(spark, sf_dir))
+    return latest.rank_then_filter_loss(td.landed(spark, sf_dir, "cdc"))
 
 
 @query("normalize_priority")
 def q_normalize_priority(spark, sf_dir):
-    return quarantine.normalized_records(td.fx_cdc(spark, sf_dir))
+    return quarantine.normalized_records(td.landed(spark, sf_dir, "cdc"))
 
 
 @query("reject_reasons")
 def q_reject_reasons(spark, sf_dir):
-    return quarantine.reject_reason_counts(td.fx_cdc(spark, sf_dir))
+    return quarantine.reject_reason_counts(td.landed(spark, sf_dir, "cdc"))
 
 
 @query("value_distribution")
 def q_value_distribution(spark, sf_dir):
-    return diagnostics.value_distribution(td.fx_cdc(spark, sf_dir), "priority_raw")
+    return diagnostics.value_distribution(td.landed(spark, sf_dir, "cdc"), "priority_raw")
 
 
 @query("schema_change_by_day")
 def q_schema_change_by_day(spark, sf_dir):
-    return diagnostics.non_numeric_by_day(td.fx_cdc(spark, sf_dir))
+    return diagnostics.non_numeric_by_day(td.landed(spark, sf_dir, "cdc"))
 
 
 @query("cdc_op_counts")
 def q_cdc_op_counts(spark, sf_dir):
-    return diagnostics.op_counts(td.fx_cdc(spark, sf_dir))
+    return diagnostics.op_counts(td.landed(spark, sf_dir, "cdc"))
 
 
 @query("cdc_union")
 def q_cdc_union(spark, sf_dir):
+    """The CDC log as the UNION ALL of its create, delete and update records."""
     return td.fx_cdc(spark, sf_dir)
 
 
 @query("duplicate_keys")
 def q_duplicate_keys(spark, sf_dir):
-    return diagnostics.duplicate_keys(td.fx_cdc(spark, sf_dir), "ticket_id")
+    return diagnostics.duplicate_keys(td.landed(spark, sf_dir, "cdc"), "ticket_id")
 
 
 @query("rows_vs_distinct")
 def q_rows_vs_distinct(spark, sf_dir):
-    return diagnostics.rows_vs_distinct(td.fx_cdc(spark, sf_dir), "ticket_id")
+    return diagnostics.rows_vs_distinct(td.landed(spark, sf_dir, "cdc"), "ticket_id")
 
 
 @query("training_set")
@@ -125,7 +126,7 @@ def q_training_set(spark, sf_dir):
 
 @query("silver_transcripts")
 def q_silver_transcripts(spark, sf_dir):
-    return latest.silver_transcripts(td.fx_transcripts(spark, sf_dir))
+    return latest.silver_transcripts(td.landed(spark, sf_dir, "transcripts"))
 
 
 @query("transcripts_from_turns")
@@ -135,29 +136,29 @@ def q_transcripts_from_turns(spark, sf_dir):
 
 @query("doc_chunks")
 def q_doc_chunks(spark, sf_dir):
-    return chunks.doc_chunks(latest.silver_transcripts(td.fx_transcripts(spark, sf_dir)))
+    return chunks.doc_chunks(latest.silver_transcripts(td.landed(spark, sf_dir, "transcripts")))
 
 
 # --- slice 4: lateness and skew -----------------------------------------------------
 
 @query("lateness_profile")
 def q_lateness_profile(spark, sf_dir):
-    return lateness.lateness_profile(td.fx_events(spark, sf_dir))
+    return lateness.lateness_profile(td.landed(spark, sf_dir, "events"))
 
 
 @query("lateness_histogram")
 def q_lateness_histogram(spark, sf_dir):
-    return lateness.lateness_histogram(td.fx_events(spark, sf_dir))
+    return lateness.lateness_histogram(td.landed(spark, sf_dir, "events"))
 
 
 @query("recommended_lookback")
 def q_recommended_lookback(spark, sf_dir):
-    return lateness.recommended_lookback(td.fx_events(spark, sf_dir))
+    return lateness.recommended_lookback(td.landed(spark, sf_dir, "events"))
 
 
 @query("key_skew_topk")
 def q_key_skew_topk(spark, sf_dir):
-    return diagnostics.key_share_topk(td.fx_events(spark, sf_dir), "customer_id")
+    return diagnostics.key_share_topk(td.landed(spark, sf_dir, "events"), "customer_id")
 
 
 # --- slice 5: writers and replays ---------------------------------------------------
@@ -176,11 +177,11 @@ def _replay(spark, sf_dir: str, family: str, lookback_days: int | None = None) -
         return _REPLAYS[key]
     wh = jobs.Warehouse(spark, scratch_dir(spark, f"replay-{family}"))
     if family == "tickets":
-        wh.landing["tickets"] = td.land(td.fx_cdc(spark, sf_dir), wh.path("landing", "tickets"))
+        wh.landing["tickets"] = td.landed(spark, sf_dir, "cdc")
         windows = jobs.boundary_windows(CDC_RUN_BOUNDS)
         jobs.backfill(wh, windows, only={"tickets"})
     elif family == "events":
-        wh.landing["events"] = td.land(td.fx_events(spark, sf_dir), wh.path("landing", "events"))
+        wh.landing["events"] = td.landed(spark, sf_dir, "events")
         first, last = jobs.ingest_day_range(wh.landing["events"])
         jobs.backfill(wh, jobs.day_windows(first, last), only={"events"}, lookback_days=lookback_days)
     else:
@@ -190,7 +191,7 @@ def _replay(spark, sf_dir: str, family: str, lookback_days: int | None = None) -
 
 
 def measured_lookback(spark, sf_dir: str) -> int:
-    return lateness.lookback_days_value(td.fx_events(spark, sf_dir))
+    return lateness.lookback_days_value(td.landed(spark, sf_dir, "events"))
 
 
 @query("bronze_day_slice")
@@ -198,7 +199,7 @@ def q_bronze_day_slice(spark, sf_dir):
     """Batch-partition replace of the whole CDC log, every run loaded twice:
     each row once, in the partition of the run that loaded it."""
     wh = jobs.Warehouse(spark, scratch_dir(spark, "bronze"))
-    wh.landing["tickets"] = td.land(td.fx_cdc(spark, sf_dir), wh.path("landing", "tickets"))
+    wh.landing["tickets"] = td.landed(spark, sf_dir, "cdc")
     for start, end in jobs.boundary_windows(CDC_RUN_BOUNDS):
         for _ in range(2):
             jobs.load_bronze(wh, "tickets", start, end)
@@ -277,7 +278,7 @@ def q_computed_key_join(spark, sf_dir):
 @query("flag_join")
 def q_flag_join(spark, sf_dir):
     flagged = joins.flag_from(silver_tickets(spark, sf_dir),
-                              quarantine.quarantine_tickets(td.fx_cdc(spark, sf_dir)),
+                              quarantine.quarantine_tickets(td.landed(spark, sf_dir, "cdc")),
                               "ticket_id", "has_bad_record")
     return flagged.select("ticket_id", "priority", "has_bad_record")
 
@@ -285,7 +286,7 @@ def q_flag_join(spark, sf_dir):
 @query("semi_join_pick")
 def q_semi_join_pick(spark, sf_dir):
     picked = sampling.hash_sample(silver_tickets(spark, sf_dir), "ticket_id", 500)
-    return joins.restrict_to(td.fx_cdc(spark, sf_dir), picked, "ticket_id")
+    return joins.restrict_to(td.landed(spark, sf_dir, "cdc"), picked, "ticket_id")
 
 
 @query("range_expand")
@@ -321,7 +322,7 @@ def q_json_projection(spark, sf_dir):
 def q_jsonl_roundtrip(spark, sf_dir):
     """JSONL export with formatted timestamps, read back with the declared schema."""
     path = scratch_dir(spark, "jsonl")
-    ev = td.fx_events(spark, sf_dir)
+    ev = td.landed(spark, sf_dir, "events")
     files.export_jsonl(ev, path)
     return files.read_jsonl(spark, path, ev.schema)
 
@@ -423,7 +424,7 @@ def event_log(spark, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LOGS:
         path = scratch_dir(spark, "topic-events")
-        ingest.publish_log(td.fx_events(spark, sf_dir), path, LOG_FILES, LOG_ORDER)
+        ingest.publish_log(td.landed(spark, sf_dir, "events"), path, LOG_FILES, LOG_ORDER)
         _LOGS[key] = path
     return _LOGS[key]
 
@@ -464,7 +465,7 @@ def q_stream_restart_parity(spark, sf_dir):
 @query("log_head")
 def q_log_head(spark, sf_dir):
     """The first 500 messages of the topic in offset (arrival) order."""
-    ev = td.fx_events(spark, sf_dir).select(*ingest.STREAM_COLUMNS)
+    ev = td.landed(spark, sf_dir, "events").select(*ingest.STREAM_COLUMNS)
     return ev.orderBy(*LOG_ORDER).limit(500)
 
 
@@ -472,9 +473,9 @@ def q_log_head(spark, sf_dir):
 
 def one_shot_tables(spark, sf_dir: str) -> dict:
     """Every layer built in one pass from the fixtures (no replay)."""
-    cdc = td.fx_cdc(spark, sf_dir)
-    ev = td.fx_events(spark, sf_dir)
-    tr = td.fx_transcripts(spark, sf_dir)
+    cdc = td.landed(spark, sf_dir, "cdc")
+    ev = td.landed(spark, sf_dir, "events")
+    tr = td.landed(spark, sf_dir, "transcripts")
     s_tickets = latest.silver_tickets(cdc)
     s_events = latest.silver_events(ev)
     s_trans = latest.silver_transcripts(tr)
@@ -560,9 +561,9 @@ def q_rerun_stability(spark, sf_dir):
     """The whole replay run three times on one warehouse; Gold checksums after
     each replay must be equal (and equal to the one-shot build)."""
     wh = jobs.Warehouse(spark, scratch_dir(spark, "rerun"))
-    wh.landing["tickets"] = td.land(td.fx_cdc(spark, sf_dir), wh.path("landing", "tickets"))
-    wh.landing["events"] = td.land(td.fx_events(spark, sf_dir), wh.path("landing", "events"))
-    wh.landing["transcripts"] = td.land(td.fx_transcripts(spark, sf_dir), wh.path("landing", "transcripts"))
+    wh.landing["tickets"] = td.landed(spark, sf_dir, "cdc")
+    wh.landing["events"] = td.landed(spark, sf_dir, "events")
+    wh.landing["transcripts"] = td.landed(spark, sf_dir, "transcripts")
     windows = stability_windows(spark, wh.landing)
     lookback = measured_lookback(spark, sf_dir)
     snaps = None

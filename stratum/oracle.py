@@ -86,7 +86,7 @@ from cdc_ops join customer on c_custkey = o_custkey
 
 # Priority rule. Integers only (optional sign, digits, blanks around): DuckDB's
 # try_cast would also take '3.7' or '1e0', Spark's does not.
-PRIO_INT = ("(case when regexp_full_match(trim(priority_raw), '[+-]?[0-9]+') "
+PRIO_INT = ("(case when regexp_full_match(priority_raw, ' *[+-]?[0-9]+ *') "
             "then try_cast(trim(priority_raw) as integer) end)")
 PRIO_NORM = f"""(case when {PRIO_INT} between 1 and 4 then {PRIO_INT}
       when lower(trim(priority_raw)) = 'urgent' then 1

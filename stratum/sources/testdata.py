@@ -43,6 +43,24 @@ def land(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+_LANDED: dict[tuple, str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The fixture ``name`` (``events``, ``cdc``, ``transcripts``) as landed
+    Parquet files: derived from the test tables once per session and input
+    folder, then read like any landing zone."""
+    from stratum.session import scratch_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        derive = {"events": fx_events, "cdc": fx_cdc, "transcripts": fx_transcripts}[name]
+        path = scratch_dir(spark, f"landing-{name}")
+        land(derive(spark, sf_dir), path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def _pick(index: Column, values: list) -> Column:
     """``values[index]`` as a CASE chain (NULL entries allowed)."""
     out = None
