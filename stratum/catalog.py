@@ -575,3 +575,32 @@ def q_rerun_stability(spark, sf_dir):
         snap = spark.createDataFrame(snap.collect(), snap.schema)  # freeze this run's numbers
         snaps = snap if snaps is None else snaps.unionByName(snap)
     return snaps
+
+
+@query("stream_dedup_watermark")
+def q_stream_dedup_watermark(spark, sf_dir):
+    """Topic de-duplicated by event id inside a watermark of the measured
+    lookback: every event exactly once, none dropped as too late."""
+    log = event_log(spark, sf_dir)
+    schema = spark.read.parquet(log).schema
+    table = W.SnapshotTable(spark, scratch_dir(spark, "stream-dedup"))
+    delay = f"{measured_lookback(spark, sf_dir)} days"
+    ingest.dedup_within_watermark(spark, log, schema, table, scratch_dir(spark, "dedup-ckpt"),
+                                  "event_id", "event_time", delay, ["event_id", "event_time"])
+    return table.read().select("event_id", F.to_date("event_time").alias("event_date"))
+
+
+@query("acceptance_summary")
+def q_acceptance_summary(spark, sf_dir):
+    """The pipeline's acceptance criteria, one row each."""
+    parts = [
+        ("column tests pass", q_dq_report(spark, sf_dir).agg(F.bool_and("ok"))),
+        ("layer counts reconcile", q_count_reconciliation(spark, sf_dir).agg(F.bool_and("ok"))),
+        ("accept/reject is a partition", q_split_reconciliation(spark, sf_dir).agg(F.bool_and("ok"))),
+        ("priority domain holds", q_dq_domain_violations(spark, sf_dir).agg(F.count(F.lit(1)) == 0)),
+    ]
+    out = None
+    for name, df in parts:
+        row = spark.range(1).select(F.lit(name).alias("criterion"), df.scalar().alias("ok"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -534,3 +534,16 @@ register("row_counts", "\nunion all\n".join(
               "silver_events", "gold_feature_daily", "silver_transcripts", "gold_doc_chunks"]),
          "fx_cdc", "silver_tickets", "quarantine_tickets", "training_set", "fx_events", "silver_events",
          "feature_daily", "silver_transcripts", "doc_chunks")
+
+# slice 10: streaming twin of dedup, acceptance summary
+register("stream_dedup_watermark",
+         "select distinct event_id, cast(event_time as date) as event_date from fx_events", "fx_events")
+SQL["acceptance_summary"] = f"""
+select 'column tests pass' as criterion, (select bool_and(ok) from ({SQL['dq_report']})) as ok
+union all
+select 'layer counts reconcile', (select bool_and(ok) from ({SQL['count_reconciliation']}))
+union all
+select 'accept/reject is a partition', (select bool_and(ok) from ({SQL['split_reconciliation']}))
+union all
+select 'priority domain holds', (select count(*) = 0 from ({SQL['dq_domain_violations']}))
+"""

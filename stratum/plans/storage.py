@@ -32,3 +32,14 @@ def create_marker(spark: SparkSession, path: str) -> None:
     """Create an empty file; fails if it already exists (an atomic claim)."""
     p, fs = _fs(spark, path)
     fs.create(p, False).close()
+
+
+def set_mtimes_in_name_order(spark: SparkSession, folder: str, suffix: str, start_ms: int) -> int:
+    """Give the files under ``folder`` ending in ``suffix`` increasing
+    modification times in name order (one second apart)."""
+    p, fs = _fs(spark, folder)
+    files = sorted((st.getPath() for st in fs.listStatus(p) if st.getPath().getName().endswith(suffix)),
+                   key=lambda q: q.getName())
+    for i, f in enumerate(files):
+        fs.setTimes(f, start_ms + 1000 * i, -1)
+    return len(files)

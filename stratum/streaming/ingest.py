@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from stratum.plans import storage
 from stratum.plans import writers as W
 
 # Columns of the stream sink table (one row per event id).
@@ -34,12 +35,20 @@ class SimulatedCrash(RuntimeError):
 
 
 def publish_log(messages: DataFrame, path: str, files: int, order: Sequence[str]) -> int:
-    """Write messages as ``files`` Parquet files, contiguous in ``order``
-    (range partitioned), the way a producer appends segments to a topic."""
+    """Write messages as ``files`` Parquet segments, contiguous in ``order``
+    (range partitioned), the way a producer appends segments to a topic.
+
+    The file source consumes files by modification time; the segments are
+    written in parallel, so their times are set afterwards in segment order
+    to match the order a producer would have appended them in.
+    """
+    import time
+
     keyed = [F.col(c) for c in order]
     messages.repartitionByRange(files, *keyed).sortWithinPartitions(*keyed) \
         .write.mode("overwrite").parquet(path)
-    return files
+    spark = messages.sparkSession
+    return storage.set_mtimes_in_name_order(spark, path, ".parquet", int(time.time() * 1000) - 3_600_000)
 
 
 def consume(spark: SparkSession, log_path: str, schema: StructType, table: W.SnapshotTable,
@@ -87,3 +96,32 @@ def consume_with_restart(spark: SparkSession, log_path: str, schema: StructType,
         first, crashed = [], True
     second = consume(spark, log_path, schema, table, checkpoint, **kw)
     return {"crashed": crashed, "first": first, "second": second}
+
+
+def dedup_within_watermark(spark: SparkSession, log_path: str, schema: StructType,
+                           table: W.SnapshotTable, checkpoint: str, key: str, event_time: str,
+                           delay: str, columns: Sequence[str], max_files_per_batch: int = 2) -> list[int]:
+    """Streaming twin of first-arrival de-duplication.
+
+    ``dropDuplicatesWithinWatermark`` keeps per-key state until the
+    watermark (max event time seen minus ``delay``) passes, so duplicates
+    arriving within ``delay`` are dropped across batches; the state is
+    bounded by the keys of that interval, not by the whole history. The
+    sink is an insert-if-absent, so a replayed batch adds nothing. The
+    watermark needs a zoned timestamp: the event time is cast at the edge.
+    """
+    seen: list[int] = []
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        W.insert_first_wins(table, batch.select(*columns), key, [c for c in columns if c != key][:1])
+        seen.append(batch_id)
+
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch)
+              .parquet(log_path)
+              .withColumn("_wm", F.col(event_time).cast("timestamp"))
+              .withWatermark("_wm", delay)
+              .dropDuplicatesWithinWatermark([key]))
+    query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return seen
