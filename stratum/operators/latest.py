@@ -93,14 +93,20 @@ def _silver_projection(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def silver_tickets(bronze_cdc: DataFrame, raw: str = "priority_raw") -> DataFrame:
+def silver_tickets(bronze_cdc: DataFrame, raw: str = "priority_raw",
+                   exempt_tombstones: bool = False) -> DataFrame:
     """Latest valid state per ticket.
 
     Order matters: invalid *records* are dropped first, then each ticket is
     ranked, then tombstones (``op = 'd'``) are removed. A ticket whose newest
-    record is bad keeps its previous valid state.
+    record is bad keeps its previous valid state. By default a tombstone with
+    a bad payload is rejected like any record (so the ticket stays live);
+    ``exempt_tombstones`` lets deletes through the contract.
     """
-    valid = bronze_cdc.withColumn("_priority", normalize_domain(raw)).where(F.col("_priority").isNotNull())
+    ok = F.col("_priority").isNotNull()
+    if exempt_tombstones:
+        ok = ok | (F.col("op") == "d")
+    valid = bronze_cdc.withColumn("_priority", normalize_domain(raw)).where(ok)
     latest = latest_state(valid, "ticket_id", CDC_ORDER)
     return _silver_projection(latest.where(F.col("op") != "d"))
 

@@ -29,9 +29,14 @@ def rejected(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("_priority").isNull())
 
 
-def quarantine_tickets(bronze_cdc: DataFrame, raw: str = "priority_raw") -> DataFrame:
-    """One row per rejected CDC *record* (not per ticket), with the reason."""
-    rej = rejected(tag(bronze_cdc, raw)).withColumn("reject_reason", reject_reason(raw))
+def quarantine_tickets(bronze_cdc: DataFrame, raw: str = "priority_raw",
+                       exempt_tombstones: bool = False) -> DataFrame:
+    """One row per rejected CDC *record* (not per ticket), with the reason.
+    With ``exempt_tombstones`` deletes are never quarantined."""
+    rej = rejected(tag(bronze_cdc, raw))
+    if exempt_tombstones:
+        rej = rej.where(F.col("op") != "d")
+    rej = rej.withColumn("reject_reason", reject_reason(raw))
     return rej.select(*[c for c in QUARANTINE_COLUMNS if c in rej.columns])
 
 

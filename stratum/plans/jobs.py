@@ -104,7 +104,7 @@ def load_bronze(wh: Warehouse, family: str, start, end) -> int:
 
 # --- per family ------------------------------------------------------------------
 
-def _tickets(wh: Warehouse, batch: DataFrame, start, end) -> dict[str, int]:
+def _tickets(wh: Warehouse, batch: DataFrame, start, end, delete_missing: bool = False) -> dict[str, int]:
     out = {}
     tagged = quarantine.tag(batch)
     valid = quarantine.accepted(tagged)  # CDC columns + _priority
@@ -118,7 +118,9 @@ def _tickets(wh: Warehouse, batch: DataFrame, start, end) -> dict[str, int]:
     if gold.exists():
         src = src.where(in_window("_ingested_at", start, end))
     # Silver state is unique per ticket by construction: no source-key check.
-    out["gold_training_set"] = W.merge_by_key(gold, src, ["ticket_id"], check_source_unique=False)
+    live = wh.silver_tickets().select("ticket_id") if delete_missing else None
+    out["gold_training_set"] = W.merge_by_key(gold, src, ["ticket_id"], check_source_unique=False,
+                                              keep_only=live)
     return out
 
 
@@ -172,9 +174,12 @@ def _transcripts(wh: Warehouse, batch: DataFrame) -> dict[str, int]:
 
 
 def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
-               only: Iterable[str] = FAMILIES, cap: dt.date | None = None) -> dict[str, int]:
+               only: Iterable[str] = FAMILIES, cap: dt.date | None = None,
+               delete_missing: bool = False) -> dict[str, int]:
     """One run over ``[start, end)``. ``only`` selects families (model
-    selection). Returns rows written per table."""
+    selection); ``cap`` bounds the lookback anchor (``least(max day, cap)``);
+    ``delete_missing`` propagates ticket deletes into the training set (the
+    default merge never deletes). Returns rows written per table."""
     out: dict[str, int] = {}
     only = set(only) & set(wh.landing)
     day = _as_date(start)
@@ -184,7 +189,7 @@ def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
             if out[f"bronze_{fam}"] == 0:  # nothing arrived: Silver and Gold are unchanged
                 only.discard(fam)
     if "tickets" in only:
-        out.update(_tickets(wh, _batch(wh, "tickets", day), start, end))
+        out.update(_tickets(wh, _batch(wh, "tickets", day), start, end, delete_missing))
     if "events" in only:
         out.update(_events(wh, _batch(wh, "events", day), lookback_days, cap))
     if "transcripts" in only:

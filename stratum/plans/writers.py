@@ -207,12 +207,15 @@ def rebuild(table: SnapshotTable, df: DataFrame) -> int:
 
 
 def merge_by_key(table: SnapshotTable, src: DataFrame, keys: Sequence[str],
-                 fail_on_schema_change: bool = True, check_source_unique: bool = True) -> int:
+                 fail_on_schema_change: bool = True, check_source_unique: bool = True,
+                 keep_only: DataFrame | None = None) -> int:
     """Matched keys take the source row, unmatched source rows are inserted,
     target rows without a source row stay (a merge never deletes).
 
-    ``target ⟕anti src ∪ src``: one shuffle of both sides on the key; a
-    small source is broadcast by Catalyst's size check.
+    ``target ⟕anti src ∪ src``: a small source's keys are broadcast by
+    Catalyst's size check, making the pass over the target map-only.
+    ``keep_only`` (a frame with the key columns) additionally drops target
+    rows whose key is no longer live there — deletes propagate.
     """
     if check_source_unique:
         check_unique(src, keys)
@@ -222,6 +225,8 @@ def merge_by_key(table: SnapshotTable, src: DataFrame, keys: Sequence[str],
     if fail_on_schema_change:
         check_schema(src, target.schema)
     kept = target.join(src.select(*keys), list(keys), "left_anti")
+    if keep_only is not None:
+        kept = kept.join(keep_only.select(*keys), list(keys), "left_semi")
     return table.commit(kept.unionByName(src).select(*target.columns), "merge")
 
 

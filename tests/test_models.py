@@ -89,3 +89,11 @@ def test_dq_checks_find_violations(spark):
               quality.Check("t", "accepted_values", "priority", (1, 2, 3, 4))]
     got = {r["check_name"]: r["n_failing"] for r in quality.run_checks({"t": df}, checks).collect()}
     assert got == {"unique:t.ticket_id": 1, "not_null:t.ticket_id": 1, "accepted_values:t.priority": 1}
+
+
+def test_exempt_tombstones_option(spark):
+    rows = [("c", 2, 0, 0, "2"), ("d", 2, 1, 1, "P1")]
+    assert live(spark, rows) == {2: 2}
+    exempt = latest.silver_tickets(cdc(spark, rows), exempt_tombstones=True)
+    assert exempt.count() == 0
+    assert quarantine.quarantine_tickets(cdc(spark, rows), exempt_tombstones=True).count() == 0

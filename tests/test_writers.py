@@ -137,3 +137,30 @@ def test_lookback_recovers_late_day(spark, scratch):
         day0 = wh.feature_daily().where(F.col("event_date") == F.lit(dt.date(2024, 1, 1))).first()
         counts[lookback] = day0["n_events"]
     assert counts == {0: 1, 3: 2}
+
+
+def test_merge_can_propagate_deletes(spark, scratch):
+    tbl = W.SnapshotTable(spark, scratch("keep"))
+    W.merge_by_key(tbl, spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(0))], SCHEMA), ["event_id"])
+    live = spark.createDataFrame([(2,), (3,)], "event_id bigint")
+    W.merge_by_key(tbl, spark.createDataFrame([(3, 30, ts(1))], SCHEMA), ["event_id"], keep_only=live)
+    assert [r[0] for r in rows(tbl)] == [2, 3]
+
+
+def test_ticket_deleted_in_later_run(spark, scratch):
+    """Merge never deletes: a ticket created in run 1 and deleted in run 2
+    stays in Gold unless deletes are propagated."""
+    cdc = ("op string, ticket_id bigint, cdc_seq int, event_time timestamp_ntz, _ingested_at timestamp_ntz, "
+           "customer_id bigint, customer_name string, segment string, priority_raw string, category string, "
+           "channel string, status string, csat int, first_response_sec int, subject string, body string")
+    d1, d2 = dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 2, 9)
+    data = [("c", 1, 0, d1, d1, 1, "A", "S", "2", "bug", "chat", "open", 3, 60, "s", "b"),
+            ("d", 1, 1, d2, d2, 1, "A", "S", "2", "bug", "chat", "closed", 3, 60, "s", "b")]
+    landing = spark.createDataFrame(data, cdc)
+    days = jobs.day_windows(dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    got = {}
+    for flag in (False, True):
+        wh = jobs.Warehouse(spark, scratch(f"del{flag}"), {"tickets": landing})
+        jobs.backfill(wh, days, only={"tickets"}, delete_missing=flag)
+        got[flag] = wh.training_set().count()
+    assert got == {False: 1, True: 0}
