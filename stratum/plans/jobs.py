@@ -47,6 +47,7 @@ class Warehouse:
     landing: dict[str, DataFrame] = field(default_factory=dict)
     _tables: dict = field(default_factory=dict, repr=False)
     _feature_max: dt.date | None = field(default=None, repr=False)
+    _touched: dict = field(default_factory=dict, repr=False)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -68,8 +69,16 @@ class Warehouse:
         state = self.snapshot("silver", "ticket_state").read()
         return None if state is None else latest.silver_from_state(state)
 
-    def silver_events(self) -> DataFrame | None:
-        return self.snapshot("silver", "events").read()
+    def silver_events_table(self) -> W.PartitionedTable:
+        key = "silver/events"
+        if key not in self._tables:
+            self._tables[key] = W.PartitionedTable(self.spark, self.path("silver", "events"), "event_date")
+        return self._tables[key]
+
+    def silver_events(self, since: dt.date | None = None) -> DataFrame | None:
+        """Silver events, optionally only the days from ``since`` on."""
+        where = None if since is None else (lambda day: day >= since.isoformat())
+        return self.silver_events_table().read(where=where)
 
     def silver_transcripts(self) -> DataFrame | None:
         return self.snapshot("silver", "transcripts").read()
@@ -95,11 +104,24 @@ def _as_date(x) -> dt.date:
     return dt.date.fromisoformat(str(x)[:10])
 
 
+# Per family: the Silver partition value of a Bronze row (observed while the
+# Bronze slice is written, so Silver knows the partitions it touches).
+TOUCHED = {"events": lambda: F.to_date("event_time")}
+
+
 def load_bronze(wh: Warehouse, family: str, start, end) -> int:
     """Replace Bronze partition ``_batch_date = start`` with the window's rows."""
     rows = (wh.landing[family].where(in_window("_ingested_at", start, end))
             .withColumn("_batch_date", F.lit(_as_date(start))))
-    return W.replace_partitions(rows, wh.path("bronze", family), ["_batch_date"], cluster=False)
+    metrics = []
+    if family in TOUCHED:
+        metrics = [F.collect_set(TOUCHED[family]().cast("string")).alias("touched")]
+    got = W.replace_partitions(rows, wh.path("bronze", family), ["_batch_date"], cluster=False,
+                               metrics=metrics)
+    if not metrics:
+        return got
+    wh._touched[family] = list(got["touched"] or [])
+    return int(got["rows"])
 
 
 # --- per family ------------------------------------------------------------------
@@ -132,16 +154,18 @@ def _target_max_day(wh: Warehouse) -> dt.date | None:
     return wh._feature_max
 
 
-def update_feature_daily(wh: Warehouse, silver_events: DataFrame, lookback_days: int,
-                         cap: dt.date | None = None) -> int:
+def update_feature_daily(wh: Warehouse, lookback_days: int, cap: dt.date | None = None) -> int:
     """Recompute whole days from ``max(event_date) - lookback`` and replace
-    those day partitions; the first run builds everything.
+    those day partitions; the first run builds everything. Only the Silver
+    day partitions of the window are read.
 
     The window's aggregate is kept (memory, spilling to disk) for the
     source-key check and the write, so it is computed once.
     """
     start = lateness.lookback_start(_target_max_day(wh), lookback_days, cap)
-    src = silver_events if start is None else silver_events.where(F.col("event_date") >= F.lit(start))
+    src = wh.silver_events(since=start)
+    if start is not None:
+        src = src.where(F.col("event_date") >= F.lit(start))
     agg = features.feature_daily(src).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         W.check_unique(agg, features.FEATURE_KEY)
@@ -156,10 +180,12 @@ def update_feature_daily(wh: Warehouse, silver_events: DataFrame, lookback_days:
 
 def _events(wh: Warehouse, batch: DataFrame, lookback_days: int, cap) -> dict[str, int]:
     out = {}
-    shaped = latest.event_shape(batch)  # day columns; the insert collapses ids
-    out["silver_events"] = W.insert_first_wins(wh.snapshot("silver", "events"), shaped,
-                                               "event_id", EVENT_ORDER)
-    out["gold_feature_daily"] = update_feature_daily(wh, wh.silver_events(), lookback_days, cap)
+    # First delivery wins, per event day: a guarded keep-first upsert that
+    # rewrites only the days present in the batch (an event's day is fixed).
+    shaped = latest.event_shape(batch)
+    out["silver_events"] = wh.silver_events_table().upsert(shaped, "event_id", EVENT_ORDER, keep="first",
+                                                           touched=wh._touched.get("events"))
+    out["gold_feature_daily"] = update_feature_daily(wh, lookback_days, cap)
     return out
 
 

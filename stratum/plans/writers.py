@@ -291,3 +291,118 @@ def insert_first_wins(table: SnapshotTable, batch: DataFrame, keys: str | Sequen
     check_schema(incoming, target.schema)
     fresh = incoming.join(target.select(*keys), keys, "left_anti")
     return table.commit_append(fresh.select(*target.columns))
+
+
+# --- partition-versioned tables -------------------------------------------------------
+
+_PART = "_part"
+
+
+@dataclass
+class PartitionedTable:
+    """A keyed table stored as versioned partitions.
+
+    ``v<n>/_part=<value>/`` holds the rows of one partition as of version n;
+    ``_log/<n>.full`` publishes a complete table, ``_log/<n>.part`` publishes
+    replacements for the partitions present in ``v<n>``. A reader takes, per
+    partition, the newest version that wrote it. An upsert therefore
+    rewrites only the partitions its batch touches; the others carry over
+    by reference. The partition column must be a function of the key (an
+    event id's day, or a hash bucket of the key), so a key never moves.
+    """
+
+    spark: SparkSession
+    root: str
+    part_col: str
+    part_expr: Column | None = None  # derives ``part_col`` when a batch lacks it
+    max_versions: int = 32  # fold into one full version beyond this chain length
+
+    def __post_init__(self) -> None:
+        self._cached = None  # (top version, {partition value: dir}, base version)
+
+    @property
+    def log_path(self) -> str:
+        return f"{self.root}/_log"
+
+    def _vdir(self, v: int) -> str:
+        return f"{self.root}/v{v:08d}"
+
+    def _head(self):
+        if self._cached is None:
+            entries = {}
+            for name in storage.list_names(self.spark, self.log_path):
+                stem, _, kind = name.partition(".")
+                if stem.isdigit() and kind in ("full", "part"):
+                    entries[int(stem)] = kind
+            if not entries:
+                return None
+            top = max(entries)
+            base = max(v for v, k in entries.items() if k == "full" and v <= top)
+            parts: dict[str, str] = {}
+            for v in range(base, top + 1):
+                if v in entries:
+                    for name in storage.list_names(self.spark, self._vdir(v)):
+                        if name.startswith(f"{_PART}="):
+                            parts[name[len(_PART) + 1:]] = f"{self._vdir(v)}/{name}"
+            self._cached = (top, parts, base)
+        return self._cached
+
+    def exists(self) -> bool:
+        return self._head() is not None
+
+    def _read_dirs(self, dirs: list[str], schema) -> DataFrame:
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*dirs)
+
+    def read(self, schema=None, where=None) -> DataFrame | None:
+        """The table; ``where(value: str) -> bool`` keeps only matching
+        partitions (pruning by listing, before Spark sees any file)."""
+        h = self._head()
+        if h is None:
+            return None
+        dirs = sorted(d for p, d in h[1].items() if where is None or where(p))
+        if schema is None:
+            schema = self.spark.read.parquet(dirs[0]).schema if dirs else None
+        return self._read_dirs(dirs, schema)
+
+    def _write(self, df: DataFrame, kind: str) -> int:
+        h = self._head()
+        v = 0 if h is None else h[0] + 1
+        d = self._vdir(v)
+        obs = Observation()
+        (df.withColumn(_PART, F.col(self.part_col).cast("string"))
+           .observe(obs, F.count(F.lit(1)).alias("rows"))
+           .hint("rebalance", _PART)
+           .write.mode("overwrite").partitionBy(_PART).parquet(d))
+        rows = int(obs.get["rows"])
+        try:
+            storage.create_marker(self.spark, f"{self.log_path}/{v:08d}.{kind}")
+        except Exception as exc:
+            self._cached = None
+            raise ConcurrentCommitError(f"version {v} of {self.root} already published") from exc
+        self._cached = None  # re-list lazily (new partition dirs)
+        return rows
+
+    def upsert(self, batch: DataFrame, key: str, order: Sequence[str], keep: str = "last",
+               touched: Sequence[str] | None = None) -> int:
+        """Guarded upsert of the touched partitions only: per key the
+        greatest (``last``) or smallest (``first``) ``order`` among the stored
+        row and the batch wins, so replays and batch order do not matter."""
+        if self.part_col not in batch.columns:
+            batch = batch.withColumn(self.part_col, self.part_expr)
+        h = self._head()
+        if h is None:
+            return self._write(collapse(batch, key, order, keep), "full")
+        # Partition values of the batch (one row per touched partition), unless
+        # the caller already observed them while writing the batch.
+        if touched is None:
+            touched = [r[0] for r in batch.select(F.col(self.part_col).cast("string")).distinct().collect()]
+        old_dirs = [h[1][p] for p in touched if p in h[1]]
+        old = self._read_dirs(old_dirs, batch.schema).select(*batch.columns)
+        decided = collapse(old.unionByName(batch), key, order, keep)
+        if h[0] - h[2] + 1 >= self.max_versions:  # fold the chain: rewrite everything once
+            rest = [d for p, d in h[1].items() if p not in touched]
+            untouched = self._read_dirs(rest, batch.schema).select(*batch.columns)
+            return self._write(untouched.unionByName(decided), "full")
+        return self._write(decided, "part")

@@ -51,7 +51,8 @@ def publish_log(messages: DataFrame, path: str, files: int, order: Sequence[str]
     return storage.set_mtimes_in_name_order(spark, path, ".parquet", int(time.time() * 1000) - 3_600_000)
 
 
-def consume(spark: SparkSession, log_path: str, schema: StructType, table: W.SnapshotTable,
+def consume(spark: SparkSession, log_path: str, schema: StructType,
+            table: W.SnapshotTable | W.PartitionedTable,
             checkpoint: str, key: str = "event_id", order: Sequence[str] = ("_ingested_at",),
             keep: str = "last", max_files_per_batch: int = 2, crash_after_batch: int | None = None,
             columns: Sequence[str] = STREAM_COLUMNS) -> list[int]:
@@ -60,12 +61,18 @@ def consume(spark: SparkSession, log_path: str, schema: StructType, table: W.Sna
     ``keep="last"``: a re-delivered message with changed content replaces
     the stored one (latest ``order`` wins); ``keep="first"``: the first
     delivery is kept. Both are guarded by ``order``, so neither depends on
-    the order in which batches arrive. Returns the batch ids processed.
+    the order in which batches arrive. With a ``PartitionedTable`` (by event
+    day) a batch rewrites only the days it touches. Returns the batch ids
+    processed.
     """
     seen: list[int] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        W.upsert(table, batch.select(*columns), key, list(order), keep=keep)
+        rows = batch.select(*columns)
+        if isinstance(table, W.PartitionedTable):
+            table.upsert(rows, key, list(order), keep=keep)
+        else:
+            W.upsert(table, rows, key, list(order), keep=keep)
         seen.append(batch_id)
         if crash_after_batch is not None and batch_id == crash_after_batch:
             raise SimulatedCrash(f"crash after writing batch {batch_id}")

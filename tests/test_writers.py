@@ -164,3 +164,19 @@ def test_ticket_deleted_in_later_run(spark, scratch):
         jobs.backfill(wh, days, only={"tickets"}, delete_missing=flag)
         got[flag] = wh.training_set().count()
     assert got == {False: 1, True: 0}
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, scratch):
+    root = scratch("ptab")
+    tbl = W.PartitionedTable(spark, root, "day", F.to_date("_ingested_at"))
+    b1 = spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(30)), (3, 30, ts(60))], SCHEMA)
+    tbl.upsert(b1, "event_id", ["_ingested_at"])
+    b2 = spark.createDataFrame([(2, 21, ts(31)), (4, 40, ts(32))], SCHEMA)
+    tbl.upsert(b2, "event_id", ["_ingested_at"])
+    tbl.upsert(b2, "event_id", ["_ingested_at"])  # replay: no change
+    fresh = W.PartitionedTable(spark, root, "day", F.to_date("_ingested_at"))
+    got = sorted((r["event_id"], r["latency_ms"]) for r in fresh.read().collect())
+    assert got == [(1, 10), (2, 21), (3, 30), (4, 40)]
+    parts = fresh._head()[1]
+    assert parts["2024-01-01"].split("/")[-2] == "v00000000"  # untouched day carried over
+    assert parts["2024-01-02"].split("/")[-2] == "v00000002"
