@@ -607,3 +607,20 @@ def q_acceptance_summary(spark, sf_dir):
         row = spark.range(1).select(F.lit(name).alias("criterion"), df.scalar().alias("ok"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query("feature_daily_skewed")
+def q_feature_daily_skewed(spark, sf_dir):
+    """Daily features with one customer holding 40 % of all events: partial
+    aggregation collapses the hot key before the shuffle."""
+    return features.feature_daily(latest.silver_events(td.landed(spark, sf_dir, "events_skewed")))
+
+
+@query("missing_pairs_skewed")
+def q_missing_pairs_skewed(spark, sf_dir):
+    """Silver pairs missing from a fresh view built from rows that arrived
+    within an hour; the hot customer's rows form the skewed side of the
+    anti join (AQE splits a skewed partition; a small Gold side is broadcast)."""
+    ev = latest.silver_events(td.landed(spark, sf_dir, "events_skewed"))
+    gold = features.feature_daily(ev.where(F.col("_ingested_at") < F.expr("event_time + interval 1 hour")))
+    return quality.missing_pairs_by_day(ev, gold)

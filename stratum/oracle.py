@@ -547,3 +547,26 @@ select 'accept/reject is a partition', (select bool_and(ok) from ({SQL['split_re
 union all
 select 'priority domain holds', (select count(*) = 0 from ({SQL['dq_domain_violations']}))
 """
+
+# slice 11: a hot key
+_cte("silver_events_skewed", ("silver_events",), """
+select event_id, ticket_id,
+       case when event_id % 5 < 2 then 0 else customer_id end as customer_id,
+       case when event_id % 5 < 2 then 'ACME' else customer_name end as customer_name,
+       case when event_id % 5 < 2 then 'Enterprise' else segment end as segment,
+       event_type, latency_ms, tokens_in, tokens_out, is_escalated, event_time, _ingested_at,
+       event_date, ingested_date
+from silver_events
+""")
+register("feature_daily_skewed", f"""
+select event_date, customer_id, customer_name, segment,{FEATURE_AGGS}
+from silver_events_skewed group by event_date, customer_id, customer_name, segment
+""", "silver_events_skewed")
+register("missing_pairs_skewed", """
+select s.event_date, count(distinct s.customer_id) as n_missing_pairs
+from silver_events_skewed s
+where not exists (select 1 from silver_events_skewed g
+                  where g._ingested_at < g.event_time + interval 1 hour
+                    and g.event_date = s.event_date and g.customer_id = s.customer_id)
+group by s.event_date
+""", "silver_events_skewed")

@@ -54,7 +54,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
-        derive = {"events": fx_events, "cdc": fx_cdc, "transcripts": fx_transcripts}[name]
+        derive = {"events": fx_events, "events_skewed": fx_events_skewed, "cdc": fx_cdc,
+                  "transcripts": fx_transcripts}[name]
         path = scratch_dir(spark, f"landing-{name}")
         land(derive(spark, sf_dir), path)
         _LANDED[key] = path
@@ -111,6 +112,16 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+def fx_events_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_events`` with one hot customer: 40 % of all events (every event
+    with ``event_id % 5 < 2``) belong to customer 0, ``ACME``."""
+    ev = fx_events(spark, sf_dir)
+    hot = F.col("event_id") % 5 < 2
+    return (ev.withColumn("customer_id", F.when(hot, F.lit(0).cast("long")).otherwise(F.col("customer_id")))
+              .withColumn("customer_name", F.when(hot, F.lit("ACME")).otherwise(F.col("customer_name")))
+              .withColumn("segment", F.when(hot, F.lit("Enterprise")).otherwise(F.col("segment"))))
+
+
 def fx_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ticket CDC: one row per change record ``(ticket_id, cdc_seq)``.
 
