@@ -24,11 +24,13 @@ never grows across runs.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from stratum.functions.timefn import in_window
 from stratum.operators import chunks, features, lateness, latest, quarantine, training
@@ -59,7 +61,11 @@ class Warehouse:
         return self._tables[key]
 
     def bronze(self, family: str, batch_date: dt.date | None = None) -> DataFrame | None:
-        df = W.read_if_exists(self.spark, self.path("bronze", family))
+        schema = None
+        if family in self.landing:  # known: landing columns + the batch partition column
+            fields = list(self.landing[family].schema.fields)
+            schema = StructType(fields + [StructField("_batch_date", DateType())])
+        df = W.read_if_exists(self.spark, self.path("bronze", family), schema)
         if df is not None and batch_date is not None:
             df = df.where(F.col("_batch_date") == F.lit(batch_date))  # partition pruning
         return df
@@ -130,11 +136,13 @@ def _tickets(wh: Warehouse, batch: DataFrame, start, end, delete_missing: bool =
     out = {}
     tagged = quarantine.tag(batch)
     valid = quarantine.accepted(tagged)  # CDC columns + _priority
-    out["silver_ticket_state"] = W.upsert_latest(wh.snapshot("silver", "ticket_state"), valid,
-                                                 "ticket_id", CDC_ORDER)
-    out["quarantine_tickets"] = W.insert_first_wins(wh.snapshot("quarantine", "tickets"),
-                                                    quarantine.quarantine_tickets(batch),
-                                                    quarantine.RECORD_KEY, ["_ingested_at"])
+    # The two sinks of the split are independent: submit them concurrently.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        state = pool.submit(W.upsert_latest, wh.snapshot("silver", "ticket_state"), valid,
+                            "ticket_id", CDC_ORDER)
+        quar = pool.submit(W.insert_first_wins, wh.snapshot("quarantine", "tickets"),
+                           quarantine.quarantine_tickets(batch), quarantine.RECORD_KEY, ["_ingested_at"])
+        out["silver_ticket_state"], out["quarantine_tickets"] = state.result(), quar.result()
     gold = wh.snapshot("gold", "training_set")
     src = training.training_set(wh.silver_tickets())
     if gold.exists():
@@ -206,20 +214,28 @@ def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
     selection); ``cap`` bounds the lookback anchor (``least(max day, cap)``);
     ``delete_missing`` propagates ticket deletes into the training set (the
     default merge never deletes). Returns rows written per table."""
-    out: dict[str, int] = {}
-    only = set(only) & set(wh.landing)
+    only = [f for f in FAMILIES if f in set(only) & set(wh.landing)]
     day = _as_date(start)
-    for fam in FAMILIES:
-        if fam in only:
-            out[f"bronze_{fam}"] = load_bronze(wh, fam, start, end)
-            if out[f"bronze_{fam}"] == 0:  # nothing arrived: Silver and Gold are unchanged
-                only.discard(fam)
-    if "tickets" in only:
-        out.update(_tickets(wh, _batch(wh, "tickets", day), start, end, delete_missing))
-    if "events" in only:
-        out.update(_events(wh, _batch(wh, "events", day), lookback_days, cap))
-    if "transcripts" in only:
-        out.update(_transcripts(wh, _batch(wh, "transcripts", day)))
+
+    def family(fam: str) -> dict[str, int]:
+        res = {f"bronze_{fam}": load_bronze(wh, fam, start, end)}
+        if res[f"bronze_{fam}"] == 0:  # nothing arrived: Silver and Gold are unchanged
+            return res
+        batch = _batch(wh, fam, day)
+        if fam == "tickets":
+            res.update(_tickets(wh, batch, start, end, delete_missing))
+        elif fam == "events":
+            res.update(_events(wh, batch, lookback_days, cap))
+        else:
+            res.update(_transcripts(wh, batch))
+        return res
+
+    # Families share no table, so their chains run concurrently (Spark takes
+    # jobs from several threads); each chain is sequential in itself.
+    out: dict[str, int] = {}
+    with ThreadPoolExecutor(max_workers=max(1, len(only))) as pool:
+        for res in pool.map(family, only):
+            out.update(res)
     return out
 
 
