@@ -624,3 +624,10 @@ def q_missing_pairs_skewed(spark, sf_dir):
     ev = latest.silver_events(td.landed(spark, sf_dir, "events_skewed"))
     gold = features.feature_daily(ev.where(F.col("_ingested_at") < F.expr("event_time + interval 1 hour")))
     return quality.missing_pairs_by_day(ev, gold)
+
+
+@query("layout_files")
+def q_layout_files(spark, sf_dir):
+    """Rows per Parquet file of the compacted layout (file-level metadata)."""
+    path, _ = compacted(spark, sf_dir)
+    return files.file_report(spark.read.parquet(path))
