@@ -26,6 +26,9 @@ class LossyRewriteError(RuntimeError):
 
 # --- fixed values: target row-group size of the compacted layout ---
 ROW_GROUP_ROWS = 2048
+# Pages inside a row group carry min/max in the page index, so a pushed
+# filter can skip pages of a matching row group too.
+PAGE_ROWS = 256
 
 
 def compact(df: DataFrame, path: str, partition_col: str, sort_cols: Sequence[str],
@@ -49,7 +52,7 @@ def compact(df: DataFrame, path: str, partition_col: str, sort_cols: Sequence[st
            .observe(obs, F.count(F.lit(1)).alias("rows")))
     (out.write.mode("overwrite")
         .option("parquet.block.row.count.limit", row_group_rows)
-        .option("parquet.page.row.count.limit", row_group_rows)
+        .option("parquet.page.row.count.limit", PAGE_ROWS)
         .partitionBy(partition_col).parquet(path))
     before = int(obs.get["rows"])
     back = spark.read.parquet(path)
