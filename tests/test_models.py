@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stratum.operators import chunks, latest, quality, quarantine
@@ -97,3 +99,15 @@ def test_exempt_tombstones_option(spark):
     exempt = latest.silver_tickets(cdc(spark, rows), exempt_tombstones=True)
     assert exempt.count() == 0
     assert quarantine.quarantine_tickets(cdc(spark, rows), exempt_tombstones=True).count() == 0
+
+
+def test_type_contract(spark):
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    from stratum.plans.writers import SchemaDriftError
+    contract = StructType([StructField("ticket_id", LongType()), StructField("priority", IntegerType())])
+    ok = spark.createDataFrame([(1, 2)], "ticket_id bigint, priority int")
+    quality.check_contract(ok, contract)
+    bad = spark.createDataFrame([(1, "2")], "ticket_id bigint, priority string")
+    with pytest.raises(SchemaDriftError):
+        quality.check_contract(bad, contract)
