@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratum.operators import (chunks, diagnostics, features, joins, lateness, latest, quality, quarantine,
                                sampling, training)
 from stratum.functions import timefn as tf
-from stratum.plans import jobs, layout
+from stratum.plans import jobs, layout, views
 from stratum.plans import writers as W
 from stratum.session import scratch_dir
 from stratum.sources import files
@@ -631,3 +631,36 @@ def q_layout_files(spark, sf_dir):
     """Rows per Parquet file of the compacted layout (file-level metadata)."""
     path, _ = compacted(spark, sf_dir)
     return files.file_report(spark.read.parquet(path))
+
+
+# --- SQL access ---------------------------------------------------------------------------
+
+# The dashboard statement as a user writes it against a dataset registered by
+# name; day folder and customer are bare columns, so both filters prune.
+DASHBOARD_SQL = """
+select customer_name,
+       count(*)                                                    as n_events,
+       count(distinct ticket_id)                                   as n_tickets,
+       round(avg(latency_ms) * 10, 0) / 10                         as avg_latency_ms,
+       cast(bround(round(percentile(latency_ms, 0.95), 6), 0) as int) as p95_latency_ms,
+       count_if(is_escalated)                                      as n_escalated,
+       sum(cast(tokens_in as bigint) + tokens_out)                 as tokens_total
+from gold_events_v2
+where customer_name = 'Cust_8' and event_date = date '2024-01-02'
+group by customer_name
+"""
+
+
+@query("dashboard_sql")
+def q_dashboard_sql(spark, sf_dir):
+    """The dashboard lookup through spark.sql over the compacted dataset."""
+    views.register_dataset(spark, "gold_events_v2", compacted(spark, sf_dir)[0])
+    return spark.sql(DASHBOARD_SQL)
+
+
+@query("gold_rows_vs_keys_sql")
+def q_gold_rows_vs_keys_sql(spark, sf_dir):
+    """Rows vs distinct keys of the replayed Gold training set, via spark.sql
+    over the warehouse views (a merged table holds one row per key)."""
+    views.register_views(_replay(spark, sf_dir, "tickets"))
+    return spark.sql("select count(*) as n_rows, count(distinct ticket_id) as n_keys from gold_training_set")

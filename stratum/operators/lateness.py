@@ -8,7 +8,6 @@ hundred thousand for a delay range of days — not by the number of events.
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -75,6 +74,3 @@ def lookback_start(target_max_day: dt.date | None, lookback_days: int,
     top = min(target_max_day, cap) if cap is not None else target_max_day
     return top - dt.timedelta(days=lookback_days)
 
-
-def ceil_days(x: float) -> int:
-    return int(math.ceil(x))

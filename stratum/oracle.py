@@ -570,3 +570,8 @@ where not exists (select 1 from silver_events_skewed g
                     and g.event_date = s.event_date and g.customer_id = s.customer_id)
 group by s.event_date
 """, "silver_events_skewed")
+
+# SQL access
+SQL["dashboard_sql"] = SQL["dashboard_point_lookup"]
+register("gold_rows_vs_keys_sql",
+         "select count(*) as n_rows, count(distinct ticket_id) as n_keys from merge_replay", "merge_replay")

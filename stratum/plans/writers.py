@@ -235,10 +235,6 @@ def merge_by_key(table: SnapshotTable, src: DataFrame, keys: Sequence[str],
     return table.commit(kept.unionByName(src).select(*target.columns), "merge")
 
 
-def _order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
-
-
 def collapse(batch: DataFrame, keys: str | Sequence[str], order: Sequence[str],
              keep: str = "last") -> DataFrame:
     """One row per key: the greatest (``last``) or smallest (``first``)
