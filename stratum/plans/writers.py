@@ -416,3 +416,18 @@ class PartitionedTable:
             untouched = self._read_dirs(rest, batch.schema).select(*batch.columns)
             return self._write(untouched.unionByName(decided), "full")
         return self._write(decided, "part")
+
+
+def merge_into_table(src: DataFrame, table_name: str, keys: Sequence[str]) -> None:
+    """Merge by key into a catalog table of a v2 table format (Delta,
+    Iceberg, ...) with ``DataFrame.mergeInto``: update matched rows, insert
+    the rest, never delete. The format rewrites only the files that hold
+    matched keys instead of the whole table. Needs such a format on the
+    class path; plain Parquet tables use ``merge_by_key``.
+    """
+    t, s = "t", "s"
+    cond = " AND ".join(f"{t}.{k} = {s}.{k}" for k in keys)
+    (src.alias(s).mergeInto(table_name, F.expr(cond))
+        .whenMatched().updateAll()
+        .whenNotMatched().insertAll()
+        .merge())

@@ -180,3 +180,29 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, scratch):
     parts = fresh._head()[1]
     assert parts["2024-01-01"].split("/")[-2] == "v00000000"  # untouched day carried over
     assert parts["2024-01-02"].split("/")[-2] == "v00000002"
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_batch = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 99), st.integers(0, 40)), min_size=1, max_size=6)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(_batch, min_size=1, max_size=3), st.randoms(use_true_random=False))
+def test_upsert_is_order_and_replay_free(spark, batches, rnd):
+    """Any order of the batches, with any batch replayed, gives the same
+    table: per key the row with the latest arrival (ties: larger payload)."""
+    from stratum.session import scratch_dir
+
+    frames = [spark.createDataFrame([(k, v, ts(h)) for k, v, h in b], SCHEMA) for b in batches]
+    order = list(range(len(frames)))
+    rnd.shuffle(order)
+    order.append(rnd.choice(order))  # one replay
+    tbl = W.SnapshotTable(spark, scratch_dir(spark, "prop"))
+    for i in order:
+        W.upsert(tbl, frames[i], "event_id", ["_ingested_at"])
+    expect = {}
+    for k, v, h in (x for b in batches for x in b):
+        if k not in expect or (h, v) > expect[k]:
+            expect[k] = (h, v)
+    assert rows(tbl) == sorted((k, v, ts(h)) for k, (h, v) in expect.items())
