@@ -425,9 +425,8 @@ def merge_into_table(src: DataFrame, table_name: str, keys: Sequence[str]) -> No
     matched keys instead of the whole table. Needs such a format on the
     class path; plain Parquet tables use ``merge_by_key``.
     """
-    t, s = "t", "s"
-    cond = " AND ".join(f"{t}.{k} = {s}.{k}" for k in keys)
-    (src.alias(s).mergeInto(table_name, F.expr(cond))
+    cond = " AND ".join(f"{table_name}.{k} = _src.{k}" for k in keys)
+    (src.alias("_src").mergeInto(table_name, F.expr(cond))
         .whenMatched().updateAll()
         .whenNotMatched().insertAll()
         .merge())
