@@ -664,3 +664,15 @@ def q_gold_rows_vs_keys_sql(spark, sf_dir):
     over the warehouse views (a merged table holds one row per key)."""
     views.register_views(_replay(spark, sf_dir, "tickets"))
     return spark.sql("select count(*) as n_rows, count(distinct ticket_id) as n_keys from gold_training_set")
+
+
+@query("stream_jsonl_upsert")
+def q_stream_jsonl_upsert(spark, sf_dir):
+    """The topic as JSON-lines segments (declared schema, strict parsing),
+    drained with the replay-safe upsert: same table as the Parquet topic."""
+    path = scratch_dir(spark, "topic-jsonl")
+    events = td.landed(spark, sf_dir, "events")
+    ingest.publish_log(events, path, LOG_FILES, LOG_ORDER, fmt="json")
+    table = W.PartitionedTable(spark, scratch_dir(spark, "stream-jsonl"), "event_day", F.to_date("event_time"))
+    ingest.consume(spark, path, events.schema, table, scratch_dir(spark, "jsonl-ckpt"), fmt="json")
+    return table.read().select(*ingest.STREAM_COLUMNS)

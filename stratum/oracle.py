@@ -575,3 +575,4 @@ group by s.event_date
 SQL["dashboard_sql"] = SQL["dashboard_point_lookup"]
 register("gold_rows_vs_keys_sql",
          "select count(*) as n_rows, count(distinct ticket_id) as n_keys from merge_replay", "merge_replay")
+SQL["stream_jsonl_upsert"] = SQL["stream_upsert_latest"]

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from stratum.plans import storage
+from stratum.sources.files import TS_FORMAT
 from stratum.plans import writers as W
 
 # Columns of the stream sink table (one row per event id).
@@ -34,7 +35,7 @@ class SimulatedCrash(RuntimeError):
     """Raised by the sink after its write, to test restart behaviour."""
 
 
-def publish_log(messages: DataFrame, path: str, files: int, order: Sequence[str]) -> int:
+def publish_log(messages: DataFrame, path: str, files: int, order: Sequence[str], fmt: str = "parquet") -> int:
     """Write messages as ``files`` Parquet segments, contiguous in ``order``
     (range partitioned), the way a producer appends segments to a topic.
 
@@ -45,17 +46,33 @@ def publish_log(messages: DataFrame, path: str, files: int, order: Sequence[str]
     import time
 
     keyed = [F.col(c) for c in order]
-    messages.repartitionByRange(files, *keyed).sortWithinPartitions(*keyed) \
-        .write.mode("overwrite").parquet(path)
+    segments = messages.repartitionByRange(files, *keyed).sortWithinPartitions(*keyed)
+    if fmt == "json":  # JSON lines, timestamps as formatted text
+        segments = segments.select(*[F.date_format(F.col(f.name), TS_FORMAT).alias(f.name)
+                                     if f.dataType.typeName() in ("timestamp", "timestamp_ntz") else F.col(f.name)
+                                     for f in messages.schema.fields])
+        segments.write.mode("overwrite").json(path)
+        suffix = ".json"
+    else:
+        segments.write.mode("overwrite").parquet(path)
+        suffix = ".parquet"
     spark = messages.sparkSession
-    return storage.set_mtimes_in_name_order(spark, path, ".parquet", int(time.time() * 1000) - 3_600_000)
+    return storage.set_mtimes_in_name_order(spark, path, suffix, int(time.time() * 1000) - 3_600_000)
+
+
+def _source(spark: SparkSession, log_path: str, schema: StructType, max_files: int, fmt: str) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if fmt == "json":  # a JSONL topic: declared schema, strict parsing
+        return (reader.option("mode", "FAILFAST").option("timestampNTZFormat", TS_FORMAT)
+                .option("timestampFormat", TS_FORMAT).json(log_path))
+    return reader.parquet(log_path)
 
 
 def consume(spark: SparkSession, log_path: str, schema: StructType,
             table: W.SnapshotTable | W.PartitionedTable,
             checkpoint: str, key: str = "event_id", order: Sequence[str] = ("_ingested_at",),
             keep: str = "last", max_files_per_batch: int = 2, crash_after_batch: int | None = None,
-            columns: Sequence[str] = STREAM_COLUMNS) -> list[int]:
+            columns: Sequence[str] = STREAM_COLUMNS, fmt: str = "parquet") -> list[int]:
     """Drain the log into ``table`` with a replay-safe upsert per batch.
 
     ``keep="last"``: a re-delivered message with changed content replaces
@@ -77,9 +94,7 @@ def consume(spark: SparkSession, log_path: str, schema: StructType,
         if crash_after_batch is not None and batch_id == crash_after_batch:
             raise SimulatedCrash(f"crash after writing batch {batch_id}")
 
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_batch)
-              .parquet(log_path))
+    stream = _source(spark, log_path, schema, max_files_per_batch, fmt)
     query = (stream.writeStream.foreachBatch(sink)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
