@@ -50,6 +50,8 @@ class Warehouse:
     _tables: dict = field(default_factory=dict, repr=False)
     _feature_max: dt.date | None = field(default=None, repr=False)
     _touched: dict = field(default_factory=dict, repr=False)
+    # Hash buckets of keyed entity tables; size so one bucket is a few hundred MB.
+    buckets: int = 8
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -71,8 +73,26 @@ class Warehouse:
         return df
 
     # --- table views -------------------------------------------------------------
+    def keyed(self, *parts: str, key: str) -> W.PartitionedTable:
+        """A keyed entity table stored in hash buckets of ``key``: a merge
+        or upsert rewrites only the buckets its batch touches."""
+        name = "/".join(parts)
+        if name not in self._tables:
+            bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets))
+            # With a handful of buckets every batch touches all of them: skip
+            # the probe job; with many, rewrite only the touched ones.
+            self._tables[name] = W.PartitionedTable(self.spark, self.path(*parts), "_bucket", bucket,
+                                                    hidden=True, probe_touched=self.buckets > 16)
+        return self._tables[name]
+
+    def ticket_state(self) -> W.PartitionedTable:
+        return self.keyed("silver", "ticket_state", key="ticket_id")
+
+    def gold_training(self) -> W.PartitionedTable:
+        return self.keyed("gold", "training_set", key="ticket_id")
+
     def silver_tickets(self) -> DataFrame | None:
-        state = self.snapshot("silver", "ticket_state").read()
+        state = self.ticket_state().read()
         return None if state is None else latest.silver_from_state(state)
 
     def silver_events_table(self) -> W.PartitionedTable:
@@ -93,7 +113,7 @@ class Warehouse:
         return self.snapshot("quarantine", "tickets").read()
 
     def training_set(self) -> DataFrame | None:
-        return self.snapshot("gold", "training_set").read()
+        return self.gold_training().read()
 
     def doc_chunks(self) -> DataFrame | None:
         return self.snapshot("gold", "doc_chunks").read()
@@ -126,7 +146,7 @@ def load_bronze(wh: Warehouse, family: str, start, end) -> int:
                                metrics=metrics)
     if not metrics:
         return got
-    wh._touched[family] = list(got["touched"] or [])
+    wh._touched[family] = list(got.get("touched") or [])
     return int(got["rows"])
 
 
@@ -138,19 +158,17 @@ def _tickets(wh: Warehouse, batch: DataFrame, start, end, delete_missing: bool =
     valid = quarantine.accepted(tagged)  # CDC columns + _priority
     # The two sinks of the split are independent: submit them concurrently.
     with ThreadPoolExecutor(max_workers=2) as pool:
-        state = pool.submit(W.upsert_latest, wh.snapshot("silver", "ticket_state"), valid,
-                            "ticket_id", CDC_ORDER)
+        state = pool.submit(wh.ticket_state().upsert, valid, "ticket_id", CDC_ORDER, "last")
         quar = pool.submit(W.insert_first_wins, wh.snapshot("quarantine", "tickets"),
                            quarantine.quarantine_tickets(batch), quarantine.RECORD_KEY, ["_ingested_at"])
         out["silver_ticket_state"], out["quarantine_tickets"] = state.result(), quar.result()
-    gold = wh.snapshot("gold", "training_set")
+    gold = wh.gold_training()
     src = training.training_set(wh.silver_tickets())
     if gold.exists():
         src = src.where(in_window("_ingested_at", start, end))
     # Silver state is unique per ticket by construction: no source-key check.
     live = wh.silver_tickets().select("ticket_id") if delete_missing else None
-    out["gold_training_set"] = W.merge_by_key(gold, src, ["ticket_id"], check_source_unique=False,
-                                              keep_only=live)
+    out["gold_training_set"] = gold.merge(src, ["ticket_id"], check_source_unique=False, keep_only=live)
     return out
 
 
@@ -181,7 +199,7 @@ def update_feature_daily(wh: Warehouse, lookback_days: int, cap: dt.date | None
                                    metrics=[F.max("event_date").alias("max_day")])
     finally:
         agg.unpersist()
-    if got["max_day"] is not None:
+    if got.get("max_day") is not None:
         wh._feature_max = max(filter(None, [wh._feature_max, got["max_day"]]))
     return int(got["rows"])
 

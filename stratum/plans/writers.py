@@ -61,12 +61,22 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 # --- plain directory writes ------------------------------------------------------
 
+def observed(obs: Observation, fallback) -> dict:
+    """Metrics of an observed write. When AQE proves an input empty at
+    runtime it removes the whole subtree, observation included; then the
+    ``fallback`` (a callable) recomputes the metrics from what was written."""
+    try:
+        return dict(obs.get)
+    except Exception:
+        return fallback()
+
+
 def append(df: DataFrame, path: str) -> int:
     """Plain append. Returns rows written (from an ``Observation`` of the
     write itself — no second pass)."""
     obs = Observation()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return int(obs.get["rows"])
+    return int(observed(obs, lambda: {"rows": 0})["rows"])  # removed only when provably empty
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
@@ -91,8 +101,8 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
     if sort_within:
         out = out.sortWithinPartitions(*partition_cols, *sort_within)
     out.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
-    got = obs.get
-    return dict(got) if metrics else int(got["rows"])
+    got = observed(obs, lambda: {"rows": 0})  # removed only when the input was provably empty
+    return got if metrics else int(got["rows"])
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
@@ -182,7 +192,7 @@ class SnapshotTable:
         # mode overwrite: clears an orphan left by a writer that died before
         # publishing this version number.
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(d)
-        rows = int(obs.get["rows"])
+        rows = int(observed(obs, lambda: {"rows": self.spark.read.schema(df.schema).parquet(d).count()})["rows"])
         try:
             storage.create_marker(self.spark, f"{self.log_path}/{v:08d}.{kind}")
         except Exception as exc:  # the name exists: someone else published v
@@ -322,6 +332,8 @@ class PartitionedTable:
     part_col: str
     part_expr: Column | None = None  # derives ``part_col`` when a batch lacks it
     max_versions: int = 32  # fold into one full version beyond this chain length
+    hidden: bool = False  # a storage-only column (a hash bucket): dropped on read
+    probe_touched: bool = True  # find the batch's partitions first (skip for a handful of buckets)
 
     def __post_init__(self) -> None:
         self._cached = None  # (top version, {partition value: dir}, base version)
@@ -371,9 +383,40 @@ class PartitionedTable:
         dirs = sorted(d for p, d in h[1].items() if where is None or where(p))
         schema = schema or self._schema
         if schema is None:
-            all_dirs = sorted(h[1].values())
-            schema = self._schema = self.spark.read.parquet(all_dirs[0]).schema
-        return self._read_dirs(dirs, schema)
+            if not h[1]:  # published but empty, written by another process
+                return None
+            schema = self._schema = self.spark.read.parquet(sorted(h[1].values())[0]).schema
+        df = self._read_dirs(dirs, schema)
+        return df.drop(self.part_col) if self.hidden else df
+
+    def _with_part(self, df: DataFrame) -> DataFrame:
+        return df if self.part_col in df.columns else df.withColumn(self.part_col, self.part_expr)
+
+    def _touched(self, df: DataFrame) -> list[str]:
+        return [r[0] for r in df.select(F.col(self.part_col).cast("string")).distinct().collect()]
+
+    def merge(self, src: DataFrame, keys: Sequence[str], check_source_unique: bool = True,
+              keep_only: DataFrame | None = None) -> int:
+        """Merge by key, rewriting only the partitions the source touches:
+        matched keys take the source row, the rest is inserted, nothing is
+        deleted. ``keep_only`` propagates deletes; it can empty any
+        partition, so that case rewrites the whole table once."""
+        if check_source_unique:
+            check_unique(src, keys)
+        src = self._with_part(src)
+        h = self._head()
+        if h is None:
+            return self._write(src, "full")
+        full = keep_only is not None or h[0] - h[2] + 1 >= self.max_versions
+        touched = list(h[1]) if full or not self.probe_touched else self._touched(src)
+        if self._schema is None and h[1]:
+            self._schema = self.spark.read.parquet(sorted(h[1].values())[0]).schema
+        check_schema(src, self._schema or src.schema)
+        old = self._read_dirs([h[1][p] for p in touched if p in h[1]], self._schema or src.schema)
+        kept = old.join(src.select(*keys), list(keys), "left_anti")
+        if keep_only is not None:
+            kept = kept.join(keep_only.select(*keys), list(keys), "left_semi")
+        return self._write(kept.unionByName(src).select(*src.columns), "full" if full else "part")
 
     def _write(self, df: DataFrame, kind: str) -> int:
         h = self._head()
@@ -384,7 +427,7 @@ class PartitionedTable:
            .observe(obs, F.count(F.lit(1)).alias("rows"))
            .hint("rebalance", _PART)
            .write.mode("overwrite").partitionBy(_PART).parquet(d))
-        rows = int(obs.get["rows"])
+        rows = int(observed(obs, lambda: {"rows": 0})["rows"])  # removed only when provably empty
         try:
             storage.create_marker(self.spark, f"{self.log_path}/{v:08d}.{kind}")
         except Exception as exc:
@@ -399,15 +442,14 @@ class PartitionedTable:
         """Guarded upsert of the touched partitions only: per key the
         greatest (``last``) or smallest (``first``) ``order`` among the stored
         row and the batch wins, so replays and batch order do not matter."""
-        if self.part_col not in batch.columns:
-            batch = batch.withColumn(self.part_col, self.part_expr)
+        batch = self._with_part(batch)
         h = self._head()
         if h is None:
             return self._write(collapse(batch, key, order, keep), "full")
         # Partition values of the batch (one row per touched partition), unless
         # the caller already observed them while writing the batch.
         if touched is None:
-            touched = [r[0] for r in batch.select(F.col(self.part_col).cast("string")).distinct().collect()]
+            touched = self._touched(batch) if self.probe_touched else list(h[1])
         old_dirs = [h[1][p] for p in touched if p in h[1]]
         old = self._read_dirs(old_dirs, batch.schema).select(*batch.columns)
         decided = collapse(old.unionByName(batch), key, order, keep)
