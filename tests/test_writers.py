@@ -206,3 +206,21 @@ def test_upsert_is_order_and_replay_free(spark, batches, rnd):
         if k not in expect or (h, v) > expect[k]:
             expect[k] = (h, v)
     assert rows(tbl) == sorted((k, v, ts(h)) for k, (h, v) in expect.items())
+
+
+def test_warehouse_views_for_sql(spark, scratch):
+    from stratum.plans import views
+
+    cdc = ("op string, ticket_id bigint, cdc_seq int, event_time timestamp_ntz, _ingested_at timestamp_ntz, "
+           "customer_id bigint, customer_name string, segment string, priority_raw string, category string, "
+           "channel string, status string, csat int, first_response_sec int, subject string, body string")
+    d1 = dt.datetime(2024, 1, 1, 9)
+    data = [("c", i, 0, d1, d1, 1, "A", "S", p, "bug", "chat", "open", 3, 60, "s", "b")
+            for i, p in enumerate(["1", "high", "P1", "4"])]
+    wh = jobs.Warehouse(spark, scratch("views"), {"tickets": spark.createDataFrame(data, cdc)})
+    jobs.backfill(wh, jobs.day_windows(dt.date(2024, 1, 1), dt.date(2024, 1, 1)), only={"tickets"})
+    names = views.register_views(wh)
+    assert {"silver_tickets", "quarantine_tickets", "gold_training_set", "bronze_tickets_cdc"} <= set(names)
+    got = spark.sql("select count(*) as n, sum(priority) as s from gold_training_set").first()
+    assert (got["n"], got["s"]) == (3, 1 + 2 + 4)
+    assert spark.sql("select count(*) from quarantine_tickets").first()[0] == 1
