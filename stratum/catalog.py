@@ -429,40 +429,42 @@ def event_log(spark, sf_dir: str) -> str:
     return _LOGS[key]
 
 
-def _drain(spark, sf_dir: str, keep: str, crash_after: int | None = None):
+def _drain(spark, sf_dir: str, keep: str = "last", guarded: bool = True):
     log = event_log(spark, sf_dir)
     schema = spark.read.parquet(log).schema
-    # Sink partitioned by event day: a batch rewrites only the days it touches
-    # (an event's day never changes, so a key never moves between partitions).
-    table = W.PartitionedTable(spark, scratch_dir(spark, f"stream-{keep}"), "event_day",
-                               F.to_date("event_time"))
-    ckpt = scratch_dir(spark, "stream-ckpt")
-    if crash_after is None:
-        info = {"crashed": False, "batches": ingest.consume(spark, log, schema, table, ckpt, keep=keep)}
-    else:
-        info = ingest.consume_with_restart(spark, log, schema, table, ckpt, crash_after, keep=keep)
-    return table, info
+    table = W.KeyedTable(spark, scratch_dir(spark, "stream"), "event_id", buckets=8)
+    ingest.consume(spark, log, schema, table, scratch_dir(spark, "stream-ckpt"), keep=keep, guarded=guarded)
+    return table
 
 
 @query("stream_upsert_latest")
 def q_stream_upsert_latest(spark, sf_dir):
     """Topic drained in micro-batches; a re-delivered event replaces the stored one."""
-    return _drain(spark, sf_dir, "last")[0].read().select(*ingest.STREAM_COLUMNS)
+    return _drain(spark, sf_dir).read().select(*ingest.STREAM_COLUMNS)
+
+
+@query("stream_upsert_incoming_wins")
+def q_stream_upsert_incoming_wins(spark, sf_dir):
+    """Unconditional DO UPDATE: the message consumed last is stored. The topic is
+    consumed in arrival order, so per event that is the last arrival."""
+    return _drain(spark, sf_dir, guarded=False).read().select(*ingest.STREAM_COLUMNS)
 
 
 @query("stream_first_wins")
 def q_stream_first_wins(spark, sf_dir):
     """Same topic; the first delivery of each event is kept."""
-    return _drain(spark, sf_dir, "first")[0].read().select(*ingest.STREAM_COLUMNS)
+    return _drain(spark, sf_dir, "first").read().select(*ingest.STREAM_COLUMNS)
 
 
 @query("stream_restart_parity")
 def q_stream_restart_parity(spark, sf_dir):
-    """Crash after the write of batch 3, restart on the same checkpoint:
-    rows = distinct ids = distinct ids of the topic."""
-    table, info = _drain(spark, sf_dir, "last", crash_after=3)
+    """A consumer that lost its offsets starts over on a new checkpoint and the
+    same table: rows = distinct ids = distinct ids of the topic."""
+    table = _drain(spark, sf_dir)
+    log = event_log(spark, sf_dir)
+    again = ingest.consume(spark, log, spark.read.parquet(log).schema, table, scratch_dir(spark, "restart-ckpt"))
     return (table.read().agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids"))
-            .withColumn("restarted", F.lit(info["crashed"])))
+            .withColumn("restarted", F.lit(len(again) > 0)))
 
 
 @query("log_head")
@@ -538,12 +540,8 @@ def q_table_checksum(spark, sf_dir):
 
 @query("row_counts")
 def q_row_counts(spark, sf_dir):
-    t = one_shot_tables(spark, sf_dir)
-    out = None
-    for name in COUNT_TABLES:
-        part = t[name].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Rows per layer; one pass over each Bronze source."""
+    return quality.layer_counts(*[td.landed(spark, sf_dir, n) for n in ("cdc", "events", "transcripts")])
 
 
 def stability_windows(spark, landing: dict) -> list[tuple]:
@@ -580,17 +578,24 @@ def q_rerun_stability(spark, sf_dir):
     return snaps
 
 
+def _deduplicated(spark, sf_dir):
+    log = event_log(spark, sf_dir)
+    table = W.KeyedTable(spark, scratch_dir(spark, "stream-dedup"), "event_id", buckets=8)
+    ingest.dedup_arrivals(spark, log, spark.read.parquet(log).schema, table, scratch_dir(spark, "dedup-ckpt"),
+                          "event_time", "_ingested_at", 2, ["event_id", "event_time", "_ingested_at"])
+    return table.read()
+
+
 @query("stream_dedup_watermark")
 def q_stream_dedup_watermark(spark, sf_dir):
-    """Topic de-duplicated by event id inside a watermark of the measured
-    lookback: every event exactly once, none dropped as too late."""
-    log = event_log(spark, sf_dir)
-    schema = spark.read.parquet(log).schema
-    table = W.SnapshotTable(spark, scratch_dir(spark, "stream-dedup"))
-    delay = f"{measured_lookback(spark, sf_dir)} days"
-    ingest.dedup_within_watermark(spark, log, schema, table, scratch_dir(spark, "dedup-ckpt"),
-                                  "event_id", "event_time", delay, ["event_id", "event_time"])
-    return table.read().select("event_id", F.to_date("event_time").alias("event_date"))
+    """Topic de-duplicated by event id: every event exactly once, late ones included."""
+    return _deduplicated(spark, sf_dir).select("event_id", F.to_date("event_time").alias("event_date"))
+
+
+@query("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Rows that arrived over two days late, accounted for beside the others."""
+    return _deduplicated(spark, sf_dir).groupBy("late").agg(F.count(F.lit(1)).alias("n_events"))
 
 
 @query("acceptance_summary")
@@ -645,7 +650,7 @@ select customer_name,
        cast(bround(round(percentile(latency_ms, 0.95), 6), 0) as int) as p95_latency_ms,
        count_if(is_escalated)                                      as n_escalated,
        sum(cast(tokens_in as bigint) + tokens_out)                 as tokens_total
-from gold_events_v2
+from dashboard_events
 where customer_name = 'Cust_8' and event_date = date '2024-01-02'
 group by customer_name
 """
@@ -654,7 +659,7 @@ group by customer_name
 @query("dashboard_sql")
 def q_dashboard_sql(spark, sf_dir):
     """The dashboard lookup through spark.sql over the compacted dataset."""
-    views.register_dataset(spark, "gold_events_v2", compacted(spark, sf_dir)[0])
+    views.register_dataset(spark, "dashboard_events", compacted(spark, sf_dir)[0])
     return spark.sql(DASHBOARD_SQL)
 
 
@@ -673,6 +678,6 @@ def q_stream_jsonl_upsert(spark, sf_dir):
     path = scratch_dir(spark, "topic-jsonl")
     events = td.landed(spark, sf_dir, "events")
     ingest.publish_log(events, path, LOG_FILES, LOG_ORDER, fmt="json")
-    table = W.PartitionedTable(spark, scratch_dir(spark, "stream-jsonl"), "event_day", F.to_date("event_time"))
+    table = W.KeyedTable(spark, scratch_dir(spark, "stream-jsonl"), "event_id", buckets=8)
     ingest.consume(spark, path, events.schema, table, scratch_dir(spark, "jsonl-ckpt"), fmt="json")
     return table.read().select(*ingest.STREAM_COLUMNS)

@@ -1,8 +1,8 @@
 """Late-arrival measurement and the lookback it implies.
 
-The delay is counted in whole seconds (boundaries crossed), so the exact
-``percentile`` buffer is bounded by the number of distinct delays — a few
-hundred thousand for a delay range of days — not by the number of events.
+The delay is counted in whole seconds (boundaries crossed). Events are first
+counted per delay, on all tasks; the exact ``percentile`` then reads one row
+per distinct delay, a few hundred thousand for a range of days.
 """
 
 from __future__ import annotations
@@ -29,11 +29,13 @@ def is_late(event_time: Column, arrived: Column, days: int = 1) -> Column:
 def lateness_profile(events: DataFrame, ts: str = "event_time", arrived: str = "_ingested_at") -> DataFrame:
     """P50 / P95 / P99 / max delay in days and the share arriving > 1 day late."""
     delay = seconds_between(F.col(ts), F.col(arrived))
-    q = F.percentile(delay, QUANTILES)
-    return events.agg(
-        q.alias("_q"),
-        F.max(delay).alias("_max"),
-        F.avg(F.when(is_late(F.col(ts), F.col(arrived)), 1.0).otherwise(0.0)).alias("_late"),
+    late = F.when(is_late(F.col(ts), F.col(arrived)), 1).otherwise(0)
+    # first one row per distinct delay (partial sums on every task), then the quantiles of those counts
+    per = events.groupBy(delay.alias("_d")).agg(F.count(F.lit(1)).alias("_n"), F.sum(late).alias("_l"))
+    return per.agg(
+        F.percentile("_d", QUANTILES, F.col("_n")).alias("_q"),
+        F.max("_d").alias("_max"),
+        (F.sum("_l") / F.sum("_n")).alias("_late"),
     ).select(
         _days6(F.col("_q")[0]).alias("p50_days"),
         _days6(F.col("_q")[1]).alias("p95_days"),

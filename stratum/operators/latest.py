@@ -25,9 +25,10 @@ def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 def first_arrival(df: DataFrame, key: str, arrival: str = "_ingested_at",
                   tie_break: Sequence[str] = ()) -> DataFrame:
-    """First delivery per key. ``tie_break`` makes equal arrival times
-    deterministic (any row would do otherwise)."""
-    return top1_per_key(df, [key], [F.col(arrival).asc()] + [F.col(c).asc() for c in tie_break])
+    """First delivery per key; equal arrival times are told apart by
+    ``tie_break``, then by all other columns, so every build keeps the same row."""
+    rest = [c for c in df.columns if c not in (key, arrival, *tie_break)]
+    return top1_per_key(df, [key], [F.col(c).asc() for c in (arrival, *tie_break, *rest)])
 
 
 def latest_state(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -45,9 +46,8 @@ EVENT_COLUMNS = [
 
 def event_shape(bronze_events: DataFrame) -> DataFrame:
     """Silver event columns (no dedup): payload plus event and arrival day."""
-    cols = [c for c in EVENT_COLUMNS if c in bronze_events.columns]
     return bronze_events.select(
-        *cols,
+        *EVENT_COLUMNS,
         F.to_date("event_time").alias("event_date"),
         F.to_date("_ingested_at").alias("ingested_date"),
     )
@@ -56,9 +56,7 @@ def event_shape(bronze_events: DataFrame) -> DataFrame:
 def silver_events(bronze_events: DataFrame) -> DataFrame:
     """One row per ``event_id``: the first delivery wins; adds the event and
     arrival days."""
-    shaped = event_shape(bronze_events)
-    return first_arrival(shaped, "event_id",
-                         tie_break=[c for c in ("latency_ms",) if c in shaped.columns])
+    return first_arrival(event_shape(bronze_events), "event_id", tie_break=["latency_ms"])
 
 
 TRANSCRIPT_COLUMNS = ["transcript_id", "ticket_id", "lang", "turns", "event_time", "_ingested_at"]
@@ -81,16 +79,8 @@ CDC_ORDER = ["event_time", "cdc_seq"]
 
 
 def _silver_projection(df: DataFrame) -> DataFrame:
-    have = set(df.columns)
-    out = []
-    for c in TICKET_COLUMNS:
-        if c == "priority":
-            out.append(F.col("_priority").alias("priority"))
-        elif c == "updated_at":
-            out.append(F.col("event_time").alias("updated_at"))
-        elif c in have:
-            out.append(F.col(c))
-    return df.select(*out)
+    renamed = {"priority": F.col("_priority").alias("priority"), "updated_at": F.col("event_time").alias("updated_at")}
+    return df.select(*[renamed.get(c, F.col(c)) for c in TICKET_COLUMNS])
 
 
 def silver_tickets(bronze_cdc: DataFrame, raw: str = "priority_raw",

@@ -38,13 +38,17 @@ def missing_pairs_arrival(silver: DataFrame, gold: DataFrame) -> DataFrame:
 def grain_gaps(gold: DataFrame, dim: DataFrame, day: str, key: str) -> DataFrame:
     """Complete-grain check without materialising the day x key spine.
 
-    Per day: keys in the dimension, keys present, and the gap. The spine
-    size is arithmetic (a scalar count), so no cross join is needed.
+    Per calendar day from the first to the last: keys in the dimension, keys
+    present, and the gap; a day without any row misses every key. The spine's
+    width is a scalar count and its days are a sequence, so no cross join is needed.
     """
     n_dim = dim.agg(F.count_distinct(key)).scalar()
-    return (gold.groupBy(day).agg(F.count_distinct(key).alias("n_present"))
-            .select(day, n_dim.alias("n_keys"), "n_present",
-                    (n_dim - F.col("n_present")).alias("n_missing")))
+    per_day = gold.groupBy(day).agg(F.count_distinct(key).alias("_n"))
+    span = per_day.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).where("lo is not null")
+    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias(day))
+    return (calendar.join(per_day, day, "left")
+            .select(day, n_dim.alias("n_keys"), F.coalesce("_n", F.lit(0)).alias("n_present"))
+            .withColumn("n_missing", F.col("n_keys") - F.col("n_present")))
 
 
 # --- column tests ----------------------------------------------------------------------
@@ -114,7 +118,15 @@ def domain_violations(df: DataFrame, col: str = "priority", lo: int = 1, hi: int
     return df.where(c.isNull() | ~c.between(lo, hi)).select(key, col)
 
 
-def check_contract(df: DataFrame, contract: StructType) -> None:
+# --- fixed values: the declared type contract of Silver tickets ---
+SILVER_TICKETS_CONTRACT = {
+    "ticket_id": "bigint", "customer_id": "bigint", "customer_name": "string", "segment": "string", "priority": "int",
+    "category": "string", "channel": "string", "status": "string", "csat": "int", "first_response_sec": "int",
+    "subject": "string", "body": "string", "updated_at": "timestamp_ntz", "_ingested_at": "timestamp_ntz",
+}
+
+
+def check_contract(df: DataFrame, contract: StructType | dict[str, str]) -> None:
     """Enforced type contract: names and types must match exactly."""
     from stratum.plans.writers import check_schema
     check_schema(df, contract)
@@ -134,6 +146,38 @@ def reconcile(spark: SparkSession, pairs: Sequence[tuple[str, DataFrame, DataFra
     return out.withColumn("ok", F.col("actual") == F.col("expected"))
 
 
+def layer_counts(cdc: DataFrame, events: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """(table_name, n_rows) of every layer, with one aggregation per Bronze
+    source: rows are first counted per entity, so Silver and Gold follow from
+    conditional sums over entities."""
+    from stratum.operators import latest, quarantine
+
+    def rows(agg: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("table_name"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("n_rows"))
+                 for c in agg.columns]
+        return agg.select(F.inline(F.array(*pairs)))
+
+    tagged = quarantine.tag(cdc.select("ticket_id", "op", *latest.CDC_ORDER, "priority_raw"))
+    valid = F.col("_priority").isNotNull()
+    newest = F.max_by(F.when(valid, F.col("op")), F.when(valid, F.struct(*latest.CDC_ORDER)))
+    tickets = tagged.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~valid).alias("bad"),
+                                              newest.alias("op"))
+    live = F.count_if(F.col("op") != "d")
+    a = tickets.agg(F.sum("n").alias("bronze_tickets"), live.alias("silver_tickets"),
+                    F.sum("bad").alias("quarantine_tickets"), live.alias("gold_training_set"))
+    first = F.min_by(F.struct("event_time", "customer_id", "customer_name", "segment"),
+                     F.struct("_ingested_at", "latency_ms", "event_time", "customer_id"))
+    per_event = events.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), first.alias("f"))
+    per_day = (per_event.groupBy(F.to_date("f.event_time").alias("d"), "f.customer_id", "f.customer_name", "f.segment")
+                        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("ids")))
+    b = per_day.agg(F.sum("n").alias("bronze_events"), F.sum("ids").alias("silver_events"),
+                    F.count(F.lit(1)).alias("gold_feature_daily"))
+    per_id = transcripts.groupBy("transcript_id").agg(
+        F.min_by(F.greatest(F.size("turns"), F.lit(0)), "_ingested_at").alias("turns"))
+    c = per_id.agg(F.count(F.lit(1)).alias("silver_transcripts"), F.sum("turns").alias("gold_doc_chunks"))
+    return rows(a).unionByName(rows(b)).unionByName(rows(c))
+
+
 # --- checksums -----------------------------------------------------------------------------
 
 def row_text(cols: Sequence[str]) -> Column:

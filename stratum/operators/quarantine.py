@@ -37,7 +37,7 @@ def quarantine_tickets(bronze_cdc: DataFrame, raw: str = "priority_raw",
     if exempt_tombstones:
         rej = rej.where(F.col("op") != "d")
     rej = rej.withColumn("reject_reason", reject_reason(raw))
-    return rej.select(*[c for c in QUARANTINE_COLUMNS if c in rej.columns])
+    return rej.select(*QUARANTINE_COLUMNS)
 
 
 def normalized_records(bronze_cdc: DataFrame, raw: str = "priority_raw") -> DataFrame:

@@ -373,10 +373,12 @@ select event_date, min(ingested_date) as first_arrival, max(ingested_date) as la
 from missing_rows group by event_date
 """, "missing_rows")
 register("grain_spine_gaps", """
-select event_date, (select count(distinct customer_id) from silver_events) as n_keys,
-       count(distinct customer_id) as n_present,
-       (select count(distinct customer_id) from silver_events) - count(distinct customer_id) as n_missing
-from feature_daily group by event_date
+select cast(d as date) as event_date, any_value(dim.n) as n_keys, count(distinct f.customer_id) as n_present,
+       any_value(dim.n) - count(distinct f.customer_id) as n_missing
+from (select unnest(generate_series(min(event_date), max(event_date), interval 1 day)) as d from silver_events)
+cross join (select count(distinct customer_id) as n from silver_events) dim
+left join feature_daily f on f.event_date = cast(d as date)
+group by d
 """, "feature_daily", "silver_events")
 
 # slice 6: joins, sampling, sources
@@ -575,4 +577,8 @@ group by s.event_date
 SQL["dashboard_sql"] = SQL["dashboard_point_lookup"]
 register("gold_rows_vs_keys_sql",
          "select count(*) as n_rows, count(distinct ticket_id) as n_keys from merge_replay", "merge_replay")
+SQL["stream_upsert_incoming_wins"] = SQL["stream_upsert_latest"]
+register("stream_late_rows", """
+select _ingested_at > event_time + interval 2 day as late, count(*) as n_events from silver_events group by 1
+""", "silver_events")
 SQL["stream_jsonl_upsert"] = SQL["stream_upsert_latest"]

@@ -3,29 +3,33 @@
 ``run_window`` is one scheduled run (normally one day):
 
 1. Bronze: the landing rows that arrived in the window replace the Bronze
-   partition ``_batch_date = window start`` (replaying a run is a no-op).
-2. Silver, incrementally from that Bronze partition only:
-   * events / transcripts — first delivery per id wins (insert if absent);
-   * tickets — a latest-valid-record state per ticket, upserted with the
-     greatest ``(event_time, cdc_seq)`` winning, so the order of runs does
-     not matter; live tickets are the state rows that are not tombstones;
-   * quarantine — rejected records, inserted once per ``(ticket_id, cdc_seq)``.
-3. Gold: training set merged by ``ticket_id`` with the Silver rows updated in
-   the window; daily features recomputed for whole days from
-   ``max(event_date) - lookback`` and written by day-partition replace; new
-   chunks appended for the transcripts that are new.
-
-The result equals the full rebuild of each layer from all of Bronze, while
-each run reads its window plus key columns, not the whole history. Runs of a
-replay are sequential; each reads what the previous one wrote, so lineage
-never grows across runs.
+   partition ``_batch_date = window start``, also when there are none.
+2. Silver. Tables that follow from Bronze are partitioned by ``_batch_date`` and a
+   run replaces its own partition:
+   * events / transcripts: the batch's first delivery per id, for ids that no
+     earlier ``_batch_date`` holds (NULL ids included);
+   * chunks: from that Silver partition;
+   * quarantine: every rejected record of the batch.
+   A replay of an earlier run decides anew the later partitions that hold an id
+   which it added or removed.
+   * tickets: a latest-valid-record state per ticket, upserted with the greatest
+     ``(event_time, cdc_seq)`` winning. A run whose Bronze partition existed
+     before recomputes its tickets, old and new, from all of Bronze, so a
+     correction or removal reaches Silver.
+3. Gold: training set merged by ``ticket_id`` with the Silver rows of the run's
+   tickets; daily features recomputed for whole days from
+   ``max(event_date) - lookback`` and written by day-partition replace.
+
+Every step is a function of Bronze and of slices before it, never of "what
+the last commit wrote", so a run that died anywhere is repaired by running it
+again. A merge rewrites the key buckets it touches.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -33,12 +37,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from stratum.functions.timefn import in_window
-from stratum.operators import chunks, features, lateness, latest, quarantine, training
-from stratum.plans import writers as W
+from stratum.operators import chunks, features, lateness, latest, quality, quarantine, training
+from stratum.plans import storage, writers as W
+from stratum.session import scratch_dir
 
 FAMILIES = ("events", "tickets", "transcripts")
-EVENT_ORDER = ["_ingested_at", "latency_ms"]
 CDC_ORDER = ["event_time", "cdc_seq"]
+SLICE = "_batch_date"
 
 
 @dataclass
@@ -49,74 +54,62 @@ class Warehouse:
     landing: dict[str, DataFrame] = field(default_factory=dict)
     _tables: dict = field(default_factory=dict, repr=False)
     _feature_max: dt.date | None = field(default=None, repr=False)
-    _touched: dict = field(default_factory=dict, repr=False)
-    # Hash buckets of keyed entity tables; size so one bucket is a few hundred MB.
+    # Hash buckets of new keyed tables; size so that one bucket is a few hundred MB.
     buckets: int = 8
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def snapshot(self, *parts: str) -> W.SnapshotTable:
-        key = "/".join(parts)
-        if key not in self._tables:
-            self._tables[key] = W.SnapshotTable(self.spark, self.path(*parts))
-        return self._tables[key]
-
     def bronze(self, family: str, batch_date: dt.date | None = None) -> DataFrame | None:
         schema = None
         if family in self.landing:  # known: landing columns + the batch partition column
             fields = list(self.landing[family].schema.fields)
-            schema = StructType(fields + [StructField("_batch_date", DateType())])
+            schema = StructType(fields + [StructField(SLICE, DateType())])
         df = W.read_if_exists(self.spark, self.path("bronze", family), schema)
         if df is not None and batch_date is not None:
-            df = df.where(F.col("_batch_date") == F.lit(batch_date))  # partition pruning
+            df = df.where(F.col(SLICE) == F.lit(batch_date))  # partition pruning
         return df
 
     # --- table views -------------------------------------------------------------
-    def keyed(self, *parts: str, key: str) -> W.PartitionedTable:
-        """A keyed entity table stored in hash buckets of ``key``: a merge
-        or upsert rewrites only the buckets its batch touches."""
+    def keyed(self, *parts: str, key: str) -> W.KeyedTable:
+        """A keyed entity table; one that exists keeps its own bucket count."""
         name = "/".join(parts)
         if name not in self._tables:
-            bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets))
-            # With a handful of buckets every batch touches all of them: skip
-            # the probe job; with many, rewrite only the touched ones.
-            self._tables[name] = W.PartitionedTable(self.spark, self.path(*parts), "_bucket", bucket,
-                                                    hidden=True, probe_touched=self.buckets > 16)
+            stored = W.KeyedTable(self.spark, self.path(*parts), key)
+            self._tables[name] = stored if stored.exists() else \
+                W.KeyedTable(self.spark, self.path(*parts), key, self.buckets)
         return self._tables[name]
 
-    def ticket_state(self) -> W.PartitionedTable:
+    def ticket_state(self) -> W.KeyedTable:
         return self.keyed("silver", "ticket_state", key="ticket_id")
 
-    def gold_training(self) -> W.PartitionedTable:
+    def gold_training(self) -> W.KeyedTable:
         return self.keyed("gold", "training_set", key="ticket_id")
 
     def silver_tickets(self) -> DataFrame | None:
         state = self.ticket_state().read()
         return None if state is None else latest.silver_from_state(state)
 
-    def silver_events_table(self) -> W.PartitionedTable:
-        key = "silver/events"
-        if key not in self._tables:
-            self._tables[key] = W.PartitionedTable(self.spark, self.path("silver", "events"), "event_date")
-        return self._tables[key]
+    def sliced(self, *parts: str, keep_slice: bool = False) -> DataFrame | None:
+        df = W.read_if_exists(self.spark, self.path(*parts))
+        return df if df is None or keep_slice else df.drop(SLICE)
 
     def silver_events(self, since: dt.date | None = None) -> DataFrame | None:
-        """Silver events, optionally only the days from ``since`` on."""
-        where = None if since is None else (lambda day: day >= since.isoformat())
-        return self.silver_events_table().read(where=where)
+        """Silver events, optionally only the days from ``since`` on (partition pruning)."""
+        df = self.sliced("silver", "events")
+        return df if df is None or since is None else df.where(F.col("event_date") >= F.lit(since))
 
     def silver_transcripts(self) -> DataFrame | None:
-        return self.snapshot("silver", "transcripts").read()
+        return self.sliced("silver", "transcripts")
 
     def quarantine(self) -> DataFrame | None:
-        return self.snapshot("quarantine", "tickets").read()
+        return self.sliced("quarantine", "tickets")
 
     def training_set(self) -> DataFrame | None:
         return self.gold_training().read()
 
     def doc_chunks(self) -> DataFrame | None:
-        return self.snapshot("gold", "doc_chunks").read()
+        return self.sliced("gold", "doc_chunks")
 
     def feature_daily(self) -> DataFrame | None:
         return W.read_if_exists(self.spark, self.path("gold", "feature_daily"))
@@ -130,45 +123,97 @@ def _as_date(x) -> dt.date:
     return dt.date.fromisoformat(str(x)[:10])
 
 
-# Per family: the Silver partition value of a Bronze row (observed while the
-# Bronze slice is written, so Silver knows the partitions it touches).
-TOUCHED = {"events": lambda: F.to_date("event_time")}
-
-
 def load_bronze(wh: Warehouse, family: str, start, end) -> int:
     """Replace Bronze partition ``_batch_date = start`` with the window's rows."""
-    rows = (wh.landing[family].where(in_window("_ingested_at", start, end))
-            .withColumn("_batch_date", F.lit(_as_date(start))))
-    metrics = []
-    if family in TOUCHED:
-        metrics = [F.collect_set(TOUCHED[family]().cast("string")).alias("touched")]
-    got = W.replace_partitions(rows, wh.path("bronze", family), ["_batch_date"], cluster=False,
-                               metrics=metrics)
-    if not metrics:
-        return got
-    wh._touched[family] = list(got.get("touched") or [])
-    return int(got["rows"])
+    rows = wh.landing[family].where(in_window("_ingested_at", start, end))
+    return W.replace_slice(rows, wh.path("bronze", family), SLICE, _as_date(start))
 
 
 # --- per family ------------------------------------------------------------------
 
-def _tickets(wh: Warehouse, batch: DataFrame, start, end, delete_missing: bool = False) -> dict[str, int]:
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """Rows that an overwrite is about to replace, written aside."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _tickets(wh: Warehouse, batch: DataFrame, day: dt.date, before: DataFrame | None,
+             delete_missing: bool = False) -> dict[str, int]:
     out = {}
-    tagged = quarantine.tag(batch)
-    valid = quarantine.accepted(tagged)  # CDC columns + _priority
-    # The two sinks of the split are independent: submit them concurrently.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        state = pool.submit(wh.ticket_state().upsert, valid, "ticket_id", CDC_ORDER, "last")
-        quar = pool.submit(W.insert_first_wins, wh.snapshot("quarantine", "tickets"),
-                           quarantine.quarantine_tickets(batch), quarantine.RECORD_KEY, ["_ingested_at"])
-        out["silver_ticket_state"], out["quarantine_tickets"] = state.result(), quar.result()
-    gold = wh.gold_training()
-    src = training.training_set(wh.silver_tickets())
-    if gold.exists():
-        src = src.where(in_window("_ingested_at", start, end))
-    # Silver state is unique per ticket by construction: no source-key check.
-    live = wh.silver_tickets().select("ticket_id") if delete_missing else None
-    out["gold_training_set"] = gold.merge(src, ["ticket_id"], check_source_unique=False, keep_only=live)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out["quarantine_tickets"] = W.replace_slice(quarantine.quarantine_tickets(batch),
+                                                    wh.path("quarantine", "tickets"), SLICE, day)
+        keys = batch.select("ticket_id").distinct()
+        state = wh.ticket_state()
+        if before is None:  # the partition is new: its valid records are all there is to add
+            out["silver_ticket_state"] = state.upsert(quarantine.accepted(quarantine.tag(batch)), CDC_ORDER)
+        else:
+            keys = keys.union(before).distinct()
+            records = W.null_safe(wh.bronze("tickets").drop(SLICE), keys, ["ticket_id"], "left_semi")
+            valid = quarantine.accepted(quarantine.tag(records))
+            out["silver_ticket_state"] = state.replace_keys(keys, W.collapse(valid, "ticket_id", CDC_ORDER))
+        silver = latest.silver_from_state(state.rows_of(keys))
+        quality.check_contract(silver, quality.SILVER_TICKETS_CONTRACT)
+        # Silver state is unique per ticket by construction: no source-key check.
+        live = wh.silver_tickets().select("ticket_id") if delete_missing else None
+        out["gold_training_set"] = wh.gold_training().merge(training.training_set(silver), check_source_unique=False,
+                                                            keep_only=live)
+    finally:
+        batch.unpersist()
+    return out
+
+
+def _first_seen(wh: Warehouse, table: tuple[str, str], shaped: DataFrame, key: str, day: dt.date) -> DataFrame:
+    """Rows of ids that no earlier slice of ``table`` holds. The stored ids are
+    cut down to the batch's by a semi join (map-only while the batch is small)."""
+    stored = wh.sliced(*table, keep_slice=True)
+    if stored is None:
+        return shaped
+    earlier = stored.where(F.col(SLICE) < F.lit(day)).select(key)
+    seen = W.null_safe(earlier, shaped.select(key).distinct(), [key], "left_semi").distinct()
+    return W.null_safe(shaped, seen, [key], "left_anti")
+
+
+def _event_slice(wh: Warehouse, batch: DataFrame, day: dt.date) -> dict[str, int]:
+    fresh = _first_seen(wh, ("silver", "events"), latest.event_shape(batch), "event_id", day)
+    return {"silver_events": W.replace_slice(latest.first_arrival(fresh, "event_id"), wh.path("silver", "events"),
+                                             SLICE, day, inner=["event_date"])}
+
+
+def _transcript_slice(wh: Warehouse, batch: DataFrame, day: dt.date) -> dict[str, int]:
+    fresh = _first_seen(wh, ("silver", "transcripts"), latest.transcript_shape(batch), "transcript_id", day)
+    out = {"silver_transcripts": W.replace_slice(latest.first_arrival(fresh, "transcript_id"),
+                                                 wh.path("silver", "transcripts"), SLICE, day)}
+    mine = wh.sliced("silver", "transcripts", keep_slice=True)
+    if mine is not None:
+        mine = mine.where(F.col(SLICE) == F.lit(day)).drop(SLICE)
+        out["gold_doc_chunks"] = W.replace_slice(chunks.doc_chunks(mine), wh.path("gold", "doc_chunks"), SLICE, day)
+    return out
+
+
+def _decide_slices(wh: Warehouse, family: str, table: tuple[str, str], key: str, day: dt.date,
+                   decide: Callable[[Warehouse, DataFrame, dt.date], dict[str, int]]) -> dict[str, int]:
+    """The slice of ``day``; then, if this is a replay, the later slices that
+    hold an id which the slice gained or lost."""
+    dates = W.slice_values(wh.spark, wh.path(*table), SLICE)
+    later = [d for d in dates if d > day.isoformat()]
+    stored = wh.sliced(*table, keep_slice=True)
+
+    def ids() -> DataFrame:
+        mine = wh.sliced(*table, keep_slice=True)
+        return mine.where(F.col(SLICE) == F.lit(day)).select(key)
+
+    old = _kept(ids(), "old-ids") if later and stored is not None else None
+    out = decide(wh, _batch(wh, family, day), day)
+    if old is not None:
+        new = ids()
+        changed = W.null_safe(old, new, [key], "left_anti").union(W.null_safe(new, old, [key], "left_anti")).distinct()
+        rows = wh.bronze(family).where(F.col(SLICE) > F.lit(day))
+        held = W.null_safe(rows.select(SLICE, key), changed, [key], "left_semi").select(SLICE).distinct()
+        for d in sorted(r[0] for r in held.collect()):  # dates only
+            decide(wh, _batch(wh, family, d), d)
     return out
 
 
@@ -190,8 +235,8 @@ def update_feature_daily(wh: Warehouse, lookback_days: int, cap: dt.date | None
     """
     start = lateness.lookback_start(_target_max_day(wh), lookback_days, cap)
     src = wh.silver_events(since=start)
-    if start is not None:
-        src = src.where(F.col("event_date") >= F.lit(start))
+    if src is None:
+        return 0
     agg = features.feature_daily(src).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         W.check_unique(agg, features.FEATURE_KEY)
@@ -204,27 +249,6 @@ def update_feature_daily(wh: Warehouse, lookback_days: int, cap: dt.date | None
     return int(got["rows"])
 
 
-def _events(wh: Warehouse, batch: DataFrame, lookback_days: int, cap) -> dict[str, int]:
-    out = {}
-    # First delivery wins, per event day: a guarded keep-first upsert that
-    # rewrites only the days present in the batch (an event's day is fixed).
-    shaped = latest.event_shape(batch)
-    out["silver_events"] = wh.silver_events_table().upsert(shaped, "event_id", EVENT_ORDER, keep="first",
-                                                           touched=wh._touched.get("events"))
-    out["gold_feature_daily"] = update_feature_daily(wh, lookback_days, cap)
-    return out
-
-
-def _transcripts(wh: Warehouse, batch: DataFrame) -> dict[str, int]:
-    out = {}
-    table = wh.snapshot("silver", "transcripts")
-    out["silver_transcripts"] = W.insert_first_wins(table, latest.transcript_shape(batch),
-                                                    "transcript_id", ["_ingested_at"])
-    out["gold_doc_chunks"] = wh.snapshot("gold", "doc_chunks").commit_append(
-        chunks.doc_chunks(table.last_delta()))
-    return out
-
-
 def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
                only: Iterable[str] = FAMILIES, cap: dt.date | None = None,
                delete_missing: bool = False) -> dict[str, int]:
@@ -236,16 +260,20 @@ def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
     day = _as_date(start)
 
     def family(fam: str) -> dict[str, int]:
+        replay = storage.exists(wh.spark, wh.path("bronze", fam, f"{SLICE}={day}"))
+        before = None
+        if replay and fam == "tickets":
+            before = _kept(wh.bronze(fam, day).select("ticket_id").distinct(), "old-keys")
         res = {f"bronze_{fam}": load_bronze(wh, fam, start, end)}
-        if res[f"bronze_{fam}"] == 0:  # nothing arrived: Silver and Gold are unchanged
+        if not replay and res[f"bronze_{fam}"] == 0:  # nothing arrived, nothing was there
             return res
-        batch = _batch(wh, fam, day)
         if fam == "tickets":
-            res.update(_tickets(wh, batch, start, end, delete_missing))
+            res.update(_tickets(wh, _batch(wh, fam, day), day, before, delete_missing))
         elif fam == "events":
-            res.update(_events(wh, batch, lookback_days, cap))
+            res.update(_decide_slices(wh, fam, ("silver", "events"), "event_id", day, _event_slice))
+            res["gold_feature_daily"] = update_feature_daily(wh, lookback_days, cap)
         else:
-            res.update(_transcripts(wh, batch))
+            res.update(_decide_slices(wh, fam, ("silver", "transcripts"), "transcript_id", day, _transcript_slice))
         return res
 
     # Families share no table, so their chains run concurrently (Spark takes
@@ -263,7 +291,7 @@ def _batch(wh: Warehouse, family: str, day: dt.date) -> DataFrame:
     if df is None:
         src = wh.landing[family]
         return wh.spark.createDataFrame([], src.schema)
-    return df.drop("_batch_date")
+    return df.drop(SLICE)
 
 
 def day_windows(first: dt.date, last: dt.date) -> list[tuple[dt.date, dt.date]]:

@@ -28,10 +28,24 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
 
-def create_marker(spark: SparkSession, path: str) -> None:
-    """Create an empty file; fails if it already exists (an atomic claim)."""
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a file with ``text``; fails if it already exists (an atomic claim)."""
     p, fs = _fs(spark, path)
-    fs.create(p, False).close()
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def set_mtimes_in_name_order(spark: SparkSession, folder: str, suffix: str, start_ms: int) -> int:

@@ -18,7 +18,7 @@ def warehouse_tables(wh: Warehouse) -> dict[str, DataFrame | None]:
         "bronze_events": wh.bronze("events") if "events" in wh.landing else None,
         "bronze_transcripts": wh.bronze("transcripts") if "transcripts" in wh.landing else None,
         "silver_tickets": wh.silver_tickets(),
-        "silver_events": wh.silver_events() if wh.silver_events_table().exists() else None,
+        "silver_events": wh.silver_events(),
         "silver_transcripts": wh.silver_transcripts(),
         "quarantine_tickets": wh.quarantine(),
         "gold_training_set": wh.training_set(),

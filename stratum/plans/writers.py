@@ -1,26 +1,28 @@
 """Write strategies on plain Parquet.
 
-* ``rebuild``            — full table rebuild (new snapshot)
-* ``append``             — plain append; *not* idempotent (kept to show it)
-* ``replace_partitions`` — dynamic partition overwrite: every partition the
-                           source produces is replaced, others are untouched
-* ``merge_by_key``       — update matched keys, insert the rest, never delete
-* ``upsert_latest``      — keyed upsert; per key the greatest order wins
-* ``insert_first_wins``  — keyed insert-if-absent; existing rows are kept
-
-Entity tables are ``SnapshotTable``s: each commit writes a new version
-directory, then publishes it with a marker file in ``_log``. Readers take
-the newest published version, so a crash before the marker leaves the
-previous version in force and the orphan directory is overwritten by the
-next commit. An append commit only writes the new rows; a merge or upsert
-writes the whole next version.
+* ``append``             plain append; *not* idempotent (kept to show it)
+* ``replace_slice``      one batch partition replaced, also by no rows
+* ``replace_partitions`` dynamic overwrite of the partitions a source produces
+* ``merged``             update matched keys, insert the rest, never delete
+* ``upserted``           keyed upsert; by order (replay-safe) or incoming wins
+* ``inserted``           keyed insert-if-absent; existing rows are kept
+
+The keyed strategies are DataFrame -> DataFrame. ``KeyedTable`` stores such a
+result in hash buckets of the key: a commit writes the touched buckets into a
+folder that no other attempt uses, then publishes a manifest that names the
+folder of every bucket. Readers take the newest manifest, so folders of dead or
+beaten writers are in no reader's view, and no later commit writes into a folder
+that was published.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -42,10 +44,10 @@ def _shape(schema: StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema.fields}
 
 
-def check_schema(df: DataFrame, target: StructType) -> None:
+def check_schema(df: DataFrame, target: StructType | dict[str, str]) -> None:
     """Raise when column names or types differ from the target schema
     (column order is free: rows are always combined by name)."""
-    have, want = _shape(df.schema), _shape(target)
+    have, want = _shape(df.schema), target if isinstance(target, dict) else _shape(target)
     if have != want:
         extra = sorted(set(have.items()) - set(want.items()))
         missing = sorted(set(want.items()) - set(have.items()))
@@ -59,6 +61,16 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"source has duplicate key {[dup[0][k] for k in keys]}")
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on ``keys`` in which NULL equals NULL: a replayed row
+    with a NULL key must find itself."""
+    side = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r{i}"))
+    return left.join(side, cond, how)
+
+
 # --- plain directory writes ------------------------------------------------------
 
 def observed(obs: Observation, fallback) -> dict:
@@ -94,6 +106,9 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    target = read_if_exists(spark, path)
+    if target is not None:
+        check_schema(df, target.schema)
     obs = Observation()
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
     if cluster:
@@ -105,6 +120,28 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
     return got if metrics else int(got["rows"])
 
 
+def replace_slice(df: DataFrame, path: str, col: str, value, inner: Sequence[str] = ()) -> int:
+    """Delete+insert of the one partition ``col=value``: whatever it held is
+    gone, also when ``df`` has no rows. ``inner`` columns partition the slice
+    further. Running it again after a crash at any point gives the same slice."""
+    spark = df.sparkSession
+    target = read_if_exists(spark, path)
+    if target is not None:
+        check_schema(df, target.drop(col).schema)
+    obs = Observation()
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if inner:
+        out = out.hint("rebalance", *inner)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*inner) if inner else writer).parquet(f"{path}/{col}={value}")
+    return int(observed(obs, lambda: {"rows": 0})["rows"])  # removed only when provably empty
+
+
+def slice_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """Values of the partition folders ``col=value`` directly under ``path``, sorted."""
+    return sorted(n[len(col) + 1:] for n in storage.list_names(spark, path) if n.startswith(f"{col}="))
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     if not storage.exists(spark, path):
         return None
@@ -117,132 +154,23 @@ def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = N
         raise
 
 
-# --- snapshot tables ---------------------------------------------------------------
-
-class ConcurrentCommitError(RuntimeError):
-    """Another writer committed the same version first."""
-
-
-@dataclass
-class SnapshotTable:
-    """A table whose versions are directories, published by marker files.
-
-    ``_log/<version>.full`` publishes ``v<version>`` as the complete table;
-    ``_log/<version>.append`` publishes it as extra rows on top of the
-    previous version. The marker is created only after the data directory
-    is fully written, and creation fails if the name exists, so a version is
-    published exactly once and readers never see a half-written one.
-    """
-
-    spark: SparkSession
-    root: str
-    max_dirs: int = 32  # rewrite an append chain once it spans this many dirs
-
-    def __post_init__(self) -> None:
-        self._cached = None  # (version, dirs) after our own reads/commits
-        self._schema = None  # schema of what we wrote: reads skip footer inference
-
-    def _reader(self):
-        return self.spark.read if self._schema is None else self.spark.read.schema(self._schema)
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.root}/_log"
-
-    def _version_dir(self, v: int) -> str:
-        return f"{self.root}/v{v:08d}"
-
-    def _head(self):
-        """Newest published ``(version, dirs)``; one writer per table, so the
-        value is cached after the first listing and advanced by commits."""
-        if self._cached is None:
-            entries = {}
-            for name in storage.list_names(self.spark, self.log_path):
-                stem, _, kind = name.partition(".")
-                if stem.isdigit() and kind in ("full", "append"):
-                    entries[int(stem)] = kind
-            if not entries:
-                return None
-            top = max(entries)
-            base = max(v for v, k in entries.items() if k == "full" and v <= top)
-            self._cached = (top, [self._version_dir(v) for v in range(base, top + 1) if v in entries])
-        return self._cached
-
-    def exists(self) -> bool:
-        return self._head() is not None
-
-    def version(self) -> int | None:
-        h = self._head()
-        return None if h is None else h[0]
+# --- keyed strategies, DataFrame -> DataFrame ------------------------------------------
 
-    def read(self) -> DataFrame | None:
-        h = self._head()
-        return None if h is None else self._reader().parquet(*h[1])
-
-    def last_delta(self) -> DataFrame | None:
-        """Rows written by the newest commit only."""
-        h = self._head()
-        return None if h is None else self._reader().parquet(h[1][-1])
-
-    def _write(self, df: DataFrame, kind: str) -> int:
-        h = self._head()
-        v = 0 if h is None else h[0] + 1
-        d = self._version_dir(v)
-        obs = Observation()
-        # mode overwrite: clears an orphan left by a writer that died before
-        # publishing this version number.
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(d)
-        rows = int(observed(obs, lambda: {"rows": self.spark.read.schema(df.schema).parquet(d).count()})["rows"])
-        try:
-            storage.create_marker(self.spark, f"{self.log_path}/{v:08d}.{kind}")
-        except Exception as exc:  # the name exists: someone else published v
-            self._cached = None
-            raise ConcurrentCommitError(f"version {v} of {self.root} already published") from exc
-        self._cached = (v, [d] if kind == "full" else h[1] + [d])
-        self._schema = df.schema
-        return rows
-
-    def commit(self, df: DataFrame, kind: str = "rebuild") -> int:
-        """Publish ``df`` as the complete next version."""
-        return self._write(df, "full")
-
-    def commit_append(self, df: DataFrame, kind: str = "append") -> int:
-        """Publish the rows of ``df`` on top of the current version. A long
-        chain of appends is folded into one full version (small files)."""
-        h = self._head()
-        if h is None:
-            return self._write(df, "full")
-        if len(h[1]) + 1 > self.max_dirs:
-            return self._write(self.read().unionByName(df), "full")
-        return self._write(df, "append")
-
-
-def rebuild(table: SnapshotTable, df: DataFrame) -> int:
-    return table.commit(df, "rebuild")
-
-
-def merge_by_key(table: SnapshotTable, src: DataFrame, keys: Sequence[str],
-                 fail_on_schema_change: bool = True, check_source_unique: bool = True,
-                 keep_only: DataFrame | None = None) -> int:
+def merged(target: DataFrame | None, src: DataFrame, keys: Sequence[str],
+           keep_only: DataFrame | None = None) -> DataFrame:
     """Matched keys take the source row, unmatched source rows are inserted,
     target rows without a source row stay (a merge never deletes).
 
-    ``target ⟕anti src ∪ src``: a small source's keys are broadcast by
-    Catalyst's size check, making the pass over the target map-only.
-    ``keep_only`` (a frame with the key columns) additionally drops target
-    rows whose key is no longer live there — deletes propagate.
+    A small source's keys are broadcast by Catalyst's size check, making the
+    pass over the target map-only. ``keep_only`` (a frame with the key
+    columns) drops target rows whose key is no longer live there.
     """
-    if check_source_unique:
-        check_unique(src, keys)
-    target = table.read()
     if target is None:
-        return table.commit(src, "create")
-    if fail_on_schema_change:
-        check_schema(src, target.schema)
-    kept = target.join(src.select(*keys), list(keys), "left_anti")
+        return src
+    kept = null_safe(target, src, keys, "left_anti")
     if keep_only is not None:
-        kept = kept.join(keep_only.select(*keys), list(keys), "left_semi")
-    return table.commit(kept.unionByName(src).select(*target.columns), "merge")
+        kept = null_safe(kept, keep_only, keys, "left_semi")
+    return kept.unionByName(src)
 
 
 def collapse(batch: DataFrame, keys: str | Sequence[str], order: Sequence[str],
@@ -263,201 +191,195 @@ def collapse(batch: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     return top1_per_key(batch, keys, ranking).select(*batch.columns)
 
 
-def upsert(table: SnapshotTable, batch: DataFrame, key: str, order: Sequence[str],
-           keep: str = "last", guarded: bool = True) -> int:
-    """Replay-safe keyed upsert.
+def upserted(target: DataFrame | None, batch: DataFrame, keys: str | Sequence[str], order: Sequence[str],
+             keep: str = "last", guarded: bool = True) -> DataFrame:
+    """Keyed upsert.
 
     Guarded (default): per key the greatest (``keep="last"``) or smallest
     (``keep="first"``) ``order`` among the target row and the incoming rows
     wins, so the result does not depend on delivery order and replaying any
-    batch is a no-op. Unguarded ``last``: the incoming row always wins
+    batch is a no-op. Unguarded: the incoming row always wins
     (``ON CONFLICT DO UPDATE``).
     """
-    incoming = collapse(batch, key, order, keep)
-    target = table.read()
+    keys = [keys] if isinstance(keys, str) else list(keys)
     if target is None:
-        return table.commit(incoming, "create")
-    check_schema(incoming, target.schema)
+        return collapse(batch, keys, order, keep)
     if not guarded:
-        return merge_by_key(table, incoming, [key], check_source_unique=False)
-    # Only keys present in the batch are re-decided; the rest carry over.
-    touched = target.join(incoming.select(key), key, "left_semi")
-    untouched = target.join(incoming.select(key), key, "left_anti")
-    decided = collapse(touched.unionByName(incoming), key, order, keep)
-    return table.commit(untouched.unionByName(decided).select(*target.columns), "upsert")
-
-
-def upsert_latest(table: SnapshotTable, batch: DataFrame, key: str, order: Sequence[str],
-                  guarded: bool = True) -> int:
-    """``ON CONFLICT DO UPDATE`` made order-safe: the latest ``order`` wins."""
-    return upsert(table, batch, key, order, "last", guarded)
-
-
-def insert_first_wins(table: SnapshotTable, batch: DataFrame, keys: str | Sequence[str],
-                      order: Sequence[str]) -> int:
-    """``ON CONFLICT DO NOTHING``: only keys not yet in the table are added
-    (earliest in-batch row); existing rows are never rewritten. The new rows
-    are appended as their own directory, so a run costs its batch plus one
-    anti join on the key column of the table."""
+        return merged(target, collapse(batch, keys, order, keep), keys)
+    return collapse(target.unionByName(batch), keys, order, keep)
+
+
+def inserted(target: DataFrame | None, batch: DataFrame, keys: str | Sequence[str],
+             order: Sequence[str]) -> DataFrame:
+    """``ON CONFLICT DO NOTHING``: keys not yet in the target are added
+    (earliest in-batch row); existing rows are kept."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     incoming = collapse(batch, keys, order, "first")
-    target = table.read()
-    if target is None:
-        return table.commit(incoming, "create")
-    check_schema(incoming, target.schema)
-    fresh = incoming.join(target.select(*keys), keys, "left_anti")
-    return table.commit_append(fresh.select(*target.columns))
+    return incoming if target is None else target.unionByName(null_safe(incoming, target, keys, "left_anti"))
+
 
+# --- keyed tables ----------------------------------------------------------------------
+
+class ConcurrentCommitError(RuntimeError):
+    """Another writer published the same version first."""
 
-# --- partition-versioned tables -------------------------------------------------------
 
-_PART = "_part"
+_BUCKET = "_bucket"
 
 
 @dataclass
-class PartitionedTable:
-    """A keyed table stored as versioned partitions.
-
-    ``v<n>/_part=<value>/`` holds the rows of one partition as of version n;
-    ``_log/<n>.full`` publishes a complete table, ``_log/<n>.part`` publishes
-    replacements for the partitions present in ``v<n>``. A reader takes, per
-    partition, the newest version that wrote it. An upsert therefore
-    rewrites only the partitions its batch touches; the others carry over
-    by reference. The partition column must be a function of the key (an
-    event id's day, or a hash bucket of the key), so a key never moves.
+class KeyedTable:
+    """Rows with a key, stored in hash buckets of the key.
+
+    ``_log/<version>.json`` is a complete manifest: bucket count, schema, and
+    the folder of each bucket. The bucket count is fixed when the table is
+    created; opening it with another one raises. Size it so that a bucket is a
+    few hundred MB: a merge rewrites the buckets that its batch touches.
     """
 
     spark: SparkSession
     root: str
-    part_col: str
-    part_expr: Column | None = None  # derives ``part_col`` when a batch lacks it
-    max_versions: int = 32  # fold into one full version beyond this chain length
-    hidden: bool = False  # a storage-only column (a hash bucket): dropped on read
-    probe_touched: bool = True  # find the batch's partitions first (skip for a handful of buckets)
+    keys: Sequence[str]
+    buckets: int | None = None
 
     def __post_init__(self) -> None:
-        self._cached = None  # (top version, {partition value: dir}, base version)
-        self._schema = None  # schema of the rows we wrote (no footer inference on read)
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.root}/_log"
-
-    def _vdir(self, v: int) -> str:
-        return f"{self.root}/v{v:08d}"
-
-    def _head(self):
-        if self._cached is None:
-            entries = {}
-            for name in storage.list_names(self.spark, self.log_path):
-                stem, _, kind = name.partition(".")
-                if stem.isdigit() and kind in ("full", "part"):
-                    entries[int(stem)] = kind
-            if not entries:
-                return None
-            top = max(entries)
-            base = max(v for v, k in entries.items() if k == "full" and v <= top)
-            parts: dict[str, str] = {}
-            for v in range(base, top + 1):
-                if v in entries:
-                    for name in storage.list_names(self.spark, self._vdir(v)):
-                        if name.startswith(f"{_PART}="):
-                            parts[name[len(_PART) + 1:]] = f"{self._vdir(v)}/{name}"
-            self._cached = (top, parts, base)
-        return self._cached
+        self.keys = [self.keys] if isinstance(self.keys, str) else list(self.keys)
+        self._manifest: dict | None = None
+
+    def _head(self) -> dict | None:
+        """Newest complete manifest. A marker without readable content is of a
+        writer that died while publishing: not published."""
+        if self._manifest is None:
+            for name in sorted(storage.list_names(self.spark, f"{self.root}/_log"), reverse=True):
+                try:
+                    self._manifest = json.loads(storage.read_text(self.spark, f"{self.root}/_log/{name}"))
+                    break
+                except ValueError:
+                    continue
+            if self._manifest and self.buckets not in (None, self._manifest["buckets"]):
+                raise ValueError(f"{self.root} has {self._manifest['buckets']} buckets, not {self.buckets}")
+        return self._manifest
 
     def exists(self) -> bool:
         return self._head() is not None
 
-    def _read_dirs(self, dirs: list[str], schema) -> DataFrame:
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*dirs)
+    def schema(self) -> StructType:
+        return StructType.fromJson(self._head()["schema"])
 
-    def read(self, schema=None, where=None) -> DataFrame | None:
-        """The table; ``where(value: str) -> bool`` keeps only matching
-        partitions (pruning by listing, before Spark sees any file)."""
-        h = self._head()
-        if h is None:
+    def _n(self) -> int:
+        head = self._head()
+        return head["buckets"] if head else self.buckets or 16
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self._n())).cast("int")
+
+    def _dirs(self, buckets) -> DataFrame:
+        parts = self._head()["parts"]
+        dirs = [parts[str(b)] for b in sorted(buckets) if str(b) in parts]
+        return self.spark.read.schema(self.schema()).parquet(*dirs) if dirs else \
+            self.spark.createDataFrame([], self.schema())
+
+    def read(self) -> DataFrame | None:
+        return None if self._head() is None else self._dirs(range(self._n()))
+
+    def rows_of(self, keys: DataFrame) -> DataFrame | None:
+        """Stored rows whose key occurs in ``keys``, from their buckets only."""
+        if self._head() is None:
             return None
-        dirs = sorted(d for p, d in h[1].items() if where is None or where(p))
-        schema = schema or self._schema
-        if schema is None:
-            if not h[1]:  # published but empty, written by another process
-                return None
-            schema = self._schema = self.spark.read.parquet(sorted(h[1].values())[0]).schema
-        df = self._read_dirs(dirs, schema)
-        return df.drop(self.part_col) if self.hidden else df
-
-    def _with_part(self, df: DataFrame) -> DataFrame:
-        return df if self.part_col in df.columns else df.withColumn(self.part_col, self.part_expr)
-
-    def _touched(self, df: DataFrame) -> list[str]:
-        return [r[0] for r in df.select(F.col(self.part_col).cast("string")).distinct().collect()]
-
-    def merge(self, src: DataFrame, keys: Sequence[str], check_source_unique: bool = True,
-              keep_only: DataFrame | None = None) -> int:
-        """Merge by key, rewriting only the partitions the source touches:
-        matched keys take the source row, the rest is inserted, nothing is
-        deleted. ``keep_only`` propagates deletes; it can empty any
-        partition, so that case rewrites the whole table once."""
-        if check_source_unique:
-            check_unique(src, keys)
-        src = self._with_part(src)
-        h = self._head()
-        if h is None:
-            return self._write(src, "full")
-        full = keep_only is not None or h[0] - h[2] + 1 >= self.max_versions
-        touched = list(h[1]) if full or not self.probe_touched else self._touched(src)
-        if self._schema is None and h[1]:
-            self._schema = self.spark.read.parquet(sorted(h[1].values())[0]).schema
-        check_schema(src, self._schema or src.schema)
-        old = self._read_dirs([h[1][p] for p in touched if p in h[1]], self._schema or src.schema)
-        kept = old.join(src.select(*keys), list(keys), "left_anti")
-        if keep_only is not None:
-            kept = kept.join(keep_only.select(*keys), list(keys), "left_semi")
-        return self._write(kept.unionByName(src).select(*src.columns), "full" if full else "part")
-
-    def _write(self, df: DataFrame, kind: str) -> int:
-        h = self._head()
-        v = 0 if h is None else h[0] + 1
-        d = self._vdir(v)
+        return null_safe(self._dirs(self._touched(keys)), keys.select(*self.keys).distinct(), self.keys, "left_semi")
+
+    def _touched(self, df: DataFrame) -> list[int]:
+        """At most one value per bucket comes to the driver."""
+        return [r[0] for r in df.select(self._bucket().alias("b")).distinct().collect()]
+
+    def _publish(self, rows: DataFrame, touched: Sequence[int] | None) -> int:
+        """Writes ``rows`` as the new content of the ``touched`` buckets (None: all) and publishes it."""
+        head = self._head()
+        if head is not None:
+            check_schema(rows, self.schema())
+            rows = rows.select(*self.schema().fieldNames())
+        attempt = f"{self.root}/data-{uuid.uuid4().hex}"
         obs = Observation()
-        (df.withColumn(_PART, F.col(self.part_col).cast("string"))
-           .observe(obs, F.count(F.lit(1)).alias("rows"))
-           .hint("rebalance", _PART)
-           .write.mode("overwrite").partitionBy(_PART).parquet(d))
-        rows = int(observed(obs, lambda: {"rows": 0})["rows"])  # removed only when provably empty
+        (rows.withColumn(_BUCKET, self._bucket()).observe(obs, F.count(F.lit(1)).alias("rows"))
+             .hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(attempt))
+        count = int(observed(obs, lambda: {"rows": 0})["rows"])  # removed only when provably empty
+        parts = {} if head is None or touched is None else \
+            {b: d for b, d in head["parts"].items() if int(b) not in set(touched)}
+        parts |= {b: f"{attempt}/{_BUCKET}={b}" for b in slice_values(self.spark, attempt, _BUCKET)}
+        manifest = {"version": self._next_version(), "buckets": self._n(), "parts": parts,
+                    "schema": json.loads(rows.schema.json()) if head is None else head["schema"]}
         try:
-            storage.create_marker(self.spark, f"{self.log_path}/{v:08d}.{kind}")
-        except Exception as exc:
-            self._cached = None
-            raise ConcurrentCommitError(f"version {v} of {self.root} already published") from exc
-        self._cached = None  # re-list lazily (new partition dirs)
-        self._schema = df.schema
-        return rows
-
-    def upsert(self, batch: DataFrame, key: str, order: Sequence[str], keep: str = "last",
-               touched: Sequence[str] | None = None) -> int:
-        """Guarded upsert of the touched partitions only: per key the
-        greatest (``last``) or smallest (``first``) ``order`` among the stored
-        row and the batch wins, so replays and batch order do not matter."""
-        batch = self._with_part(batch)
-        h = self._head()
-        if h is None:
-            return self._write(collapse(batch, key, order, keep), "full")
-        # Partition values of the batch (one row per touched partition), unless
-        # the caller already observed them while writing the batch.
-        if touched is None:
-            touched = self._touched(batch) if self.probe_touched else list(h[1])
-        old_dirs = [h[1][p] for p in touched if p in h[1]]
-        old = self._read_dirs(old_dirs, batch.schema).select(*batch.columns)
-        decided = collapse(old.unionByName(batch), key, order, keep)
-        if h[0] - h[2] + 1 >= self.max_versions:  # fold the chain: rewrite everything once
-            rest = [d for p, d in h[1].items() if p not in touched]
-            untouched = self._read_dirs(rest, batch.schema).select(*batch.columns)
-            return self._write(untouched.unionByName(decided), "full")
-        return self._write(decided, "part")
+            storage.create_text(self.spark, f"{self.root}/_log/{manifest['version']:08d}.json", json.dumps(manifest))
+        except Exception as exc:  # the name exists: someone else published this version
+            self._manifest = None
+            raise ConcurrentCommitError(f"version {manifest['version']} of {self.root} already published") from exc
+        self._manifest = manifest
+        return count
+
+    def _next_version(self) -> int:
+        """One past the manifest that this writer has read; a version number whose marker was left
+        unreadable by a dead writer is passed over."""
+        head = self._head()
+        at = 0 if head is None else head["version"] + 1
+        names = set(storage.list_names(self.spark, f"{self.root}/_log"))
+        while f"{at:08d}.json" in names and not self._readable(at):
+            at += 1
+        return at
+
+    def _readable(self, version: int) -> bool:
+        try:
+            return bool(json.loads(storage.read_text(self.spark, f"{self.root}/_log/{version:08d}.json")))
+        except ValueError:
+            return False
+
+    def _rewrite(self, src: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame],
+                 whole: bool = False) -> int:
+        """The touched buckets become ``combine(their rows, src)``; ``src`` is kept, as it is read twice."""
+        if self._head() is None:
+            return self._publish(combine(None, src), None)
+        src = src.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = list(range(self._n())) if whole else self._touched(src)
+            return self._publish(combine(self._dirs(touched), src), touched)
+        finally:
+            src.unpersist()
+
+    def rebuild(self, df: DataFrame) -> int:
+        return self._publish(df, None)
+
+    def merge(self, src: DataFrame, check_source_unique: bool = True, keep_only: DataFrame | None = None) -> int:
+        """``merged`` on the touched buckets; ``keep_only`` can empty any
+        bucket, so that case rewrites all of them."""
+        if check_source_unique:
+            check_unique(src, self.keys)
+        self._check(src)
+        return self._rewrite(src, lambda old, new: merged(old, new, self.keys, keep_only), whole=keep_only is not None)
+
+    def upsert(self, batch: DataFrame, order: Sequence[str], keep: str = "last", guarded: bool = True) -> int:
+        self._check(batch)
+        return self._rewrite(batch, lambda old, new: upserted(old, new, self.keys, order, keep, guarded))
+
+    def insert(self, batch: DataFrame, order: Sequence[str]) -> int:
+        self._check(batch)
+        return self._rewrite(batch, lambda old, new: inserted(old, new, self.keys, order))
+
+    def replace_keys(self, keys: DataFrame, rows: DataFrame) -> int:
+        """The stored rows of ``keys`` give way to ``rows`` (whose keys are among them)."""
+        gone = keys.select(*self.keys).distinct()
+        marked = rows.withColumn("_live", F.lit(True)).unionByName(
+            null_safe(gone, rows, self.keys, "left_anti").withColumn("_live", F.lit(False)), allowMissingColumns=True)
+
+        def combine(old: DataFrame | None, new: DataFrame) -> DataFrame:
+            live = new.where("_live")
+            if old is None:
+                return live
+            return null_safe(old.withColumn("_live", F.lit(True)), new, self.keys, "left_anti").unionByName(live)
+
+        return self._rewrite(marked, lambda old, new: combine(old, new).drop("_live"))
+
+    def _check(self, df: DataFrame) -> None:
+        if self._head() is not None:
+            check_schema(df, self.schema())
 
 
 def merge_into_table(src: DataFrame, table_name: str, keys: Sequence[str]) -> None:

@@ -56,16 +56,19 @@ def build_local(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at shared storage.
-    Only when it is unset (local tests) do we create one and register it.
+    On a cluster the operator sets it, to shared storage; without it this
+    raises. Only on ``local[...]`` masters, as in tests, one is created. A
+    checkpoint folder that the session already has is left alone.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

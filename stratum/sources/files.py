@@ -19,11 +19,16 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str,
             .json(path))
 
 
+def read_raw_lines(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """JSON lines read as text, one row per line, then projected strictly."""
+    return project_json(spark.read.text(path).withColumnRenamed("value", "_line"), "_line", fields)
+
+
 def project_json(df: DataFrame, col: str, fields: str) -> DataFrame:
     """Parse a JSON text column into typed columns. Fields declared STRING
     keep any JSON scalar as text (``3`` -> ``'3'``, null -> NULL), so a type
-    change at the source cannot break the load."""
-    parsed = F.from_json(F.col(col), fields)
+    change at the source cannot break the load; malformed JSON fails it."""
+    parsed = F.from_json(F.col(col), fields, {"mode": "FAILFAST"})
     names = [f.strip().split()[0] for f in fields.split(",")]
     return df.select("*", *[parsed[n].alias(n) for n in names]).drop(col)
 

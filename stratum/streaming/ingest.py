@@ -17,11 +17,12 @@ On a cluster the same code reads Kafka (``format("kafka")`` with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from stratum.functions.timefn import add_seconds
 from stratum.plans import storage
 from stratum.sources.files import TS_FORMAT
 from stratum.plans import writers as W
@@ -31,10 +32,6 @@ STREAM_COLUMNS = ["event_id", "ticket_id", "customer_id", "customer_name", "even
                   "latency_ms", "event_time", "_ingested_at"]
 
 
-class SimulatedCrash(RuntimeError):
-    """Raised by the sink after its write, to test restart behaviour."""
-
-
 def publish_log(messages: DataFrame, path: str, files: int, order: Sequence[str], fmt: str = "parquet") -> int:
     """Write messages as ``files`` Parquet segments, contiguous in ``order``
     (range partitioned), the way a producer appends segments to a topic.
@@ -68,31 +65,28 @@ def _source(spark: SparkSession, log_path: str, schema: StructType, max_files: i
     return reader.parquet(log_path)
 
 
-def consume(spark: SparkSession, log_path: str, schema: StructType,
-            table: W.SnapshotTable | W.PartitionedTable,
-            checkpoint: str, key: str = "event_id", order: Sequence[str] = ("_ingested_at",),
-            keep: str = "last", max_files_per_batch: int = 2, crash_after_batch: int | None = None,
-            columns: Sequence[str] = STREAM_COLUMNS, fmt: str = "parquet") -> list[int]:
-    """Drain the log into ``table`` with a replay-safe upsert per batch.
+def consume(spark: SparkSession, log_path: str, schema: StructType, table: W.KeyedTable,
+            checkpoint: str, order: Sequence[str] = ("_ingested_at",), keep: str = "last", guarded: bool = True,
+            max_files_per_batch: int = 2, columns: Sequence[str] = STREAM_COLUMNS, fmt: str = "parquet",
+            after_batch: Callable[[int], None] | None = None) -> list[int]:
+    """Drain the log into ``table`` with a keyed upsert per batch.
 
     ``keep="last"``: a re-delivered message with changed content replaces
     the stored one (latest ``order`` wins); ``keep="first"``: the first
     delivery is kept. Both are guarded by ``order``, so neither depends on
-    the order in which batches arrive. With a ``PartitionedTable`` (by event
-    day) a batch rewrites only the days it touches. Returns the batch ids
-    processed.
+    the order in which batches arrive. ``guarded=False`` is the unconditional
+    ``DO UPDATE``: the message consumed last replaces the stored one. A batch is
+    read once (kept while its buckets are found) and rewrites the key buckets
+    it touches. ``after_batch`` is called when a batch is in the table and not
+    yet committed by the stream. Returns the batch ids processed.
     """
     seen: list[int] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*columns)
-        if isinstance(table, W.PartitionedTable):
-            table.upsert(rows, key, list(order), keep=keep)
-        else:
-            W.upsert(table, rows, key, list(order), keep=keep)
+        table.upsert(batch.select(*columns), list(order), keep=keep, guarded=guarded)
         seen.append(batch_id)
-        if crash_after_batch is not None and batch_id == crash_after_batch:
-            raise SimulatedCrash(f"crash after writing batch {batch_id}")
+        if after_batch is not None:
+            after_batch(batch_id)
 
     stream = _source(spark, log_path, schema, max_files_per_batch, fmt)
     query = (stream.writeStream.foreachBatch(sink)
@@ -103,46 +97,24 @@ def consume(spark: SparkSession, log_path: str, schema: StructType,
     return seen
 
 
-def consume_with_restart(spark: SparkSession, log_path: str, schema: StructType,
-                         table: W.SnapshotTable, checkpoint: str, crash_after_batch: int,
-                         **kw) -> dict:
-    """Crash once after a batch's write, restart on the same checkpoint,
-    drain the rest. Returns the batch ids of both attempts."""
-    try:
-        first = consume(spark, log_path, schema, table, checkpoint,
-                        crash_after_batch=crash_after_batch, **kw)
-        crashed = False
-    except Exception as exc:  # the streaming query wraps the sink's error
-        if "SimulatedCrash" not in str(exc) and "crash after writing" not in str(exc):
-            raise
-        first, crashed = [], True
-    second = consume(spark, log_path, schema, table, checkpoint, **kw)
-    return {"crashed": crashed, "first": first, "second": second}
-
-
-def dedup_within_watermark(spark: SparkSession, log_path: str, schema: StructType,
-                           table: W.SnapshotTable, checkpoint: str, key: str, event_time: str,
-                           delay: str, columns: Sequence[str], max_files_per_batch: int = 2) -> list[int]:
-    """Streaming twin of first-arrival de-duplication.
-
-    ``dropDuplicatesWithinWatermark`` keeps per-key state until the
-    watermark (max event time seen minus ``delay``) passes, so duplicates
-    arriving within ``delay`` are dropped across batches; the state is
-    bounded by the keys of that interval, not by the whole history. The
-    sink is an insert-if-absent, so a replayed batch adds nothing. The
-    watermark needs a zoned timestamp: the event time is cast at the edge.
+def dedup_arrivals(spark: SparkSession, log_path: str, schema: StructType, table: W.KeyedTable, checkpoint: str,
+                   event_time: str, arrived: str, delay_days: int, columns: Sequence[str],
+                   max_files_per_batch: int = 2) -> list[int]:
+    """Streaming twin of first-arrival de-duplication that loses no late row.
+
+    Every batch is inserted where its key is absent, whatever its delay; the
+    stored keys are the state, so no watermark drops a row behind it. Rows that
+    arrived more than ``delay_days`` after their event time are marked ``late``
+    instead, to be counted or routed by the reader.
     """
+    late = F.col(arrived) > add_seconds(F.col(event_time), delay_days * 86400)
     seen: list[int] = []
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        W.insert_first_wins(table, batch.select(*columns), key, [c for c in columns if c != key][:1])
+        table.insert(batch.select(*columns, late.alias("late")), [arrived])
         seen.append(batch_id)
 
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch)
-              .parquet(log_path)
-              .withColumn("_wm", F.col(event_time).cast("timestamp"))
-              .withWatermark("_wm", delay)
-              .dropDuplicatesWithinWatermark([key]))
+    stream = _source(spark, log_path, schema, max_files_per_batch, "parquet")
     query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()

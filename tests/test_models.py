@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 from stratum.operators import chunks, latest, quality, quarantine
 
 CDC = ("op string, ticket_id bigint, cdc_seq int, event_time timestamp_ntz, _ingested_at timestamp_ntz, "
-       "customer_id bigint, customer_name string, priority_raw string, status string")
+       "customer_id bigint, customer_name string, segment string, priority_raw string, category string, "
+       "channel string, status string, csat int, first_response_sec int, subject string, body string")
+EVENT = ("event_id bigint, ticket_id bigint, customer_id bigint, customer_name string, segment string, "
+         "event_type string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
+         "event_time timestamp_ntz, _ingested_at timestamp_ntz")
 
 
 def t(h):
@@ -17,7 +21,8 @@ def t(h):
 
 
 def cdc(spark, rows):
-    return spark.createDataFrame([(op, tid, seq, t(h), t(h), 1, "A", p, "open") for op, tid, seq, h, p in rows], CDC)
+    return spark.createDataFrame([(op, tid, seq, t(h), t(h), 1, "A", "S", p, "bug", "chat", "open", 1, 1, "s", "b")
+                                  for op, tid, seq, h, p in rows], CDC)
 
 
 def live(spark, rows):
@@ -55,8 +60,7 @@ def test_rank_then_filter_loses_ticket(spark):
 
 def test_duplicate_event_first_arrival_kept(spark):
     df = spark.createDataFrame(
-        [(7, 10, t(0), t(1)), (7, 11, t(0), t(50))],
-        "event_id bigint, latency_ms int, event_time timestamp_ntz, _ingested_at timestamp_ntz")
+        [(7, 1, 1, "A", "S", "view", ms, 1, 1, False, t(0), t(h)) for ms, h in ((10, 1), (11, 50))], EVENT)
     out = latest.silver_events(df).collect()
     assert [(r["event_id"], r["latency_ms"], r["event_date"]) for r in out] == [(7, 10, dt.date(2024, 1, 1))]
 
@@ -111,3 +115,17 @@ def test_type_contract(spark):
     bad = spark.createDataFrame([(1, "2")], "ticket_id bigint, priority string")
     with pytest.raises(SchemaDriftError):
         quality.check_contract(bad, contract)
+
+
+def test_grain_reports_a_wholly_absent_day(spark):
+    d = dt.date(2024, 1, 1)
+    gold = spark.createDataFrame([(d, 1), (d, 2), (d + dt.timedelta(days=2), 1)], "event_date date, customer_id bigint")
+    got = sorted(tuple(r) for r in quality.grain_gaps(gold, gold, "event_date", "customer_id").collect())
+    assert got == [(d, 2, 2, 0), (d + dt.timedelta(days=1), 2, 0, 2), (d + dt.timedelta(days=2), 2, 1, 1)]
+
+
+def test_malformed_json_fails(spark):
+    from stratum.sources import files
+    df = spark.createDataFrame([('{"k": 1}',), ("{broken",)], "props string")
+    with pytest.raises(Exception):
+        files.project_json(df, "props", "k STRING").collect()

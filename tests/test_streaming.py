@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from stratum.plans import writers as W
 from stratum.streaming import ingest
 
@@ -18,15 +20,28 @@ def messages(spark):
     return spark.createDataFrame(rows, MSG)
 
 
+class Crash(RuntimeError):
+    pass
+
+
+def sink(spark, root):
+    return W.KeyedTable(spark, root, "event_id", 4)
+
+
 def test_crash_and_restart_gives_exact_table(spark, scratch):
-    log = scratch("log")
+    log, ckpt = scratch("log"), scratch("ckpt")
     ingest.publish_log(messages(spark), log, 10, ["_ingested_at", "event_id"])
     schema = spark.read.parquet(log).schema
-    table = W.SnapshotTable(spark, scratch("sink"))
-    info = ingest.consume_with_restart(spark, log, schema, table, scratch("ckpt"), crash_after_batch=2,
-                                       max_files_per_batch=2)
-    assert info["crashed"]
-    assert info["second"][0] == 2  # the crashed batch is replayed
+    table = sink(spark, scratch("sink"))
+
+    def crash(batch_id):
+        if batch_id == 2:
+            raise Crash("after the write, before the stream's commit")
+
+    with pytest.raises(Exception, match="after the write"):
+        ingest.consume(spark, log, schema, table, ckpt, after_batch=crash)
+    second = ingest.consume(spark, log, schema, table, ckpt)
+    assert second[0] == 2  # the crashed batch is replayed
     got = {r["event_id"]: r["latency_ms"] for r in table.read().collect()}
     assert len(got) == 300 and table.read().count() == 300
     assert all(got[i] == (i + 1000 if i % 10 == 0 else i) for i in range(300))
@@ -36,7 +51,20 @@ def test_first_wins_keeps_original(spark, scratch):
     log = scratch("log1")
     ingest.publish_log(messages(spark), log, 6, ["_ingested_at", "event_id"])
     schema = spark.read.parquet(log).schema
-    table = W.SnapshotTable(spark, scratch("sink1"))
+    table = sink(spark, scratch("sink1"))
     ingest.consume(spark, log, schema, table, scratch("ckpt1"), keep="first", max_files_per_batch=4)
     got = {r["event_id"]: r["latency_ms"] for r in table.read().collect()}
     assert got == {i: i for i in range(300)}
+
+
+def test_very_late_row_is_kept_and_marked(spark, scratch):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, 0, 0, "C", "view", 1, t0 + dt.timedelta(days=i), t0 + dt.timedelta(days=i, hours=1)) for i in range(20)]
+    rows.append((99, 0, 0, "C", "view", 1, t0, t0 + dt.timedelta(days=20)))
+    log = scratch("late")
+    ingest.publish_log(spark.createDataFrame(rows, MSG), log, 4, ["_ingested_at", "event_id"])
+    table = sink(spark, scratch("sink2"))
+    ingest.dedup_arrivals(spark, log, spark.read.parquet(log).schema, table, scratch("ckpt2"), "event_time",
+                          "_ingested_at", 3, ["event_id", "event_time", "_ingested_at"], max_files_per_batch=1)
+    got = {r["event_id"]: r["late"] for r in table.read().collect()}
+    assert len(got) == 21 and got[99] and sum(got.values()) == 1

@@ -18,28 +18,42 @@ def rows(table):
     return sorted(tuple(r) for r in table.read().collect())
 
 
+def table(spark, root, buckets=4):
+    return W.KeyedTable(spark, root, "event_id", buckets)
+
+
 def test_merge_is_idempotent_and_never_deletes(spark, scratch):
-    tbl = W.SnapshotTable(spark, scratch("merge"))
+    tbl = table(spark, scratch("merge"))
     a = spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(0))], SCHEMA)
     b = spark.createDataFrame([(2, 21, ts(1)), (3, 30, ts(1))], SCHEMA)
-    W.merge_by_key(tbl, a, ["event_id"])
-    W.merge_by_key(tbl, b, ["event_id"])
+    tbl.merge(a)
+    tbl.merge(b)
     once = rows(tbl)
-    W.merge_by_key(tbl, b, ["event_id"])
+    tbl.merge(b)
     assert rows(tbl) == once == [(1, 10, ts(0)), (2, 21, ts(1)), (3, 30, ts(1))]
 
 
-def test_merge_guards(spark, scratch):
-    tbl = W.SnapshotTable(spark, scratch("guards"))
-    W.merge_by_key(tbl, spark.createDataFrame([(1, 10, ts(0))], SCHEMA), ["event_id"])
-    with pytest.raises(W.DuplicateKeyError):
-        W.merge_by_key(tbl, spark.createDataFrame([(2, 1, ts(0)), (2, 2, ts(0))], SCHEMA), ["event_id"])
-    drift = spark.createDataFrame([(3, "x", ts(0))], "event_id bigint, latency_ms string, _ingested_at timestamp_ntz")
+@pytest.mark.parametrize("write", ["merge", "upsert", "insert", "replace_partitions", "replace_slice"])
+@pytest.mark.parametrize("change", ["added", "missing", "retyped"])
+def test_schema_drift_is_refused_on_every_path(spark, scratch, write, change):
+    base = spark.createDataFrame([(1, 10, ts(0))], SCHEMA).withColumn("d", F.lit("x"))
+    drift = {"added": base.withColumn("extra", F.lit(1)), "missing": base.drop("latency_ms"),
+             "retyped": base.withColumn("latency_ms", F.col("latency_ms").cast("string"))}[change]
+    root = scratch("drift")
+    tbl = table(spark, root)
+    do = {"merge": tbl.merge, "upsert": lambda df: tbl.upsert(df, ["_ingested_at"]),
+          "insert": lambda df: tbl.insert(df, ["_ingested_at"]),
+          "replace_partitions": lambda df: W.replace_partitions(df, root, ["d"]),
+          "replace_slice": lambda df: W.replace_slice(df, root, "slice", "a")}[write]
+    do(base)
     with pytest.raises(W.SchemaDriftError):
-        W.merge_by_key(tbl, drift, ["event_id"])
-    extra = spark.createDataFrame([(3, 1, ts(0), 1)], SCHEMA + ", extra int")
-    with pytest.raises(W.SchemaDriftError):
-        W.merge_by_key(tbl, extra, ["event_id"])
+        do(drift)
+
+
+def test_merge_source_must_be_unique(spark, scratch):
+    tbl = table(spark, scratch("guards"))
+    with pytest.raises(W.DuplicateKeyError):
+        tbl.merge(spark.createDataFrame([(2, 1, ts(0)), (2, 2, ts(0))], SCHEMA))
 
 
 def test_append_is_not_idempotent(spark, scratch):
@@ -62,6 +76,23 @@ def test_partition_replace_replays_cleanly(spark, scratch):
     assert got == [(1, 99), (2, 20)]
 
 
+def test_empty_slice_replaces_stale_rows(spark, scratch):
+    path = scratch("slice")
+    df = spark.createDataFrame([(1, 10, ts(0))], SCHEMA)
+    W.replace_slice(df, path, "slice", "a")
+    W.replace_slice(df, path, "slice", "b")
+    W.replace_slice(df.limit(0), path, "slice", "a")
+    assert [r["slice"] for r in spark.read.parquet(path).collect()] == ["b"]
+
+
+def test_null_partition_value_keeps_all_rows(spark, scratch):
+    path = scratch("nullday")
+    df = spark.createDataFrame([(1, 10, None), (2, 20, ts(0))], SCHEMA).withColumn("d", F.to_date("_ingested_at"))
+    W.replace_slice(df, path, "slice", "a", inner=["d"])
+    W.replace_slice(df.where("event_id = 1").withColumn("event_id", F.lit(3).cast("long")), path, "slice", "b", inner=["d"])
+    assert sorted(r["event_id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
 def test_upsert_result_does_not_depend_on_batch_order(spark, scratch):
     b1 = spark.createDataFrame([(1, 10, ts(0)), (1, 11, ts(5)), (2, 20, ts(1))], SCHEMA)
     b2 = spark.createDataFrame([(1, 12, ts(3)), (2, 21, ts(9))], SCHEMA)
@@ -69,9 +100,9 @@ def test_upsert_result_does_not_depend_on_batch_order(spark, scratch):
     for keep in ("last", "first"):
         outs = []
         for order in ((b1, b2), (b2, b1), (b1, b2, b1)):
-            tbl = W.SnapshotTable(spark, scratch(f"ups-{keep}"))
+            tbl = table(spark, scratch(f"ups-{keep}"))
             for b in order:
-                W.upsert(tbl, b, "event_id", ["_ingested_at"], keep=keep)
+                tbl.upsert(b, ["_ingested_at"], keep=keep)
             outs.append(rows(tbl))
         assert outs[0] == outs[1] == outs[2]
         results[keep] = outs[0]
@@ -80,40 +111,65 @@ def test_upsert_result_does_not_depend_on_batch_order(spark, scratch):
 
 
 def test_unguarded_upsert_takes_incoming(spark, scratch):
-    tbl = W.SnapshotTable(spark, scratch("unguarded"))
-    W.upsert(tbl, spark.createDataFrame([(1, 10, ts(5))], SCHEMA), "event_id", ["_ingested_at"])
-    W.upsert(tbl, spark.createDataFrame([(1, 11, ts(1))], SCHEMA), "event_id", ["_ingested_at"], guarded=False)
+    tbl = table(spark, scratch("unguarded"))
+    tbl.upsert(spark.createDataFrame([(1, 10, ts(5))], SCHEMA), ["_ingested_at"])
+    tbl.upsert(spark.createDataFrame([(1, 11, ts(1))], SCHEMA), ["_ingested_at"], guarded=False)
     assert rows(tbl) == [(1, 11, ts(1))]
 
 
-def test_unpublished_version_is_invisible(spark, scratch):
+def test_null_key_is_one_key(spark, scratch):
+    df = spark.createDataFrame([(None, 10, ts(0)), (1, 1, ts(0))], SCHEMA)
+    for write in ("merge", "upsert", "insert"):
+        tbl = table(spark, scratch("nullkey"))
+        for _ in range(3):
+            tbl.merge(df) if write == "merge" else getattr(tbl, write)(df, ["_ingested_at"])
+        assert tbl.read().count() == 2, write
+
+
+def test_files_of_a_dead_writer_stay_invisible(spark, scratch):
     root = scratch("crash")
-    tbl = W.SnapshotTable(spark, root)
-    tbl.commit(spark.createDataFrame([(1, 10, ts(0))], SCHEMA))
-    # a writer that died after writing data but before publishing it
-    spark.createDataFrame([(9, 9, ts(0))], SCHEMA).write.parquet(f"{root}/v00000001")
-    fresh = W.SnapshotTable(spark, root)
+    tbl = table(spark, root)
+    tbl.upsert(spark.createDataFrame([(1, 10, ts(0))], SCHEMA), ["_ingested_at"])
+    # died after writing data; died while writing its marker
+    (spark.createDataFrame([(9, 9, ts(0))], SCHEMA).withColumn("_bucket", F.lit(0))
+     .write.partitionBy("_bucket").parquet(f"{root}/data-dead"))
+    from stratum.plans import storage
+    storage.create_text(spark, f"{root}/_log/00000001.json", '{"version": 1, "bu')
+    fresh = table(spark, root)
     assert rows(fresh) == [(1, 10, ts(0))]
-    fresh.commit(spark.createDataFrame([(2, 20, ts(0))], SCHEMA))  # reuses and overwrites v1
-    assert rows(W.SnapshotTable(spark, root)) == [(2, 20, ts(0))]
+    fresh.upsert(spark.createDataFrame([(2, 20, ts(0))], SCHEMA), ["_ingested_at"])
+    assert rows(table(spark, root)) == [(1, 10, ts(0)), (2, 20, ts(0))]
 
 
-def test_concurrent_publish_is_refused(spark, scratch):
+def test_loser_of_a_race_changes_nothing(spark, scratch):
     root = scratch("race")
-    a, b = W.SnapshotTable(spark, root), W.SnapshotTable(spark, root)
-    a.commit(spark.createDataFrame([(1, 1, ts(0))], SCHEMA))
+    a, b = table(spark, root), table(spark, root)
+    a.rebuild(spark.createDataFrame([(1, 1, ts(0))], SCHEMA))
     b._head()
-    a.commit(spark.createDataFrame([(2, 2, ts(0))], SCHEMA))
+    a.rebuild(spark.createDataFrame([(i, i, ts(0)) for i in range(10)], SCHEMA))
     with pytest.raises(W.ConcurrentCommitError):
-        b.commit(spark.createDataFrame([(3, 3, ts(0))], SCHEMA))
+        b.rebuild(spark.createDataFrame([(3, 3, ts(0))], SCHEMA))
+    assert len(rows(table(spark, root))) == 10
 
 
-def test_append_chain_is_folded(spark, scratch):
-    tbl = W.SnapshotTable(spark, scratch("fold"), max_dirs=3)
-    for i in range(5):
-        tbl.commit_append(spark.createDataFrame([(i, i, ts(0))], SCHEMA))
-    assert len(tbl._head()[1]) <= 3
-    assert [r[0] for r in rows(tbl)] == [0, 1, 2, 3, 4]
+def test_another_bucket_count_is_refused(spark, scratch):
+    root = scratch("buckets")
+    table(spark, root, 8).rebuild(spark.createDataFrame([(i, i, ts(0)) for i in range(100)], SCHEMA))
+    with pytest.raises(ValueError):
+        table(spark, root, 32).read()
+    kept = W.KeyedTable(spark, root, "event_id")
+    kept.upsert(spark.createDataFrame([(i, i, ts(0)) for i in range(100)], SCHEMA), ["_ingested_at"])
+    assert kept.read().count() == 100
+
+
+def test_one_row_merge_rewrites_one_bucket(spark, scratch):
+    tbl = table(spark, scratch("touch"), 16)
+    tbl.rebuild(spark.createDataFrame([(i, i, ts(0)) for i in range(1000)], SCHEMA))
+    before = dict(tbl._head()["parts"])
+    written = tbl.merge(spark.createDataFrame([(7, 70, ts(1))], SCHEMA))
+    after = tbl._head()["parts"]
+    assert sum(before[b] != after[b] for b in before) == 1 and written < 200
+    assert tbl.read().count() == 1000
 
 
 def test_lookback_recovers_late_day(spark, scratch):
@@ -140,10 +196,10 @@ def test_lookback_recovers_late_day(spark, scratch):
 
 
 def test_merge_can_propagate_deletes(spark, scratch):
-    tbl = W.SnapshotTable(spark, scratch("keep"))
-    W.merge_by_key(tbl, spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(0))], SCHEMA), ["event_id"])
+    tbl = table(spark, scratch("keep"))
+    tbl.merge(spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(0))], SCHEMA))
     live = spark.createDataFrame([(2,), (3,)], "event_id bigint")
-    W.merge_by_key(tbl, spark.createDataFrame([(3, 30, ts(1))], SCHEMA), ["event_id"], keep_only=live)
+    tbl.merge(spark.createDataFrame([(3, 30, ts(1))], SCHEMA), keep_only=live)
     assert [r[0] for r in rows(tbl)] == [2, 3]
 
 
@@ -166,22 +222,6 @@ def test_ticket_deleted_in_later_run(spark, scratch):
     assert got == {False: 1, True: 0}
 
 
-def test_partitioned_upsert_rewrites_only_touched_partitions(spark, scratch):
-    root = scratch("ptab")
-    tbl = W.PartitionedTable(spark, root, "day", F.to_date("_ingested_at"))
-    b1 = spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(30)), (3, 30, ts(60))], SCHEMA)
-    tbl.upsert(b1, "event_id", ["_ingested_at"])
-    b2 = spark.createDataFrame([(2, 21, ts(31)), (4, 40, ts(32))], SCHEMA)
-    tbl.upsert(b2, "event_id", ["_ingested_at"])
-    tbl.upsert(b2, "event_id", ["_ingested_at"])  # replay: no change
-    fresh = W.PartitionedTable(spark, root, "day", F.to_date("_ingested_at"))
-    got = sorted((r["event_id"], r["latency_ms"]) for r in fresh.read().collect())
-    assert got == [(1, 10), (2, 21), (3, 30), (4, 40)]
-    parts = fresh._head()[1]
-    assert parts["2024-01-01"].split("/")[-2] == "v00000000"  # untouched day carried over
-    assert parts["2024-01-02"].split("/")[-2] == "v00000002"
-
-
 from hypothesis import given, settings, strategies as st  # noqa: E402
 
 _batch = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 99), st.integers(0, 40)), min_size=1, max_size=6)
@@ -198,9 +238,9 @@ def test_upsert_is_order_and_replay_free(spark, batches, rnd):
     order = list(range(len(frames)))
     rnd.shuffle(order)
     order.append(rnd.choice(order))  # one replay
-    tbl = W.SnapshotTable(spark, scratch_dir(spark, "prop"))
+    tbl = table(spark, scratch_dir(spark, "prop"))
     for i in order:
-        W.upsert(tbl, frames[i], "event_id", ["_ingested_at"])
+        tbl.upsert(frames[i], ["_ingested_at"])
     expect = {}
     for k, v, h in (x for b in batches for x in b):
         if k not in expect or (h, v) > expect[k]:
