@@ -84,7 +84,7 @@ def _writer(folder: str, max_bytes: int, level: int) -> Callable:
             for key, uri, html, refers, revisit, digest in pdf.itertuples(index=False, name=None):
                 if out is None:
                     path, records, size = posixpath.join(base, f"{uuid.uuid4().hex}.warc.gz"), 0, 0
-                    out = store.open_output_stream(path)
+                    out = store.open_output_stream(path, compression=None)
                 key, refers = (None if pd.isna(x) else x for x in (key, refers))
                 member = zlib.compressobj(level, zlib.DEFLATED, 31)
                 data = member.compress(record_bytes(key, uri, (html or "").encode(), refers, bool(revisit), digest))
@@ -215,7 +215,7 @@ def _reader(with_payload: bool) -> Callable:
             for path in pdf["path"]:
                 store, where = fs.FileSystem.from_uri(path)
                 rows, size = [], 0
-                with store.open_input_stream(where, buffer_size=CHUNK) as stream:
+                with store.open_input_stream(where, compression=None, buffer_size=CHUNK) as stream:
                     for r in read_stream(stream, with_payload):
                         rows.append(r)
                         size += len(r[-1] or b"")
