@@ -21,19 +21,18 @@ select event_id, event_id % 997 as ticket_id, user_id as customer_id,
        'Cust_' || cast(user_id as varchar) as customer_name,
        case user_id % 3 when 0 then 'Enterprise' when 1 then 'SMB' else 'Startup' end as segment,
        event_type, cast(floor(value * 10) as integer) as latency_ms,
-       cast(200 + event_id % 3000 as integer) as tokens_in,
-       cast(40 + event_id % 900 as integer) as tokens_out,
+       cast(length(event_type) * 30 + user_id % 60 as integer) as tokens_in,
+       cast(length(props) * 4 as integer) as tokens_out,
        event_type = 'error' as is_escalated, ts as event_time,
-       ts + to_seconds(case when event_id % 20 = 0 then 155520 + (event_id % 1000) * 99
-                            else (event_id % 1000) * 21 end) as _ingested_at
+       ts + to_seconds(cast(floor(case when value > 150 then value * 600 else value * 60 end) as bigint)) as _ingested_at
 from events
 union all
 select event_id, event_id % 997, user_id, 'Cust_' || cast(user_id as varchar),
        case user_id % 3 when 0 then 'Enterprise' when 1 then 'SMB' else 'Startup' end,
        event_type, cast(floor(value * 10) as integer) + 1,
-       cast(200 + event_id % 3000 as integer), cast(40 + event_id % 900 as integer),
-       event_type = 'error', ts, ts + to_seconds(300000 + event_id % 1000)
-from events where event_id % 50 = 7
+       cast(length(event_type) * 30 + user_id % 60 as integer), cast(length(props) * 4 as integer),
+       event_type = 'error', ts, ts + to_seconds(cast(floor(value * 20) as bigint) + 300000)
+from events where user_id % 40 = 7
 """)
 
 _cte("silver_events", ("fx_events",), """
@@ -46,39 +45,38 @@ qualify row_number() over (partition by event_id order by _ingested_at, latency_
 
 _cte("cdc_base", (), """
 select o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
-       o_orderdate + to_seconds(o_orderkey * 7919 % 80000) as t0,
-       cast(o_orderkey % 4 as integer) + 1 as pcode
+       cast(floor(o_totalprice) as bigint) as price,
+       o_orderdate + to_seconds(cast(floor(o_totalprice) as bigint) % 80000) as t0,
+       least(cast(substr(o_orderpriority, 1, 1) as integer), 4) as pcode
 from orders
 """)
 
 _cte("cdc_ops", ("cdc_base",), """
 select *, 'c' as op, 0 as cdc_seq, t0 as event_time, false as is_bad from cdc_base
 union all
-select *, 'd', 1, t0 + to_seconds(2220), false from cdc_base where o_orderkey % 50 = 3
+select *, 'd', 1, t0 + to_seconds(21600), false from cdc_base where o_orderstatus = 'F' and o_custkey % 17 = 3
 union all
-select *, 'u', 2, t0 + to_seconds((o_orderkey % 3 + 1) * 86400), o_orderkey % 40 = 10
-from cdc_base where o_orderkey % 10 = 0
+select *, 'u', 2, t0 + to_seconds(pcode * 86400), o_custkey % 4 = 1
+from cdc_base where o_orderstatus = 'O' and o_custkey % 3 = 0
 """)
 
 _cte("fx_cdc", ("cdc_ops",), """
 select op, o_orderkey as ticket_id, cdc_seq, event_time, event_time as _ingested_at,
        o_custkey as customer_id, c_name as customer_name, c_mktsegment as segment,
        case when is_bad then
-                 case cast(floor(o_orderkey / 40) as integer) % 8
+                 case o_orderkey % 8
                       when 0 then 'P1' when 1 then 'P2' when 2 then '0' when 3 then '5'
                       when 4 then '-1' when 5 then '' when 6 then null else 'unknown' end
             when event_time >= timestamp '1998-01-01 00:00:00' then
                  case pcode when 1 then 'urgent' when 2 then 'high' when 3 then 'medium' else 'low' end
             else cast(pcode as varchar) end as priority_raw,
-       case o_orderkey % 6 when 0 then 'billing' when 1 then 'bug' when 2 then 'how_to'
-                          when 3 then 'outage' when 4 then 'refund' else 'account' end as category,
-       case o_orderkey % 4 when 0 then 'email' when 1 then 'chat' when 2 then 'voice' else 'api' end as channel,
+       o_orderpriority as category,
+       o_orderstatus as channel,
        case when op = 'd' then 'closed' when op = 'c' then 'open'
-            else case cast(floor(o_orderkey / 10) as integer) % 4
-                      when 0 then 'open' when 1 then 'pending' when 2 then 'resolved' else 'closed' end
+            else case pcode when 1 then 'open' when 2 then 'pending' when 3 then 'resolved' else 'closed' end
        end as status,
-       cast(o_orderkey % 5 + 1 as integer) as csat,
-       cast(60 + o_orderkey * 37 % 1400 as integer) as first_response_sec,
+       pcode + 1 as csat,
+       cast(price % 3600 as integer) as first_response_sec,
        'Order ' || cast(o_orderkey as varchar) as subject,
        o_orderpriority || ' / ' || o_orderstatus as body
 from cdc_ops join customer on c_custkey = o_custkey

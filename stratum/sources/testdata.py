@@ -22,8 +22,6 @@ LABEL_FORMAT_FROM = "1998-01-01 00:00:00"
 PRIORITY_LABEL_OF = ["urgent", "high", "medium", "low"]  # code 1..4
 BAD_PRIORITY_VALUES = ["P1", "P2", "0", "5", "-1", "", None, "unknown"]
 STATUSES = ["open", "pending", "resolved", "closed"]
-CATEGORIES = ["billing", "bug", "how_to", "outage", "refund", "account"]
-CHANNELS = ["email", "chat", "voice", "api"]
 SEGMENTS = ["Enterprise", "SMB", "Startup"]  # by customer_id % 3
 LANGS = ["en", "fr", "de", "es"]
 # Run windows of the CDC replays (yearly; the CDC spans about six years).
@@ -78,10 +76,11 @@ def _segment(cust: Column) -> Column:
 def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze event deliveries: one row per delivery of an event.
 
-    Every 20th event arrives 1.8 to 2.9 days late; every 50th is delivered a
-    second time about 3.5 days later with a corrected ``latency_ms``.
+    The delay follows the event's own ``value``: events of the upper tail arrive
+    one to three days late. Those of some users are delivered a second time, about
+    3.5 days later, with a corrected ``latency_ms``.
     """
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     eid = F.col("event_id")
 
     def shape(latency: Column, delay_sec: Column) -> list[Column]:
@@ -93,8 +92,8 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             _segment(F.col("user_id")).alias("segment"),
             F.col("event_type"),
             latency.alias("latency_ms"),
-            (F.lit(200) + eid % 3000).cast("int").alias("tokens_in"),
-            (F.lit(40) + eid % 900).cast("int").alias("tokens_out"),
+            (F.char_length("event_type") * 30 + F.col("user_id") % 60).cast("int").alias("tokens_in"),
+            (F.char_length("props") * 4).cast("int").alias("tokens_out"),
             (F.col("event_type") == "error").alias("is_escalated"),
             F.col("ts").alias("event_time"),
             add_seconds(F.col("ts"), delay_sec).alias("_ingested_at"),
@@ -103,11 +102,11 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_latency = F.floor(F.col("value") * 10).cast("int")
     first = e.select(*shape(
         base_latency,
-        F.when(eid % 20 == 0, F.lit(155520) + (eid % 1000) * 99).otherwise((eid % 1000) * 21),
+        F.floor(F.when(F.col("value") > 150, F.col("value") * 600).otherwise(F.col("value") * 60)),
     ))
-    again = e.where(eid % 50 == 7).select(*shape(
+    again = e.where(F.col("user_id") % 40 == 7).select(*shape(
         base_latency + 1,
-        F.lit(300000) + eid % 1000,
+        F.floor(F.col("value") * 20) + 300000,
     ))
     return first.unionByName(again)
 
@@ -125,42 +124,42 @@ def fx_events_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ticket CDC: one row per change record ``(ticket_id, cdc_seq)``.
 
-    Every order is created (seq 0); every 50th is deleted 37 minutes later
-    (seq 1); every 10th is updated 1-3 days later (seq 2), and every 40th of
-    those updates carries a bad priority. Priorities are integers before
-    ``LABEL_FORMAT_FROM`` and labels after it.
+    Every order is created (seq 0); finished orders of some customers are deleted
+    six hours later (seq 1); open orders of some customers are updated days later
+    (seq 2), a part of them with a bad priority. Priorities are the order's own
+    digit before ``LABEL_FORMAT_FROM`` and labels after it.
     """
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
-                                                "o_orderstatus", "o_orderpriority")
+                                                "o_orderstatus", "o_orderpriority", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     key = F.col("o_orderkey")
     base = o.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-        add_seconds(F.col("o_orderdate"), key * 7919 % 80000).alias("t0"),
-        (key % 4 + 1).cast("int").alias("pcode"),
+        F.floor("o_totalprice").alias("price"),
+        add_seconds(F.col("o_orderdate"), F.floor("o_totalprice") % 80000).alias("t0"),
+        F.least(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(4)).alias("pcode"),
     )
     creates = base.select("*", F.lit("c").alias("op"), F.lit(0).alias("cdc_seq"),
                           F.col("t0").alias("event_time"), F.lit(False).alias("is_bad"))
-    deletes = base.where(key % 50 == 3).select(
+    deletes = base.where((F.col("o_orderstatus") == "F") & (F.col("o_custkey") % 17 == 3)).select(
         "*", F.lit("d").alias("op"), F.lit(1).alias("cdc_seq"),
-        add_seconds(F.col("t0"), 2220).alias("event_time"), F.lit(False).alias("is_bad"))
-    updates = base.where(key % 10 == 0).select(
+        add_seconds(F.col("t0"), 21600).alias("event_time"), F.lit(False).alias("is_bad"))
+    updates = base.where((F.col("o_orderstatus") == "O") & (F.col("o_custkey") % 3 == 0)).select(
         "*", F.lit("u").alias("op"), F.lit(2).alias("cdc_seq"),
-        add_seconds(F.col("t0"), (key % 3 + 1) * 86400).alias("event_time"),
-        (key % 40 == 10).alias("is_bad"))
+        add_seconds(F.col("t0"), F.col("pcode") * 86400).alias("event_time"),
+        (F.col("o_custkey") % 4 == 1).alias("is_bad"))
     ops = creates.unionByName(deletes).unionByName(updates)
 
     label_time = F.col("event_time") >= F.lit(LABEL_FORMAT_FROM).cast("timestamp_ntz")
-    bad_idx = F.floor(key / 40).cast("int") % 8
+    bad_idx = (key % 8).cast("int")
     priority_raw = (
         F.when(F.col("is_bad"), _pick(bad_idx, BAD_PRIORITY_VALUES))
         .when(label_time, _pick(F.col("pcode") - 1, PRIORITY_LABEL_OF))
         .otherwise(F.col("pcode").cast("string"))
     )
-    status_idx = F.floor(key / 10).cast("int") % 4
     status = (F.when(F.col("op") == "d", F.lit("closed"))
               .when(F.col("op") == "c", F.lit("open"))
-              .otherwise(_pick(status_idx, STATUSES)))
+              .otherwise(_pick(F.col("pcode") - 1, STATUSES)))
     # A regular join: customer grows with the data, so Catalyst decides between
     # broadcast (by its size statistics) and a shuffle join.
     return ops.join(c, ops.o_custkey == c.c_custkey, "inner").select(
@@ -173,11 +172,11 @@ def fx_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("segment"),
         priority_raw.alias("priority_raw"),
-        _pick(key % 6, CATEGORIES).alias("category"),
-        _pick(key % 4, CHANNELS).alias("channel"),
+        F.col("o_orderpriority").alias("category"),
+        F.col("o_orderstatus").alias("channel"),
         status.alias("status"),
-        (key % 5 + 1).cast("int").alias("csat"),
-        (F.lit(60) + key * 37 % 1400).cast("int").alias("first_response_sec"),
+        (F.col("pcode") + 1).alias("csat"),
+        (F.col("price") % 3600).cast("int").alias("first_response_sec"),
         F.concat(F.lit("Order "), key.cast("string")).alias("subject"),
         F.concat(F.col("o_orderpriority"), F.lit(" / "), F.col("o_orderstatus")).alias("body"),
     )
