@@ -495,8 +495,6 @@ def one_shot_tables(spark, sf_dir: str) -> dict:
 
 
 CHECKSUM_TABLES = ["gold_training_set", "gold_feature_daily", "gold_doc_chunks", "quarantine_tickets"]
-COUNT_TABLES = ["bronze_tickets", "silver_tickets", "quarantine_tickets", "gold_training_set",
-                "bronze_events", "silver_events", "gold_feature_daily", "silver_transcripts", "gold_doc_chunks"]
 
 
 @query("dq_report")
@@ -616,8 +614,8 @@ def q_acceptance_summary(spark, sf_dir):
 
 @query("feature_daily_skewed")
 def q_feature_daily_skewed(spark, sf_dir):
-    """Daily features with one customer holding 40 % of all events: partial
-    aggregation collapses the hot key before the shuffle."""
+    """Daily features with one customer holding 40 % of all events: the first
+    exchange is keyed by ticket as well, which spreads the hot customer."""
     return features.feature_daily(latest.silver_events(td.landed(spark, sf_dir, "events_skewed")))
 
 

@@ -1,11 +1,10 @@
 """Daily feature aggregates (routing features, dashboard tile).
 
-One ``groupBy`` with a distinct count next to plain aggregates: Catalyst
-rewrites it into an Expand + two-level aggregation, and every level keeps a
-map-side partial aggregate, so a hot customer (a third of all rows) is
-collapsed before the shuffle. The exact ``percentile`` buffer holds value
-counts per group, bounded by the distinct latencies of that group, not by
-its row count.
+One ``groupBy`` with a distinct count next to plain aggregates. Catalyst plans
+it in two levels: the first exchange is keyed by the group and the distinct
+ticket, so a hot customer's rows spread over many tasks, and the second moves
+one partial row per group and task. The exact ``percentile`` buffer holds value
+counts per group, bounded by the distinct latencies of that group.
 """
 
 from __future__ import annotations

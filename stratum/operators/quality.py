@@ -107,6 +107,7 @@ DEFAULT_CHECKS = [
     Check("silver_events", "not_null", "event_time"),
     Check("silver_transcripts", "unique", "transcript_id"),
     Check("silver_transcripts", "not_null", "transcript_id"),
+    Check("gold_training_set", "unique", "ticket_id"),
     Check("gold_doc_chunks", "unique", "chunk_id"),
     Check("gold_doc_chunks", "not_null", "chunk_id"),
 ]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratum.session import checkpoint_root
+from stratum.session import checkpoint_root, sized_partitions
 
 
 def hash_rank_key(key: str) -> list[Column]:
@@ -54,7 +54,7 @@ def surrogate_ids(df: DataFrame, order_col: str, id_col: str = "surrogate_id",
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or sized_partitions(df)
     tagged = (df.repartitionByRange(n, F.col(order_col))
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))

@@ -19,6 +19,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from stratum.session import sized_partitions
+
 
 class LossyRewriteError(RuntimeError):
     """A rewrite changed the number of rows."""
@@ -42,7 +44,7 @@ def compact(df: DataFrame, path: str, partition_col: str, sort_cols: Sequence[st
     single task. Returns rows before/after and files written.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or sized_partitions(df)
     obs = Observation()
     keyed = [F.col(partition_col), *[F.col(c) for c in sort_cols]]
     # Observe after the range exchange: its bound-sampling job re-runs the

@@ -387,7 +387,7 @@ def merge_into_table(src: DataFrame, table_name: str, keys: Sequence[str]) -> No
     Iceberg, ...) with ``DataFrame.mergeInto``: update matched rows, insert
     the rest, never delete. The format rewrites only the files that hold
     matched keys instead of the whole table. Needs such a format on the
-    class path; plain Parquet tables use ``merge_by_key``.
+    class path; plain Parquet tables use ``KeyedTable.merge``.
     """
     cond = " AND ".join(f"{table_name}.{k} = _src.{k}" for k in keys)
     (src.alias("_src").mergeInto(table_name, F.expr(cond))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job in this package relies on.
 RUNTIME_SETTINGS = {
@@ -72,6 +72,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def sized_partitions(df: DataFrame, rows_per_task: int = 2_000_000) -> int:
+    """Partitions for an exchange with an explicit count: the session's, or more
+    if the counted rows need more. (Such a count is not resized by AQE.)"""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // rows_per_task))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/stratum-work/{label}-{uuid.uuid4().hex[:12]}"
