@@ -9,6 +9,13 @@ document left with too small a share of its words is rejected.
 
 The limit of a host is ``max(min_limit, share * documents of the host)``.
 
+The largest id may be a document that is itself rejected, and then no copy of
+the line is left among the kept ones. ``keeper_survives`` (the pipeline's
+setting) chooses the keeper among the holders that pass the base rules: the
+largest id of those that are not depleted even without any over-frequent line,
+else the largest id, which is then not rejected as depleted. So each line that
+a passing document holds stays in a kept one; a line without one needs none.
+
 Scale: exploded lines travel as (document key, position, host, hash, words), the
 count is a two-level aggregate with map-side combining, host limits come from
 one pre-aggregated count, and the lookup joins two plain exchanges that AQE
@@ -25,9 +32,10 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratum.llm.text import SPACE_RE, ascii_lower, hash128, lines, strip_space, without_positions, words
+from stratum.session import scratch_dir
 
 WINDOW = 8
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -88,7 +96,7 @@ def _base(texts: pd.Series) -> pd.DataFrame:
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   min_words: int = 20, max_repeat_pct: int = 30, min_limit: int = 20, share_per_mille: int = 1,
-                  min_left_pct: int = 30) -> DataFrame:
+                  min_left_pct: int = 30, keeper_survives: bool = False) -> DataFrame:
     """``docs`` with its columns, plus ``_q`` (base figures), ``_removed_words``,
     ``_base_failed``, ``_kept`` and ``_kept_text`` (the text without removed lines)."""
     own = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"),
@@ -108,9 +116,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   .select(F.xxhash64("_host", "_h.a", "_h.b").alias("_j"), F.col("_host").alias("_chost"),
                           F.col("_h").alias("_ch"), "_keeper"))
     probe = each.withColumn("_j", F.xxhash64("_host", "_h.a", "_h.b"))
-    removed = (probe.join(common, (probe["_j"] == common["_j"]) & (F.col("_h") == F.col("_ch"))
-                          & (F.col("_host") == F.col("_chost")))
-                    .where(~F.col("_doc.id").eqNullSafe(F.col("_keeper")))
+    held = probe.join(common, (probe["_j"] == common["_j"]) & (F.col("_h") == F.col("_ch"))
+                      & (F.col("_host") == F.col("_chost")))
+    if keeper_survives:
+        return _with_surviving_keepers(docs, held, own, host, text_col, min_words, max_repeat_pct, min_left_pct)
+    removed = (held.where(~F.col("_doc.id").eqNullSafe(F.col("_keeper")))
                     .groupBy("_doc", "_host", "_pos").agg(F.first("_words").alias("_words"))
                     .groupBy("_doc", "_host").agg(F.sum("_words").alias("_removed_words"),
                                                   F.sort_array(F.collect_list("_pos")).alias("_drop"))
@@ -119,10 +129,60 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     joined = (figures.join(removed, F.col("_doc").eqNullSafe(F.col("_rdoc")) & (F.col("_host") == F.col("_rhost")), "left")
                      .withColumn("_removed_words", F.coalesce("_removed_words", F.lit(0)).cast("long"))
                      .drop("_rdoc", "_rhost", "_doc", "_host"))
-    n = F.col("_q.n_words")
-    failed = (n < min_words) | (100 * F.col("_q.n_repeat_words") > max_repeat_pct * n)
-    depleted = 100 * (n - F.col("_removed_words")) < min_left_pct * n
-    kept = without_positions(lines(F.col(text_col)), F.col("_drop"))
-    text = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    failed = _fails("_q", min_words, max_repeat_pct)
+    depleted = _depleted("_q", F.col("_removed_words"), min_left_pct)
     return (joined.withColumn("_base_failed", failed).withColumn("_kept", ~failed & ~depleted)
-                  .withColumn("_kept_text", text).drop("_drop"))
+                  .withColumn("_kept_text", _without(text_col)).drop("_drop"))
+
+
+def _fails(figures: str, min_words: int, max_repeat_pct: int) -> Column:
+    n = F.col(f"{figures}.n_words")
+    return (n < min_words) | (100 * F.col(f"{figures}.n_repeat_words") > max_repeat_pct * n)
+
+
+def _depleted(figures: str, removed_words: Column, min_left_pct: int) -> Column:
+    n = F.col(f"{figures}.n_words")
+    return 100 * (n - removed_words) < min_left_pct * n
+
+
+def _without(text_col: str) -> Column:
+    kept = without_positions(lines(F.col(text_col)), F.col("_drop"))
+    return F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+
+
+def _with_surviving_keepers(docs: DataFrame, held: DataFrame, own: Column, host: Column, text_col: str,
+                            min_words: int, max_repeat_pct: int, min_left_pct: int) -> DataFrame:
+    """The verdicts of ``quality_rules`` with keepers that are kept. ``held``: every over-frequent line of every document."""
+    spark, paths = docs.sparkSession, [scratch_dir(docs.sparkSession, f"quality-{x}") for x in ("figures", "lines")]
+    docs = docs.withColumn("_doc", own).withColumn("_host", host)
+    (docs.select("_doc", "_host", _base(F.col(text_col)).alias("_q"))
+         .groupBy("_doc", "_host").agg(F.first("_q").alias("_q")).write.parquet(paths[0]))
+    (held.groupBy("_doc", "_host", "_pos").agg(F.first("_words").alias("_words"), F.first("_h").alias("_h"))
+         .write.parquet(paths[1]))
+    figures, at = (spark.read.parquet(p) for p in paths)
+
+    def beside(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        r = right.withColumnRenamed("_doc", "_rdoc").withColumnRenamed("_host", "_rhost")
+        return left.join(r, F.col("_doc").eqNullSafe(F.col("_rdoc")) & (F.col("_host") == F.col("_rhost")), how).drop("_rdoc", "_rhost")
+
+    # not depleted without any of its over-frequent lines: whoever keeps them, this document stays
+    safe = beside(at.groupBy("_doc", "_host").agg(F.sum("_words").alias("_all")), figures, "inner")
+    safe = (safe.where(~_fails("_q", min_words, max_repeat_pct))
+                .select("_doc", "_host", (~_depleted("_q", F.col("_all"), min_left_pct)).alias("_safe")))
+    keepers = (beside(at, safe, "inner").groupBy("_host", "_h")
+               .agg(F.max(F.struct(F.col("_safe"), F.col("_doc.id").alias("id"))).alias("_keeper"))
+               .select(F.xxhash64("_host", "_h.a", "_h.b").alias("_kj"), F.col("_host").alias("_khost"),
+                       F.col("_h").alias("_kh"), "_keeper"))
+    stays = F.col("_keeper").isNotNull() & F.col("_doc.id").eqNullSafe(F.col("_keeper.id"))
+    placed = (at.withColumn("_j", F.xxhash64("_host", "_h.a", "_h.b"))
+                .join(keepers, (F.col("_j") == F.col("_kj")) & (F.col("_h") == F.col("_kh"))
+                      & (F.col("_host") == F.col("_khost")), "left").withColumn("_stays", stays))
+    removed = placed.groupBy("_doc", "_host").agg(
+        F.sum(F.when(~F.col("_stays"), F.col("_words"))).alias("_removed_words"), F.bool_or("_stays").alias("_keeps"),
+        F.sort_array(F.collect_list(F.when(~F.col("_stays"), F.col("_pos")))).alias("_drop"))
+    out = beside(docs, beside(figures, removed, "left"), "inner").drop("_doc", "_host")
+    out = out.withColumn("_removed_words", F.coalesce("_removed_words", F.lit(0)).cast("long"))
+    failed = _fails("_q", min_words, max_repeat_pct)
+    depleted = _depleted("_q", F.col("_removed_words"), min_left_pct) & ~F.coalesce("_keeps", F.lit(False))
+    return (out.withColumn("_base_failed", failed).withColumn("_kept", ~failed & ~depleted)
+               .withColumn("_kept_text", _without(text_col)).drop("_drop", "_keeps"))

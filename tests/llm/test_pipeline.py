@@ -44,6 +44,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
 
 
+def test_quality_stage_leaves_a_copy_of_every_removed_line(spark):
+    import corpus_pipeline
+    from stratum.llm import quality
+
+    line = " ".join(f"notice{k}" for k in range(15))
+    template = [" ".join(f"t{k}x{j}" for j in range(12)) for k in range(6)]
+    page = [fx.doc(i, f"{line}\n{fx.prose(900 + i, 60)}", source="h") for i in range(24)] + [fx.doc(99, line, source="h")]
+    whole = [fx.doc(200 + i, "\n".join([*[t for k, t in enumerate(template) if k != i % 6], f"own{i}"]), source="t")
+             for i in range(36)]
+    junk = [fx.doc(300 + i, "nothing but a short line", source="j") for i in range(25)]
+    repeated = [page[3], page[3], fx.doc(None, f"{line}\n{fx.prose(999, 60)}", source="h")]
+    df = spark.createDataFrame(page + whole + junk + repeated, fx.DOCS)
+    got = corpus_pipeline.quality_stage(spark, df, "").collect()
+    held = lambda x, host: {r["doc_id"] for r in got if r["source"] == host and x in r["text"].split("\n")}
+    assert held(line, "h") == {23}
+    assert all(len(held(t, "t")) == 1 for t in template)
+    assert not any(r["source"] == "j" for r in got)
+    assert sum(r["source"] == "h" for r in got) == 27 and sum(r["source"] == "t" for r in got) == 2
+    rated = quality.quality_rules(fx.extra_columns(df), keeper_survives=True).collect()
+    assert len(rated) == df.count() and all(r["_removed_words"] == 15 for r in rated if r["doc_id"] in (3, None))
+
+
 @pytest.mark.slow
 @pytest.mark.parametrize("name", ["op1_warc", "op2_decontamination", "op3_chat_formatting", "op6_line_dedup",
                                   "op8_near_dedup", "op9_quality_rules"])
