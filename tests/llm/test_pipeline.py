@@ -66,6 +66,24 @@ def test_quality_stage_leaves_a_copy_of_every_removed_line(spark):
     assert len(rated) == df.count() and all(r["_removed_words"] == 15 for r in rated if r["doc_id"] in (3, None))
 
 
+def test_near_dedup_stage_keeps_one_row_of_a_class(spark):
+    import corpus_pipeline
+
+    a, b, c, d, e = (fx.prose(40 + k, 120) for k in range(5))
+    data = [fx.doc(1, a)] * 4 + [fx.doc(2, a)]  # one document ingested again and again
+    data += [fx.doc(3, b), fx.doc(3, fx.edited(b, 1, 1)), fx.doc(3, c)]  # one id, two texts of a class, and another class
+    data += [fx.doc(None, d)] * 3 + [fx.doc(None, fx.edited(d, 2, 1)), fx.doc(None, e), fx.doc(None, e)]  # null ids alone
+    data += [fx.doc(9, None), fx.doc(9, None), fx.doc(None, " "), fx.doc(8, "")]  # no words
+    df = spark.createDataFrame(data, fx.DOCS)
+    got = corpus_pipeline.near_dedup_stage(spark, df, "").collect()
+    worded = [(r["doc_id"], r["text"]) for r in got if (r["text"] or "").strip()]
+    assert sorted(repr(i) for i, _ in worded) == ["1", "3", "3", "None", "None"]
+    texts = {t for _, t in worded}
+    assert len(texts) == 5 and {a, c, e} <= texts
+    assert len(texts & {b, fx.edited(b, 1, 1)}) == 1 and len(texts & {d, fx.edited(d, 2, 1)}) == 1
+    assert len(got) == 5 + 4
+
+
 @pytest.mark.slow
 @pytest.mark.parametrize("name", ["op1_warc", "op2_decontamination", "op3_chat_formatting", "op6_line_dedup",
                                   "op8_near_dedup", "op9_quality_rules"])
