@@ -16,9 +16,11 @@ Scale: a conversation is cut into segments of ``segment_turns`` turn numbers
 conversation; a segment's rows are rendered once per participant of the
 conversation, which are found by a pre-aggregated distinct. Segments of
 ordinary dialogues are the dialogue. Equal turn numbers are ordered by role and
-text; if a corrupt conversation repeats one turn number without bound, its rows
-are dealt into pieces of a segment by a hash (``pieces`` per 10,000 rows, from
-the counted rows), so that no group grows with the data.
+text; if a corrupt conversation repeats turn numbers without bound, a segment
+of more than ``piece_rows`` rows is cut by position into pieces of that many:
+its rows are put in order by range partitions, in which equal rows are told
+apart by a row number, and numbered by the partitions' offsets. A piece is a
+stretch of the dialogue, and no group grows with the data.
 
 Defined cases: a null text is empty; a null role is the participant named
 ``unknown``; a null turn sorts first, in a segment of its own; a null conv_id
@@ -29,10 +31,45 @@ participant and gives no row; repeated rows are repeated turns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
+
+from stratum.session import scratch_dir, sized_partitions
 
 END = "<|end|>"
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _cut(base: DataFrame, piece_rows: int) -> DataFrame:
+    """``base`` with ``piece``: 0, or in segments of more than ``piece_rows`` rows the
+    position in (turn, speaker, body) order, divided by ``piece_rows``."""
+    sizes = _written(base.groupBy("conv", "segment").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > piece_rows)
+                         .select(F.col("conv").alias("c"), F.col("segment").alias("g")), "chat-sizes")
+    if sizes.isEmpty():
+        return base.withColumn("piece", F.lit(0).cast("long"))
+    same = F.col("conv").eqNullSafe(F.col("c")) & F.col("segment").eqNullSafe(F.col("g"))
+    small = base.join(sizes, same, "left_anti").withColumn("piece", F.lit(0).cast("long"))
+    order = ["conv", "segment", "turn", "speaker", "body", "tie"]
+    big = _written(base.join(sizes, same, "left_semi").withColumn("tie", F.monotonically_increasing_id()), "chat-big")
+    # an id of this kind is the partition's number in the upper bits and the row's place in it in the lower 33
+    placed = _written(big.repartitionByRange(sized_partitions(big), *order).sortWithinPartitions(*order)
+                         .withColumn("at", F.monotonically_increasing_id()), "chat-placed")
+    placed = placed.withColumn("part", F.shiftright("at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per partition
+                     .select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off")))
+    placed = (placed.join(F.broadcast(offsets), F.col("part") == F.col("p"))
+                    .withColumn("at", F.col("off") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))))
+    starts = (placed.groupBy(F.col("conv").alias("c"), F.col("segment").alias("g")).agg(F.min("at").alias("start")))
+    cut = (placed.join(starts, same)
+                 .withColumn("piece", F.floor((F.col("at") - F.col("start")) / piece_rows).cast("long")))
+    return small.unionByName(cut.select(*small.columns))
+
+
 def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                         role_col: str = "role", text_col: str = "text", segment_turns: int = 256,
                         system_roles: tuple[str, ...] = ("system",), piece_rows: int = 10_000) -> DataFrame:
@@ -43,12 +80,7 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     base = base.withColumn("segment", F.floor(F.col("turn") / segment_turns).cast("long"))
     part = base.where(~F.col("speaker").isin(*system_roles))
     people = part.select("conv", "speaker").distinct()
-    sizes = (base.groupBy("conv", "segment").agg(F.count(F.lit(1)).alias("rows"))
-                 .withColumn("pieces", F.ceil(F.col("rows") / piece_rows)).where("pieces > 1")
-                 .select(F.col("conv").alias("c"), F.col("segment").alias("g"), "pieces"))
-    dealt = (base.join(sizes, F.col("conv").eqNullSafe(F.col("c")) & F.col("segment").eqNullSafe(F.col("g")), "left")
-                 .withColumn("piece", F.coalesce(F.pmod(F.xxhash64("turn", "speaker", "body"), "pieces"), F.lit(0)))
-                 .drop("c", "g", "pieces"))
+    dealt = _cut(base, piece_rows)
     packed = (dealt.groupBy("conv", "segment", "piece")
                    .agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "body"))).alias("rows"))
                    .withColumnRenamed("conv", "_conv"))

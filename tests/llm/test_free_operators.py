@@ -105,6 +105,22 @@ def test_hot_conversation_is_cut(spark):
     assert chat_format.rotate_perspectives(df.limit(0)).count() == 0
 
 
+def test_pieces_of_a_hot_conversation_are_stretches_of_it(spark):
+    data = [(1, k // 40, "ab"[k % 2], f"{k % 7}") for k in range(1000)] + [(1, 3, "a", "again")] * 700
+    data += [(None, None, "n", str(k)) for k in range(300)] + [(2, 0, "b", "short")] * 100
+    df = spark.createDataFrame(data, TURNS).repartition(7)
+    got = chat_format.rotate_perspectives(fx.extra_columns(df), piece_rows=100).collect()
+    assert max(r["n_turns"] for r in got) == 100
+    for conv in (1, None, 2):
+        rows = sorted(((t, s, x) for c, t, s, x in data if c == conv), key=lambda r: (r[0] or 0, *r[1:]))
+        for who in {s for _, s, _ in rows}:
+            view = sorted((r["piece"], r["rendered"]) for r in got if r["conv"] == conv and r["participant"] == who)
+            assert [k for k, _ in view] == list(range(-(-len(rows) // 100)))
+            heads = {True: "<|assistant|>", False: "<|user name={}|>"}
+            want = [f"{heads[s == who].format(s)}\n{x}<|end|>\n" for _, s, x in rows]
+            assert [text for _, text in view] == ["".join(want[k:k + 100]) for k in range(0, len(want), 100)]
+
+
 def naive_phrases(text, sample):
     n = i = 0
     while i < len(text):
