@@ -5,15 +5,15 @@ text. A text is cross-parsed against it: from each position the longest match
 with any substring of the sample is one phrase. A phrase costs log2 of the
 sample's length in bits; the language with the fewest bits per symbol wins.
 
-Learning: for each of the ``max_languages`` most frequent non-null values of
-lang, the ``sample_rows`` labelled rows of smallest hash, those of at most
-``row_chars`` code points first (longer ones give that many), up to
-``sample_symbols`` symbols. Everything that reaches the driver is bounded by
-these parameters. Predicting reads every text in full.
+Learning: for each non-null value of lang that has a text with a letter, the
+``sample_rows`` labelled rows of smallest hash, those of at most ``row_chars``
+code points first (longer ones give that many), up to ``sample_symbols``
+symbols. What reaches the driver is bounded by these parameters per language.
+Predicting reads every text in full.
 
-The automata are dense tables, built once per Python worker from the sample.
-Texts are parsed in blocks of ``BLOCK`` symbols, many blocks in lockstep with
-numpy, so a very long text costs what short ones of its length cost.
+The automata are hash tables of their edges, so any number of letters fits,
+built once per Python worker from the sample. Texts are parsed in blocks of
+``BLOCK`` symbols, many blocks in lockstep with numpy, so a very long text costs what short ones of its length cost.
 
 Symbols: lower-cased letters of the sample; every run of other characters is
 one blank; a letter that no sample holds matches nothing.
@@ -28,7 +28,6 @@ counts as the empty text in the fold rule.
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -36,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 BLOCK = 512
-OTHER = 0xFFFF
+POINTS = 0x110000
 
 
 def held_out(id_col: str) -> Column:
@@ -44,27 +43,61 @@ def held_out(id_col: str) -> Column:
 
 
 def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    max_languages: int = 64, sample_rows: int = 64, row_chars: int = 4000,
-                    sample_symbols: int = 40_000) -> dict[str, str]:
+                    sample_rows: int = 64, row_chars: int = 4000, sample_symbols: int = 40_000) -> dict[str, str]:
     """Language -> sample text, from the rows of ``docs`` (the learning fold)."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    top = rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang_col).limit(max_languages)
-    names = [r[0] for r in top.collect()]
     order = Window.partitionBy(lang_col).orderBy("_long", "_h", id_col)
-    picked = (rows.where(F.col(lang_col).isin(names)) if names else rows.limit(0))
-    picked = (picked.select(lang_col, id_col, (F.char_length(text_col) > row_chars).alias("_long"),
+    picked = (rows.select(lang_col, id_col, (F.char_length(text_col) > row_chars).alias("_long"),
                             F.xxhash64(id_col).alias("_h"), F.substring(text_col, 1, row_chars).alias("_t"))
                     .withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= sample_rows)
                     .select(lang_col, "_rn", "_t").collect())
-    sample: dict[str, str] = {n: "" for n in sorted(names)}
+    sample: dict[str, str] = {lang: "" for lang in sorted({r[0] for r in picked})}
     for lang, _, text in sorted(picked):
         if len(sample[lang]) < sample_symbols:
             sample[lang] = f"{sample[lang]} {text}"[:sample_symbols]
     return sample
 
 
-def suffix_automaton(seq: list[int], alphabet: int) -> np.ndarray:
-    """Dense transitions [state, symbol]; 0 stands for none (no edge leads to the root)."""
+class Edges:
+    """(state, symbol) -> next state, 0 for none: an open hash table, looked up for whole arrays."""
+
+    def __init__(self, nxt: list[dict], alphabet: int):
+        self.alphabet = alphabet
+        keys = np.array([state * alphabet + c for state, edges in enumerate(nxt) for c in edges], np.int64)
+        values = np.array([to for edges in nxt for to in edges.values()], np.int32)
+        bits = (2 * len(keys) + 1).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            self.keys[at[free]] = keys[free]  # one of several for a slot gets it
+            won = free[self.keys[at[free]] == keys[free]]
+            self.values[at[won]] = values[won]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & self.mask
+        self.root = self.follow(np.zeros(alphabet, np.int64), np.arange(alphabet))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def follow(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        key = state.astype(np.int64) * self.alphabet + symbol
+        at = self._slot(key)
+        found = self.keys[at]
+        to = np.where(found == key, self.values[at], 0)
+        left = np.flatnonzero((found != key) & (found >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            found = self.keys[at[left]]
+            hit = found == key[left]
+            to[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return to
+
+
+def suffix_automaton(seq: list[int], alphabet: int) -> Edges:
+    """The edges of all states; none leads to the root."""
     nxt, link, length = [{}], [-1], [0]
     last = 0
     for c in seq:
@@ -90,25 +123,16 @@ def suffix_automaton(seq: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.zeros((len(nxt), alphabet), np.int32)
-    for state, edges in enumerate(nxt):
-        for c, to in edges.items():
-            table[state, c] = to
-    return table
+    return Edges(nxt, alphabet)
 
 
 class CrossParser:
-    def __init__(self, sample: dict[str, str], max_letters: int = 200):
-        seen = Counter(c for text in sample.values() for c in text.lower() if c.isalpha())
-        letters = sorted(c for c, _ in seen.most_common(max_letters) if ord(c) < OTHER)
-        self.unknown = len(letters) + 1
-        self.map = np.zeros(OTHER + 1, np.int32)
-        for cp in range(OTHER + 1):
-            if chr(cp).isalpha():
-                self.map[cp] = self.unknown
+    def __init__(self, sample: dict[str, str]):
+        letters = sorted({c for text in sample.values() for c in text.lower() if c.isalpha()})
+        self.unknown = len(letters) + 1  # letters of no sample: no automaton has an edge for it
+        self.map = np.fromiter((self.unknown if chr(cp).isalpha() else 0 for cp in range(POINTS)), np.int32, POINTS)
         for i, c in enumerate(letters):
             self.map[ord(c)] = i + 1
-        self.map[OTHER] = self.unknown
         self.langs, self.tables, self.bits = [], [], []
         for lang in sorted(sample):
             symbols = self.symbols(sample[lang])
@@ -119,7 +143,7 @@ class CrossParser:
 
     def symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        s = self.map[np.minimum(points, OTHER)]
+        s = self.map[points]
         if len(s) > 1:
             s = s[np.r_[True, (s[1:] != 0) | (s[:-1] != 0)]]
         return s
@@ -139,17 +163,16 @@ class CrossParser:
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         active = len(left) - np.searchsorted(left[::-1], np.arange(BLOCK), side="right")
         for j, table in enumerate(self.tables):
-            width, root, edge = table.shape[1], table[0], table.ravel()
             state, count = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int64)
             for t in range(BLOCK):
                 k = active[t]
                 if not k:
                     break
                 s = flat[begin[:k] + t]
-                to = edge[state[:k] * width + s]
+                to = table.follow(state[:k], s)
                 miss = to == 0
                 count[:k] += miss | (state[:k] == 0)
-                state[:k] = np.where(miss, root[s], to)
+                state[:k] = np.where(miss, table.root[s], to)
             np.add.at(out[:, j], owner, count)
         return out, size
 

@@ -141,6 +141,21 @@ def test_cross_parsing_counts_longest_matches():
             assert counts[0, j] == naive_phrases(norm, "".join(chr(97 + s) for s in p.symbols(sample[lang]))), (text, lang)
 
 
+def test_every_letter_has_its_own_symbol():
+    han = "".join(chr(0x4E00 + k) for k in range(300))
+    p = langid.CrossParser({"x": han, "y": "".join(chr(0xAC00 + k) for k in range(300)), "z": "\U00020000\U00020001"})
+    assert len({int(s) for s in p.symbols(han)}) == 300
+    assert p.symbols("a\U0001F600b").tolist() == [p.unknown, 0, p.unknown]
+    counts, _ = p.phrases([han[200:260], "qqqqqq", "\U00020000\U00020001"])
+    assert counts[0, 0] == 1 and counts[0, 1] == 60 and counts[1].tolist() == [6, 6, 6] and counts[2, 2] == 1
+
+
+def test_every_labelled_language_is_learned(spark):
+    data = [(k, f"{chr(0x4E00 + k)} text", f"l{k:03}") for k in range(70)]
+    sample = langid.learning_sample(spark.createDataFrame(data, "doc_id long, text string, lang string"))
+    assert sorted(sample) == [f"l{k:03}" for k in range(70)]
+
+
 def test_language_of_held_out_documents(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     sample = langid.learning_sample(df.where(~langid.held_out("doc_id")))
