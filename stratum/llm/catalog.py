@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import (chat_format, decontaminate, langid, line_dedup, near_dedup, packing, quality, secrets,
-                         sharding, warc)
+from stratum.llm import (chat_format, collocations, conversation_repair, decontaminate, langid, line_dedup, mixing,
+                         near_dedup, packing, quality, secrets, sharding, warc)
 from stratum.llm.oracle import SQL
 from stratum.session import scratch_dir
 
@@ -85,6 +85,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_conversations(damaged, "conv", lost_col="lost").withColumnRenamed("conv", "conv_id")
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(_table(spark, sf_dir, "documents"))
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -93,6 +107,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc, op2_decontamination, op3_chat_formatting, op4_language_id, op5_secret_scan, op6_line_dedup,
-        op7_best_fit_packing, op8_near_dedup, op9_quality_rules, op10_sharding, pipeline)}
+        op7_best_fit_packing, op8_near_dedup, op9_quality_rules, op10_sharding,
+        op11_conversation_repair, op12_source_mixing, op13_collocations, pipeline)}
 
 __all__ = ["QUERIES", "SQL"]

@@ -143,5 +143,127 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+# CRC-32 of a short ASCII string, bit by bit; backward costs and the walk of tight edits by recursion.
+OP11 = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+dealt AS (
+  SELECT *, xor(list_reduce(
+    list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, CAST(i AS INT), 1)) AS BIGINT)),
+    lambda c, x: xor(list_reduce(range(8), lambda t, i: CASE WHEN t % 2 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END,
+                                 xor(c, x) & 255), c >> 8),
+    CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 20 AS d FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy FROM dealt WHERE d <> 0)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         left(role, 1) AS c, r{_STRIP.format('text')} AS body FROM damaged),
+k AS (
+  SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS c0,
+         CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(body, 1) IN ('.', '!', '?') THEN 'none' ELSE 'truncated' END AS kind FROM placed),
+e AS (SELECT *, kind IN ('blank', 'duplicate') AS g, CASE WHEN kind = 'truncated' THEN 5 ELSE 0 END AS t FROM k),
+back AS (
+  SELECT conv_id, n + 1 AS i, [0, 10, 5, 0] AS v FROM e GROUP BY conv_id, n
+  UNION ALL
+  SELECT conv_id, i, [least(s, 5 + u, 10 + a), least(p, 5 + u, 10 + a), least(u, 5 + a), least(a, 5 + u)]
+  FROM (SELECT e.conv_id, e.i,
+               least(2 + v[1], CASE WHEN NOT g THEN 1 + t + v[3] END, CASE WHEN NOT g AND c = 's' THEN t + v[2] END,
+                     CASE WHEN NOT g AND c = 'u' THEN t + v[3] END) AS s,
+               least(2 + v[2], CASE WHEN NOT g THEN 1 + t + v[3] END, CASE WHEN NOT g AND c = 'u' THEN t + v[3] END) AS p,
+               least(2 + v[3], CASE WHEN NOT g THEN 1 + t + v[4] END, CASE WHEN NOT g AND c = 'a' THEN t + v[4] END) AS u,
+               least(2 + v[4], CASE WHEN NOT g THEN 1 + t + v[3] END, CASE WHEN NOT g AND c = 'u' THEN t + v[3] END) AS a
+        FROM back JOIN e ON e.conv_id IS NOT DISTINCT FROM back.conv_id AND e.i = back.i - 1)),
+steps AS (
+  SELECT h.conv_id, h.i, h.v AS here, nxt.v AS after, e.c, e.g, e.t, e.role, e.text
+  FROM back h LEFT JOIN back nxt ON nxt.conv_id IS NOT DISTINCT FROM h.conv_id AND nxt.i = h.i + 1
+  LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM h.conv_id AND e.i = h.i),
+walk AS (
+  SELECT conv_id, CAST(1 AS BIGINT) AS i, 1 AS q, '' AS audit, CAST(NULL AS VARCHAR) AS turns, CAST(0 AS BIGINT) AS cost
+  FROM e GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END, CASE edit WHEN 'D' THEN q WHEN 'K' THEN keep ELSE succ END,
+         audit || edit,
+         CASE WHEN edit = 'D' THEN turns ELSE coalesce(turns || chr(10), '') || CASE edit WHEN 'K' THEN role || ':' || text
+              WHEN 'R' THEN named || ':' || text ELSE named || ':' END END,
+         cost + CASE edit WHEN 'D' THEN 2 WHEN 'I' THEN 5 WHEN 'K' THEN t ELSE 1 + t END
+  FROM (SELECT *, CASE WHEN after IS NULL THEN 'I' WHEN here[q] = 2 + after[q] THEN 'D' WHEN here[q] = 5 + here[succ] THEN 'I'
+                       WHEN NOT g AND keep IS NOT NULL AND here[q] = t + after[keep] THEN 'K' ELSE 'R' END AS edit
+        FROM (SELECT w.*, s.here, s.after, s.c, s.g, s.t, s.role, s.text,
+                     CASE WHEN q = 3 THEN 4 ELSE 3 END AS succ, CASE WHEN q = 3 THEN 'assistant' ELSE 'user' END AS named,
+                     CASE WHEN c = 's' AND q = 1 THEN 2 WHEN c = 'u' AND q <> 3 THEN 3 WHEN c = 'a' AND q = 3 THEN 4 END AS keep
+              FROM walk w JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i
+              WHERE s.after IS NOT NULL OR q NOT IN (1, 4)))),
+done AS (SELECT w.* FROM walk w JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i
+         WHERE s.after IS NULL AND q IN (1, 4)),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'blank') AS blank,
+         count(*) FILTER (kind = 'duplicate') AS duplicate, count(*) FILTER (kind = 'truncated') AS truncated,
+         count(*) FILTER (c0 IS NOT NULL AND c0 || c NOT IN ('su', 'ua', 'au')) AS illegal FROM e GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(d.cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(turns, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+OP12 = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size, row_number() OVER () AS rid,
+         md5(coalesce(CAST(doc_id AS VARCHAR), ' ') || ':' || coalesce(text, '')) AS h FROM documents),
+sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY source),
+bud AS (SELECT sum(source_size) * 150 / 100.0 AS b FROM sizes),
+src AS (
+  SELECT *, 2.0 * source_size AS cap, CAST([3, 1, 2][CAST(place % 3 AS INT) + 1] AS DOUBLE) AS w
+  FROM (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place FROM sizes)),
+level AS (
+  SELECT CAST(0 AS DOUBLE) AS l
+  UNION
+  SELECT (CAST(b AS DOUBLE) - coalesce(sum(CASE WHEN cap < w * l THEN cap END), 0)) / sum(CASE WHEN cap >= w * l THEN w END)
+  FROM level, src, bud GROUP BY l, b),
+goal AS (SELECT source, source_size, place, least(cap, w * (SELECT max(l) FROM level)) AS target FROM src),
+queue AS (
+  SELECT rid, size, place, target, source_size, CAST(sum(size) OVER (PARTITION BY place ORDER BY h, rid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM rows JOIN goal ON rows.source IS NOT DISTINCT FROM goal.source),
+copies AS (
+  SELECT rid, size, place, upto, epoch, CAST(source_size * epoch + upto AS DOUBLE) / target AS finish
+  FROM (SELECT *, unnest([0, 1]) AS epoch FROM queue WHERE size > 0)),
+mixed AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, place, epoch, upto ROWS UNBOUNDED PRECEDING) AS total FROM copies),
+taken AS (SELECT rid, sum(size) AS taken FROM mixed WHERE total <= (SELECT b FROM bud) GROUP BY rid)
+SELECT doc_id, CAST(rows.size AS BIGINT) AS size, source_size, CAST(target AS DOUBLE) AS target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM rows JOIN goal ON rows.source IS NOT DISTINCT FROM goal.source LEFT JOIN taken USING (rid)
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_UP}, {_LOW}) AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+g AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT lang, w, unnest(range(1, 6)) AS m FROM p) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND f >= 100),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, n.n,
+         (CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ') JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(w[s:s + z - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, w, z, unnest(range(1, m - z + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS z FROM c WHERE m >= 3))
+  GROUP BY ALL),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 SQL = {"op1_warc": OP1, "op2_decontamination": OP2, "op3_chat_formatting": OP3, "op6_line_dedup": OP6,
-       "op8_near_dedup": OP8, "op9_quality_rules": OP9}
+       "op8_near_dedup": OP8, "op9_quality_rules": OP9,
+       "op11_conversation_repair": OP11, "op12_source_mixing": OP12, "op13_collocations": OP13}
