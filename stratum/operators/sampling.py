@@ -1,38 +1,57 @@
 """Deterministic samples, disjoint splits and surrogate ids.
 
 None of these uses a global ``row_number() over (order by ..)``, which
-would pull every row into one task: samples are top-k by hash (each task
-keeps k rows), and surrogate ids come from range partitions plus
-per-partition offsets.
+would pull every row into one task. A sample is found by counting: a histogram of
+the hash says below which bucket every row is in and which single bucket holds the
+last ones; only that bucket's rows are put in order, by range partitions. Ranks
+and surrogate ids are places in range partitions plus the partitions' offsets. So
+a sample of half the table costs no task more than its share.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stratum.operators.ordering import placed
 from stratum.session import checkpoint_root, sized_partitions
 
 
+# --- fixed value: buckets of the hash histogram, the most that comes to the driver ---
+HASH_BUCKETS = 4096
+
+
 def hash_rank_key(key: str) -> list[Column]:
     """Sort key of a hash sample: md5 of the key's text, then the key."""
     return [F.md5(F.col(key).cast("string")), F.col(key)]
 
 
+def _hash_bucket(key: str) -> Column:
+    """Bucket of the hash by its leading three hex digits, in hash order; a NULL key hashes to NULL, which sorts first."""
+    digits = F.substring(F.md5(F.col(key).cast("string")), 1, 3)
+    return F.coalesce(F.conv(digits, 16, 10).cast("int"), F.lit(-1))
+
+
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the same ones on every run."""
-    return df.orderBy(*hash_rank_key(key)).limit(n)
+    """Exactly ``min(n, rows)`` rows, the same ones on every run (of rows with equal keys, any)."""
+    counts = {r["b"]: r["n"] for r in df.groupBy(_hash_bucket(key).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    below, edge = 0, None
+    for b in sorted(counts):
+        if below + counts[b] > n:
+            edge = b
+            break
+        below += counts[b]
+    if edge is None:  # n rows or fewer in all
+        return df
+    whole = df.where(_hash_bucket(key) < edge)
+    last = placed(df.where(_hash_bucket(key) == edge), hash_rank_key(key), "sample-edge")
+    return whole.unionByName(last.where(F.col("_at") < n - below).drop("_at"))
 
 
 def disjoint_splits(df: DataFrame, key: str, sizes: dict[str, int]) -> DataFrame:
     """Consecutive slices of one hash ranking: first ``sizes[0]`` rows to
-    split 0, the next ones to split 1, ... No row is in two splits.
-
-    Only the ``sum(sizes)`` sampled rows are ranked (a bounded set).
-    """
-    total = sum(sizes.values())
-    top = hash_sample(df, key, total)
-    rank = F.row_number().over(Window.orderBy(*hash_rank_key(key)))
-    ranked = top.withColumn("rank", rank.cast("long"))
+    split 0, the next ones to split 1, ... No row is in two splits."""
+    top = hash_sample(df, key, sum(sizes.values()))
+    ranked = placed(top, hash_rank_key(key), "splits", "rank").withColumn("rank", (F.col("rank") + 1).cast("long"))
     split = None
     upper = 0
     for name, size in sizes.items():

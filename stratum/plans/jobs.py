@@ -4,30 +4,33 @@
 
 1. Bronze: the landing rows that arrived in the window replace the Bronze
    partition ``_batch_date = window start``, also when there are none.
-2. Silver. Tables that follow from Bronze are partitioned by ``_batch_date`` and a
-   run replaces its own partition:
+2. Silver, Gold training set and quarantine are partitioned by ``_batch_date`` too; a run
+   replaces its own partitions, which follow from its Bronze partition and the
+   partitions before it:
    * events / transcripts: the batch's first delivery per id, for ids that no
      earlier ``_batch_date`` holds (NULL ids included);
    * chunks: from that Silver partition;
-   * quarantine: every rejected record of the batch.
-   A replay of an earlier run decides anew the later partitions that hold an id
-   which it added or removed.
-   * tickets: a latest-valid-record state per ticket, upserted with the greatest
-     ``(event_time, cdc_seq)`` winning. A run whose Bronze partition existed
-     before recomputes its tickets, old and new, from all of Bronze, so a
-     correction or removal reaches Silver.
-3. Gold: training set merged by ``ticket_id`` with the Silver rows of the run's
-   tickets; daily features recomputed for whole days from
-   ``max(event_date) - lookback`` and written by day-partition replace.
-
-Every step is a function of Bronze and of slices before it, never of "what
-the last commit wrote", so a run that died anywhere is repaired by running it
-again. A merge rewrites the key buckets it touches.
+   * quarantine: every rejected record of the batch;
+   * tickets: the batch's latest valid record per ticket. Read over all
+     partitions, the greatest ``(event_time, cdc_seq)`` wins;
+   * training set: the batch's tickets whose record wins over all partitions
+     so far. Read over all partitions, the last one wins (a merge that never deletes).
+3. Daily features are recomputed for whole days from ``max(event_date) - lookback``
+   and written by day-partition replace.
+
+A replay changes what later partitions were decided from. So before Bronze is
+overwritten, a run that is no plain next one writes what its Silver partition
+holds into its *intent* folder. From it and the new partition follow the keys that
+the replay changed; the later partitions that hold such a key are decided
+anew, and the days of such rows are recomputed or, if no row is left, emptied. The
+intent goes when all is done: an attempt that died anywhere leaves it, the
+next one adds its own and repairs what either changed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
@@ -44,6 +47,7 @@ from stratum.session import scratch_dir
 FAMILIES = ("events", "tickets", "transcripts")
 CDC_ORDER = ["event_time", "cdc_seq"]
 SLICE = "_batch_date"
+LIVE = "_live"
 
 
 @dataclass
@@ -52,10 +56,6 @@ class Warehouse:
     root: str
     # Bronze landing sources by family; each must carry ``_ingested_at``.
     landing: dict[str, DataFrame] = field(default_factory=dict)
-    _tables: dict = field(default_factory=dict, repr=False)
-    _feature_max: dt.date | None = field(default=None, repr=False)
-    # Hash buckets of new keyed tables; size so that one bucket is a few hundred MB.
-    buckets: int = 8
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -71,20 +71,11 @@ class Warehouse:
         return df
 
     # --- table views -------------------------------------------------------------
-    def keyed(self, *parts: str, key: str) -> W.KeyedTable:
-        """A keyed entity table; one that exists keeps its own bucket count."""
-        name = "/".join(parts)
-        if name not in self._tables:
-            stored = W.KeyedTable(self.spark, self.path(*parts), key)
-            self._tables[name] = stored if stored.exists() else \
-                W.KeyedTable(self.spark, self.path(*parts), key, self.buckets)
-        return self._tables[name]
+    def ticket_state(self) -> W.SlicedTable:
+        return W.SlicedTable(self.spark, self.path("silver", "ticket_state"), "ticket_id", CDC_ORDER, slice_col=SLICE)
 
-    def ticket_state(self) -> W.KeyedTable:
-        return self.keyed("silver", "ticket_state", key="ticket_id")
-
-    def gold_training(self) -> W.KeyedTable:
-        return self.keyed("gold", "training_set", key="ticket_id")
+    def gold_training(self) -> W.SlicedTable:
+        return W.SlicedTable(self.spark, self.path("gold", "training_set"), "ticket_id", [SLICE], slice_col=SLICE)
 
     def silver_tickets(self) -> DataFrame | None:
         state = self.ticket_state().read()
@@ -106,7 +97,8 @@ class Warehouse:
         return self.sliced("quarantine", "tickets")
 
     def training_set(self) -> DataFrame | None:
-        return self.gold_training().read()
+        rows = self.gold_training().read()
+        return None if rows is None else rows.where(LIVE).drop(LIVE)
 
     def doc_chunks(self) -> DataFrame | None:
         return self.sliced("gold", "doc_chunks")
@@ -131,37 +123,29 @@ def load_bronze(wh: Warehouse, family: str, start, end) -> int:
 
 # --- per family ------------------------------------------------------------------
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """Rows that an overwrite is about to replace, written aside."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _tickets(wh: Warehouse, batch: DataFrame, day: dt.date, before: DataFrame | None,
-             delete_missing: bool = False) -> dict[str, int]:
+def _tickets(wh: Warehouse, batch: DataFrame, day: dt.date, delete_missing: bool = False) -> dict[str, int]:
+    """Quarantine, state and training-set slices of ``day``. With ``delete_missing`` the training set also learns which
+    of the batch's tickets are deleted; the default never deletes."""
     out = {}
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out["quarantine_tickets"] = W.replace_slice(quarantine.quarantine_tickets(batch),
-                                                    wh.path("quarantine", "tickets"), SLICE, day)
-        keys = batch.select("ticket_id").distinct()
-        state = wh.ticket_state()
-        if before is None:  # the partition is new: its valid records are all there is to add
-            out["silver_ticket_state"] = state.upsert(quarantine.accepted(quarantine.tag(batch)), CDC_ORDER)
-        else:
-            keys = keys.union(before).distinct()
-            records = W.null_safe(wh.bronze("tickets").drop(SLICE), keys, ["ticket_id"], "left_semi")
-            valid = quarantine.accepted(quarantine.tag(records))
-            out["silver_ticket_state"] = state.replace_keys(keys, W.collapse(valid, "ticket_id", CDC_ORDER))
-        silver = latest.silver_from_state(state.rows_of(keys))
-        quality.check_contract(silver, quality.SILVER_TICKETS_CONTRACT)
-        # Silver state is unique per ticket by construction: no source-key check.
-        live = wh.silver_tickets().select("ticket_id") if delete_missing else None
-        out["gold_training_set"] = wh.gold_training().merge(training.training_set(silver), check_source_unique=False,
-                                                            keep_only=live)
-    finally:
-        batch.unpersist()
+    out["quarantine_tickets"] = W.replace_slice(quarantine.quarantine_tickets(batch), wh.path("quarantine", "tickets"), SLICE, day)
+    state = wh.ticket_state()
+    valid = quarantine.accepted(quarantine.tag(batch))
+    out["silver_ticket_state"] = state.put(day, valid)
+    mine = wh.sliced("silver", "ticket_state", keep_slice=True)
+    if mine is None:
+        return out
+    mine = mine.where(F.col(SLICE) == F.lit(day)).drop(SLICE)
+    now = state.read(until=day.isoformat(), keys=mine.select("ticket_id"))
+    # the batch's own record is the ticket's newest so far; another one is the training set's already
+    own = W.null_safe(now, mine, ["ticket_id", *CDC_ORDER], "left_semi")
+    silver = latest.silver_from_state(own)
+    quality.check_contract(silver, quality.SILVER_TICKETS_CONTRACT)
+    rows = training.training_set(silver).withColumn(LIVE, F.lit(True))
+    if delete_missing:
+        gone = own.where("op = 'd'").select("ticket_id").withColumn(LIVE, F.lit(False))
+        rows = rows.unionByName(gone, allowMissingColumns=True)
+    # unique per ticket by construction: the state has one row per ticket
+    out["gold_training_set"] = wh.gold_training().put(day, rows, collapsed=True)
     return out
 
 
@@ -193,60 +177,135 @@ def _transcript_slice(wh: Warehouse, batch: DataFrame, day: dt.date) -> dict[str
     return out
 
 
-def _decide_slices(wh: Warehouse, family: str, table: tuple[str, str], key: str, day: dt.date,
-                   decide: Callable[[Warehouse, DataFrame, dt.date], dict[str, int]]) -> dict[str, int]:
-    """The slice of ``day``; then, if this is a replay, the later slices that
-    hold an id which the slice gained or lost."""
-    dates = W.slice_values(wh.spark, wh.path(*table), SLICE)
-    later = [d for d in dates if d > day.isoformat()]
-    stored = wh.sliced(*table, keep_slice=True)
-
-    def ids() -> DataFrame:
-        mine = wh.sliced(*table, keep_slice=True)
-        return mine.where(F.col(SLICE) == F.lit(day)).select(key)
-
-    old = _kept(ids(), "old-ids") if later and stored is not None else None
-    out = decide(wh, _batch(wh, family, day), day)
-    if old is not None:
-        new = ids()
-        changed = W.null_safe(old, new, [key], "left_anti").union(W.null_safe(new, old, [key], "left_anti")).distinct()
-        rows = wh.bronze(family).where(F.col(SLICE) > F.lit(day))
-        held = W.null_safe(rows.select(SLICE, key), changed, [key], "left_semi").select(SLICE).distinct()
-        for d in sorted(r[0] for r in held.collect()):  # dates only
-            decide(wh, _batch(wh, family, d), d)
-    return out
-
+# --- replays --------------------------------------------------------------------------
 
-def _target_max_day(wh: Warehouse) -> dt.date | None:
-    if wh._feature_max is None:
-        gold = wh.feature_daily()
-        if gold is not None:
-            wh._feature_max = gold.agg(F.max("event_date").alias("m")).first()["m"]
-    return wh._feature_max
+# Silver table of a family, its key, and whether a row's content (not only its key) matters to later slices.
+_SILVER = {"events": (("silver", "events"), "event_id", False), "tickets": (("silver", "ticket_state"), "ticket_id", True),
+           "transcripts": (("silver", "transcripts"), "transcript_id", False)}
 
 
-def update_feature_daily(wh: Warehouse, lookback_days: int, cap: dt.date | None = None) -> int:
-    """Recompute whole days from ``max(event_date) - lookback`` and replace
-    those day partitions; the first run builds everything. Only the Silver
-    day partitions of the window are read.
+@dataclass
+class Intent:
+    """What a replay of one slice has to know after it has overwritten Bronze, in the shared folder until the last
+    slice is decided. Every attempt adds a snapshot; one counts from the moment its marker is there."""
+
+    wh: Warehouse
+    family: str
+    day: dt.date
+
+    def __post_init__(self) -> None:
+        self.path = self.wh.path("_replays", self.family, f"{SLICE}={self.day}")
+        self.table, self.key, self.by_content = _SILVER[self.family]
+
+    def _names(self, kind: str) -> list[str]:
+        names = storage.list_names(self.wh.spark, self.path)
+        return sorted(n[:-len(".ready")] for n in names if n.startswith(kind) and n.endswith(".ready"))
+
+    def _write(self, kind: str, rows: DataFrame) -> None:
+        name = f"{kind}-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(f"{self.path}/{name}")
+        storage.create_text(self.wh.spark, f"{self.path}/{name}.ready", "")
+
+    def _read(self, *names: str) -> DataFrame:
+        return self.wh.spark.read.parquet(*[f"{self.path}/{n}" for n in names])
+
+    def rows(self, since: dt.date | None = None) -> DataFrame | None:
+        """(key, version, day) of the slice, or of all slices from ``since`` on."""
+        stored = self.wh.sliced(*self.table, keep_slice=True)
+        if stored is None:
+            return None
+        stored = stored.where(F.col(SLICE) == F.lit(self.day)) if since is None else stored.where(F.col(SLICE) >= F.lit(since))
+        content = [c for c in stored.columns if c != SLICE]
+        day = F.col("event_date") if "event_date" in stored.columns else F.lit(None).cast("date")
+        return stored.select(F.col(self.key).alias("key"), (F.xxhash64(*content) if self.by_content else F.lit(0).cast("long")).alias("version"),
+                             day.alias("day"))
+
+    def open(self) -> bool:
+        """Writes the snapshot. False if this is a plain next run, with nothing to repair."""
+        spark = self.wh.spark
+        again = storage.exists(spark, self.wh.path("bronze", self.family, f"{SLICE}={self.day}"))
+        if not (again or self._names("before") or self.later()):
+            return False
+        rows = self.rows()
+        if rows is None:
+            kind = self.wh.landing[self.family].schema[self.key].dataType.simpleString()
+            rows = spark.createDataFrame([], f"key {kind}, version bigint, day date")
+        self._write("before", rows)
+        return True
+
+    def later(self) -> list[str]:
+        return [d for d in W.slice_values(self.wh.spark, self.wh.path(*self.table), SLICE) if d > self.day.isoformat()]
+
+    def changed(self) -> DataFrame:
+        """Keys that not every snapshot and the slice as it is now hold alike."""
+        sets = [self._read(n).select("key", "version", F.lit(i).alias("s")) for i, n in enumerate(self._names("before"))]
+        now = self.rows()
+        if now is not None:
+            sets.append(now.select("key", "version", F.lit(-1).alias("s")))
+        every = sets[0]
+        for df in sets[1:]:
+            every = every.unionByName(df)
+        n = len(self._names("before")) + 1
+        return (every.groupBy("key", "version").agg(F.count_distinct("s").alias("n")).where(F.col("n") < n).select("key").distinct())
+
+    def settle(self, decide: Callable[[Warehouse, DataFrame, dt.date], dict[str, int]]) -> list[dt.date]:
+        """Decides anew the later slices that hold a changed key; returns the days whose rows changed."""
+        spark = self.wh.spark
+        path = scratch_dir(spark, "changed-keys")
+        self.changed().write.parquet(path)
+        changed = spark.read.parquet(path)
+        if changed.isEmpty():
+            return []
+        later = self.later()
+        if later:
+            later_rows = self.rows(since=self.day + dt.timedelta(days=1))
+            self._write("later", W.null_safe(later_rows, changed, ["key"], "left_semi"))
+            bronze = self.wh.bronze(self.family).where(F.col(SLICE) > F.lit(self.day)).select(SLICE, F.col(self.key).alias("key"))
+            held = W.null_safe(bronze, changed, ["key"], "left_semi").select(SLICE).distinct()
+            for d in sorted(r[0] for r in held.collect()):  # dates only
+                decide(self.wh, _batch(self.wh, self.family, d), d)
+        if self.family != "events":
+            return []
+        rows, now = self._read(*self._names("before"), *self._names("later")), self.rows(since=self.day)
+        rows = rows if now is None else rows.unionByName(now)
+        days = W.null_safe(rows, changed, ["key"], "left_semi").select("day").distinct()
+        return sorted(r[0] for r in days.collect() if r[0] is not None)  # dates only
+
+    def close(self) -> None:
+        storage.delete(self.wh.spark, self.path)
+
+
+def update_feature_daily(wh: Warehouse, lookback_days: int, cap: dt.date | None = None,
+                         changed_days: Sequence[dt.date] = ()) -> int:
+    """Recompute whole days from ``max(event_date) - lookback`` on, and the ``changed_days`` of a replay, and replace
+    those day partitions; a changed day without rows is emptied. The first run builds everything. Only the Silver
+    day partitions in question are read.
 
     The window's aggregate is kept (memory, spilling to disk) for the
     source-key check and the write, so it is computed once.
     """
-    start = lateness.lookback_start(_target_max_day(wh), lookback_days, cap)
-    src = wh.silver_events(since=start)
+    gold = wh.feature_daily()
+    top = None if gold is None else gold.agg(F.max("event_date")).first()[0]
+    start = lateness.lookback_start(top, lookback_days, cap)
+    src = wh.silver_events()
     if src is None:
         return 0
+    if start is not None:
+        src = src.where((F.col("event_date") >= F.lit(start)) | F.col("event_date").isin(list(changed_days)) if changed_days
+                        else F.col("event_date") >= F.lit(start))
     agg = features.feature_daily(src).persist(StorageLevel.MEMORY_AND_DISK)
+    path = wh.path("gold", "feature_daily")
     try:
         W.check_unique(agg, features.FEATURE_KEY)
-        got = W.replace_partitions(agg, wh.path("gold", "feature_daily"), ["event_date"],
-                                   metrics=[F.max("event_date").alias("max_day")])
+        if changed_days:
+            left = agg.where(F.col("event_date").isin(list(changed_days))).select("event_date").distinct()
+            held = set(W.slice_values(wh.spark, path, "event_date"))
+            for d in set(changed_days) - {r[0] for r in left.collect()}:  # dates only
+                if d.isoformat() in held:
+                    storage.delete(wh.spark, f"{path}/event_date={d}")
+        return W.replace_partitions(agg, path, ["event_date"])
     finally:
         agg.unpersist()
-    if got.get("max_day") is not None:
-        wh._feature_max = max(filter(None, [wh._feature_max, got["max_day"]]))
-    return int(got["rows"])
 
 
 def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
@@ -258,22 +317,19 @@ def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
     default merge never deletes). Returns rows written per table."""
     only = [f for f in FAMILIES if f in set(only) & set(wh.landing)]
     day = _as_date(start)
+    decide = {"events": _event_slice, "transcripts": _transcript_slice,
+              "tickets": lambda w, b, d: _tickets(w, b, d, delete_missing)}
 
     def family(fam: str) -> dict[str, int]:
-        replay = storage.exists(wh.spark, wh.path("bronze", fam, f"{SLICE}={day}"))
-        before = None
-        if replay and fam == "tickets":
-            before = _kept(wh.bronze(fam, day).select("ticket_id").distinct(), "old-keys")
-        res = {f"bronze_{fam}": load_bronze(wh, fam, start, end)}
+        res, replay, intent = begin_run(wh, fam, start, end)
         if not replay and res[f"bronze_{fam}"] == 0:  # nothing arrived, nothing was there
             return res
-        if fam == "tickets":
-            res.update(_tickets(wh, _batch(wh, fam, day), day, before, delete_missing))
-        elif fam == "events":
-            res.update(_decide_slices(wh, fam, ("silver", "events"), "event_id", day, _event_slice))
-            res["gold_feature_daily"] = update_feature_daily(wh, lookback_days, cap)
-        else:
-            res.update(_decide_slices(wh, fam, ("silver", "transcripts"), "transcript_id", day, _transcript_slice))
+        res.update(decide[fam](wh, _batch(wh, fam, day), day))
+        days = intent.settle(decide[fam]) if replay else []
+        if fam == "events":
+            res["gold_feature_daily"] = update_feature_daily(wh, lookback_days, cap, days)
+        if replay:
+            intent.close()
         return res
 
     # Families share no table, so their chains run concurrently (Spark takes
@@ -285,6 +341,13 @@ def run_window(wh: Warehouse, start, end, *, lookback_days: int = 3,
     return out
 
 
+def begin_run(wh: Warehouse, family: str, start, end) -> tuple[dict[str, int], bool, Intent]:
+    """The first step of a run: its intent, if it is a replay, then Bronze. A run may die after any step."""
+    intent = Intent(wh, family, _as_date(start))
+    replay = intent.open()
+    return {f"bronze_{family}": load_bronze(wh, family, start, end)}, replay, intent
+
+
 def _batch(wh: Warehouse, family: str, day: dt.date) -> DataFrame:
     """The Bronze partition of this run (empty frame if nothing arrived)."""
     df = wh.bronze(family, day)

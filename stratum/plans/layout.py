@@ -15,7 +15,13 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import unquote
+
+import pandas as pd
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -34,14 +40,15 @@ PAGE_ROWS = 256
 
 
 def compact(df: DataFrame, path: str, partition_col: str, sort_cols: Sequence[str],
-            partitions: int | None = None, row_group_rows: int = ROW_GROUP_ROWS) -> dict:
+            partitions: int | None = None, row_group_rows: int = ROW_GROUP_ROWS, bloom_cols: Sequence[str] = ()) -> dict:
     """Range-partition on (day, sort columns), sort inside each task and
     write one folder per day.
 
     Range partitioning keeps each task on a contiguous slice of the sort
     order: a small day ends up in one file, a big (or skewed) day is split
     over several tasks by the sampled range bounds instead of landing in a
-    single task. Returns rows before/after and files written.
+    single task. ``bloom_cols`` get a Bloom filter per row group, so that a lookup of a value that no row has skips
+    row groups whose min/max cover it. Returns rows before/after and files written.
     """
     spark = df.sparkSession
     n = partitions or sized_partitions(df)
@@ -52,10 +59,13 @@ def compact(df: DataFrame, path: str, partition_col: str, sort_cols: Sequence[st
     out = (df.repartitionByRange(n, *keyed)
            .sortWithinPartitions(*keyed)
            .observe(obs, F.count(F.lit(1)).alias("rows")))
-    (out.write.mode("overwrite")
-        .option("parquet.block.row.count.limit", row_group_rows)
-        .option("parquet.page.row.count.limit", PAGE_ROWS)
-        .partitionBy(partition_col).parquet(path))
+    writer = (out.write.mode("overwrite")
+                 .option("parquet.block.row.count.limit", row_group_rows)
+                 .option("parquet.page.row.count.limit", PAGE_ROWS))
+    for c in bloom_cols:
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+                        .option(f"parquet.bloom.filter.expected.ndv#{c}", str(row_group_rows)))
+    writer.partitionBy(partition_col).parquet(path)
     before = int(obs.get["rows"])
     back = spark.read.parquet(path)
     after = back.count()
@@ -64,6 +74,48 @@ def compact(df: DataFrame, path: str, partition_col: str, sort_cols: Sequence[st
     return {"rows_before": before, "rows_after": after, "files": len(back.inputFiles())}
 
 
+# --- zone maps ----------------------------------------------------------------------
+
+def _footers(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Per file path: one row per row group and column, from the footer alone."""
+    for pdf in batches:
+        rows = []
+        for uri in pdf["path"]:
+            fs, name = (pafs.LocalFileSystem(), re.sub("^file:/+", "/", uri)) if uri.startswith("file:") else pafs.FileSystem.from_uri(uri)
+            with fs.open_input_file(unquote(name)) as f:
+                meta = pq.ParquetFile(f).metadata
+            at = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
+            for g in range(meta.num_row_groups):
+                group = meta.row_group(g)
+                for c in columns:
+                    s = group.column(at[c]).statistics
+                    known = s is not None and s.has_min_max
+                    rows.append((uri, g, group.num_rows, c, str(s.min) if known else None, str(s.max) if known else None))
+        yield pd.DataFrame(rows, columns=["file", "row_group", "rows", "column_name", "low", "high"])
+
+
+def zone_map(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """(file, row_group, rows, column_name, low, high) of every row group of the Parquet files under ``path``: Spark lists the
+    files, tasks read their footers. Text columns: bounds are compared as text."""
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+              .load(path).select("path"))
+    names = list(columns)
+    return listed.mapInPandas(lambda b: _footers(b, names),
+                              "file string, row_group int, rows bigint, column_name string, low string, high string")
+
+
+def predicted(zones: DataFrame, equals: dict[str, str], partitions: dict[str, str] | None = None) -> DataFrame:
+    """(file, row_group, rows) that a reader can't skip by min/max for ``column = value`` (one row per row group), in the
+    ``partitions`` folders."""
+    for col, value in (partitions or {}).items():
+        zones = zones.where(F.contains("file", F.lit(f"/{col}={value}/")))
+    skip = F.lit(False)
+    for col, value in equals.items():
+        skip = skip | ((F.col("column_name") == col) & ((F.lit(value) < F.col("low")) | (F.lit(value) > F.col("high"))))
+    return (zones.groupBy("file", "row_group", "rows").agg(F.bool_or(F.coalesce(skip, F.lit(False))).alias("skip"))
+                 .where("not skip").drop("skip"))
+
+
 # --- scan metrics ------------------------------------------------------------------
 
 def _children(node) -> list:
@@ -117,7 +169,7 @@ def scan_report(spark: SparkSession, label: str, dataset_path: str,
     result = query(data)
     rows = result.collect()
     m = scan_metrics(result)
-    return {"layout": label, **m, "files_on_disk": len(data.inputFiles()),
+    return {"layout": label, "path": dataset_path, **m, "files_on_disk": len(data.inputFiles()),
             "rows_on_disk": data.count(), "result_rows": len(rows), "result_hash": result_hash(rows)}
 
 

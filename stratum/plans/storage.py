@@ -28,6 +28,22 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
 
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """(name, size, modification time) of what lies under ``folder``, down to the files of a table's folder."""
+    p, fs = _fs(spark, folder)
+    out = []
+    for st in fs.listStatus(p):
+        inner = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+        out += [(st.getPath().getName(), f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in inner]
+    return tuple(sorted(out))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder, if it is there."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> None:
     """Create a file with ``text``; fails if it already exists (an atomic claim)."""
     p, fs = _fs(spark, path)

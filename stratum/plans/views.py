@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratum.functions.normalize import (INT_PATTERN, PRIORITY_LABELS, PRIORITY_MAX, PRIORITY_MIN, REASON_EMPTY, REASON_NULL,
+                                         REASON_OUT_OF_RANGE, REASON_UNKNOWN)
 from stratum.plans.jobs import Warehouse
 
 
@@ -37,6 +39,29 @@ def register_views(wh: Warehouse) -> list[str]:
     return names
 
 
+def priority_sql(raw: str = "raw") -> str:
+    """``normalize_domain`` of the priority contract as a Spark SQL expression."""
+    number = f"case when {raw} rlike '{INT_PATTERN}' then try_cast({raw} as int) end"
+    labels = " ".join(f"when lower(trim({raw})) = '{k}' then {v}" for k, v in PRIORITY_LABELS.items())
+    return f"case when {number} between {PRIORITY_MIN} and {PRIORITY_MAX} then {number} {labels} end"
+
+
+def reason_sql(raw: str = "raw") -> str:
+    """``reject_reason`` of the priority contract as a Spark SQL expression."""
+    return (f"case when {priority_sql(raw)} is not null then null when {raw} is null then '{REASON_NULL}' "
+            f"when trim({raw}) = '' then '{REASON_EMPTY}' when {raw} rlike '{INT_PATTERN}' and try_cast({raw} as int) is not null "
+            f"then '{REASON_OUT_OF_RANGE}' else '{REASON_UNKNOWN}' end")
+
+
+def register_functions(spark: SparkSession) -> list[str]:
+    """``normalize_priority(raw)`` and ``priority_reject_reason(raw)`` as temporary SQL functions. Catalyst inlines
+    their bodies, so a statement that calls them plans like one with the expressions written out."""
+    bodies = {"normalize_priority": ("int", priority_sql()), "priority_reject_reason": ("string", reason_sql())}
+    for name, (kind, body) in bodies.items():
+        spark.sql(f"create or replace temporary function {name}(raw string) returns {kind} return {body}")
+    return sorted(bodies)
+
+
 def register_dataset(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A Parquet folder (plain or Hive-partitioned) as a view."""
     df = spark.read.parquet(path)

@@ -7,22 +7,19 @@
 * ``upserted``           keyed upsert; by order (replay-safe) or incoming wins
 * ``inserted``           keyed insert-if-absent; existing rows are kept
 
-The keyed strategies are DataFrame -> DataFrame. ``KeyedTable`` stores such a
-result in hash buckets of the key: a commit writes the touched buckets into a
-folder that no other attempt uses, then publishes a manifest that names the
-folder of every bucket. Readers take the newest manifest, so folders of dead or
-beaten writers are in no reader's view, and no later commit writes into a folder
-that was published.
+The keyed strategies are DataFrame -> DataFrame. ``SlicedTable`` keeps their result
+as one Hive partition per batch: a write replaces its own batch's partition
+with one row per key, and a reader keeps, per key, the row that wins over all
+batches. So a write costs its batch, whatever the table holds; a batch that is
+written again, or was cut short by a crash, ends in the same partition; and the
+result depends on no order of writing.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -218,168 +215,63 @@ def inserted(target: DataFrame | None, batch: DataFrame, keys: str | Sequence[st
     return incoming if target is None else target.unionByName(null_safe(incoming, target, keys, "left_anti"))
 
 
-# --- keyed tables ----------------------------------------------------------------------
+# --- tables of batch slices -------------------------------------------------------------
 
-class ConcurrentCommitError(RuntimeError):
-    """Another writer published the same version first."""
-
-
-_BUCKET = "_bucket"
+SLICE = "_slice"
 
 
 @dataclass
-class KeyedTable:
-    """Rows with a key, stored in hash buckets of the key.
+class SlicedTable:
+    """Rows with a key, one partition ``<slice_col>=<value>`` per batch.
 
-    ``_log/<version>.json`` is a complete manifest: bucket count, schema, and
-    the folder of each bucket. The bucket count is fixed when the table is
-    created; opening it with another one raises. Size it so that a bucket is a
-    few hundred MB: a merge rewrites the buckets that its batch touches.
+    ``order`` decides which row of a key is read: the greatest (``keep="last"``) or the
+    smallest (``"first"``), the other columns as a tie-break. It may name the slice
+    column: then the last batch wins, as in a merge. ``fold`` puts old slices together.
     """
 
     spark: SparkSession
     root: str
     keys: Sequence[str]
-    buckets: int | None = None
+    order: Sequence[str]
+    keep: str = "last"
+    slice_col: str = SLICE
 
     def __post_init__(self) -> None:
         self.keys = [self.keys] if isinstance(self.keys, str) else list(self.keys)
-        self._manifest: dict | None = None
-
-    def _head(self) -> dict | None:
-        """Newest complete manifest. A marker without readable content is of a
-        writer that died while publishing: not published."""
-        if self._manifest is None:
-            for name in sorted(storage.list_names(self.spark, f"{self.root}/_log"), reverse=True):
-                try:
-                    self._manifest = json.loads(storage.read_text(self.spark, f"{self.root}/_log/{name}"))
-                    break
-                except ValueError:
-                    continue
-            if self._manifest and self.buckets not in (None, self._manifest["buckets"]):
-                raise ValueError(f"{self.root} has {self._manifest['buckets']} buckets, not {self.buckets}")
-        return self._manifest
-
-    def exists(self) -> bool:
-        return self._head() is not None
-
-    def schema(self) -> StructType:
-        return StructType.fromJson(self._head()["schema"])
-
-    def _n(self) -> int:
-        head = self._head()
-        return head["buckets"] if head else self.buckets or 16
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self._n())).cast("int")
-
-    def _dirs(self, buckets) -> DataFrame:
-        parts = self._head()["parts"]
-        dirs = [parts[str(b)] for b in sorted(buckets) if str(b) in parts]
-        return self.spark.read.schema(self.schema()).parquet(*dirs) if dirs else \
-            self.spark.createDataFrame([], self.schema())
-
-    def read(self) -> DataFrame | None:
-        return None if self._head() is None else self._dirs(range(self._n()))
-
-    def rows_of(self, keys: DataFrame) -> DataFrame | None:
-        """Stored rows whose key occurs in ``keys``, from their buckets only."""
-        if self._head() is None:
+
+    def put(self, value, rows: DataFrame, collapsed: bool = False) -> int:
+        """The slice ``value`` becomes ``rows``, one per key. ``collapsed``: they are that already."""
+        order = [c for c in self.order if c != self.slice_col]
+        return replace_slice(rows if collapsed else collapse(rows, self.keys, order, self.keep), self.root, self.slice_col, value)
+
+    def slices(self) -> DataFrame | None:
+        """All rows of all slices, with the slice column."""
+        df = read_if_exists(self.spark, self.root)
+        # as text: names of slices sort as text, whatever they look like
+        return df if df is None else df.withColumn(self.slice_col, F.col(self.slice_col).cast("string"))
+
+    def read(self, until: str | None = None, keys: DataFrame | None = None) -> DataFrame | None:
+        """The winning row of every key; of the slices up to ``until`` (partition pruning) and of ``keys`` only."""
+        df = self.slices()
+        if df is None:
             return None
-        return null_safe(self._dirs(self._touched(keys)), keys.select(*self.keys).distinct(), self.keys, "left_semi")
-
-    def _touched(self, df: DataFrame) -> list[int]:
-        """At most one value per bucket comes to the driver."""
-        return [r[0] for r in df.select(self._bucket().alias("b")).distinct().collect()]
-
-    def _publish(self, rows: DataFrame, touched: Sequence[int] | None) -> int:
-        """Writes ``rows`` as the new content of the ``touched`` buckets (None: all) and publishes it."""
-        head = self._head()
-        if head is not None:
-            check_schema(rows, self.schema())
-            rows = rows.select(*self.schema().fieldNames())
-        attempt = f"{self.root}/data-{uuid.uuid4().hex}"
-        obs = Observation()
-        (rows.withColumn(_BUCKET, self._bucket()).observe(obs, F.count(F.lit(1)).alias("rows"))
-             .hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(attempt))
-        count = int(observed(obs, lambda: {"rows": 0})["rows"])  # removed only when provably empty
-        parts = {} if head is None or touched is None else \
-            {b: d for b, d in head["parts"].items() if int(b) not in set(touched)}
-        parts |= {b: f"{attempt}/{_BUCKET}={b}" for b in slice_values(self.spark, attempt, _BUCKET)}
-        manifest = {"version": self._next_version(), "buckets": self._n(), "parts": parts,
-                    "schema": json.loads(rows.schema.json()) if head is None else head["schema"]}
-        try:
-            storage.create_text(self.spark, f"{self.root}/_log/{manifest['version']:08d}.json", json.dumps(manifest))
-        except Exception as exc:  # the name exists: someone else published this version
-            self._manifest = None
-            raise ConcurrentCommitError(f"version {manifest['version']} of {self.root} already published") from exc
-        self._manifest = manifest
-        return count
-
-    def _next_version(self) -> int:
-        """One past the manifest that this writer has read; a version number whose marker was left
-        unreadable by a dead writer is passed over."""
-        head = self._head()
-        at = 0 if head is None else head["version"] + 1
-        names = set(storage.list_names(self.spark, f"{self.root}/_log"))
-        while f"{at:08d}.json" in names and not self._readable(at):
-            at += 1
-        return at
-
-    def _readable(self, version: int) -> bool:
-        try:
-            return bool(json.loads(storage.read_text(self.spark, f"{self.root}/_log/{version:08d}.json")))
-        except ValueError:
-            return False
-
-    def _rewrite(self, src: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame],
-                 whole: bool = False) -> int:
-        """The touched buckets become ``combine(their rows, src)``; ``src`` is kept, as it is read twice."""
-        if self._head() is None:
-            return self._publish(combine(None, src), None)
-        src = src.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = list(range(self._n())) if whole else self._touched(src)
-            return self._publish(combine(self._dirs(touched), src), touched)
-        finally:
-            src.unpersist()
-
-    def rebuild(self, df: DataFrame) -> int:
-        return self._publish(df, None)
-
-    def merge(self, src: DataFrame, check_source_unique: bool = True, keep_only: DataFrame | None = None) -> int:
-        """``merged`` on the touched buckets; ``keep_only`` can empty any
-        bucket, so that case rewrites all of them."""
-        if check_source_unique:
-            check_unique(src, self.keys)
-        self._check(src)
-        return self._rewrite(src, lambda old, new: merged(old, new, self.keys, keep_only), whole=keep_only is not None)
-
-    def upsert(self, batch: DataFrame, order: Sequence[str], keep: str = "last", guarded: bool = True) -> int:
-        self._check(batch)
-        return self._rewrite(batch, lambda old, new: upserted(old, new, self.keys, order, keep, guarded))
-
-    def insert(self, batch: DataFrame, order: Sequence[str]) -> int:
-        self._check(batch)
-        return self._rewrite(batch, lambda old, new: inserted(old, new, self.keys, order))
-
-    def replace_keys(self, keys: DataFrame, rows: DataFrame) -> int:
-        """The stored rows of ``keys`` give way to ``rows`` (whose keys are among them)."""
-        gone = keys.select(*self.keys).distinct()
-        marked = rows.withColumn("_live", F.lit(True)).unionByName(
-            null_safe(gone, rows, self.keys, "left_anti").withColumn("_live", F.lit(False)), allowMissingColumns=True)
-
-        def combine(old: DataFrame | None, new: DataFrame) -> DataFrame:
-            live = new.where("_live")
-            if old is None:
-                return live
-            return null_safe(old.withColumn("_live", F.lit(True)), new, self.keys, "left_anti").unionByName(live)
-
-        return self._rewrite(marked, lambda old, new: combine(old, new).drop("_live"))
-
-    def _check(self, df: DataFrame) -> None:
-        if self._head() is not None:
-            check_schema(df, self.schema())
+        if until is not None:
+            df = df.where(F.col(self.slice_col) <= F.lit(until))
+        if keys is not None:
+            df = null_safe(df, keys, self.keys, "left_semi")
+        return collapse(df, self.keys, self.order, self.keep).drop(self.slice_col)
+
+    def fold(self, upto: str) -> int:
+        """Puts the slices up to ``upto`` together in one, named to sort right after the last of them. A reader sees the
+        same rows at any point of it, so it may be cut short and run again. Batches folded in are not to be replayed."""
+        old = [v for v in slice_values(self.spark, self.root, self.slice_col) if v <= upto]
+        if len(old) < 2:
+            return 0
+        df = self.slices().where(F.col(self.slice_col).isin(old))
+        n = replace_slice(collapse(df, self.keys, self.order, self.keep).drop(self.slice_col), self.root, self.slice_col, f"{old[-1]}~")
+        for value in old:
+            storage.delete(self.spark, f"{self.root}/{self.slice_col}={value}")
+        return n
 
 
 def merge_into_table(src: DataFrame, table_name: str, keys: Sequence[str]) -> None:
@@ -387,7 +279,7 @@ def merge_into_table(src: DataFrame, table_name: str, keys: Sequence[str]) -> No
     Iceberg, ...) with ``DataFrame.mergeInto``: update matched rows, insert
     the rest, never delete. The format rewrites only the files that hold
     matched keys instead of the whole table. Needs such a format on the
-    class path; plain Parquet tables use ``KeyedTable.merge``.
+    class path; plain Parquet tables use ``SlicedTable``.
     """
     cond = " AND ".join(f"{table_name}.{k} = _src.{k}" for k in keys)
     (src.alias("_src").mergeInto(table_name, F.expr(cond))

@@ -4,7 +4,7 @@ Parquet (plain and Hive-partitioned), per-file metadata, JSONL export."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # --- fixed values: text formats of timestamps in JSONL files ---
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -19,6 +19,36 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str,
             .json(path))
 
 
+# --- fixed values: why a line is not a record ---
+NOT_JSON = "not a JSON object"
+WRONG_TYPE = "a field does not fit its declared type"
+
+
+def split_lines(lines: DataFrame, schema: StructType | str, col: str = "value",
+                ts_format: str = TS_FORMAT) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of JSON lines: a line that is no object, or has a field that doesn't fit its type,
+    goes to the rejects with the raw text and the reason, and the run goes on. Every line that isn't blank is on one side.
+    One rule, the parser's own corrupt-record column, decides both sides."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    with_raw = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "timestampNTZFormat": ts_format,
+               "timestampFormat": ts_format}
+    line = F.col(col)
+    parsed = (lines.where(F.trim(line) != "")
+                   .select(line.alias("_raw"), F.from_json(line, with_raw, options).alias("_r"),
+                           F.json_object_keys(line).isNotNull().alias("_object")))
+    bad = F.col("_r._corrupt").isNotNull() | ~F.col("_object")
+    return (parsed.where(~bad).select(*[F.col("_r")[f.name].alias(f.name) for f in schema.fields]),
+            parsed.where(bad).select(F.col("_raw").alias("raw"),
+                                     F.when(F.col("_object"), WRONG_TYPE).otherwise(NOT_JSON).alias("reject_reason")))
+
+
+def read_jsonl_split(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """``split_lines`` of the text files at ``path``."""
+    return split_lines(spark.read.text(path), schema)
+
+
 def read_raw_lines(spark: SparkSession, path: str, fields: str) -> DataFrame:
     """JSON lines read as text, one row per line, then projected strictly."""
     return project_json(spark.read.text(path).withColumnRenamed("value", "_line"), "_line", fields)

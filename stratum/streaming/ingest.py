@@ -1,15 +1,16 @@
 """Restart-safe stream ingest: file log -> Structured Streaming -> keyed upsert.
 
-* Source: a folder the producer appends Parquet files to (the topic). The
+* Source: a folder the producer appends files to (the topic). The
   stream's checkpoint holds which files were consumed (the per-group
   offsets); one checkpoint folder = one consumer group.
 * Pull until drained: ``trigger(availableNow=True)`` processes everything
-  present at start in bounded micro-batches (``maxFilesPerTrigger``), then
-  stops.
+  present at start in bounded micro-batches (``maxFilesPerTrigger``, or
+  ``maxBytesPerTrigger``), then stops.
 * At-least-once made exact: Spark logs a batch's offsets before running it
-  and marks it committed only after ``foreachBatch`` returns. A crash after
-  the sink write but before that commit replays the batch on restart; the
-  keyed upsert makes the replay a no-op.
+  and marks it committed only after ``foreachBatch`` returns. A batch is one slice
+  of the table, named by consumer group and batch number. A crash after
+  the sink write but before that commit replays the batch on restart, which
+  replaces its own slice by the same rows.
 
 On a cluster the same code reads Kafka (``format("kafka")`` with
 ``maxOffsetsPerTrigger``); only the source lines change.
@@ -17,6 +18,7 @@ On a cluster the same code reads Kafka (``format("kafka")`` with
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -57,65 +59,64 @@ def publish_log(messages: DataFrame, path: str, files: int, order: Sequence[str]
     return storage.set_mtimes_in_name_order(spark, path, suffix, int(time.time() * 1000) - 3_600_000)
 
 
-def _source(spark: SparkSession, log_path: str, schema: StructType, max_files: int, fmt: str) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+def _source(spark: SparkSession, log_path: str, schema: StructType, max_files: int, fmt: str,
+            max_bytes: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    # Spark takes one of the two bounds; a file larger than the byte bound is a batch of its own
+    reader = reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader.option("maxFilesPerTrigger", max_files)
     if fmt == "json":  # a JSONL topic: declared schema, strict parsing
         return (reader.option("mode", "FAILFAST").option("timestampNTZFormat", TS_FORMAT)
                 .option("timestampFormat", TS_FORMAT).json(log_path))
     return reader.parquet(log_path)
 
 
-def consume(spark: SparkSession, log_path: str, schema: StructType, table: W.KeyedTable,
-            checkpoint: str, order: Sequence[str] = ("_ingested_at",), keep: str = "last", guarded: bool = True,
-            max_files_per_batch: int = 2, columns: Sequence[str] = STREAM_COLUMNS, fmt: str = "parquet",
-            after_batch: Callable[[int], None] | None = None) -> list[int]:
-    """Drain the log into ``table`` with a keyed upsert per batch.
-
-    ``keep="last"``: a re-delivered message with changed content replaces
-    the stored one (latest ``order`` wins); ``keep="first"``: the first
-    delivery is kept. Both are guarded by ``order``, so neither depends on
-    the order in which batches arrive. ``guarded=False`` is the unconditional
-    ``DO UPDATE``: the message consumed last replaces the stored one. A batch is
-    read once (kept while its buckets are found) and rewrites the key buckets
-    it touches. ``after_batch`` is called when a batch is in the table and not
-    yet committed by the stream. Returns the batch ids processed.
-    """
-    seen: list[int] = []
+CONSUMED = "_consumed"
+
+
+def stream_table(spark: SparkSession, root: str, key: str = "event_id", order: Sequence[str] = ("_ingested_at",),
+                 keep: str = "last", guarded: bool = True) -> W.SlicedTable:
+    """The sink of ``consume``. ``keep="last"``: a re-delivered message with changed content replaces the stored one
+    (latest ``order`` wins); ``"first"``: the first delivery is kept. Both go by ``order``, so neither depends on the
+    order in which batches arrive. ``guarded=False`` is the unconditional ``DO UPDATE``: the message consumed last wins."""
+    return W.SlicedTable(spark, root, key, list(order) if guarded else [CONSUMED, *order], keep)
+
+
+def _drain(stream: DataFrame, table: W.SlicedTable, checkpoint: str, shape: Callable[[DataFrame], DataFrame],
+           after_batch: Callable[[int], None] | None = None) -> list[dict]:
+    group = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch.select(*columns), list(order), keep=keep, guarded=guarded)
-        seen.append(batch_id)
+        rows = shape(batch)
+        if CONSUMED in table.order:
+            rows = rows.withColumn(CONSUMED, F.current_timestamp())
+        table.put(f"{group}-{batch_id:08d}", rows)
         if after_batch is not None:
             after_batch(batch_id)
 
-    stream = _source(spark, log_path, schema, max_files_per_batch, fmt)
-    query = (stream.writeStream.foreachBatch(sink)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
+    query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     query.awaitTermination()
-    return seen
+    return [{"batch": p["batchId"], "rows": p["numInputRows"]} for p in query.recentProgress if p["numInputRows"] > 0]
 
 
-def dedup_arrivals(spark: SparkSession, log_path: str, schema: StructType, table: W.KeyedTable, checkpoint: str,
+def consume(spark: SparkSession, log_path: str, schema: StructType, table: W.SlicedTable, checkpoint: str,
+            max_files_per_batch: int = 2, columns: Sequence[str] = STREAM_COLUMNS, fmt: str = "parquet",
+            max_bytes_per_batch: int | None = None, after_batch: Callable[[int], None] | None = None) -> list[dict]:
+    """Drain the log into ``table``, one slice per batch. ``after_batch`` is called when a batch is in the table
+    and not yet committed by the stream. Returns number and rows of the batches processed."""
+    stream = _source(spark, log_path, schema, max_files_per_batch, fmt, max_bytes_per_batch)
+    return _drain(stream, table, checkpoint, lambda batch: batch.select(*columns), after_batch)
+
+
+def dedup_arrivals(spark: SparkSession, log_path: str, schema: StructType, table: W.SlicedTable, checkpoint: str,
                    event_time: str, arrived: str, delay_days: int, columns: Sequence[str],
-                   max_files_per_batch: int = 2) -> list[int]:
+                   max_files_per_batch: int = 2) -> list[dict]:
     """Streaming twin of first-arrival de-duplication that loses no late row.
 
-    Every batch is inserted where its key is absent, whatever its delay; the
-    stored keys are the state, so no watermark drops a row behind it. Rows that
-    arrived more than ``delay_days`` after their event time are marked ``late``
-    instead, to be counted or routed by the reader.
+    ``table`` keeps the first delivery of a key whatever its delay, so no watermark
+    drops a row behind it. Rows that arrived more than ``delay_days`` after their event
+    time are marked ``late`` instead, to be counted or routed by the reader.
     """
     late = F.col(arrived) > add_seconds(F.col(event_time), delay_days * 86400)
-    seen: list[int] = []
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        table.insert(batch.select(*columns, late.alias("late")), [arrived])
-        seen.append(batch_id)
-
     stream = _source(spark, log_path, schema, max_files_per_batch, "parquet")
-    query = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return seen
+    return _drain(stream, table, checkpoint, lambda batch: batch.select(*columns, late.alias("late")))

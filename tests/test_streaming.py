@@ -3,8 +3,8 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from stratum.plans import writers as W
 from stratum.streaming import ingest
 
 MSG = ("event_id bigint, ticket_id bigint, customer_id bigint, customer_name string, event_type string, "
@@ -24,8 +24,8 @@ class Crash(RuntimeError):
     pass
 
 
-def sink(spark, root):
-    return W.KeyedTable(spark, root, "event_id", 4)
+def sink(spark, root, keep="last", guarded=True):
+    return ingest.stream_table(spark, root, keep=keep, guarded=guarded)
 
 
 def test_crash_and_restart_gives_exact_table(spark, scratch):
@@ -41,7 +41,7 @@ def test_crash_and_restart_gives_exact_table(spark, scratch):
     with pytest.raises(Exception, match="after the write"):
         ingest.consume(spark, log, schema, table, ckpt, after_batch=crash)
     second = ingest.consume(spark, log, schema, table, ckpt)
-    assert second[0] == 2  # the crashed batch is replayed
+    assert second[0]["batch"] == 2  # the crashed batch is replayed
     got = {r["event_id"]: r["latency_ms"] for r in table.read().collect()}
     assert len(got) == 300 and table.read().count() == 300
     assert all(got[i] == (i + 1000 if i % 10 == 0 else i) for i in range(300))
@@ -51,8 +51,8 @@ def test_first_wins_keeps_original(spark, scratch):
     log = scratch("log1")
     ingest.publish_log(messages(spark), log, 6, ["_ingested_at", "event_id"])
     schema = spark.read.parquet(log).schema
-    table = sink(spark, scratch("sink1"))
-    ingest.consume(spark, log, schema, table, scratch("ckpt1"), keep="first", max_files_per_batch=4)
+    table = sink(spark, scratch("sink1"), "first")
+    ingest.consume(spark, log, schema, table, scratch("ckpt1"), max_files_per_batch=4)
     got = {r["event_id"]: r["latency_ms"] for r in table.read().collect()}
     assert got == {i: i for i in range(300)}
 
@@ -63,8 +63,42 @@ def test_very_late_row_is_kept_and_marked(spark, scratch):
     rows.append((99, 0, 0, "C", "view", 1, t0, t0 + dt.timedelta(days=20)))
     log = scratch("late")
     ingest.publish_log(spark.createDataFrame(rows, MSG), log, 4, ["_ingested_at", "event_id"])
-    table = sink(spark, scratch("sink2"))
+    table = sink(spark, scratch("sink2"), "first")
     ingest.dedup_arrivals(spark, log, spark.read.parquet(log).schema, table, scratch("ckpt2"), "event_time",
                           "_ingested_at", 3, ["event_id", "event_time", "_ingested_at"], max_files_per_batch=1)
     got = {r["event_id"]: r["late"] for r in table.read().collect()}
     assert len(got) == 21 and got[99] and sum(got.values()) == 1
+
+
+def test_unconditional_upsert_stores_the_message_consumed_last(spark, scratch):
+    log = scratch("log3")
+    ingest.publish_log(messages(spark), log, 6, ["_ingested_at", "event_id"])
+    schema = spark.read.parquet(log).schema
+    table = sink(spark, scratch("sink3"), guarded=False)
+    ingest.consume(spark, log, schema, table, scratch("ckpt3"))
+    # a second consumer group reads only the oldest messages again: consumed last, so they are stored
+    first = scratch("log4")
+    ingest.publish_log(messages(spark).where("latency_ms < 50"), first, 1, ["_ingested_at", "event_id"])
+    ingest.consume(spark, first, schema, table, scratch("ckpt4"))
+    got = {r["event_id"]: r["latency_ms"] for r in table.read().collect()}
+    assert len(got) == 300 and got[10] == 10 and got[100] == 1100
+
+
+def test_batches_are_bounded_by_bytes(spark, scratch):
+    """Small segments share a batch up to the byte bound; a segment larger than the bound is a batch of its own."""
+    import glob
+    import os
+    log = scratch("bytes")
+    rows = messages(spark)
+    small = rows.where("event_id < 100")
+    ingest.publish_log(small, log, 6, ["_ingested_at", "event_id"])
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{log}/*.parquet")]
+    fat = rows.where("event_id >= 100").withColumn("customer_name", F.expr("repeat(md5(cast(event_id as string)), 200)"))
+    fat.coalesce(1).write.mode("append").parquet(log)
+    bound = 3 * max(sizes) + 1
+    assert max(os.path.getsize(f) for f in glob.glob(f"{log}/*.parquet")) > bound
+    table = sink(spark, scratch("bytes-sink"))
+    got = ingest.consume(spark, log, rows.schema, table, scratch("bytes-ckpt"), max_bytes_per_batch=bound)
+    big = fat.count()
+    assert len(got) >= 3 and sorted(b["rows"] for b in got)[-1] >= big and sum(b["rows"] for b in got) == rows.count()
+    assert all(b["rows"] <= small.count() for b in got[:-1]) and table.read().count() == 300

@@ -18,22 +18,26 @@ def rows(table):
     return sorted(tuple(r) for r in table.read().collect())
 
 
-def table(spark, root, buckets=4):
-    return W.KeyedTable(spark, root, "event_id", buckets)
+def table(spark, root, keep="last", order=("_ingested_at",)):
+    return W.SlicedTable(spark, root, "event_id", list(order), keep)
 
 
 def test_merge_is_idempotent_and_never_deletes(spark, scratch):
-    tbl = table(spark, scratch("merge"))
-    a = spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(0))], SCHEMA)
+    tbl = table(spark, scratch("merge"), order=[W.SLICE])  # the last batch wins
+    a = spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(5))], SCHEMA)
     b = spark.createDataFrame([(2, 21, ts(1)), (3, 30, ts(1))], SCHEMA)
-    tbl.merge(a)
-    tbl.merge(b)
+    tbl.put("0", a)
+    tbl.put("1", b)
     once = rows(tbl)
-    tbl.merge(b)
+    tbl.put("1", b)
     assert rows(tbl) == once == [(1, 10, ts(0)), (2, 21, ts(1)), (3, 30, ts(1))]
+    merged = W.merged(a, b, ["event_id"])
+    assert sorted(tuple(r) for r in merged.collect()) == once
+    live = spark.createDataFrame([(2,), (3,)], "event_id bigint")
+    assert sorted(r[0] for r in W.merged(a, b, ["event_id"], keep_only=live).collect()) == [2, 3]
 
 
-@pytest.mark.parametrize("write", ["merge", "upsert", "insert", "replace_partitions", "replace_slice"])
+@pytest.mark.parametrize("write", ["put", "replace_partitions", "replace_slice"])
 @pytest.mark.parametrize("change", ["added", "missing", "retyped"])
 def test_schema_drift_is_refused_on_every_path(spark, scratch, write, change):
     base = spark.createDataFrame([(1, 10, ts(0))], SCHEMA).withColumn("d", F.lit("x"))
@@ -41,8 +45,7 @@ def test_schema_drift_is_refused_on_every_path(spark, scratch, write, change):
              "retyped": base.withColumn("latency_ms", F.col("latency_ms").cast("string"))}[change]
     root = scratch("drift")
     tbl = table(spark, root)
-    do = {"merge": tbl.merge, "upsert": lambda df: tbl.upsert(df, ["_ingested_at"]),
-          "insert": lambda df: tbl.insert(df, ["_ingested_at"]),
+    do = {"put": lambda df: tbl.put("a", df),
           "replace_partitions": lambda df: W.replace_partitions(df, root, ["d"]),
           "replace_slice": lambda df: W.replace_slice(df, root, "slice", "a")}[write]
     do(base)
@@ -51,9 +54,8 @@ def test_schema_drift_is_refused_on_every_path(spark, scratch, write, change):
 
 
 def test_merge_source_must_be_unique(spark, scratch):
-    tbl = table(spark, scratch("guards"))
     with pytest.raises(W.DuplicateKeyError):
-        tbl.merge(spark.createDataFrame([(2, 1, ts(0)), (2, 2, ts(0))], SCHEMA))
+        W.check_unique(spark.createDataFrame([(2, 1, ts(0)), (2, 2, ts(0))], SCHEMA), ["event_id"])
 
 
 def test_append_is_not_idempotent(spark, scratch):
@@ -100,9 +102,9 @@ def test_upsert_result_does_not_depend_on_batch_order(spark, scratch):
     for keep in ("last", "first"):
         outs = []
         for order in ((b1, b2), (b2, b1), (b1, b2, b1)):
-            tbl = table(spark, scratch(f"ups-{keep}"))
-            for b in order:
-                tbl.upsert(b, ["_ingested_at"], keep=keep)
+            tbl = table(spark, scratch(f"ups-{keep}"), keep)
+            for i, b in enumerate(order):
+                tbl.put(str(i), b)
             outs.append(rows(tbl))
         assert outs[0] == outs[1] == outs[2]
         results[keep] = outs[0]
@@ -110,66 +112,65 @@ def test_upsert_result_does_not_depend_on_batch_order(spark, scratch):
     assert results["first"] == [(1, 10, ts(0)), (2, 20, ts(1))]
 
 
-def test_unguarded_upsert_takes_incoming(spark, scratch):
-    tbl = table(spark, scratch("unguarded"))
-    tbl.upsert(spark.createDataFrame([(1, 10, ts(5))], SCHEMA), ["_ingested_at"])
-    tbl.upsert(spark.createDataFrame([(1, 11, ts(1))], SCHEMA), ["_ingested_at"], guarded=False)
-    assert rows(tbl) == [(1, 11, ts(1))]
+@pytest.mark.parametrize("keep", ["last", "first"])
+def test_slices_read_like_upserts_one_after_the_other(spark, scratch, keep):
+    batches = [[(1, 10, ts(0)), (1, 11, ts(5)), (None, 7, ts(1))], [(1, 12, ts(3)), (2, 21, ts(9)), (None, 8, ts(0))], []]
+    tbl, plain, first = table(spark, scratch("same"), keep), None, None
+    for i, b in enumerate(spark.createDataFrame(x, SCHEMA) for x in batches):
+        tbl.put(str(i), b)
+        plain = W.upserted(plain, b, "event_id", ["_ingested_at"], keep)
+        first = W.inserted(first, b, "event_id", ["_ingested_at"])
+    assert sorted(map(repr, rows_of(tbl.read()))) == sorted(map(repr, rows_of(plain)))
+    assert {r[0]: r[1] for r in rows_of(first)} == {1: 10, None: 7, 2: 21}
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_unguarded_upsert_takes_incoming(spark):
+    old = spark.createDataFrame([(1, 10, ts(5))], SCHEMA)
+    new = spark.createDataFrame([(1, 11, ts(1))], SCHEMA)
+    assert rows_of(W.upserted(old, new, "event_id", ["_ingested_at"], guarded=False)) == [(1, 11, ts(1))]
 
 
 def test_null_key_is_one_key(spark, scratch):
     df = spark.createDataFrame([(None, 10, ts(0)), (1, 1, ts(0))], SCHEMA)
-    for write in ("merge", "upsert", "insert"):
-        tbl = table(spark, scratch("nullkey"))
-        for _ in range(3):
-            tbl.merge(df) if write == "merge" else getattr(tbl, write)(df, ["_ingested_at"])
-        assert tbl.read().count() == 2, write
+    tbl = table(spark, scratch("nullkey"))
+    for i in range(3):
+        tbl.put(str(i), df)
+    assert tbl.read().count() == 2
 
 
-def test_files_of_a_dead_writer_stay_invisible(spark, scratch):
-    root = scratch("crash")
+def test_a_write_leaves_other_slices_alone(spark, scratch):
+    root = scratch("touch")
     tbl = table(spark, root)
-    tbl.upsert(spark.createDataFrame([(1, 10, ts(0))], SCHEMA), ["_ingested_at"])
-    # died after writing data; died while writing its marker
-    (spark.createDataFrame([(9, 9, ts(0))], SCHEMA).withColumn("_bucket", F.lit(0))
-     .write.partitionBy("_bucket").parquet(f"{root}/data-dead"))
+    tbl.put("a", spark.createDataFrame([(i, i, ts(0)) for i in range(1000)], SCHEMA))
+    before = set(spark.read.parquet(f"{root}/_slice=a").inputFiles())
+    assert tbl.put("b", spark.createDataFrame([(7, 70, ts(1))], SCHEMA)) == 1
+    assert set(spark.read.parquet(f"{root}/_slice=a").inputFiles()) == before
+    assert tbl.read().count() == 1000 and tbl.read(until="a").where("event_id = 7").first()["latency_ms"] == 7
+
+
+@pytest.mark.parametrize("dies", [None, "delete"])
+def test_folding_old_slices_changes_no_row(spark, scratch, monkeypatch, dies):
     from stratum.plans import storage
-    storage.create_text(spark, f"{root}/_log/00000001.json", '{"version": 1, "bu')
-    fresh = table(spark, root)
-    assert rows(fresh) == [(1, 10, ts(0))]
-    fresh.upsert(spark.createDataFrame([(2, 20, ts(0))], SCHEMA), ["_ingested_at"])
-    assert rows(table(spark, root)) == [(1, 10, ts(0)), (2, 20, ts(0))]
-
-
-def test_loser_of_a_race_changes_nothing(spark, scratch):
-    root = scratch("race")
-    a, b = table(spark, root), table(spark, root)
-    a.rebuild(spark.createDataFrame([(1, 1, ts(0))], SCHEMA))
-    b._head()
-    a.rebuild(spark.createDataFrame([(i, i, ts(0)) for i in range(10)], SCHEMA))
-    with pytest.raises(W.ConcurrentCommitError):
-        b.rebuild(spark.createDataFrame([(3, 3, ts(0))], SCHEMA))
-    assert len(rows(table(spark, root))) == 10
-
-
-def test_another_bucket_count_is_refused(spark, scratch):
-    root = scratch("buckets")
-    table(spark, root, 8).rebuild(spark.createDataFrame([(i, i, ts(0)) for i in range(100)], SCHEMA))
-    with pytest.raises(ValueError):
-        table(spark, root, 32).read()
-    kept = W.KeyedTable(spark, root, "event_id")
-    kept.upsert(spark.createDataFrame([(i, i, ts(0)) for i in range(100)], SCHEMA), ["_ingested_at"])
-    assert kept.read().count() == 100
-
-
-def test_one_row_merge_rewrites_one_bucket(spark, scratch):
-    tbl = table(spark, scratch("touch"), 16)
-    tbl.rebuild(spark.createDataFrame([(i, i, ts(0)) for i in range(1000)], SCHEMA))
-    before = dict(tbl._head()["parts"])
-    written = tbl.merge(spark.createDataFrame([(7, 70, ts(1))], SCHEMA))
-    after = tbl._head()["parts"]
-    assert sum(before[b] != after[b] for b in before) == 1 and written < 200
-    assert tbl.read().count() == 1000
+    tbl = table(spark, scratch("fold"))
+    for i in range(5):
+        tbl.put(f"c-{i}", spark.createDataFrame([(k, 10 * i + k, ts(i - k)) for k in range(4)], SCHEMA))
+    want = rows(tbl)
+    if dies:
+        real = storage.delete
+        monkeypatch.setattr(storage, "delete", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            tbl.fold("c-3")
+        assert rows(tbl) == want
+        monkeypatch.setattr(storage, "delete", real)
+    tbl.fold("c-3~")
+    assert rows(tbl) == want and len(W.slice_values(spark, tbl.root, W.SLICE)) == 2
+    tbl.put("c-5", spark.createDataFrame([(0, 99, ts(50))], SCHEMA))
+    tbl.fold("d")
+    assert rows(tbl)[0] == (0, 99, ts(50)) and tbl.read().count() == 4
 
 
 def test_lookback_recovers_late_day(spark, scratch):
@@ -195,14 +196,6 @@ def test_lookback_recovers_late_day(spark, scratch):
     assert counts == {0: 1, 3: 2}
 
 
-def test_merge_can_propagate_deletes(spark, scratch):
-    tbl = table(spark, scratch("keep"))
-    tbl.merge(spark.createDataFrame([(1, 10, ts(0)), (2, 20, ts(0))], SCHEMA))
-    live = spark.createDataFrame([(2,), (3,)], "event_id bigint")
-    tbl.merge(spark.createDataFrame([(3, 30, ts(1))], SCHEMA), keep_only=live)
-    assert [r[0] for r in rows(tbl)] == [2, 3]
-
-
 def test_ticket_deleted_in_later_run(spark, scratch):
     """Merge never deletes: a ticket created in run 1 and deleted in run 2
     stays in Gold unless deletes are propagated."""
@@ -239,8 +232,8 @@ def test_upsert_is_order_and_replay_free(spark, batches, rnd):
     rnd.shuffle(order)
     order.append(rnd.choice(order))  # one replay
     tbl = table(spark, scratch_dir(spark, "prop"))
-    for i in order:
-        tbl.upsert(frames[i], ["_ingested_at"])
+    for n, i in enumerate(order):
+        tbl.put(str(n), frames[i])
     expect = {}
     for k, v, h in (x for b in batches for x in b):
         if k not in expect or (h, v) > expect[k]:
