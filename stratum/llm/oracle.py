@@ -121,26 +121,29 @@ k AS (
 dup AS (
   SELECT doc_id, sum(c - 1) AS n_dup_lines FROM (
     SELECT doc_id, line, count(*) AS c FROM k WHERE key <> '' GROUP BY doc_id, line) GROUP BY doc_id),
-lim AS (SELECT host, greatest(20, count(DISTINCT doc_id) / 1000.0) AS lim FROM t GROUP BY host),
-common AS (
-  SELECT host, key, max(doc_id) AS keeper FROM k JOIN lim USING (host) WHERE key <> ''
-  GROUP BY host, key, lim HAVING count(DISTINCT doc_id) > lim),
-gone AS (
-  SELECT doc_id, sum(len(regexp_extract_all(key, '{_WORD}'))) AS removed
-  FROM k JOIN common USING (host, key) WHERE keeper <> doc_id GROUP BY doc_id),
 f AS (
   SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
          CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-         CAST(coalesce(removed, 0) AS BIGINT) AS removed_words
-  FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * (n_words - removed_words) >= 30 * n_words AS kept,
-       removed_words
-FROM f
+         n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed
+  FROM t LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id)),
+common AS (SELECT host, key FROM k WHERE key <> '' GROUP BY host, key HAVING count(DISTINCT doc_id) > 20),
+held AS (SELECT doc_id, host, key, len(regexp_extract_all(key, '{_WORD}')) AS words FROM k JOIN common USING (host, key)),
+passing AS (
+  SELECT doc_id, 100 * (any_value(n_words) - sum(words)) >= 30 * any_value(n_words) AS safe
+  FROM held JOIN f USING (doc_id) WHERE NOT base_failed GROUP BY doc_id),
+keepers AS (
+  SELECT host, key, max_by(doc_id, (CASE WHEN safe THEN 1 ELSE 0 END, doc_id)) AS keeper
+  FROM held JOIN passing USING (doc_id) GROUP BY host, key),
+gone AS (
+  SELECT doc_id, sum(CASE WHEN keeper = doc_id THEN 0 ELSE words END) AS removed, bool_or(coalesce(keeper = doc_id, false)) AS keeps
+  FROM held LEFT JOIN keepers USING (host, key) GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (coalesce(keeps, false) OR 100 * (n_words - coalesce(removed, 0)) >= 30 * n_words) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed_words
+FROM f LEFT JOIN gone USING (doc_id)
 """
 
 # CRC-32 of a short ASCII string, bit by bit; backward costs and the walk of tight edits by recursion.

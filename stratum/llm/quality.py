@@ -3,27 +3,24 @@
 Base rules per document (one Python pass over Arrow batches; per row a small
 helper): word and symbol counts, repeated lines, words in repeated 8-word
 windows. The method's rule: lines are normalised and hashed, distinct documents
-are counted per host and line, a line in more documents of a host than its
-limit is removed everywhere except in the host's largest id holding it, and a
+are counted per host and line, a line in more than ``max_docs`` documents of a host,
+the same number for every host, is removed everywhere except in its keeper, and a
 document left with too small a share of its words is rejected.
 
-The limit of a host is ``max(min_limit, share * documents of the host)``.
-
-The largest id may be a document that is itself rejected, and then no copy of
-the line is left among the kept ones. ``keeper_survives`` (the pipeline's
-setting) chooses the keeper among the holders that pass the base rules: the
-largest id of those that are not depleted even without any over-frequent line,
-else the largest id, which is then not rejected as depleted. So each line that
-a passing document holds stays in a kept one; a line without one needs none.
+The keeper is the largest id among the holders that pass the base rules and are not
+depleted even without any over-frequent line; if there is none, the largest id
+that passes the base rules, which is then not rejected as depleted. So every
+line that a passing document holds stays in a kept one; a line without a passing holder is
+removed from all.
 
 Scale: exploded lines travel as (document key, position, host, hash, words), the
-count is a two-level aggregate with map-side combining, host limits come from
-one pre-aggregated count, and the lookup joins two plain exchanges that AQE
-splits for a hot host or line.
+count is a two-level aggregate with map-side combining, and the lookup joins two plain
+exchanges that AQE splits for a hot host or line. The figures and the lines over the
+limit are written once, so the text is read for them one time each.
 
 Defined cases: null text: no words, one empty line, base_failed. Null host: a
 host of its own. Null id: an id of its own, smaller than all others. Rows with
-equal id and text count as one document and all are returned.
+equal id, text and host are one document and all are returned.
 """
 
 from __future__ import annotations
@@ -95,65 +92,23 @@ def _base(texts: pd.Series) -> pd.DataFrame:
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  min_words: int = 20, max_repeat_pct: int = 30, min_limit: int = 20, share_per_mille: int = 1,
-                  min_left_pct: int = 30, keeper_survives: bool = False) -> DataFrame:
+                  min_words: int = 20, max_repeat_pct: int = 30, max_docs: int = 20, min_left_pct: int = 30) -> DataFrame:
     """``docs`` with its columns, plus ``_q`` (base figures), ``_removed_words``,
     ``_base_failed``, ``_kept`` and ``_kept_text`` (the text without removed lines)."""
+    spark, paths = docs.sparkSession, [scratch_dir(docs.sparkSession, f"quality-{x}") for x in ("figures", "lines")]
     own = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"),
                    F.xxhash64(F.lit(7), F.col(text_col)).alias("u"))
     host = F.coalesce(F.xxhash64(F.lit(1), F.col(host_col)), F.lit(0))
-    keyed = docs.select(own.alias("_doc"), host.alias("_host"), lines(F.col(text_col)).alias("_lines"))
-    each = (keyed.select("_doc", "_host", F.posexplode("_lines").alias("_pos", "_line"))
-                 .withColumn("_key", ascii_lower(strip_space(F.col("_line")))).where("_key <> ''")
-                 .select("_doc", "_host", "_pos", hash128(F.col("_key")).alias("_h"),
-                         F.size(words(F.col("_key"))).alias("_words")))
-    limits = (keyed.groupBy("_host", F.col("_doc.id").alias("_id")).agg(F.lit(1).alias("_one"))
-                   .groupBy("_host").agg(F.greatest(F.lit(min_limit), F.count(F.lit(1)) * share_per_mille / 1000).alias("_limit")))
+    each = (docs.select(own.alias("_doc"), host.alias("_host"), F.posexplode(lines(F.col(text_col))).alias("_pos", "_line"))
+                .withColumn("_key", ascii_lower(strip_space(F.col("_line")))).where("_key <> ''")
+                .select("_doc", "_host", "_pos", hash128(F.col("_key")).alias("_h"),
+                        F.size(words(F.col("_key"))).alias("_words")))
     common = (each.groupBy("_host", "_h", F.col("_doc.id").alias("_id")).agg(F.lit(1).alias("_one"))
-                  .groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_keeper"))
-                  .where(F.col("_docs") > min_limit)
-                  .join(limits, "_host").where("_docs > _limit")
-                  .select(F.xxhash64("_host", "_h.a", "_h.b").alias("_j"), F.col("_host").alias("_chost"),
-                          F.col("_h").alias("_ch"), "_keeper"))
-    probe = each.withColumn("_j", F.xxhash64("_host", "_h.a", "_h.b"))
-    held = probe.join(common, (probe["_j"] == common["_j"]) & (F.col("_h") == F.col("_ch"))
-                      & (F.col("_host") == F.col("_chost")))
-    if keeper_survives:
-        return _with_surviving_keepers(docs, held, own, host, text_col, min_words, max_repeat_pct, min_left_pct)
-    removed = (held.where(~F.col("_doc.id").eqNullSafe(F.col("_keeper")))
-                    .groupBy("_doc", "_host", "_pos").agg(F.first("_words").alias("_words"))
-                    .groupBy("_doc", "_host").agg(F.sum("_words").alias("_removed_words"),
-                                                  F.sort_array(F.collect_list("_pos")).alias("_drop"))
-                    .withColumnRenamed("_doc", "_rdoc").withColumnRenamed("_host", "_rhost"))
-    figures = docs.withColumn("_q", _base(F.col(text_col))).withColumn("_doc", own).withColumn("_host", host)
-    joined = (figures.join(removed, F.col("_doc").eqNullSafe(F.col("_rdoc")) & (F.col("_host") == F.col("_rhost")), "left")
-                     .withColumn("_removed_words", F.coalesce("_removed_words", F.lit(0)).cast("long"))
-                     .drop("_rdoc", "_rhost", "_doc", "_host"))
-    failed = _fails("_q", min_words, max_repeat_pct)
-    depleted = _depleted("_q", F.col("_removed_words"), min_left_pct)
-    return (joined.withColumn("_base_failed", failed).withColumn("_kept", ~failed & ~depleted)
-                  .withColumn("_kept_text", _without(text_col)).drop("_drop"))
-
-
-def _fails(figures: str, min_words: int, max_repeat_pct: int) -> Column:
-    n = F.col(f"{figures}.n_words")
-    return (n < min_words) | (100 * F.col(f"{figures}.n_repeat_words") > max_repeat_pct * n)
-
-
-def _depleted(figures: str, removed_words: Column, min_left_pct: int) -> Column:
-    n = F.col(f"{figures}.n_words")
-    return 100 * (n - removed_words) < min_left_pct * n
-
-
-def _without(text_col: str) -> Column:
-    kept = without_positions(lines(F.col(text_col)), F.col("_drop"))
-    return F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-
-
-def _with_surviving_keepers(docs: DataFrame, held: DataFrame, own: Column, host: Column, text_col: str,
-                            min_words: int, max_repeat_pct: int, min_left_pct: int) -> DataFrame:
-    """The verdicts of ``quality_rules`` with keepers that are kept. ``held``: every over-frequent line of every document."""
-    spark, paths = docs.sparkSession, [scratch_dir(docs.sparkSession, f"quality-{x}") for x in ("figures", "lines")]
+                  .groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") > max_docs)
+                  .select(F.xxhash64("_host", "_h.a", "_h.b").alias("_j"), F.col("_host").alias("_chost"), F.col("_h").alias("_ch")))
+    held = each.withColumn("_j", F.xxhash64("_host", "_h.a", "_h.b")).join(
+        common.withColumnRenamed("_j", "_cj"),
+        (F.col("_j") == F.col("_cj")) & (F.col("_h") == F.col("_ch")) & (F.col("_host") == F.col("_chost")))
     docs = docs.withColumn("_doc", own).withColumn("_host", host)
     (docs.select("_doc", "_host", _base(F.col(text_col)).alias("_q"))
          .groupBy("_doc", "_host").agg(F.first("_q").alias("_q")).write.parquet(paths[0]))
@@ -186,3 +141,19 @@ def _with_surviving_keepers(docs: DataFrame, held: DataFrame, own: Column, host:
     depleted = _depleted("_q", F.col("_removed_words"), min_left_pct) & ~F.coalesce("_keeps", F.lit(False))
     return (out.withColumn("_base_failed", failed).withColumn("_kept", ~failed & ~depleted)
                .withColumn("_kept_text", _without(text_col)).drop("_drop", "_keeps"))
+
+
+def _fails(figures: str, min_words: int, max_repeat_pct: int) -> Column:
+    n = F.col(f"{figures}.n_words")
+    return (n < min_words) | (100 * F.col(f"{figures}.n_repeat_words") > max_repeat_pct * n)
+
+
+def _depleted(figures: str, removed_words: Column, min_left_pct: int) -> Column:
+    n = F.col(f"{figures}.n_words")
+    return 100 * (n - removed_words) < min_left_pct * n
+
+
+def _without(text_col: str) -> Column:
+    kept = without_positions(lines(F.col(text_col)), F.col("_drop"))
+    return F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+

@@ -90,31 +90,83 @@ def test_quality_figures():
     assert (n, chars, symbols, dup, rep) == (22, 44, 2, 2, 20)
 
 
+def brute_quality(data, max_docs=20):
+    """(id, text, host) rows -> (removed words, base_failed, kept, kept text) per row, in a plain way."""
+    strip = lambda x: x.strip(" \t\n\v\f\r").translate(fx.UPPER)
+    rows = sorted(set(data), key=repr)
+    n = {r: len(fx.words_of(r[1])) for r in rows}
+    failed = {}
+    for r in rows:
+        w = fx.words_of(r[1])
+        windows = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+        hit = {i + j for i in range(len(w) - 7) if windows[tuple(w[i:i + 8])] > 1 for j in range(8)}
+        failed[r] = n[r] < 20 or 100 * len(hit) > 30 * n[r]
+    holders: dict = {}
+    for r in rows:
+        for x in (r[1] or "").split("\n"):
+            if strip(x):
+                holders.setdefault((r[2], strip(x)), []).append(r)
+    common = {k: v for k, v in holders.items() if len({r[0] for r in v}) > max_docs}
+
+    def without(r, keeper_of):
+        return [x for x in (r[1] or "").split("\n") if (r[2], strip(x)) not in common or keeper_of((r[2], strip(x)), r)]
+
+    left = {r: sum(len(fx.words_of(x)) for x in without(r, lambda k, r: False)) for r in rows}
+    safe = {r: 100 * left[r] >= 30 * n[r] for r in rows}
+    keeper = {k: max(((safe[r], r[0] is not None, r[0] or 0) for r in v if not failed[r]), default=None) for k, v in common.items()}
+    mine = lambda k, r: keeper[k] is not None and keeper[k][1:] == (r[0] is not None, r[0] or 0)
+    out = []
+    for r in data:
+        lines = without(r, mine)
+        removed = n[r] - sum(len(fx.words_of(x)) for x in lines)
+        keeps = any(mine(k, r) for k, v in common.items() if r in v)
+        kept = not failed[r] and (keeps or 100 * (n[r] - removed) >= 30 * n[r])
+        text = r[1] if len(lines) == len((r[1] or "").split("\n")) else "\n".join(lines)
+        out.append(repr((r[0], r[2], removed, failed[r], kept, text)))
+    return sorted(out)
+
+
+def rated(df, **kw):
+    cols = ["doc_id", "source", "_removed_words", "_base_failed", "_kept", "_kept_text"]
+    return sorted(repr(tuple(r)) for r in quality.quality_rules(fx.extra_columns(df), **kw).select(*cols).collect())
+
+
 def test_quality_rules(spark):
-    common = "a line that a whole host repeats on every page of it"
+    common = "a line that a whole host repeats on every page of it"  # 12 words
     own = [fx.doc(i, f"{common}\n{fx.prose(200 + i, 24 if i < 30 else 4)}", source="h") for i in range(40)]
     other = [fx.doc(100 + i, f"{common}\n{fx.prose(300 + i, 30)}", source="k") for i in range(5)]
     df = spark.createDataFrame(own + other + [fx.doc(200, None, None, None)], fx.DOCS)
     got = {r["doc_id"]: r for r in quality.quality_rules(fx.extra_columns(df)).collect()}
-    assert all(got[i]["_removed_words"] == 11 for i in range(39)) and got[39]["_removed_words"] == 0
-    assert all(got[i]["_kept"] and common not in got[i]["_kept_text"] for i in range(30))
+    # the largest id, 39, is too short to be kept, so 29 keeps the line
+    assert all(got[i]["_removed_words"] == 12 for i in range(40) if i != 29) and got[29]["_removed_words"] == 0
+    assert all(got[i]["_kept"] and (common in got[i]["_kept_text"]) == (i == 29) for i in range(30))
     assert not any(got[i]["_kept"] for i in range(30, 40))  # too short
     assert all(got[100 + i]["_kept"] and got[100 + i]["_removed_words"] == 0 for i in range(5))
     assert not got[200]["_kept"] and got[200]["_base_failed"]
+    assert rated(df) == brute_quality([(i, t, s) for i, t, _, s, _ in own + other + [fx.doc(200, None, None, None)]])
 
 
 def test_quality_rules_take_awkward_rows(spark, docs):
-    got = quality.quality_rules(fx.extra_columns(docs), min_limit=4).collect()
-    data = fx.awkward()
-    holders = Counter()
-    keys = lambda t: {x.strip(" \t\n\v\f\r").translate(fx.UPPER) for x in (t or "").split("\n")} - {""}
-    for i, host in {(i, s) for i, _, _, s, _ in data}:
-        for k in set().union(*[keys(t) for j, t, _, s, _ in data if (j, s) == (i, host)]):
-            holders[host, k] += 1
-    assert len(got) == len(data) and sum(r["_removed_words"] > 0 for r in got) > 0
-    for r in got:
-        over = [k for k in keys(r["text"]) if holders[r["source"], k] > 4]
-        assert (r["_removed_words"] == 0) or over
+    data = [(i, t, s) for i, t, _, s, _ in fx.awkward()]
+    assert rated(docs, max_docs=4) == brute_quality(data, 4)
+
+
+def test_a_line_limit_is_the_same_at_every_host_size(spark):
+    line = "one line of a footer that sixty documents of the host hold word for word"
+    for others in (50, 3000):
+        rows = [fx.doc(i, f"{line}\n{fx.prose(i, 30)}") for i in range(60)] + [fx.doc(100 + i, f"x{i} " * 25) for i in range(others)]
+        got = quality.quality_rules(spark.createDataFrame(rows, fx.DOCS)).where("_removed_words > 0").count()
+        assert got == 59
+
+
+def test_every_removed_line_survives_in_a_kept_document(spark):
+    line = "a page that holds nothing but this line is rejected by the base rules"
+    depleted = " ".join(f"boiler{i}" for i in range(24))
+    rows = [fx.doc(i, f"{line}\n{fx.prose(i, 30)}") for i in range(30)] + [fx.doc(99, line)]
+    rows += [fx.doc(200 + i, depleted) for i in range(25)]
+    kept = quality.quality_rules(spark.createDataFrame(rows, fx.DOCS)).where("_kept").collect()
+    assert sum(line in r["_kept_text"] for r in kept) == 1
+    assert [r["doc_id"] for r in kept if depleted in r["_kept_text"]] == [224]
 
 
 @pytest.mark.parametrize("run", [
