@@ -1,34 +1,41 @@
 """Histogram sort into shards of near equal bytes.
 
-Rows are ordered by a 62-bit hash of (id, text). Splitters are found by
+Rows are ordered by a 62-bit key: 40 bits of a hash of (id, text), then 22 bits of a
+hash of the row's number, which is given once, in a written table. Splitters are found by
 probing: each round counts the exact bytes and rows between evenly spaced
 candidate boundaries inside the interval that still holds a splitter, on all
 partitions, and goes on inside the bucket that the target falls into, until
 the bytes below are within the tolerance or the interval is one key. Then
 every row is exchanged once, to its shard and a sub-range of it, and numbered.
 
-Scale: the probes read a narrow table (key, size) written once; a round brings
+The law is ``bytes``: shards of near equal sizes. Equal texts are not kept in one
+shard (a group of copies may be larger than one): the row's number tells repeated
+rows apart, so that they can be split like any others.
+
+Scale: the probes read narrow columns (key, size) of the written table; a round brings
 at most (shards - 1) * probes sums to the driver. Slots are numbered within
 sub-ranges, whose number follows the counted rows, and shifted by the counts of
-the sub-ranges before them, so no task sorts a whole shard.
+the sub-ranges before them, so no task sorts a whole shard; the exchange has a
+partition per ``task_bytes`` of the counted bytes, so a task's share doesn't grow
+with the data.
 
-Defined cases: null text has size 1 and checksum of no bytes. Rows with equal
-id and text have one key and stay together. A null id hashes like no id. An
-empty table gives no rows; more shards than rows leave shards empty.
+Defined cases: null text has size 1 and checksum of no bytes. A null id hashes like no
+id. An empty table gives no rows; more shards than rows leave shards empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from stratum.session import scratch_dir
+from stratum.operators.ordering import numbered_rows, written
 
-KEY_BITS = 62
+KEY_BITS, ROW_BITS = 62, 22
 
 
-def _key(id_col: str, text_col: str) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(id_col, text_col), 64 - KEY_BITS)
+def _key(id_col: str, text_col: str, row: Column) -> Column:
+    content = F.shiftrightunsigned(F.xxhash64(id_col, text_col), 64 - KEY_BITS + ROW_BITS)
+    return F.shiftleft(content, ROW_BITS) + F.shiftrightunsigned(F.xxhash64(F.lit(3), row), 64 - ROW_BITS)
 
 
 def row_size(text_col: str) -> Column:
@@ -74,32 +81,33 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = 1e-4, probes: int
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-                    tolerance: float = 1e-4, rows_per_range: int = 50_000) -> DataFrame:
+                    tolerance: float = 1e-4, rows_per_range: int = 50_000, task_bytes: int = 32 << 20) -> DataFrame:
     """``docs`` with its columns, plus ``_size``, ``_shard`` and ``_slot`` (gapless from 0 in the shard)."""
-    spark = docs.sparkSession
-    path = scratch_dir(spark, "shard-keys")
-    docs.select(_key(id_col, text_col).alias("key"), row_size(text_col).alias("size")).write.parquet(path)
-    keys = spark.read.parquet(path)
+    rows = numbered_rows(docs, "shard-rows").withColumn("_size", row_size(text_col))
+    rows = rows.withColumn("_key", _key(id_col, text_col, F.col("_row"))).drop("_row")
+    keys = written(rows.select(F.col("_key").alias("key"), F.col("_size").alias("size")), "shard-keys")
     cuts = splitters(keys, shards, tolerance)
-    ranges = max(_partitions(spark), -(-keys.count() // rows_per_range))
+    n, size = keys.agg(F.count(F.lit(1)), F.sum("size")).first()
+    ranges = max(1, -(-n // rows_per_range), -(-(size or 0) // task_bytes))
     width = -(-(1 << KEY_BITS) // ranges)
 
-    def place(df: DataFrame, key: Column) -> DataFrame:
+    def place(df: DataFrame, key: str) -> DataFrame:
         shard = F.lit(0)
         for c in cuts:
-            shard = shard + F.when(key >= F.lit(c), 1).otherwise(0)
-        return df.withColumn("_shard", shard).withColumn("_range", F.expr(f"_key div {width}L"))
+            shard = shard + F.when(F.col(key) >= F.lit(c), 1).otherwise(0)
+        return df.withColumn("_shard", shard).withColumn("_range", F.expr(f"{key} div {width}L"))
 
-    counts = place(keys.withColumn("_key", F.col("key")), F.col("_key")).groupBy("_shard", "_range").agg(
-        F.count(F.lit(1)).alias("_n"))
+    counts = place(keys, "key").groupBy("_shard", "_range").agg(F.count(F.lit(1)).alias("_n"))
     # one row per range: few, whatever the rows
     before = F.sum("_n").over(Window.partitionBy("_shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     start = counts.select(F.col("_shard").alias("_s"), F.col("_range").alias("_r"),
                           F.coalesce(before, F.lit(0)).alias("_start"))
-    rows = place(docs.withColumn("_size", row_size(text_col)).withColumn("_key", _key(id_col, text_col)), F.col("_key"))
+    # as many partitions as the counted bytes and ranges ask for, not as the session has
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = place(rows, "_key").repartition(max(least, 2 * ranges), "_shard", "_range")
     within = F.row_number().over(Window.partitionBy("_shard", "_range").orderBy("_key", id_col)) - 1
-    return (rows.withColumn("_in", within)
-                .join(start, (F.col("_shard") == F.col("_s")) & (F.col("_range") == F.col("_r")))
+    return (dealt.withColumn("_in", within)
+                .join(F.broadcast(start), (F.col("_shard") == F.col("_s")) & (F.col("_range") == F.col("_r")))
                 .withColumn("_slot", (F.col("_start") + F.col("_in")).cast("long"))
                 .drop("_key", "_range", "_in", "_s", "_r", "_start"))
 
@@ -108,6 +116,3 @@ def write_shards(sharded: DataFrame, folder: str) -> None:
     """One folder per shard, rows in slot order within each file."""
     sharded.sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(folder)
 
-
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
