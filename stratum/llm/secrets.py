@@ -2,14 +2,14 @@
 
 Every version of a text is content-addressed (SHA-256 of its UTF-8 bytes). The
 ledger is a Parquet table of (blob, rule_version, spans) under a shared folder;
-a scan takes only blobs that the ledger has not yet seen with this rule
-version, appends one ledger row per blob, also where nothing was found, and
-joins the findings back to all paths that hold the blob.
-
-Scale: unseen blobs are found by a pre-aggregated ``min`` of the row key per
-blob, so copies of one text, however many, send one row per task; the text
-itself is exchanged at most once, by row key, to pick the representative.
-Scanning is a small per-row helper in Arrow batches. Findings join back on the
+a scan with a rule set takes only blobs that the ledger has not yet seen with that
+set's version, appends one ledger row per blob, also where nothing was found, and
+findings are joined back to all paths that hold the blob. A new version scans
+every blob anew and leaves the rows of the old one.
+
+Scale: copies of one text are cut to one row per task before they are exchanged
+by blob, so a text that a third of all rows repeat costs one row per task. Scanning is a
+small per-row helper in Arrow batches. Findings join back on the
 blob; blobs without findings are left out of that join, and AQE splits a hot
 blob.
 
@@ -25,72 +25,90 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-RULE_VERSION = "base-1"
-KINDS = ("assign", "access", "hex")
-# Fixed patterns of the contract.
-ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-                    re.IGNORECASE | re.ASCII)
-ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-HEX = re.compile(r"[0-9a-f]+")
-LEDGER = "blob binary, rule_version string, n_assign long, n_access long, n_hex long, spans string"
+from stratum.plans import storage
+
+LEDGER = "blob binary, rule_version string, spans string"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Leftmost non-overlapping matches of ``pattern`` whose ``group`` has at least ``least`` characters."""
+
+    kind: str
+    pattern: str
+    group: int = 0
+    least: int = 1
+    flags: int = 0
+
+
+@dataclass(frozen=True)
+class RuleSet:
+    version: str
+    rules: tuple[Rule, ...]
 
+    def find(self, text: str) -> list[tuple[int, int, int]]:
+        """(start, rule number, end) of all findings, by start, then rule."""
+        found = []
+        for k, rule in enumerate(self.rules):
+            for m in re.compile(rule.pattern, rule.flags).finditer(text):
+                if m.end(rule.group) - m.start(rule.group) >= rule.least:
+                    found.append((m.start(), k, m.end()))
+        return sorted(found)
 
-def find_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind number, end) of all findings, by start, then kind."""
-    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
-    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
-    return sorted(found)
+    def spans(self, text: str) -> str:
+        return ",".join(f"{self.rules[k].kind}:{s}:{e}" for s, k, e in self.find(text))
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for blob, text in zip(pdf["blob"], pdf["text"]):
-            spans = find_spans(text or "")
-            n = [sum(k == kind for _, k, _ in spans) for kind in range(3)]
-            rows.append((blob, RULE_VERSION, *n, ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)))
-        yield pd.DataFrame(rows, columns=["blob", "rule_version", "n_assign", "n_access", "n_hex", "spans"])
+# Fixed patterns of the contract.
+BASE = RuleSet("base-1", (
+    Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6,
+         re.IGNORECASE | re.ASCII),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
+    Rule("hex", r"[0-9a-f]+", 0, 24)))
+
+
+def _scanner(rules: RuleSet):
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"blob": pdf["blob"], "rule_version": rules.version,
+                                "spans": [rules.spans(t or "") for t in pdf["text"]]})
+    return scan
 
 
 def _address(text_col: str):
     return F.unhex(F.sha2(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"), 256))
 
 
-def read_ledger(spark, path: str, rule_version: str = RULE_VERSION) -> DataFrame:
-    return spark.read.schema(LEDGER).parquet(path).where(F.col("rule_version") == rule_version).distinct()
-
-
-def scan_increment(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Scans the blobs of ``docs`` that the ledger at ``ledger`` lacks for the
-    current rule version, and appends them."""
-    spark = docs.sparkSession
-    empty = spark.createDataFrame([], LEDGER)
-    empty.write.mode("append").parquet(ledger)  # the folder exists from the first scan on
-    seen = read_ledger(spark, ledger).select(F.col("blob").alias("_seen"))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       _address(text_col).alias("blob"))
-    first = (rows.groupBy("blob").agg(F.min("id").alias("id"))
-                 .join(seen, F.col("blob") == F.col("_seen"), "left_anti")
-                 .select(F.col("blob").alias("_blob"), F.col("id").alias("_id")))
-    fresh = (rows.join(first, (F.col("blob") == F.col("_blob")) & F.col("id").eqNullSafe(F.col("_id")))
-                 .select("blob", "text"))
-    fresh.mapInPandas(_scan, LEDGER).write.mode("append").parquet(ledger)
-
-
-def findings(docs: DataFrame, ledger: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with its columns, plus ``_n_assign``, ``_n_access``, ``_n_hex`` and
-    ``_spans`` from the ledger."""
-    names = {"n_assign": "_n_assign", "n_access": "_n_access", "n_hex": "_n_hex", "spans": "_spans"}
-    found = read_ledger(docs.sparkSession, ledger).where("spans <> ''").select(
-        F.xxhash64("blob").alias("_j"), F.col("blob").alias("_b"), *[F.col(k).alias(v) for k, v in names.items()])
+def read_ledger(spark, path: str, rules: RuleSet = BASE) -> DataFrame:
+    """The rows of a rule set's version; none if there is no ledger yet."""
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(path).where(F.col("rule_version") == rules.version).distinct()
+
+
+def scan_increment(docs: DataFrame, ledger: str, rules: RuleSet = BASE, text_col: str = "text") -> None:
+    """Scans the blobs of ``docs`` that the ledger at ``ledger`` lacks for the version of ``rules``, and appends them."""
+    seen = read_ledger(docs.sparkSession, ledger, rules).select(F.col("blob").alias("_seen"))
+    blobs = (docs.select(_address(text_col).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                 .dropDuplicates(["blob"]))
+    fresh = blobs.join(seen, F.col("blob") == F.col("_seen"), "left_anti")
+    fresh.mapInPandas(_scanner(rules), LEDGER).write.mode("append").parquet(ledger)
+
+
+def findings(docs: DataFrame, ledger: str, rules: RuleSet = BASE, text_col: str = "text") -> DataFrame:
+    """``docs`` with its columns, plus ``_spans`` and ``_n_<kind>`` for every kind of ``rules``, from the ledger."""
+    found = read_ledger(docs.sparkSession, ledger, rules).where("spans <> ''").select(
+        F.xxhash64("blob").alias("_j"), F.col("blob").alias("_b"), F.col("spans").alias("_spans"))
     rows = docs.withColumn("_blob", _address(text_col)).withColumn("_j0", F.xxhash64("_blob"))
     out = rows.join(found, (F.col("_j0") == F.col("_j")) & (F.col("_blob") == F.col("_b")), "left")
-    filled = {v: F.coalesce(F.col(v), F.lit("" if v == "_spans" else 0)) for v in names.values()}
-    return out.withColumns(filled).drop("_j", "_j0", "_b", "_blob")
+    out = out.withColumn("_spans", F.coalesce("_spans", F.lit(""))).drop("_j", "_j0", "_b", "_blob")
 
+    def count(kind):
+        return F.size(F.filter(F.split("_spans", ","), lambda s: F.startswith(s, F.lit(f"{kind}:")))).cast("long")
 
+    return out.withColumns({f"_n_{r.kind}": count(r.kind) for r in rules.rules})
