@@ -9,104 +9,88 @@ covers the assistant's own words. One line per turn:
     <|user name=NAME|>\\ntext<|end|>\\n   everybody else
 
 The mask holds [start, end) code points of ``text<|end|>`` of the assistant's
-turns, within the rendered string.
-
-Scale: a conversation is cut into segments of ``segment_turns`` turn numbers
-(turn div segment_turns), so that one task never holds a whole hot
-conversation; a segment's rows are rendered once per participant of the
-conversation, which are found by a pre-aggregated distinct. Segments of
-ordinary dialogues are the dialogue. Equal turn numbers are ordered by role and
-text; if a corrupt conversation repeats turn numbers without bound, a segment
-of more than ``piece_rows`` rows is cut by position into pieces of that many:
-its rows are put in order by range partitions, in which equal rows are told
-apart by a row number, and numbered by the partitions' offsets. A piece is a
-stretch of the dialogue, and no group grows with the data.
+turns, within the rendered string. In texts and names, whatever could be read as a
+marker's edge gets one backslash more (``<|`` is ``<\\|``, ``|>`` is ``|\\>``), so no text
+can forge a turn, and ``unescape`` gives the words back.
+
+A view is the whole dialogue, whatever its length. Turns are put in order once per
+conversation; a view's mask follows from running lengths and the speaker's number of
+turns so far, so the work on a view is linear in it. A conversation and its views are
+rows, so they have to fit in a task. Where a corrupt conversation doesn't, ``max_rows``
+(off unless it is given) cuts every conversation, by position in order, into pieces of at
+most that many rows; each piece is rendered like a dialogue of its own.
 
 Defined cases: a null text is empty; a null role is the participant named
-``unknown``; a null turn sorts first, in a segment of its own; a null conv_id
-is a conversation of its own; a conversation with system turns alone has no
+``unknown``; a null turn sorts first; equal turns are ordered by role and text; a null
+conv_id is a conversation; a conversation with system turns alone has no
 participant and gives no row; repeated rows are repeated turns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from stratum.session import scratch_dir, sized_partitions
+from stratum.operators.ordering import numbered_rows, placed
 
 END = "<|end|>"
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def escape(col: Column) -> Column:
+    once = F.regexp_replace(col, r"<(\\*)\|", r"<\\$1|")
+    return F.regexp_replace(once, r"\|(\\*)>", r"|\\$1>")
+
+
+def unescape(col: Column) -> Column:
+    once = F.regexp_replace(col, r"\|\\(\\*)>", "|$1>")
+    return F.regexp_replace(once, r"<\\(\\*)\|", "<$1|")
 
 
-def _cut(base: DataFrame, piece_rows: int) -> DataFrame:
-    """``base`` with ``piece``: 0, or in segments of more than ``piece_rows`` rows the
-    position in (turn, speaker, body) order, divided by ``piece_rows``."""
-    sizes = _written(base.groupBy("conv", "segment").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > piece_rows)
-                         .select(F.col("conv").alias("c"), F.col("segment").alias("g")), "chat-sizes")
-    if sizes.isEmpty():
+def _pieces(base: DataFrame, max_rows: int | None) -> DataFrame:
+    """``base`` with ``piece``: the position in the conversation, divided by ``max_rows``; 0 without it."""
+    if max_rows is None:
         return base.withColumn("piece", F.lit(0).cast("long"))
-    same = F.col("conv").eqNullSafe(F.col("c")) & F.col("segment").eqNullSafe(F.col("g"))
-    small = base.join(sizes, same, "left_anti").withColumn("piece", F.lit(0).cast("long"))
-    order = ["conv", "segment", "turn", "speaker", "body", "tie"]
-    big = _written(base.join(sizes, same, "left_semi").withColumn("tie", F.monotonically_increasing_id()), "chat-big")
-    # an id of this kind is the partition's number in the upper bits and the row's place in it in the lower 33
-    placed = _written(big.repartitionByRange(sized_partitions(big), *order).sortWithinPartitions(*order)
-                         .withColumn("at", F.monotonically_increasing_id()), "chat-placed")
-    placed = placed.withColumn("part", F.shiftright("at", 33))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per partition
-                     .select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off")))
-    placed = (placed.join(F.broadcast(offsets), F.col("part") == F.col("p"))
-                    .withColumn("at", F.col("off") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))))
-    starts = (placed.groupBy(F.col("conv").alias("c"), F.col("segment").alias("g")).agg(F.min("at").alias("start")))
-    cut = (placed.join(starts, same)
-                 .withColumn("piece", F.floor((F.col("at") - F.col("start")) / piece_rows).cast("long")))
-    return small.unionByName(cut.select(*small.columns))
+    order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), "speaker", "body", "_row"]
+    at = placed(numbered_rows(base, "chat-rows"), order, "chat-placed").drop("_row")
+    starts = at.groupBy(F.col("conv").alias("c")).agg(F.min("_at").alias("start"))
+    return (at.join(starts, F.col("conv").eqNullSafe(F.col("c")))
+              .withColumn("piece", F.floor((F.col("_at") - F.col("start")) / max_rows).cast("long")).drop("_at", "c", "start"))
 
 
 def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
-                        role_col: str = "role", text_col: str = "text", segment_turns: int = 256,
-                        system_roles: tuple[str, ...] = ("system",), piece_rows: int = 10_000) -> DataFrame:
-    """(conv, segment, piece, participant, n_turns, n_own, rendered, mask)."""
+                        role_col: str = "role", text_col: str = "text",
+                        system_roles: tuple[str, ...] = ("system",), max_rows: int | None = None) -> DataFrame:
+    """(conv, piece, participant, n_turns, n_own, rendered, mask)."""
     base = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
                         F.coalesce(F.col(role_col), F.lit("unknown")).alias("speaker"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    base = base.withColumn("segment", F.floor(F.col("turn") / segment_turns).cast("long"))
-    part = base.where(~F.col("speaker").isin(*system_roles))
-    people = part.select("conv", "speaker").distinct()
-    dealt = _cut(base, piece_rows)
-    packed = (dealt.groupBy("conv", "segment", "piece")
-                   .agg(F.sort_array(F.collect_list(F.struct("turn", "speaker", "body"))).alias("rows"))
-                   .withColumnRenamed("conv", "_conv"))
-    rotated = packed.join(people.select(F.col("conv").alias("c"), F.col("speaker").alias("participant")),
-                          F.col("_conv").eqNullSafe(F.col("c")))
-
-    def head(row):
-        return (F.when(row["speaker"].isin(*system_roles), F.lit("<|system|>\n"))
-                 .when(row["speaker"] == F.col("participant"), F.lit("<|assistant|>\n"))
-                 .otherwise(F.concat(F.lit("<|user name="), row["speaker"], F.lit("|>\n"))))
-
-    shown = F.transform("rows", lambda r: F.struct(
-        head(r).alias("head"), F.concat(r["body"], F.lit(END)).alias("rest"),
-        (~r["speaker"].isin(*system_roles) & (r["speaker"] == F.col("participant"))).alias("own")))
-    rotated = rotated.withColumn("_shown", shown)
-    rendered = F.array_join(F.transform("_shown", lambda s: F.concat(s["head"], s["rest"], F.lit("\n"))), "")
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
-
-    def step(acc, s):
-        start = acc["at"] + F.char_length(s["head"])
-        end = start + F.char_length(s["rest"])
-        span = F.array(F.struct(start.cast("long").alias("start"), end.cast("long").alias("end")))
-        return F.struct((end + 1).cast("long").alias("at"),
-                        F.when(s["own"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    return rotated.select(
-        F.col("_conv").alias("conv"), "segment", "piece", "participant", F.size("rows").cast("long").alias("n_turns"),
-        F.size(F.filter("_shown", lambda s: s["own"])).cast("long").alias("n_own"),
-        rendered.alias("rendered"), F.aggregate("_shown", zero, step)["spans"].alias("mask"))
+    system = F.col("speaker").isin(*system_roles)
+    people = base.where(~system).select(F.col("conv").alias("c"), F.col("speaker").alias("participant")).distinct()
+    named = F.concat(F.lit("<|user name="), escape(F.col("speaker")), F.lit("|>\n"))
+    lines = (_pieces(base, max_rows)
+             .withColumn("head", F.when(system, F.lit("<|system|>\n")).otherwise(named))
+             .withColumn("rest", F.concat(escape(F.col("body")), F.lit(END))))
+    own_head = "<|assistant|>\n"
+    in_order = Window.partitionBy("conv", "piece").orderBy(F.col("turn").asc_nulls_first(), "speaker", "body")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    mine_before = (Window.partitionBy("conv", "piece", "speaker").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    # length of what precedes a turn if all speakers are users, and by how much the speaker's own turns before it are shorter
+    lines = (lines.withColumn("place", F.row_number().over(in_order))
+                  .withColumn("ahead", F.coalesce(F.sum(F.char_length("head") + F.char_length("rest") + 1).over(before), F.lit(0)))
+                  .withColumn("saved", F.coalesce(F.sum(F.char_length("head") - len(own_head)).over(mine_before), F.lit(0))))
+    start = F.col("ahead") - F.col("saved") + len(own_head)
+    spans = (lines.where(~F.col("speaker").isin(*system_roles))
+                  .withColumn("span", F.struct(start.cast("long").alias("start"), (start + F.char_length("rest")).cast("long").alias("end")))
+                  .groupBy(F.col("conv").alias("mc"), F.col("piece").alias("mp"), F.col("speaker").alias("ms"))
+                  .agg(F.sort_array(F.collect_list("span")).alias("mask")))
+    whole = (lines.groupBy("conv", "piece")
+                  .agg(F.sort_array(F.collect_list(F.struct("place", "speaker", "head", "rest"))).alias("rows")))
+    views = whole.join(people, F.col("conv").eqNullSafe(F.col("c")))
+    own = lambda r: (r["speaker"] == F.col("participant")) & ~r["speaker"].isin(*system_roles)
+    rendered = F.array_join(F.transform("rows", lambda r: F.concat(
+        F.when(own(r), F.lit(own_head)).otherwise(r["head"]), r["rest"], F.lit("\n"))), "")
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    same = (F.col("conv").eqNullSafe(F.col("mc")) & (F.col("piece") == F.col("mp")) & (F.col("participant") == F.col("ms")))
+    return (views.withColumn("rendered", rendered).withColumn("n_turns", F.size("rows").cast("long")).drop("rows", "c")
+                 .join(spans, same, "left").withColumn("mask", F.coalesce("mask", none))
+                 .select("conv", "piece", "participant", "n_turns", F.size("mask").cast("long").alias("n_own"), "rendered", "mask"))
