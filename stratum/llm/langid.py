@@ -8,12 +8,14 @@ sample's length in bits; the language with the fewest bits per symbol wins.
 Learning: for each non-null value of lang that has a text with a letter, the
 ``sample_rows`` labelled rows of smallest hash, those of at most ``row_chars``
 code points first (longer ones give that many), up to ``sample_symbols``
-symbols. What reaches the driver is bounded by these parameters per language.
+symbols; fewer of each, if all languages together would have more than ``total_rows``. What
+reaches the driver is bounded by these parameters; more languages than ``total_rows`` raise.
 Predicting reads every text in full.
 
 The automata are hash tables of their edges, so any number of letters fits,
 built once per Python worker from the sample. Texts are parsed in blocks of
-``BLOCK`` symbols, many blocks in lockstep with numpy, so a very long text costs what short ones of its length cost.
+``BLOCK`` symbols, many blocks in lockstep with numpy, so a very long text costs what short ones of its length cost; a
+phrase goes on over the edge of a block (``_block_phrases``), so the counts are those of the text as a whole.
 
 Symbols: lower-cased letters of the sample; every run of other characters is
 one blank; a letter that no sample holds matches nothing.
@@ -43,9 +45,14 @@ def held_out(id_col: str) -> Column:
 
 
 def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    sample_rows: int = 64, row_chars: int = 4000, sample_symbols: int = 40_000) -> dict[str, str]:
+                    sample_rows: int = 64, row_chars: int = 4000, sample_symbols: int = 40_000,
+                    total_rows: int = 8192) -> dict[str, str]:
     """Language -> sample text, from the rows of ``docs`` (the learning fold)."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    langs = rows.agg(F.count_distinct(lang_col)).first()[0]
+    if langs > total_rows:
+        raise ValueError(f"{langs} languages; total_rows allows {total_rows}")
+    sample_rows = min(sample_rows, total_rows // max(langs, 1))
     order = Window.partitionBy(lang_col).orderBy("_long", "_h", id_col)
     picked = (rows.select(lang_col, id_col, (F.char_length(text_col) > row_chars).alias("_long"),
                             F.xxhash64(id_col).alias("_h"), F.substring(text_col, 1, row_chars).alias("_t"))
@@ -126,6 +133,55 @@ def suffix_automaton(seq: list[int], alphabet: int) -> Edges:
     return Edges(nxt, alphabet)
 
 
+def _block_phrases(table: Edges, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Phrases that start in each block, the blocks of a text parsed as one text.
+
+    All blocks are first parsed side by side, each as if a phrase started with it. A
+    block that ``follows`` another one is then parsed again from the state its
+    predecessor ends in, up to a place where both parses start a phrase: from there on
+    they are the same. A block that comes to no such place ends in another state than first
+    thought, and its successor is done once more."""
+    starts = np.zeros(len(flat), bool)
+    count, alone, _ = _walk(table, flat, begin, length, np.zeros(len(begin), np.int32), starts, None)
+    state, upto = alone.copy(), np.cumsum(starts)
+    todo = np.flatnonzero(follows)
+    while len(todo):
+        count[todo], ends, met = _walk(table, flat, begin[todo], length[todo], state[todo - 1], starts, upto)
+        ends = np.where(met, alone[todo], ends)
+        after = todo[ends != state[todo]] + 1
+        state[todo] = ends
+        after = after[after < len(begin)]
+        todo = after[follows[after]]
+    return count
+
+
+def _walk(table: Edges, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, state: np.ndarray, starts: np.ndarray,
+          upto: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(phrases, end states, met) of blocks entered in ``state``, 0 for a phrase's start. The first parse (no ``upto``) marks
+    its ``starts``; a later one stops where it starts a phrase at a marked place and takes the rest from the running count."""
+    live = np.argsort(-length, kind="stable")
+    n, now, met = np.zeros(len(begin), np.int64), state.astype(np.int32), np.zeros(len(begin), bool)
+    for t in range(int(length.max(initial=0))):
+        live = live[:len(live) - np.searchsorted(length[live][::-1], t, side="right")]
+        if not len(live):
+            break
+        at = begin[live] + t
+        symbol = flat[at]
+        to = table.follow(now[live], symbol)
+        new = (to == 0) | (now[live] == 0)
+        n[live] += new
+        now[live] = np.where(to == 0, table.root[symbol], to)
+        if upto is None:
+            starts[at[new]] = True
+        else:
+            same = new & starts[at]
+            done = live[same]
+            n[done] += upto[begin[done] + length[done] - 1] - upto[at[same]]
+            met[done] = True
+            live = live[~same]
+    return n, now, met
+
+
 class CrossParser:
     def __init__(self, sample: dict[str, str]):
         letters = sorted({c for text in sample.values() for c in text.lower() if c.isalpha()})
@@ -156,24 +212,11 @@ class CrossParser:
         owner = np.repeat(np.arange(len(texts)), blocks)
         first = np.repeat(np.cumsum(size) - size, blocks)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        begin, left = first + nth * BLOCK, np.minimum(BLOCK, np.repeat(size, blocks) - nth * BLOCK)
-        order = np.argsort(-left, kind="stable")
-        owner, begin, left = owner[order], begin[order], left[order]
+        begin, length = first + nth * BLOCK, np.minimum(BLOCK, np.repeat(size, blocks) - nth * BLOCK)
         flat = np.concatenate([*coded, np.zeros(1, np.int32)])
         out = np.zeros((len(texts), len(self.langs)), np.int64)
-        active = len(left) - np.searchsorted(left[::-1], np.arange(BLOCK), side="right")
         for j, table in enumerate(self.tables):
-            state, count = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int64)
-            for t in range(BLOCK):
-                k = active[t]
-                if not k:
-                    break
-                s = flat[begin[:k] + t]
-                to = table.follow(state[:k], s)
-                miss = to == 0
-                count[:k] += miss | (state[:k] == 0)
-                state[:k] = np.where(miss, table.root[s], to)
-            np.add.at(out[:, j], owner, count)
+            np.add.at(out[:, j], owner, _block_phrases(table, flat, begin, length, nth > 0))
         return out, size
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
