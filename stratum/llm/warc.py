@@ -5,9 +5,13 @@ under a shared folder, one gzip member per record, under names that no other
 attempt uses, and returns a manifest row per file. The manifest is the commit:
 files of failed or duplicate attempts are in no manifest and are never read.
 
-Reader: each archive of the manifest is read front to back with incremental
+Reader: any archive of one gzip member per record, of this writer or another one, is
+read front to back with incremental
 zlib decompression in small chunks; a record's block is framed by its
-Content-Length, and the payload digest is computed as the bytes arrive. Memory
+Content-Length, and its digests are computed as the bytes arrive. A member counts as read
+only behind its own checksum and length. Records of every type are returned; those with an HTTP
+header have it cut off, of others the block is the payload. Digests may be in hex or
+base32, of any algorithm that hashlib has, or missing. Memory
 holds one chunk and one batch of rows, whatever the archive's size. Archives
 are the unit of parallel work.
 
@@ -18,14 +22,17 @@ Defined cases: null payload is empty. Of equal payloads (SHA-1 and length) of
 at least ``min_revisit_bytes`` the largest key is the response, others are
 revisits that carry the response's HTTP header and refer to it. A row repeated
 with that key is a response too. A null key is smaller than all others; if all
-are null, all are responses. Header values can't hold line breaks: CR and LF
+are null, all are responses. ``digest_ok`` is false where a digest or length that a header states is
+not met, true where none is stated. An id that is not of this writer has no record_key. Broken framing raises. Header values can't hold line breaks: CR and LF
 in a URL are percent-encoded.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import posixpath
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -37,9 +44,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratum.session import scratch_dir
 
 MANIFEST = "path string, records long, bytes long"
-RECORD = ("record_key long, record_type string, target_uri string, refers_to long, payload_bytes long, "
+RECORD = ("record_key long, record_id string, record_type string, target_uri string, refers_to long, payload_bytes long, "
           "payload_digest string, digest_ok boolean, payload binary")
 CHUNK = 1 << 16
+HTTP_BYTES = 1 << 20  # a longer HTTP header is taken for payload
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
@@ -54,8 +62,9 @@ def _urn(key) -> str:
 
 
 def _key(urn: str | None):
-    tail = (urn or "").strip("<>").rpartition(":")[2]
-    return None if tail in ("", "none") else int(tail)
+    """The key in an id that ``_urn`` gave; other ids have none."""
+    known = re.fullmatch(r"<urn:record:(-?\d+)>", urn or "")
+    return int(known[1]) if known else None
 
 
 def record_bytes(key, uri, payload: bytes, refers_to, is_revisit: bool, digest: str) -> bytes:
@@ -130,77 +139,126 @@ def write_archives(pages: DataFrame, folder: str, key_col: str = "page_id", uri_
     return pages.sparkSession.read.parquet(manifest)
 
 
-def read_stream(stream, with_payload: bool) -> Iterator[tuple]:
-    """Records of one archive, in order. Raises ValueError on broken framing."""
-    state = {"z": zlib.decompressobj(31), "raw": b"", "eof": False}
-    buf = bytearray()
-
-    def more() -> bool:
-        """Appends the next decompressed bytes; False at the end of the archive."""
-        while True:
-            if not state["raw"] and not state["eof"]:
-                state["raw"] = stream.read(CHUNK)
-                state["eof"] = not state["raw"]
-            if not state["raw"]:
-                return False
-            if state["z"].eof:
-                state["z"] = zlib.decompressobj(31)
-            got = state["z"].decompress(state["raw"], CHUNK)
-            state["raw"] = state["z"].unused_data if state["z"].eof else state["z"].unconsumed_tail
+class _Members:
+    """The gzip members of a stream, one after the other, decompressed piece by piece into ``buf``."""
+
+    def __init__(self, stream):
+        self.stream, self.raw, self.buf = stream, b"", bytearray()
+
+    def open(self) -> bool:
+        """Goes to the next member; False at the end of the archive."""
+        self.raw = self.raw or self.stream.read(CHUNK)
+        self.z = zlib.decompressobj(31)
+        return bool(self.raw)
+
+    def more(self) -> bool:
+        """Appends the member's next bytes; False at its end, which is behind its checksum and length."""
+        while not self.z.eof:
+            self.raw = self.raw or self.stream.read(CHUNK)
+            last = not self.raw
+            try:
+                got = self.z.decompress(self.raw, CHUNK)
+            except zlib.error as exc:
+                raise ValueError(f"damaged gzip member: {exc}") from exc
+            self.raw = self.z.unused_data if self.z.eof else self.z.unconsumed_tail
             if got:
-                buf.extend(got)
+                self.buf.extend(got)
                 return True
+            if last and not self.z.eof:
+                raise ValueError("archive ends inside a gzip member")
+        return False
 
-    def header() -> list[str]:
+    def until(self, mark: bytes, limit: int | None = None) -> int:
+        """Where ``mark`` ends in the buffer, or -1 if it isn't within the member (or the next ``limit`` bytes)."""
         at = 0
-        while (end := buf.find(b"\r\n\r\n", max(0, at - 3))) < 0:
-            at = len(buf)
-            if not more():
-                raise ValueError("archive ends inside a header")
-        text = bytes(buf[:end]).decode()
-        del buf[:end + 4]
-        return text.split("\r\n")
-
-    def fields(rows: list[str]) -> dict[str, str]:
-        return {k.lower(): v.strip() for k, _, v in (r.partition(":") for r in rows)}
-
-    while buf or more():
-        head = header()
-        if not head[0].startswith("WARC/"):
-            raise ValueError(f"no record at {head[0][:40]!r}")
-        f = fields(head[1:])
-        left, block, payload, kept = int(f["content-length"]), hashlib.sha1(), hashlib.sha1(), bytearray()
-        before = len(buf)
-        while len(buf) < min(left, CHUNK) and more():  # the HTTP header lies in the block's first bytes
-            pass
-        end = buf.find(b"\r\n\r\n", 0, left) + 4
-        if end < 4:
-            raise ValueError(f"record of {before} bytes read has no HTTP header")
-        http = fields(bytes(buf[:end]).decode().split("\r\n")[1:])
-        block.update(buf[:end])
-        del buf[:end]
-        left -= end
-        size = 0
-        while left:
-            if not buf and not more():
-                raise ValueError("archive ends inside a block")
-            part = bytes(buf[:left])
-            del buf[:len(part)]
-            left, size = left - len(part), size + len(part)
+        while (end := self.buf.find(mark, max(0, at - len(mark)), limit)) < 0:
+            at = len(self.buf)
+            if limit is not None and at >= limit or not self.more():
+                return -1
+        return end + len(mark)
+
+    def take(self, n: int) -> bytes:
+        part = bytes(self.buf[:n])
+        del self.buf[:len(part)]
+        return part
+
+
+def _fields(rows: list[str]) -> dict[str, str]:
+    return {k.lower(): v.strip() for k, _, v in (r.partition(":") for r in rows)}
+
+
+class _Digest:
+    """A running digest beside what a header says of it: ``algorithm:value``, the value in hex or base32."""
+
+    def __init__(self, stated: str | None):
+        algorithm, _, self.value = (stated or "").rpartition(":")
+        self.known = algorithm.lower() in hashlib.algorithms_guaranteed and "shake" not in algorithm.lower()
+        self.run = hashlib.new(algorithm.lower()) if self.known else None
+
+    def update(self, part: bytes) -> None:
+        if self.known:
+            self.run.update(part)
+
+    def stated(self) -> bytes | None:
+        try:
+            return bytes.fromhex(self.value) if len(self.value) == 2 * self.run.digest_size else base64.b32decode(self.value.upper())
+        except (ValueError, AttributeError):
+            return None
+
+    def ok(self) -> bool:
+        return not self.known or self.run.digest() == self.stated()
+
+
+def read_stream(stream, with_payload: bool) -> Iterator[tuple]:
+    """Records of one archive, in order. Raises ValueError on broken framing: a member that is cut or damaged, or holds
+    no record or more than one, or a block that isn't as long as its Content-Length says."""
+    members = _Members(stream)
+    while members.open():
+        yield _record(members, with_payload)
+        members.more()
+        if members.buf or members.more():
+            raise ValueError("a gzip member holds more than one record")
+
+
+def _record(members: _Members, with_payload: bool) -> tuple:
+    end = members.until(b"\r\n\r\n")
+    if end < 0:
+        raise ValueError("a member ends inside a record's header")
+    head = members.take(end)[:-4].decode("utf-8", "replace").split("\r\n")
+    f = _fields(head[1:])
+    if not head[0].startswith("WARC/") or "content-length" not in f:
+        raise ValueError(f"no record at {head[0][:40]!r}")
+    kind, left = f.get("warc-type", ""), int(f["content-length"])
+    block, payload, sha1 = _Digest(f.get("warc-block-digest")), _Digest(f.get("warc-payload-digest")), hashlib.sha1()
+    http: dict[str, str] = {}
+    if f.get("content-type", "").startswith("application/http"):
+        end = members.until(b"\r\n\r\n", min(left, HTTP_BYTES))
+        if 0 <= end <= left:
+            part = members.take(end)
             block.update(part)
-            payload.update(part)
-            if with_payload:
-                kept += part
-        while len(buf) < 4 and more():
-            pass
-        if bytes(buf[:4]) != b"\r\n\r\n":
-            raise ValueError("record doesn't end where its Content-Length says")
-        del buf[:4]
-        revisit, digest = f["warc-type"] == "revisit", f["warc-payload-digest"].rpartition(":")[2]
-        ok = f["warc-block-digest"].rpartition(":")[2] == block.hexdigest()
-        ok &= revisit or payload.hexdigest() == digest and int(http["content-length"]) == size
-        yield (_key(f["warc-record-id"]), f["warc-type"], f["warc-target-uri"], _key(f.get("warc-refers-to")),
-               int(http["content-length"]), digest, ok, bytes(kept) if with_payload and not revisit else None)
+            left -= end
+            http = _fields(part[:-4].decode("utf-8", "replace").split("\r\n")[1:])
+    size, kept = 0, bytearray()
+    while left:
+        if not members.buf and not members.more():
+            raise ValueError("a member ends inside a block")
+        part = members.take(left)
+        left, size = left - len(part), size + len(part)
+        for digest in (block, payload, sha1):
+            digest.update(part)
+        if with_payload:
+            kept += part
+    while len(members.buf) < 4 and members.more():
+        pass
+    if members.take(4) != b"\r\n\r\n":
+        raise ValueError("a record doesn't end where its Content-Length says")
+    revisit, coded = kind == "revisit", "transfer-encoding" in http  # a chunked body is not the payload its digest is of
+    stated = http.get("content-length", "")
+    ok = block.ok() and (revisit or coded or payload.ok()) and (revisit or coded or not stated.isdigit() or int(stated) == size)
+    digest = payload.stated().hex() if revisit and payload.known and payload.stated() else None if revisit else sha1.hexdigest()
+    return (_key(f.get("warc-record-id")), f.get("warc-record-id"), kind, f.get("warc-target-uri"), _key(f.get("warc-refers-to")),
+            (int(stated) if stated.isdigit() else None) if revisit else size, digest, ok,
+            bytes(kept) if with_payload and not revisit else None)
 
 
 def _reader(with_payload: bool) -> Callable:
@@ -208,7 +266,7 @@ def _reader(with_payload: bool) -> Callable:
 
     def frame(rows: list) -> pd.DataFrame:
         pdf = pd.DataFrame(rows, columns=names)
-        return pdf.astype({"record_key": "Int64", "refers_to": "Int64"})
+        return pdf.astype({"record_key": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
