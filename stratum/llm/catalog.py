@@ -34,8 +34,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = chat_format.rotate_perspectives(_table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
-    return views.select(F.col("conv").alias("conv_id"), "segment", "piece", "participant", "n_turns", "n_own", "rendered",
-                        spans.alias("mask"))
+    return views.select(F.col("conv").alias("conv_id"), "participant", "n_turns", "n_own", "rendered", spans.alias("mask"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratum.llm.order import numbered_rows, placed, written
+from stratum.operators.ordering import numbered_rows, placed, written
 from stratum.llm.text import SPACE, hash128
 
 # States and edit costs of the contract.

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratum.llm.order import numbered_rows, placed, written
+from stratum.operators.ordering import numbered_rows, placed, written
 from stratum.llm.text import words
 
 CYCLE = (3, 1, 2)

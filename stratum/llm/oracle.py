@@ -37,29 +37,28 @@ FROM ds JOIN items USING (s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 75 * any_value(n)
 """
 
-OP3 = """
+_ESCAPE = r"regexp_replace(regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g'), '\|(\\*)>', '|\\\1>', 'g')"
+OP3 = f"""
 WITH base AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body,
-         CAST(floor(turn / 256) AS BIGINT) AS segment FROM conversations),
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations),
 people AS (SELECT DISTINCT conv_id AS c, speaker AS participant FROM base WHERE speaker <> 'system'),
 shown AS (
   SELECT *, speaker <> 'system' AND speaker = participant AS own,
          CASE WHEN speaker = 'system' THEN '<|system|>' || chr(10)
               WHEN speaker = participant THEN '<|assistant|>' || chr(10)
-              ELSE '<|user name=' || speaker || '|>' || chr(10) END AS head,
-         body || '<|end|>' AS rest
+              ELSE '<|user name=' || {_ESCAPE.format('speaker')} || '|>' || chr(10) END AS head,
+         {_ESCAPE.format('body')} || '<|end|>' AS rest
   FROM base JOIN people ON conv_id IS NOT DISTINCT FROM c),
 placed AS (
   SELECT *, sum(length(head) + length(rest) + 1) OVER (
-           PARTITION BY conv_id, segment, participant ORDER BY turn, speaker, body
+           PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speaker, body
            ROWS UNBOUNDED PRECEDING) - length(rest) - 1 AS s
   FROM shown)
-SELECT conv_id, segment, CAST(0 AS BIGINT) AS piece, participant, count(*) AS n_turns,
-       count(*) FILTER (own) AS n_own,
-       string_agg(head || rest || chr(10), '' ORDER BY turn, speaker, body) AS rendered,
+SELECT conv_id, participant, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+       string_agg(head || rest || chr(10), '' ORDER BY turn NULLS FIRST, speaker, body) AS rendered,
        coalesce(string_agg(CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(s + length(rest) AS BIGINT) AS VARCHAR), ','
-                           ORDER BY turn, speaker, body) FILTER (own), '') AS mask
-FROM placed GROUP BY conv_id, segment, participant
+                           ORDER BY turn NULLS FIRST, speaker, body) FILTER (own), '') AS mask
+FROM placed GROUP BY conv_id, participant
 """
 
 OP6 = f"""

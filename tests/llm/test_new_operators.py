@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import collocations, conversation_repair as cr, mixing, order
+from stratum.llm import collocations, conversation_repair as cr, mixing
+from stratum.operators import ordering as order
 from tests.llm import fixtures as fx
 
 CONV = "conv_id bigint, turn bigint, role string, text string"

@@ -62,7 +62,7 @@ def test_quality_stage_leaves_a_copy_of_every_removed_line(spark):
     assert all(len(held(t, "t")) == 1 for t in template)
     assert not any(r["source"] == "j" for r in got)
     assert sum(r["source"] == "h" for r in got) == 27 and sum(r["source"] == "t" for r in got) == 2
-    rated = quality.quality_rules(fx.extra_columns(df), keeper_survives=True).collect()
+    rated = quality.quality_rules(fx.extra_columns(df)).collect()
     assert len(rated) == df.count() and all(r["_removed_words"] == 15 for r in rated if r["doc_id"] in (3, None))
 
 

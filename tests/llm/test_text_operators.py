@@ -63,7 +63,8 @@ def test_decontamination(spark, docs):
     passage = fx.prose(77, 40)
     planted = [fx.doc(60, f"{fx.prose(5, 3000)} {passage}, {fx.prose(6, 50)}"), fx.doc(61, passage.upper()),
                fx.doc(62, " ".join(passage.split()[:20]))]
-    items = [(1, passage), (2, fx.prose(78, 50)), (3, None), (4, ""), (5, "one two"), (6, passage), (6, passage)]
+    items = [(1, passage), (2, fx.prose(78, 50)), (3, None), (4, ""), (5, "one two"), (6, passage), (6, passage),
+             (7, passage), (7, fx.prose(79, 8)), (None, passage)]  # one id, two texts
     df = spark.createDataFrame(data + planted, fx.DOCS)
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     got = decontaminate.find_leaks(fx.extra_columns(df), fx.extra_columns(bench))
@@ -71,12 +72,12 @@ def test_decontamination(spark, docs):
     want = []
     for i, t, *_ in data + planted:
         own = fx.shingle_set(t, tokens=tokens(t))
-        for j, u in set(items):
-            s = fx.shingle_set(u, tokens=tokens(u))
+        for j in {j for j, _ in items}:
+            s = frozenset().union(*[fx.shingle_set(u, tokens=tokens(u)) for k, u in items if k == j])
             if s and 100 * len(s & own) >= 75 * len(s):
                 want.append(repr((i, j, len(s), len(s & own))))
     assert rows(got, "doc_id", "_item", "_item_shingles", "_matched") == sorted(want)
-    shuffled = decontaminate.find_leaks(df, bench, broadcast_rows=0)
+    shuffled = decontaminate.find_leaks(df, bench, broadcast_bytes=0)
     assert rows(shuffled, "doc_id", "_item", "_item_shingles", "_matched") == sorted(want)
     clean = decontaminate.decontaminate(df, bench)
     bad = {w.split(",")[0][1:] for w in want}
