@@ -407,10 +407,10 @@ def q_normalize_priority_sql(spark, sf_dir):
 # --- slice 7: layout --------------------------------------------------------------------
 
 # --- fixed values: the dashboard's point lookup ---
-DASHBOARD_CUSTOMER = "Cust_8"
+DASHBOARD_CUSTOMER = "Customer#000000008"
 DASHBOARD_DAY = "2024-01-02"
 DASHBOARD_COLUMNS = ["event_id", "ticket_id", "customer_id", "customer_name", "segment", "event_type",
-                     "latency_ms", "tokens_in", "tokens_out", "is_escalated", "event_time", "event_date"]
+                     "model", "latency_ms", "tokens_in", "tokens_out", "is_escalated", "event_time", "event_date"]
 _LAYOUTS: dict[tuple, tuple[str, dict]] = {}
 
 
@@ -785,7 +785,7 @@ def q_acceptance_summary(spark, sf_dir):
 
 @query("feature_daily_skewed")
 def q_feature_daily_skewed(spark, sf_dir):
-    """Daily features with one customer holding 40 % of all events: the first
+    """Daily features with one customer holding a third of all events: the first
     exchange is keyed by ticket as well, which spreads the hot customer, and its p95 is found by counting."""
     return features.feature_daily_any_size(latest.silver_events(td.landed(spark, sf_dir, "events_skewed")))
 
@@ -826,7 +826,7 @@ select customer_name,
        count_if(is_escalated)                                      as n_escalated,
        sum(cast(tokens_in as bigint) + tokens_out)                 as tokens_total
 from dashboard_events
-where customer_name = 'Cust_8' and event_date = date '2024-01-02'
+where customer_name = 'Customer#000000008' and event_date = date '2024-01-02'
 group by customer_name
 """
 

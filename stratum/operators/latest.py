@@ -40,7 +40,7 @@ def latest_state(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 EVENT_COLUMNS = [
     "event_id", "ticket_id", "customer_id", "customer_name", "segment", "event_type",
-    "latency_ms", "tokens_in", "tokens_out", "is_escalated", "event_time", "_ingested_at",
+    "model", "latency_ms", "tokens_in", "tokens_out", "is_escalated", "event_time", "_ingested_at",
 ]
 
 

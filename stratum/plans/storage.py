@@ -44,16 +44,20 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file with ``text``; fails if it already exists (an atomic claim)."""
+def create_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Create a file; fails if it already exists (an atomic claim)."""
     p, fs = _fs(spark, path)
     out = fs.create(p, False)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    create_bytes(spark, path, text.encode())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Content of a small file."""
     p, fs = _fs(spark, path)

@@ -7,8 +7,11 @@ can be applied to a session a cluster hands us without clobbering its sizing.
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +56,36 @@ def build_local(cores: int | str = "*", shuffle_partitions: int = 8,
     return configure(spark)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets the Python workers import this package. On a cluster it is put, as a zip, into the shared folder and added to
+    the session, once per application; workers on the driver's machine find it by its own folder."""
+    from stratum.plans import storage
+
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    known = context.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    if not context.master.startswith("local"):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, root))
+        target = f"{scratch_dir(spark, 'package')}.zip"
+        storage.create_bytes(spark, target, held.getvalue())
+        context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 

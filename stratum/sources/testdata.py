@@ -21,9 +21,9 @@ from stratum.plans import storage
 # Label format of the priority column starts at this instant in fx_cdc.
 LABEL_FORMAT_FROM = "1998-01-01 00:00:00"
 PRIORITY_LABEL_OF = ["urgent", "high", "medium", "low"]  # code 1..4
-BAD_PRIORITY_VALUES = ["P1", "P2", "0", "5", "-1", "", None, "unknown"]
+# Values of the four reject classes: none, empty, out of range, unknown text.
+BAD_PRIORITY_VALUES = [None, "", "  ", "7", "-2", "40", "soon", "3rd"]
 STATUSES = ["open", "pending", "resolved", "closed"]
-SEGMENTS = ["Enterprise", "SMB", "Startup"]  # by customer_id % 3
 LANGS = ["en", "fr", "de", "es"]
 # Run windows of the CDC replays (yearly; the CDC spans about six years).
 CDC_RUN_BOUNDS = ["1996-01-01", "1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01"]
@@ -75,18 +75,16 @@ def _pick(index: Column, values: list) -> Column:
     return out
 
 
-def _segment(cust: Column) -> Column:
-    return _pick(cust % 3, SEGMENTS)
-
-
 def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze event deliveries: one row per delivery of an event.
 
     The delay follows the event's own ``value``: events of the upper tail arrive
     one to three days late. Those of some users are delivered a second time, about
-    3.5 days later, with a corrected ``latency_ms``.
+    3.5 days later, with a corrected ``latency_ms``. Name and segment are those of the
+    customer with the user's number.
     """
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    e = table(spark, sf_dir, "events").join(c, F.col("user_id") == F.col("c_custkey"), "left")
     eid = F.col("event_id")
 
     def shape(latency: Column, delay_sec: Column) -> list[Column]:
@@ -94,9 +92,10 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             eid.alias("event_id"),
             (eid % 997).alias("ticket_id"),
             F.col("user_id").alias("customer_id"),
-            F.concat(F.lit("Cust_"), F.col("user_id").cast("string")).alias("customer_name"),
-            _segment(F.col("user_id")).alias("segment"),
+            F.col("c_name").alias("customer_name"),
+            F.col("c_mktsegment").alias("segment"),
             F.col("event_type"),
+            F.concat(F.lit("m"), (F.get_json_object("props", "$.k").cast("int") % 4).cast("string")).alias("model"),
             latency.alias("latency_ms"),
             (F.char_length("event_type") * 30 + F.col("user_id") % 60).cast("int").alias("tokens_in"),
             (F.char_length("props") * 4).cast("int").alias("tokens_out"),
@@ -118,13 +117,13 @@ def fx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_events_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fx_events`` with one hot customer: 40 % of all events (every event
-    with ``event_id % 5 < 2``) belong to customer 0, ``ACME``."""
+    """``fx_events`` with one hot customer: every third event belongs to customer 1, under its name and segment."""
     ev = fx_events(spark, sf_dir)
-    hot = F.col("event_id") % 5 < 2
-    return (ev.withColumn("customer_id", F.when(hot, F.lit(0).cast("long")).otherwise(F.col("customer_id")))
-              .withColumn("customer_name", F.when(hot, F.lit("ACME")).otherwise(F.col("customer_name")))
-              .withColumn("segment", F.when(hot, F.lit("Enterprise")).otherwise(F.col("segment"))))
+    one = table(spark, sf_dir, "customer").where("c_custkey = 1").select("c_name", "c_mktsegment")
+    hot = F.col("event_id") % 3 == 1
+    return (ev.withColumn("customer_id", F.when(hot, F.lit(1).cast("long")).otherwise(F.col("customer_id")))
+              .withColumn("customer_name", F.when(hot, one.select("c_name").scalar()).otherwise(F.col("customer_name")))
+              .withColumn("segment", F.when(hot, one.select("c_mktsegment").scalar()).otherwise(F.col("segment"))))
 
 
 def fx_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,122 @@
+"""Samples, quantiles, line routing, SQL functions and zone maps: no task holds a group, and nothing gets lost."""
+
+import datetime as dt
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.operators import features, quantiles, sampling
+from stratum.plans import layout, views
+from stratum.sources import files
+
+
+@pytest.mark.parametrize("n", [0, 1, 700, 1000, 1400, 1401, 5000])
+def test_samples_of_any_size_are_the_first_by_hash(spark, n):
+    """Also half of the table, a key that many rows share, and NULL keys."""
+    rows = [(k, k) for k in range(1000)] + [(7, i) for i in range(400)] + [(None, -1)]
+    df = spark.createDataFrame(rows, "k bigint, v bigint").repartition(5)
+    got = [r["k"] for r in sampling.hash_sample(df, "k", n).collect()]
+    order = sorted((k for k, _ in rows), key=lambda k: (k is not None, "" if k is None else hashlib.md5(str(k).encode()).hexdigest()))
+    assert sorted(got, key=str) == sorted(order[:n], key=str)
+
+
+def test_samples_and_splits_have_no_single_task(spark):
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    sample = sampling.hash_sample(df, "k", 1000)
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    got = sampling.disjoint_splits(df, "k", {"a": 600, "b": 400}).collect()
+    ranked = sorted(got, key=lambda r: r["rank"])
+    assert [r["rank"] for r in ranked] == list(range(1, 1001)) and [r["split"] for r in ranked] == ["a"] * 600 + ["b"] * 400
+    by_hash = sorted(range(2000), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+    assert [r["k"] for r in ranked] == by_hash[:1000]
+
+
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.95, 1.0])
+@pytest.mark.parametrize("cells", [1, 7, 4096])
+def test_quantiles_by_counting_equal_percentile(spark, q, cells):
+    rng = np.random.default_rng(4)
+    rows = [("hot", None, float(v)) for v in rng.normal(0, 1e6, 3000)] + [("a", 1, 5.0)] * 9 + [("a", 1, 6.5)] * 2 + [("b", 2, None)]
+    rows += [(None, 3, float(v)) for v in range(10)] + [("one", 4, -3.0)]
+    df = spark.createDataFrame(rows, "g string, h int, v double")
+    want = {(r["g"], r["h"]): r["q"] for r in df.groupBy("g", "h").agg(F.percentile("v", q).alias("q")).collect()}
+    got = {(r["g"], r["h"]): r["x"] for r in quantiles.grouped_quantile(df, ["g", "h"], "v", q, "x", cells).collect()}
+    assert set(got) == set(want)
+    assert all(got[k] == pytest.approx(want[k]) if want[k] is not None else got[k] is None for k in want)
+    assert quantiles.grouped_quantile(df.limit(0), ["g", "h"], "v", q).count() == 0
+
+
+def test_features_of_any_size_equal_the_plain_ones(spark):
+    rows = [(dt.date(2024, 1, 1 + i % 2), i % 3, f"C{i % 3}", None if i % 3 == 2 else "S", i % 50, i % 7 == 0, i * i % 977, 1, 2) for i in range(900)]
+    df = spark.createDataFrame(rows, "event_date date, customer_id bigint, customer_name string, segment string, ticket_id bigint, "
+                                     "is_escalated boolean, latency_ms int, tokens_in int, tokens_out int")
+    a, b = features.feature_daily(df), features.feature_daily_any_size(df)
+    assert a.columns == b.columns and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+def test_every_line_is_on_one_side(spark, scratch):
+    lines = ['{"a": 1, "t": "2024-01-01 00:00:00.000000"}', '{"a": 2', "[1]", "x", "", "  ", '{"a": "q"}', '{"a": null, "z": 3}', "{}", "null", "7",
+             '{"a": 99999999999999999999}', '{"a": 4, "t": "never"}', '{"a": 3}']
+    path = scratch("lines")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    good, bad = files.read_jsonl_split(spark, path, "a int, t timestamp_ntz")
+    rejects = {r["raw"]: r["reject_reason"] for r in bad.collect()}
+    assert sorted((r["a"] for r in good.collect()), key=str) == [1, 3, None, None]
+    assert rejects == {'{"a": 2': files.NOT_JSON, "[1]": files.NOT_JSON, "x": files.NOT_JSON, "null": files.NOT_JSON, "7": files.NOT_JSON,
+                       '{"a": "q"}': files.WRONG_TYPE, '{"a": 99999999999999999999}': files.WRONG_TYPE, '{"a": 4, "t": "never"}': files.WRONG_TYPE}
+    assert good.count() + bad.count() == sum(bool(x.strip()) for x in lines)
+
+
+def test_sql_functions_are_inlined_and_equal_the_columns(spark):
+    from stratum.functions.normalize import normalize_domain, reject_reason
+    values = ["1", "4", "0", "5", " 3 ", "+2", "-1", "3.7", "1e0", "High", " LOW ", "", "  ", None, "P1", "99999999999", "urgent", "medium"]
+    df = spark.createDataFrame([(v,) for v in values], "raw string")
+    df.createOrReplaceTempView("raw_values")
+    assert views.register_functions(spark) == ["normalize_priority", "priority_reject_reason"]
+    sql = spark.sql("select raw, normalize_priority(raw) as p, priority_reject_reason(raw) as r from raw_values")
+    want = df.select("raw", normalize_domain("raw").alias("p"), reject_reason("raw").alias("r"))
+    assert sorted(map(repr, sql.collect())) == sorted(map(repr, want.collect()))
+    plan = sql._jdf.queryExecution().optimizedPlan().toString()
+    assert "udf" not in plan.lower() and "normalize_priority(" not in plan
+
+
+def test_zone_maps_predict_what_a_scan_reads(spark, scratch):
+    path = scratch("zones")
+    df = spark.range(4000).selectExpr("id", "format_string('c%05d', id) as name", "cast(date '2024-01-01' + cast(id div 2000 as int) as date) as d")
+    layout.compact(df, path, "d", ["name"], partitions=4, row_group_rows=500, bloom_cols=["name"])
+    zones = layout.zone_map(spark, path, ["name"])
+    got = zones.collect()
+    assert sum(r["rows"] for r in got) == 4000 and all(r["low"] <= r["high"] for r in got) and len({r["file"] for r in got}) >= 2
+    hit = layout.predicted(zones, {"name": "c00777"}, {"d": "2024-01-01"})
+    assert 1 <= hit.agg(F.sum("rows")).first()[0] <= 500 and hit.count() == 1
+    assert layout.predicted(zones, {"name": "c00777"}, {"d": "2024-01-02"}).count() == 0
+    seen = spark.read.parquet(path).where("name = 'c00777'")
+    seen.collect()
+    assert 1 <= layout.scan_metrics(seen)["rows_scanned"] <= 500
+
+
+def test_bloom_filters_skip_a_value_inside_the_bounds(spark, scratch):
+    """With dictionary filtering off, only the Bloom filter knows that no row has the value."""
+    path, plain = scratch("bloom"), scratch("plain")
+    df = spark.range(3000).selectExpr("id", "concat(format_string('c%05d', id * 7), md5(string(id))) as name", "date '2024-01-01' as d")
+    layout.compact(df, path, "d", ["name"], partitions=2, bloom_cols=["name"])
+    layout.compact(df, plain, "d", ["name"], partitions=2)
+
+    def scanned(p):
+        rows = spark.read.option("parquet.filter.dictionary.enabled", "false").option("parquet.filter.columnindex.enabled", "false").parquet(p)
+        hit = rows.where("name = 'c00010x'")
+        assert hit.collect() == []
+        return layout.scan_metrics(hit)["rows_scanned"]
+
+    assert scanned(path) == 0 < scanned(plain)
+
+
+def test_changed_tables_are_derived_anew(spark, tmp_path):
+    from stratum.sources import testdata as td
+    before = td.content_key(spark, str(tmp_path))
+    spark.range(3).write.parquet(f"{tmp_path}/events.parquet")
+    mid = td.content_key(spark, str(tmp_path))
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+    assert len({before, mid, td.content_key(spark, str(tmp_path))}) == 3

@@ -12,7 +12,7 @@ CDC = ("op string, ticket_id bigint, cdc_seq int, event_time timestamp_ntz, _ing
        "customer_id bigint, customer_name string, segment string, priority_raw string, category string, "
        "channel string, status string, csat int, first_response_sec int, subject string, body string")
 EVENT = ("event_id bigint, ticket_id bigint, customer_id bigint, customer_name string, segment string, "
-         "event_type string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
+         "event_type string, model string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
          "event_time timestamp_ntz, _ingested_at timestamp_ntz")
 
 
@@ -60,7 +60,7 @@ def test_rank_then_filter_loses_ticket(spark):
 
 def test_duplicate_event_first_arrival_kept(spark):
     df = spark.createDataFrame(
-        [(7, 1, 1, "A", "S", "view", ms, 1, 1, False, t(0), t(h)) for ms, h in ((10, 1), (11, 50))], EVENT)
+        [(7, 1, 1, "A", "S", "view", "m", ms, 1, 1, False, t(0), t(h)) for ms, h in ((10, 1), (11, 50))], EVENT)
     out = latest.silver_events(df).collect()
     assert [(r["event_id"], r["latency_ms"], r["event_date"]) for r in out] == [(7, 10, dt.date(2024, 1, 1))]
 

@@ -10,7 +10,7 @@ from stratum.operators import chunks, features, latest, quarantine, training
 from stratum.plans import jobs, storage, writers as W
 
 EVENT = ("event_id bigint, ticket_id bigint, customer_id bigint, customer_name string, segment string, "
-         "event_type string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
+         "event_type string, model string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
          "event_time timestamp_ntz, _ingested_at timestamp_ntz")
 TRANSCRIPT = ("transcript_id bigint, ticket_id bigint, lang string, turns array<string>, event_time timestamp_ntz, "
               "_ingested_at timestamp_ntz")
@@ -25,7 +25,7 @@ def at(day, hour=9, minute=0):
 
 
 def event(i, when, arrived, latency=1):
-    return (i, 1, 7, "C7", "SMB", "view", latency, 1, 1, False, when, arrived)
+    return (i, 1, 7, "C7", "SMB", "view", "m", latency, 1, 1, False, when, arrived)
 
 
 def transcript(i, arrived, turns=("a", "b")):

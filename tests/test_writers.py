@@ -182,9 +182,9 @@ def test_lookback_recovers_late_day(spark, scratch):
           (4, d0, d0 + dt.timedelta(days=2.9)),
           (5, d0 + dt.timedelta(days=3), d0 + dt.timedelta(days=3))]
     landing = spark.createDataFrame(
-        [(e, e % 2, 7, "C7", "SMB", "view", 10 * e, 200, 40, False, a, b) for e, a, b in ev],
+        [(e, e % 2, 7, "C7", "SMB", "view", "m", 10 * e, 200, 40, False, a, b) for e, a, b in ev],
         "event_id bigint, ticket_id bigint, customer_id bigint, customer_name string, segment string, "
-        "event_type string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
+        "event_type string, model string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
         "event_time timestamp_ntz, _ingested_at timestamp_ntz")
     days = jobs.day_windows(dt.date(2024, 1, 1), dt.date(2024, 1, 4))
     counts = {}
