@@ -1,11 +1,18 @@
 """The pipeline on a small corpus against brute force, and the SQL twins."""
 
+import hashlib
 import os
 import sys
+import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
+import regex
+from tokenizers import Tokenizer
 
 from tests.llm import fixtures as fx
+from tests.llm.test_text_operators import brute_quality_rows
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, ROOT)
@@ -84,9 +91,102 @@ def test_near_dedup_stage_keeps_one_row_of_a_class(spark):
     assert len(got) == 5 + 4
 
 
+# --- every stage and the packed pieces, in a plain way ----------------------------------
+
+def one_of_each_class(rows):
+    """Row numbers that stay of (id, text) rows: per class that of smallest id, then text digest; rows without words stay."""
+    sets = [fx.shingle_set(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            inter = len(sets[i] & sets[j])
+            if inter and 100 * inter >= 75 * (len(sets[i]) + len(sets[j]) - inter):
+                parent[find(i)] = find(j)
+    groups, kept = {}, []
+    for i in range(len(rows)):
+        groups.setdefault(find(i), []).append(i)
+    for g in groups.values():
+        if not sets[g[0]]:
+            kept += g
+        else:
+            least = min((rows[i][0] for i in g if rows[i][0] is not None), default=None)
+            kept.append(min((i for i in g if rows[i][0] == least), key=lambda i: hashlib.md5(rows[i][1].encode()).hexdigest()))
+    return sorted(kept)
+
+
+def by_hand(name, docs, items):
+    """The rows (doc_id, text, lang, source, n_chars) that a stage keeps, or the pieces that packing makes."""
+    strip = lambda x: x.strip(" \t\n\v\f\r").translate(fx.UPPER)
+    with_text = lambda d, text: (d[0], text, d[2], d[3], d[4] if text == d[1] else len(text))
+    if name == "quality_rules":
+        got = brute_quality_rows([(d[0], d[1], d[3]) for d in docs])
+        return [with_text(d, text) for d, (_, _, kept, text) in zip(docs, got) if kept]
+    if name == "line_dedup":
+        holders = {}
+        for d in docs:
+            for x in (d[1] or "").split("\n"):
+                holders.setdefault(strip(x), set()).add(d[0])
+        gone = {k: max(x for x in h if x is not None) for k, h in holders.items() if len(k) >= 40 and len(h) >= 5}
+        out = []
+        for d in docs:
+            lines = (d[1] or "").split("\n")
+            left = [x for x in lines if strip(x) not in gone or gone[strip(x)] == d[0]]
+            if len(left) == len(lines) or fx.words_of("\n".join(left)):
+                out.append(with_text(d, "\n".join(left)))
+        return out
+    if name == "minhash_near_dedup":
+        return [docs[i] for i in one_of_each_class([(d[0], d[1]) for d in docs])]
+    if name == "benchmark_decontamination":
+        tokens = lambda t: [w for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w]
+        sets = [fx.shingle_set(t, tokens=tokens(t)) for _, t in items]
+        own = [fx.shingle_set(d[1], tokens=tokens(d[1])) for d in docs]
+        return [d for d, o in zip(docs, own) if not any(s and 100 * len(s & o) >= 75 * len(s) for s in sets)]
+    tok, out = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), []
+    for d in docs:
+        ids = np.asarray([*tok.encode(d[1] or "", add_special_tokens=False).ids, 0], "<u4")
+        out += [(d[0], k, at, len(ids[at:at + 2048]), zlib.crc32(ids[at:at + 2048].tobytes())) for k, at in enumerate(range(0, len(ids), 2048))]
+    return out
+
+
+def test_every_stage_equals_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    passage, footer = fx.prose(501, 40), "a footer of more than forty characters that every page of the host carries"
+    data = fx.awkward() + [fx.doc(100 + i, f"{fx.prose(900 + i, 60)}\n{footer}", source="h") for i in range(26)]
+    data += [fx.doc(140 + i, f"{footer}\n{fx.prose(950 + i, 3)}", source="h") for i in range(4)]
+    data += [fx.doc(150 + i, fx.edited(fx.prose(77, 150), i, 1 + i)) for i in range(6)] + [fx.doc(160, f"{fx.prose(5, 90)} {passage}")] * 2
+    data += [fx.doc(None, fx.prose(88, 50)), fx.doc(170, fx.prose(88, 50)), fx.doc(171, fx.prose(89, 4000), None, None)]
+    items = [(1, passage), (2, None), (None, fx.prose(502, 30))]
+    df = spark.createDataFrame(data, fx.DOCS)
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, want, sizes = spark.read.parquet(f"{tmp_path}/documents.parquet"), data, []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs, want = spark.read.parquet(f"{tmp_path}/{name}"), by_hand(name, want, items)
+        cols = docs.columns if name != "best_fit_packing" else ["doc_id", "piece", "start", "length", "ids_crc32"]
+        assert sorted(repr(tuple(r)) for r in docs.select(*cols).collect()) == sorted(map(repr, want)), name
+        sizes.append(len(want))
+    assert all(a > b for a, b in zip([len(data), *sizes], [sizes[0], *sizes[2:4]]))  # every filter but line dedup dropped some
+    run = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(repr((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])) for r in run) == sorted(map(repr, want))
+    filled = {}
+    for r in run:
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in filled.values():
+        ends = [a + n for a, n in sorted(parts)]
+        assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+
+
 @pytest.mark.slow
 @pytest.mark.parametrize("name", ["op1_warc", "op2_decontamination", "op3_chat_formatting", "op6_line_dedup",
-                                  "op8_near_dedup", "op9_quality_rules"])
+                                  "op8_near_dedup", "op9_quality_rules", "op11_conversation_repair", "op12_source_mixing", "op13_collocations"])
 def test_sql_twin(spark, name):
     from tests.harness import compare
     res = compare(spark, name, SF)

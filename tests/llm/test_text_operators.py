@@ -91,7 +91,7 @@ def test_quality_figures():
     assert (n, chars, symbols, dup, rep) == (22, 44, 2, 2, 20)
 
 
-def brute_quality(data, max_docs=20):
+def brute_quality_rows(data, max_docs=20):
     """(id, text, host) rows -> (removed words, base_failed, kept, kept text) per row, in a plain way."""
     strip = lambda x: x.strip(" \t\n\v\f\r").translate(fx.UPPER)
     rows = sorted(set(data), key=repr)
@@ -123,8 +123,12 @@ def brute_quality(data, max_docs=20):
         keeps = any(mine(k, r) for k, v in common.items() if r in v)
         kept = not failed[r] and (keeps or 100 * (n[r] - removed) >= 30 * n[r])
         text = r[1] if len(lines) == len((r[1] or "").split("\n")) else "\n".join(lines)
-        out.append(repr((r[0], r[2], removed, failed[r], kept, text)))
-    return sorted(out)
+        out.append((removed, failed[r], kept, text))
+    return out
+
+
+def brute_quality(data, max_docs=20):
+    return sorted(repr((r[0], r[2], *got)) for r, got in zip(data, brute_quality_rows(data, max_docs)))
 
 
 def rated(df, **kw):
