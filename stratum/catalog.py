@@ -743,6 +743,16 @@ def q_stream_dedup_watermark(spark, sf_dir):
     return _deduplicated(spark, sf_dir).select("event_id", F.to_date("event_time").alias("event_date"))
 
 
+@query("stream_dedup_state")
+def q_stream_dedup_state(spark, sf_dir):
+    """Topic de-duplicated in the state store, late rows in a side output: every event once, marked late or not."""
+    log, root = event_log(spark, sf_dir), scratch_dir(spark, "stream-state")
+    ingest.dedup_in_state(spark, log, spark.read.parquet(log).schema, root, scratch_dir(spark, "state-ckpt"), "event_id",
+                          "event_time", "_ingested_at", 2, ["event_id", "event_time", "_ingested_at"])
+    return ingest.deduplicated(spark, root, "event_id", "_ingested_at").select(
+        "event_id", F.to_date("event_time").alias("event_date"), "late")
+
+
 @query("stream_late_rows")
 def q_stream_late_rows(spark, sf_dir):
     """Rows that arrived over two days late, accounted for beside the others."""

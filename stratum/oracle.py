@@ -611,6 +611,9 @@ SQL["dashboard_sql"] = SQL["dashboard_point_lookup"]
 register("gold_rows_vs_keys_sql",
          "select count(*) as n_rows, count(distinct ticket_id) as n_keys from merge_replay", "merge_replay")
 SQL["stream_upsert_incoming_wins"] = SQL["stream_upsert_latest"]
+register("stream_dedup_state", """
+select event_id, event_date, _ingested_at > event_time + interval 2 day as late from silver_events
+""", "silver_events")
 register("stream_late_rows", """
 select _ingested_at > event_time + interval 2 day as late, count(*) as n_events from silver_events group by 1
 """, "silver_events")

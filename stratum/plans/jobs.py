@@ -43,6 +43,7 @@ from stratum.functions.timefn import in_window
 from stratum.operators import chunks, features, lateness, latest, quality, quarantine, training
 from stratum.plans import storage, writers as W
 from stratum.session import scratch_dir
+from stratum.sources import files
 
 FAMILIES = ("events", "tickets", "transcripts")
 CDC_ORDER = ["event_time", "cdc_seq"]
@@ -121,6 +122,15 @@ def load_bronze(wh: Warehouse, family: str, start, end) -> int:
     return W.replace_slice(rows, wh.path("bronze", family), SLICE, _as_date(start))
 
 
+def land_lines(wh: Warehouse, family: str, path: str, schema: StructType | str, day: dt.date) -> DataFrame:
+    """Makes the JSON lines at ``path`` the landing of ``family``. Lines that are no records go, as they are and with a
+    reason, to the slice ``day`` of the family's rejected lines, which is returned, and the run goes on."""
+    wh.landing[family], bad = files.read_jsonl_split(wh.spark, path, schema)
+    target = wh.path("quarantine", f"{family}_lines")
+    W.replace_slice(bad, target, SLICE, day)
+    return wh.spark.read.schema(bad.schema).parquet(f"{target}/{SLICE}={day}")
+
+
 # --- per family ------------------------------------------------------------------
 
 def _tickets(wh: Warehouse, batch: DataFrame, day: dt.date, delete_missing: bool = False) -> dict[str, int]:

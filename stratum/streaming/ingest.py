@@ -82,14 +82,14 @@ def stream_table(spark: SparkSession, root: str, key: str = "event_id", order: S
 
 
 def _drain(stream: DataFrame, table: W.SlicedTable, checkpoint: str, shape: Callable[[DataFrame], DataFrame],
-           after_batch: Callable[[int], None] | None = None) -> list[dict]:
+           after_batch: Callable[[int], None] | None = None, collapsed: bool = False) -> list[dict]:
     group = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = shape(batch)
         if CONSUMED in table.order:
             rows = rows.withColumn(CONSUMED, F.current_timestamp())
-        table.put(f"{group}-{batch_id:08d}", rows)
+        table.put(f"{group}-{batch_id:08d}", rows, collapsed)
         if after_batch is not None:
             after_batch(batch_id)
 
@@ -120,3 +120,41 @@ def dedup_arrivals(spark: SparkSession, log_path: str, schema: StructType, table
     late = F.col(arrived) > add_seconds(F.col(event_time), delay_days * 86400)
     stream = _source(spark, log_path, schema, max_files_per_batch, "parquet")
     return _drain(stream, table, checkpoint, lambda batch: batch.select(*columns, late.alias("late")))
+
+
+def dedup_in_state(spark: SparkSession, log_path: str, schema: StructType, root: str, checkpoint: str, key: str,
+                   event_time: str, arrived: str, delay_days: int, columns: Sequence[str],
+                   max_files_per_batch: int = 2, after_batch: Callable[[int], None] | None = None) -> None:
+    """First deliveries by the state store: append-only, nothing stored is read or written again.
+
+    Rows that arrived within ``delay_days`` of their event time go through ``dropDuplicatesWithinWatermark``: a key's state
+    expires once the watermark has passed it, so the state is bounded by the keys of that time span, not by the table. No such
+    row is behind the watermark: what was read before it had arrived by then. The other rows are late; they go to
+    a side output, ``root``/late, one row per key. ``deduplicated`` puts both together. Which of several timely deliveries
+    in one micro-batch is kept is not defined.
+    """
+    late = F.col(arrived) > add_seconds(F.col(event_time), delay_days * 86400)
+    side = W.SlicedTable(spark, f"{root}/late", key, [arrived], "first")
+    # without duplicates already; a batch that is replayed after a crash replaces its own slice
+    timely = W.SlicedTable(spark, f"{root}/timely", key, [arrived], "first")
+
+    def stream() -> DataFrame:
+        return _source(spark, log_path, schema, max_files_per_batch, "parquet")
+
+    rows = stream().where(~late).withColumn("_et", F.col(event_time).cast("timestamp"))
+    once = rows.withWatermark("_et", f"{delay_days} days").dropDuplicatesWithinWatermark([key])
+    _drain(once, timely, f"{checkpoint}/timely", lambda b: b.select(*columns), after_batch, collapsed=True)
+    _drain(stream().where(late), side, f"{checkpoint}/late", lambda b: b.select(*columns), after_batch)
+
+
+def deduplicated(spark: SparkSession, root: str, key: str, arrived: str) -> DataFrame:
+    """The first delivery of every key that ``dedup_in_state`` wrote under ``root``, with ``late``."""
+    timely = W.SlicedTable(spark, f"{root}/timely", key, [arrived], "first").slices()
+    late = W.SlicedTable(spark, f"{root}/late", key, [arrived], "first").read()
+    parts = []
+    if timely is not None:
+        parts.append(timely.drop(W.SLICE).withColumn("late", F.lit(False)))
+    if late is not None:
+        rest = late if timely is None else W.null_safe(late, timely.select(key), [key], "left_anti")
+        parts.append(rest.withColumn("late", F.lit(True)))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators import chunks, features, latest, quarantine, training
 from stratum.plans import jobs, storage, writers as W
+from stratum.sources import files
 
 EVENT = ("event_id bigint, ticket_id bigint, customer_id bigint, customer_name string, segment string, "
          "event_type string, model string, latency_ms int, tokens_in int, tokens_out int, is_escalated boolean, "
@@ -236,6 +237,18 @@ def test_a_withdrawn_batch_leaves_gold_too(spark, scratch):
     assert wh.training_set().count() == 0
 
 
+def test_a_run_goes_on_over_malformed_lines(spark, scratch):
+    path, data = scratch("raw"), spark.createDataFrame([cdc(1, 0, at(0)), cdc(2, 0, at(0), "bad"), cdc(3, 0, at(1))], CDC)
+    files.export_jsonl(data, path)
+    spark.createDataFrame([('{"op": "c", "ticket_id": ',), ('{"op": "c", "ticket_id": "x"}',), ("",)], "v string").write.mode("append").text(path)
+    wh = jobs.Warehouse(spark, scratch("lines"))
+    for _ in range(2):
+        rejected = jobs.land_lines(wh, "tickets", path, CDC, D0)
+        jobs.backfill(wh, days(2))
+    assert sorted(r["reject_reason"] for r in rejected.collect()) == sorted([files.NOT_JSON, files.WRONG_TYPE])
+    assert wh.silver_tickets().count() == 2 and wh.quarantine().count() == 1
+
+
 def test_missing_column_fails(spark):
     data = spark.createDataFrame([cdc(1, 0, at(0))], CDC).drop("csat")
     with pytest.raises(Exception, match="csat"):

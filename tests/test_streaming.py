@@ -102,3 +102,31 @@ def test_batches_are_bounded_by_bytes(spark, scratch):
     big = fat.count()
     assert len(got) >= 3 and sorted(b["rows"] for b in got)[-1] >= big and sum(b["rows"] for b in got) == rows.count()
     assert all(b["rows"] <= small.count() for b in got[:-1]) and table.read().count() == 300
+
+
+@pytest.mark.parametrize("dies", [None, 1, 3])
+def test_state_store_dedup_loses_no_row(spark, scratch, dies):
+    """Timely repeats, repeats behind the watermark, rows late from the start; also over a crash and a restart."""
+    t0 = dt.datetime(2024, 1, 1)
+    day = lambda n: t0 + dt.timedelta(days=n)
+    rows = [(i, 0, 0, "C", "view", 1, day(i), day(i + 0.1)) for i in range(30)]
+    rows += [(i, 0, 0, "C", "view", 2, day(i), day(i + 1)) for i in range(0, 30, 3)]  # again in time
+    rows += [(i, 0, 0, "C", "view", 3, day(i), day(i + 9)) for i in range(0, 20, 4)]  # again, long after
+    rows += [(100 + i, 0, 0, "C", "view", 4, day(i), day(i + 5 + k)) for i in range(4) for k in (0, 3)]  # only late, twice
+    log, root, ckpt = scratch("statelog"), scratch("state"), scratch("stateckpt")
+    ingest.publish_log(spark.createDataFrame(rows, MSG), log, 8, ["_ingested_at", "event_id"])
+
+    def run(after=None):
+        ingest.dedup_in_state(spark, log, spark.read.parquet(log).schema, root, ckpt, "event_id", "event_time", "_ingested_at", 2,
+                              ["event_id", "latency_ms", "event_time", "_ingested_at"], 1, after)
+
+    if dies is not None:
+        def crash(batch_id):
+            if batch_id == dies:
+                raise Crash("after the write")
+        with pytest.raises(Exception, match="after the write"):
+            run(crash)
+    run()
+    got = {r["event_id"]: (r["latency_ms"], r["late"]) for r in ingest.deduplicated(spark, root, "event_id", "_ingested_at").collect()}
+    assert got == {**{i: (1, False) for i in range(30)}, **{100 + i: (4, True) for i in range(4)}}
+    assert ingest.deduplicated(spark, root, "event_id", "_ingested_at").count() == 34
