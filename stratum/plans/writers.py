@@ -101,9 +101,7 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
     ``metrics`` as a dict when some are given (collected during the write,
     no second pass).
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    target = read_if_exists(spark, path)
+    target = read_if_exists(df.sparkSession, path)
     if target is not None:
         check_schema(df, target.schema)
     obs = Observation()
@@ -112,7 +110,8 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str],
         out = out.hint("rebalance", *partition_cols)
     if sort_within:
         out = out.sortWithinPartitions(*partition_cols, *sort_within)
-    out.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    # an option of this write: other threads write with the same session
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
     got = observed(obs, lambda: {"rows": 0})  # removed only when the input was provably empty
     return got if metrics else int(got["rows"])
 
