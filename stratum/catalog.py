@@ -634,21 +634,23 @@ def q_count_reconciliation(spark, sf_dir):
 
 
 def _reconciliation(spark, t: dict) -> DataFrame:
-    def n(df):
-        return df.agg(F.count(F.lit(1)))
-
-    accepted = quarantine.accepted(quarantine.tag(t["bronze_tickets"]))
-    split_total = accepted.select(F.lit(1).alias("x")).unionByName(
-        t["quarantine_tickets"].select(F.lit(1).alias("x")))
-    return quality.reconcile(spark, [
-        ("accepted + quarantined = bronze records", n(split_total), n(t["bronze_tickets"])),
-        ("silver_events = distinct bronze event ids", n(t["silver_events"]),
-         t["bronze_events"].agg(F.count_distinct("event_id"))),
-        ("gold_feature_daily = distinct silver (day, customer)", n(t["gold_feature_daily"]),
-         t["silver_events"].agg(F.count_distinct("event_date", "customer_id"))),
-        ("gold_training_set = silver_tickets", n(t["gold_training_set"]), n(t["silver_tickets"])),
-        ("gold_doc_chunks = turns of silver transcripts", n(t["gold_doc_chunks"]),
-         t["silver_transcripts"].agg(F.sum(F.size("turns")))),
+    """Every table is counted in one pass, all in one plan."""
+    n = F.count(F.lit(1))
+    tagged = quarantine.tag(t["bronze_tickets"])
+    counts = quality.table_counts([
+        (tagged, {"records": n, "accepted": F.count_if(F.col("_priority").isNotNull())}),
+        (t["quarantine_tickets"], {"quarantined": n}),
+        (t["bronze_events"], {"event_ids": F.count_distinct("event_id")}),
+        (t["silver_events"], {"silver_events": n, "day_customers": F.count_distinct("event_date", "customer_id")}),
+        (t["gold_feature_daily"], {"feature_rows": n}), (t["silver_tickets"], {"silver_tickets": n}),
+        (t["gold_training_set"], {"training_rows": n}), (t["gold_doc_chunks"], {"chunks": n}),
+        (t["silver_transcripts"], {"turns": F.sum(F.size("turns"))})])
+    return quality.reconcile_counts(counts, [
+        ("accepted + quarantined = bronze records", ["accepted", "quarantined"], "records"),
+        ("silver_events = distinct bronze event ids", ["silver_events"], "event_ids"),
+        ("gold_feature_daily = distinct silver (day, customer)", ["feature_rows"], "day_customers"),
+        ("gold_training_set = silver_tickets", ["training_rows"], "silver_tickets"),
+        ("gold_doc_chunks = turns of silver transcripts", ["chunks"], "turns"),
     ])
 
 

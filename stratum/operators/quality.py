@@ -135,16 +135,27 @@ def check_contract(df: DataFrame, contract: StructType | dict[str, str]) -> None
 
 # --- reconciliation ----------------------------------------------------------------------
 
-def reconcile(spark: SparkSession, pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """Rows of (check, actual, expected, ok); ``actual`` and ``expected``
-    are one-row, one-column DataFrames evaluated as scalar subqueries."""
+def table_counts(tables: Sequence[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """(name, n) of every aggregate, with one pass per table."""
     out = None
-    for name, actual, expected in pairs:
-        row = spark.range(1).select(F.lit(name).alias("check_name"),
-                                    actual.scalar().cast("long").alias("actual"),
-                                    expected.scalar().cast("long").alias("expected"))
-        out = row if out is None else out.unionByName(row)
-    return out.withColumn("ok", F.col("actual") == F.col("expected"))
+    for df, aggs in tables:
+        one = df.agg(*[c.cast("long").alias(k) for k, c in aggs.items()])
+        part = one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).alias("n")) for k in aggs])))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def reconcile_counts(counts: DataFrame, checks: Sequence[tuple[str, Sequence[str], str]]) -> DataFrame:
+    """Rows of (check_name, actual, expected, ok): the sum of the named counts against another one. ``counts`` has a row
+    per aggregate, so few that one task holds them."""
+    held = counts.agg(F.map_from_entries(F.collect_list(F.struct("name", F.coalesce("n", F.lit(0))))).alias("m"))
+
+    def total(names):
+        return sum((F.element_at("m", F.lit(x)) for x in names[1:]), F.element_at("m", F.lit(names[0])))
+
+    rows = [F.struct(F.lit(name).alias("check_name"), total(actual).alias("actual"), F.element_at("m", F.lit(expected)).alias("expected"))
+            for name, actual, expected in checks]
+    return held.select(F.inline(F.array(*rows))).withColumn("ok", F.col("actual") == F.col("expected"))
 
 
 def layer_counts(cdc: DataFrame, events: DataFrame, transcripts: DataFrame) -> DataFrame:
