@@ -14,10 +14,10 @@ rows apart, so that they can be split like any others.
 
 Scale: the probes read narrow columns (key, size) of the written table; a round brings
 at most (shards - 1) * probes sums to the driver. Slots are numbered within
-sub-ranges, whose number follows the counted rows, and shifted by the counts of
+sub-ranges, whose number follows the counted rows and bytes, and shifted by the counts of
 the sub-ranges before them, so no task sorts a whole shard; the exchange has a
-partition per ``task_bytes`` of the counted bytes, so a task's share doesn't grow
-with the data.
+partition per ``task_bytes`` of the counted bytes, and many sub-ranges in each, so a task's
+share doesn't grow with the data.
 
 Defined cases: null text has size 1 and checksum of no bytes. A null id hashes like no
 id. An empty table gives no rows; more shards than rows leave shards empty.
@@ -88,7 +88,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     keys = written(rows.select(F.col("_key").alias("key"), F.col("_size").alias("size")), "shard-keys")
     cuts = splitters(keys, shards, tolerance)
     n, size = keys.agg(F.count(F.lit(1)), F.sum("size")).first()
-    ranges = max(1, -(-n // rows_per_range), -(-(size or 0) // task_bytes))
+    # many small ranges a task: the hash that deals them evens out
+    ranges = max(1, -(-n // rows_per_range), -(-(size or 0) // (task_bytes // 16)))
     width = -(-(1 << KEY_BITS) // ranges)
 
     def place(df: DataFrame, key: str) -> DataFrame:
@@ -102,12 +103,13 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     before = F.sum("_n").over(Window.partitionBy("_shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     start = counts.select(F.col("_shard").alias("_s"), F.col("_range").alias("_r"),
                           F.coalesce(before, F.lit(0)).alias("_start"))
-    # as many partitions as the counted bytes and ranges ask for, not as the session has
+    # as many partitions as the counted bytes and rows ask for, not as the session has
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = place(rows, "_key").repartition(max(least, 2 * ranges), "_shard", "_range")
+    tasks = max(least, -(-(size or 0) // task_bytes), -(-n // (16 * rows_per_range)))
+    dealt = place(rows, "_key").repartition(tasks, "_shard", "_range")
     within = F.row_number().over(Window.partitionBy("_shard", "_range").orderBy("_key", id_col)) - 1
     return (dealt.withColumn("_in", within)
-                .join(F.broadcast(start), (F.col("_shard") == F.col("_s")) & (F.col("_range") == F.col("_r")))
+                .join(start, (F.col("_shard") == F.col("_s")) & (F.col("_range") == F.col("_r")))
                 .withColumn("_slot", (F.col("_start") + F.col("_in")).cast("long"))
                 .drop("_key", "_range", "_in", "_s", "_r", "_start"))
 
