@@ -159,26 +159,32 @@ def _walk(table: Edges, flat: np.ndarray, begin: np.ndarray, length: np.ndarray,
           upto: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(phrases, end states, met) of blocks entered in ``state``, 0 for a phrase's start. The first parse (no ``upto``) marks
     its ``starts``; a later one stops where it starts a phrase at a marked place and takes the rest from the running count."""
-    live = np.argsort(-length, kind="stable")
+    order = np.argsort(-length, kind="stable")
     n, now, met = np.zeros(len(begin), np.int64), state.astype(np.int32), np.zeros(len(begin), bool)
+    first, left, cur, got, who = begin[order], length[order], now[order], n[order], order
     for t in range(int(length.max(initial=0))):
-        live = live[:len(live) - np.searchsorted(length[live][::-1], t, side="right")]
-        if not len(live):
+        k = len(left) - np.searchsorted(left[::-1], t, side="right")
+        if k < len(left):  # blocks that end here
+            now[who[k:]], n[who[k:]] = cur[k:], got[k:]
+            first, left, cur, got, who = first[:k], left[:k], cur[:k], got[:k], who[:k]
+        if not k:
             break
-        at = begin[live] + t
+        at = first + t
         symbol = flat[at]
-        to = table.follow(now[live], symbol)
-        new = (to == 0) | (now[live] == 0)
-        n[live] += new
-        now[live] = np.where(to == 0, table.root[symbol], to)
+        to = table.follow(cur, symbol)
+        new = (to == 0) | (cur == 0)
+        got += new
+        cur = np.where(to == 0, table.root[symbol], to)
         if upto is None:
             starts[at[new]] = True
         else:
             same = new & starts[at]
-            done = live[same]
-            n[done] += upto[begin[done] + length[done] - 1] - upto[at[same]]
-            met[done] = True
-            live = live[~same]
+            if same.any():
+                done, go = who[same], ~same
+                n[done] = got[same] + upto[begin[done] + length[done] - 1] - upto[at[same]]
+                met[done] = True
+                first, left, cur, got, who = first[go], left[go], cur[go], got[go], who[go]
+    now[who], n[who] = cur, got
     return n, now, met
 
 
