@@ -33,13 +33,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from stratum.session import scratch_dir
+from stratum.session import scratch_dir, small_batches
 
 CAPACITY = 2048
-CACHE_CHUNKS, CACHE_WORDS = 300_000, 600_000
+CACHE_CHUNKS, CACHE_WORDS = 150_000, 300_000
 
 
 def _byte_alphabet() -> dict[int, int]:
@@ -52,6 +53,7 @@ def _byte_alphabet() -> dict[int, int]:
 
 BYTE_ALPHABET = _byte_alphabet()
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
+PIECE_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 PLACED = PIECES + ", sequence_id long, offset long, fill long"
 
 
@@ -133,22 +135,23 @@ def _encoder(path: str) -> ChunkEncoder:
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                  capacity: int = CAPACITY, separator: int = 0) -> DataFrame:
     """One row of PIECES per piece. ``tokenizer``: a path that every executor sees."""
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(tokenizer), np.asarray([separator], "<u4").tobytes()
-        for pdf in batches:
-            for lo in range(0, len(pdf), 500):
-                part = pdf.iloc[lo:lo + 500]
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):  # so few texts at a time become Python strings
+                part = batch.slice(lo, 500)
                 rows = []
-                for doc, row, ids in zip(part["doc_id"], part["row"], map(encoder.encode, part["text"].fillna(""))):
-                    ids += end
+                for doc, row, text in zip(*[part.column(c).to_pylist() for c in ("doc_id", "row", "text")]):
+                    ids = encoder.encode(text or "") + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[at:at + 4 * capacity]
                         rows.append((doc, row, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
-                yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in PIECES.split(", ")]).astype({"doc_id": "Int64"})
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), PIECE_TYPES)],
+                                      [c.split(" ")[0] for c in PIECES.split(", ")])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                        F.col(text_col).alias("text"))
-    return rows.mapInPandas(cut, PIECES)
+    return rows.mapInArrow(cut, PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
@@ -211,5 +214,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                    capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all ``docs`` with their place in a sequence."""
     path = scratch_dir(docs.sparkSession, "pieces")
-    token_pieces(docs, tokenizer, id_col, text_col, capacity).write.parquet(path)
+    with small_batches(docs.sparkSession):
+        token_pieces(docs, tokenizer, id_col, text_col, capacity).write.parquet(path)
     return pack_pieces(docs.sparkSession.read.parquet(path), capacity)
