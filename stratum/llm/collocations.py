@@ -15,8 +15,9 @@ Survivors are handed to the next scan as a bit set of a fixed size
 (``filter_bits``): a wrong hit costs a row that the exact count then drops, never
 a phrase. Cuts are looked up by joins; products are exact decimals of 38 digits.
 
-Scale: no step holds the phrases of the corpus in one place. Tasks flush
-pre-aggregated counts, a partition's summary is bounded by the rows of its
+Scale: no step holds the phrases of the corpus in one place. A task reads batches
+of a few MB, looks at ``CHUNK`` bytes at a time, adds up what it counted over all of
+them, up to ``TEXTS`` texts and ``flush`` keys, and hands on batches of ``OUT`` rows. A partition's summary is bounded by the rows of its
 partition, whose number follows the counted rows, and a hot phrase arrives as one
 partial count per flush. The driver sees a mass and the bit sets, both of a fixed size.
 
@@ -35,9 +36,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from stratum.operators.ordering import written
-from stratum.session import scratch_dir, sized_partitions
+from stratum.session import scratch_dir, sized_partitions, small_batches
 
-CHUNK = 1 << 23
+CHUNK = 1 << 20
+TEXTS = 1 << 20
+OUT = 1 << 16
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[list(b" \t")] = 1
@@ -108,11 +111,10 @@ class BitSet:
         return (self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def buffers(texts: list[str | None], chunk: int = CHUNK) -> Iterator[bytes]:
-    """The texts, lower-cased (A-Z), joined by piece ends, in buffers of about ``chunk`` bytes."""
+def buffers(texts: list[bytes], chunk: int = CHUNK) -> Iterator[bytes]:
+    """The texts, joined by piece ends, in buffers of about ``chunk`` bytes."""
     held, size = [], 0
-    for text in texts:
-        data = (text or "").encode().lower()
+    for data in texts:
         while len(data) > chunk:
             cut = max(data.rfind(b, 0, chunk) for b in (bytes([c]) for c in BREAKS))
             if cut < 0:  # one piece longer than a chunk: up to its end
@@ -129,6 +131,32 @@ def buffers(texts: list[str | None], chunk: int = CHUNK) -> Iterator[bytes]:
         yield b"\n".join(held)
 
 
+def language_buffers(batches, chunk: int = CHUNK) -> Iterator[tuple[str, bytes]]:
+    """(language, buffer of its texts, A-Z lower-cased). Texts wait for others of their language, of later batches too,
+    up to about ``chunk`` bytes of a language and 8 times that of all."""
+    waiting: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            if not text:
+                continue
+            lang = "und" if lang is None else lang
+            waiting.setdefault(lang, []).append(text.lower())
+            sizes[lang] = sizes.get(lang, 0) + len(text)
+            if sizes[lang] >= chunk:
+                sizes.pop(lang)
+                for buffer in buffers(waiting.pop(lang), chunk):
+                    yield lang, buffer
+        if sum(sizes.values()) >= 8 * chunk:
+            for lang in list(waiting):
+                sizes.pop(lang)
+                for buffer in buffers(waiting.pop(lang), chunk):
+                    yield lang, buffer
+    for lang, texts in waiting.items():
+        for buffer in buffers(texts, chunk):
+            yield lang, buffer
+
+
 def _totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
@@ -140,54 +168,71 @@ _SCAN = pa.schema([("kind", pa.string()), ("lang", pa.string()), ("phrase", pa.s
 _SCAN_DDL = "kind string, lang string, phrase string, key bigint, n bigint"
 
 
-def _scan(batches, filters: list[BitSet], exact: int | None, summarised: int | None, chunk: int, flush: int):
-    """Per batch: counts by text of the windows of order ``exact`` that pass its filter (every word for order 1),
-    and counts by key of the candidate windows of order ``summarised``."""
+def _out(kind: str, lang, phrase, key, n) -> Iterator[pa.RecordBatch]:
+    """Counts as batches of at most ``OUT`` rows; columns that are None are null."""
+    for i in range(0, len(n), OUT):
+        m = len(n[i:i + OUT])
+        given = [pa.nulls(m, t) if c is None else c[i:i + OUT] for c, t in ((lang, pa.string()), (phrase, pa.string()), (key, pa.int64()))]
+        yield pa.RecordBatch.from_arrays([pa.array([kind] * m), *given, n[i:i + OUT]], schema=_SCAN)
+
+
+def _scan(batches, filters: list[BitSet], exact: int | None, summarised: int | None, chunk: int, flush: int, most_texts: int = TEXTS):
+    """Counts by text of the windows of order ``exact`` that pass its filter (every word for order 1), and counts by
+    key of the candidate windows of order ``summarised``: added up in the task, and flushed where that shortens little."""
     keys: list[np.ndarray] = []
     counts: list[np.ndarray] = []
+    texts: list[pa.Table] = []
 
     def keyed(limit: int):
         nonlocal keys, counts
         if sum(map(len, keys)) <= limit:
             return
-        k, n = _totals(np.concatenate(keys), np.concatenate(counts))
-        keys, counts = [k], [n]
+        k, keys = np.concatenate(keys), []
+        n, counts = np.concatenate(counts), []
+        k, n = _totals(k, n)
         if len(k) > limit // 2:
-            keys, counts = [], []
-            none = pa.nulls(len(k), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(["key"] * len(k)), none, none, pa.array(k.view(np.int64)), pa.array(n)], schema=_SCAN)
+            yield from _out("key", None, None, pa.array(k.view(np.int64)), pa.array(n))
+        else:
+            keys, counts = [k], [n]
 
-    for batch in batches:
-        by_lang: dict[str, list] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            by_lang.setdefault("und" if lang is None else lang, []).append(text)
-        for lang, texts in by_lang.items():
-            for buffer in buffers(texts, chunk):
-                words = Words(buffer, lang)
-                for order, (at, key, check) in enumerate(words.windows(filters), 1):
-                    if order == exact and len(at):
-                        if order <= len(filters):
-                            ok = filters[order - 1].holds(key)
-                            at, key, check = at[ok], key[ok], check[ok]
-                        by = np.argsort(key, kind="stable")
-                        k, c = key[by], check[by]
-                        # a new group also where only the second hash differs: one text per group
-                        first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])][:len(k)])
-                        n = np.diff(np.r_[first, len(k)])
-                        phrases = [words.phrase(i, order) for i in at[by[first]]]
-                        m = len(phrases)
-                        if m:
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(["text"] * m), pa.array([lang] * m), pa.array(phrases, pa.string()),
-                                 pa.nulls(m, pa.int64()), pa.array(n.astype(np.int64))], schema=_SCAN)
-                    if order == summarised and len(at):
-                        k, n = _totals(key, np.ones(len(key), np.int64))
-                        keys.append(k)
-                        counts.append(n)
-                        yield from keyed(flush)
+    def by_text(limit: int):
+        nonlocal texts
+        if sum(map(len, texts)) <= limit:
+            return
+        added = pa.concat_tables(texts).combine_chunks().group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+        texts = []
+        if len(added) > limit // 2:
+            for b in added.select(["lang", "phrase", "n_sum"]).to_batches():
+                yield from _out("text", b.column(0), b.column(1), None, b.column(2))
+        else:
+            texts = [added.rename_columns({"n_sum": "n"})]
+
+    for lang, buffer in language_buffers(batches, chunk):
+        words = Words(buffer, lang)
+        for order, (at, key, check) in enumerate(words.windows(filters), 1):
+            if order == exact and len(at):
+                if order <= len(filters):
+                    ok = filters[order - 1].holds(key)
+                    at, key, check = at[ok], key[ok], check[ok]
+                by = np.argsort(key, kind="stable")
+                k, c = key[by], check[by]
+                # a new group also where only the second hash differs: one text per group
+                first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])][:len(k)])
+                n = np.diff(np.r_[first, len(k)]).astype(np.int64)
+                phrases = pa.array((words.phrase(i, order) for i in at[by[first]]), pa.string(), size=len(first))
+                if len(first):
+                    texts.append(pa.table({"lang": pa.repeat(lang, len(first)), "phrase": phrases, "n": n}))
+                    yield from by_text(most_texts)
+            if order == summarised and len(at):
+                k, n = _totals(key, np.ones(len(key), np.int64))
+                keys.append(k)
+                counts.append(n)
+                yield from keyed(flush)
     if keys:
         keys, counts = [np.concatenate(keys)], [np.concatenate(counts)]
         yield from keyed(0)
+    if texts:
+        yield from by_text(0)
 
 
 class MisraGries:
@@ -266,7 +311,7 @@ def bit_set(keys: DataFrame, bits: int) -> np.ndarray | None:
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5,
                      min_count: int = 100, filter_bits: int = 26, chunk: int = CHUNK,
-                     flush: int = 4_000_000) -> tuple[DataFrame, DataFrame]:
+                     flush: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, f) of all phrases of 1 to ``max_words`` words with f >= min_count, (lang, n) word totals)."""
     spark = docs.sparkSession
     context = spark.sparkContext
@@ -282,7 +327,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
             sets = [BitSet(x, filter_bits) for x in held.value]
             return _scan(batches, sets, exact, summarised, chunk, flush)
 
-        texts.mapInArrow(run, _SCAN_DDL).write.partitionBy("kind").parquet(path)
+        with small_batches(spark):
+            texts.mapInArrow(run, _SCAN_DDL).write.partitionBy("kind").parquet(path)
         rows = spark.read.schema(_SCAN_DDL).parquet(path)
         return (rows.where("kind = 'text'").groupBy("lang", "phrase").agg(F.sum("n").alias("f")),
                 rows.where("kind = 'key'").select("key", "n"))

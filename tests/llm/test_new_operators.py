@@ -5,9 +5,11 @@ import heapq
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,6 +308,48 @@ def test_collocations_of_nothing(spark):
     assert collocations.collocations(rare).count() == 0
 
 
+def test_a_scan_of_much_text_needs_little_memory():
+    """24 MB of one language: the scan holds about 1 MB of it at a time, and hands on rows in small batches."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 200_000, 20_000)) for _ in range(170)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    every = collocations.BitSet(np.full(1 << 9, 255, np.uint8), 12)
+    total = {"text": 0, "key": 0}
+    tracemalloc.start()
+    for out in collocations._scan([batch], [every], 1, 2, collocations.CHUNK, 1_000_000):
+        assert out.num_rows <= collocations.OUT
+        total[out.column("kind")[0].as_py()] += sum(out.column("n").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == {"text": 170 * 20_000, "key": 170 * 19_999}
+    assert peak < 240 << 20  # 24 MB of it are the texts as the batch's rows
+
+
+@pytest.mark.parametrize("most", [20, collocations.TEXTS])
+def test_counts_of_all_buffers_are_added_up(most):
+    """A text counted in many buffers of a task leaves it as one row, or as few if there are many texts."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"] * 300), pa.array(["a b c a"] * 600)], names=["lang", "text"])
+    every = collocations.BitSet(np.full(1 << 9, 255, np.uint8), 12)
+    rows = [r for b in collocations._scan([batch], [every], 1, 2, 64, 4_000_000, most) for r in b.to_pylist()]
+    texts, keys = ([r for r in rows if r["kind"] == kind] for kind in ("text", "key"))
+    assert sorted((r["lang"], r["phrase"], r["n"]) for r in texts) == sorted(
+        (lang, w, n) for lang in ("de", "en") for w, n in (("a", 600), ("b", 300), ("c", 300)))
+    assert sorted(r["n"] for r in keys) == [300] * 6
+
+
+def test_texts_of_a_language_wait_for_each_other():
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())],
+                                          names=["lang", "text"])
+
+    rows = [("en", "A b"), (None, "ÄX"), ("de", None), ("en", ""), ("und", "c"), ("en", "d, " * 30), ("fr", "e")]
+    got = list(collocations.language_buffers([batch(rows[:2]), batch(rows[2:5]), batch(rows[5:])], 50))
+    assert got == [("en", b"d, " * 16 + b"d,"), ("en", b"a b\n " + b"d, " * 13), ("und", "Äx\nc".encode()), ("fr", b"e")]
+    many = [(f"l{i}", "x" * 9) for i in range(100)]
+    got = list(collocations.language_buffers([batch(many[i:i + 10]) for i in range(0, 100, 10)], 10))
+    assert got == [(lang, text.encode()) for lang, text in many]
+
+
 @pytest.mark.parametrize("capacity_extra", [0, 3])
 def test_summaries_keep_every_frequent_key(capacity_extra):
     rng = np.random.default_rng(1)
